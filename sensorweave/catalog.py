@@ -193,12 +193,18 @@ def dataset_config(spark: SparkSession) -> DataFrame:
 
 
 def with_dataset_config(df: DataFrame, dataset_col: str = "dataset") -> DataFrame:
-    """Attach ``fs``/``step_ms`` by dataset name; unknown names raise at run time."""
-    cfg = F.broadcast(dataset_config(df.sparkSession))
-    joined = df.join(cfg, on=dataset_col, how="left")
-    return joined.withColumn(
-        "fs",
-        F.when(F.col("fs").isNull(),
-               F.raise_error(F.concat(F.lit("no sampling rate for dataset "),
-                                      F.col(dataset_col).cast("string"))))
-        .otherwise(F.col("fs")))
+    """Attach ``fs``/``step_ms`` by dataset name; unknown names raise at run time.
+
+    The configuration is six fixed rows, so it is applied as map literals
+    evaluated inside the projection: no join, no shuffle, no broadcast.
+    """
+    name = F.col(dataset_col)
+    fs_map = F.create_map(*[x for s in DATASETS.values() for x in (F.lit(s.name), F.lit(float(s.fs)))])
+    step_map = F.create_map(*[x for s in DATASETS.values()
+                              for x in (F.lit(s.name), F.lit(s.step_ms).cast("int"))])
+    fs = F.try_element_at(fs_map, name)
+    return df.withColumns({
+        "fs": F.when(fs.isNull(), F.raise_error(F.concat(
+            F.lit("no sampling rate for dataset "), name.cast("string")))).otherwise(fs),
+        "step_ms": F.try_element_at(step_map, name),
+    })

@@ -14,6 +14,8 @@ Segments come from one of:
 
 * ``width``: a fixed width on a numeric order key (e.g. ``step * 65536`` on a
   time grid: at most 65536 grid points per segment);
+* ``width="global"``: one width from the frame's overall (min, max, count),
+  for order keys drawn from one id space shared by all recordings;
 * ``segment``: an existing monotone column (e.g. the file split offset of a
   text scan, bounded by ``spark.sql.files.maxPartitionBytes``);
 * neither: a per-recording width from ``(min, max, count)`` so that an evenly
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 
 SEG = "_sw_seg"
 TARGET_ROWS = 1 << 17
+GRID_SEGMENT_STEPS = 1 << 16
+GLOBAL = "global"
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -36,13 +40,18 @@ def _cols(names: Sequence[str]) -> list[Column]:
 
 
 def with_segments(df: DataFrame, keys: Sequence[str], order: str,
-                  width: float | None = None, segment: str | None = None,
+                  width: float | str | None = None, segment: str | None = None,
                   target_rows: int = TARGET_ROWS) -> DataFrame:
     """Add the segment column ``SEG`` (kept if already present)."""
     if SEG in df.columns:
         return df
     if segment is not None:
         return df.withColumn(SEG, F.col(segment))
+    if width == GLOBAL:
+        # one width for the whole frame, from three numbers collected once:
+        # right when the order key is one id space shared by all recordings
+        lo, hi, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
+        width = max(1.0, (float(hi - lo) + 1.0) * target_rows / n) if n else 1.0
     if width is not None:
         return df.withColumn(SEG, F.floor(F.col(order) / F.lit(float(width))).cast("long"))
     keys = list(keys)
@@ -73,8 +82,15 @@ def _seg_window(keys):
     return Window.partitionBy(*keys).orderBy(SEG)
 
 
+def _summary(windowed: DataFrame, keys: Sequence[str], pick: Column, cols: dict[str, Column]) -> DataFrame:
+    """One row per segment taken from the already windowed rows (``pick`` is
+    true on exactly one row per segment), so the segment exchange is reused
+    instead of scanning and shuffling the input a second time."""
+    return windowed.filter(pick).select(*keys, SEG, *[c.alias(n) for n, c in cols.items()])
+
+
 def seq_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-              width: float | None = None, segment: str | None = None,
+              width: float | str | None = None, segment: str | None = None,
               target_rows: int = TARGET_ROWS, keep_segment: bool = False) -> DataFrame:
     """0-based position of each row within its recording in ``order``.
 
@@ -84,53 +100,65 @@ def seq_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str
     """
     keys, order = list(keys), list(order)
     seg = with_segments(df, keys, order[0], width, segment, target_rows)
-    local = F.row_number().over(_local_window(keys, _cols(order))) - F.lit(1)
-    seg = seg.withColumn("_sw_local", local)
-    counts = seg.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_sw_cnt"))
-    offsets = counts.withColumn(
-        "_sw_off",
+    w = _local_window(keys, _cols(order))
+    seg = (seg.withColumn("_sw_local", F.row_number().over(w) - F.lit(1))
+           .withColumn("_sw_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, SEG))))
+    counts = _summary(seg, keys, F.col("_sw_local") == 0, {"_sw_cnt": F.col("_sw_cnt")})
+    offsets = counts.select(
+        *keys, SEG,
         F.coalesce(F.sum("_sw_cnt").over(
-            _seg_window(keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    res = (seg.join(offsets.select(*keys, SEG, "_sw_off"), on=[*keys, SEG], how="left")
+            _seg_window(keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_sw_off"))
+    res = (seg.join(offsets, on=[*keys, SEG], how="left")
            .withColumn(out, (F.col("_sw_off") + F.col("_sw_local")).cast("long"))
-           .drop("_sw_off", "_sw_local"))
+           .drop("_sw_off", "_sw_local", "_sw_cnt"))
     return res if keep_segment else res.drop(SEG)
 
 
 def seq_shift(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-              out: str, offset: int = 1, width: float | None = None,
+              out: str, offset: int = 1, width: float | str | None = None,
               segment: str | None = None, target_rows: int = TARGET_ROWS,
-              keep_segment: bool = False) -> DataFrame:
+              keep_segment: bool = False, first_out: str | None = None) -> DataFrame:
     """``lead(value)`` (offset=+1) or ``lag(value)`` (offset=-1) within the
-    recording in ``order``; null past the recording's ends."""
+    recording in ``order``; null past the recording's ends.
+
+    ``first_out`` (lead only) also attaches the recording's first ``value``,
+    read off the same per-segment summary at no extra pass.
+    """
+    if first_out is not None and offset != 1:
+        raise ValueError("first_out needs offset=+1")
     if offset not in (1, -1):
         raise ValueError("offset must be +1 or -1")
     keys, order = list(keys), list(order)
     seg = with_segments(df, keys, order[0], width, segment, target_rows)
     w = _local_window(keys, _cols(order))
-    order_key = F.struct(*_cols(order))
     if offset == 1:
-        at_edge = F.lead(F.lit(1)).over(w).isNull()
-        local = F.lead(value).over(w)
-        edge_val = F.min_by(F.col(value), order_key)        # first row of a segment
-        carry = F.lead("_sw_edge").over(_seg_window(keys))  # ... of the next segment
+        # the next row of the last row of a segment is the first row of the
+        # next non-empty segment
+        seg = (seg.withColumn("_sw_at_edge", F.lead(F.lit(1)).over(w).isNull())
+               .withColumn("_sw_local", F.lead(value).over(w))
+               .withColumn("_sw_first", F.lag(F.lit(1)).over(w).isNull()))
+        edges = _summary(seg, keys, F.col("_sw_first"), {"_sw_edge": F.col(value)})
+        carry = F.lead("_sw_edge").over(_seg_window(keys))
     else:
-        at_edge = F.lag(F.lit(1)).over(w).isNull()
-        local = F.lag(value).over(w)
-        edge_val = F.max_by(F.col(value), order_key)        # last row of a segment
-        carry = F.lag("_sw_edge").over(_seg_window(keys))   # ... of the previous one
-    seg = seg.withColumn("_sw_at_edge", at_edge).withColumn("_sw_local", local)
-    edges = (seg.groupBy(*keys, SEG).agg(edge_val.alias("_sw_edge"))
-             .withColumn("_sw_carry", carry).select(*keys, SEG, "_sw_carry"))
+        seg = (seg.withColumn("_sw_at_edge", F.lag(F.lit(1)).over(w).isNull())
+               .withColumn("_sw_local", F.lag(value).over(w))
+               .withColumn("_sw_first", F.lead(F.lit(1)).over(w).isNull()))
+        edges = _summary(seg, keys, F.col("_sw_first"), {"_sw_edge": F.col(value)})
+        carry = F.lag("_sw_edge").over(_seg_window(keys))
+    extra = []
+    if first_out is not None:
+        extra.append(F.first("_sw_edge").over(_seg_window(keys).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing)).alias(first_out))
+    edges = edges.select(*keys, SEG, carry.alias("_sw_carry"), *extra)
     res = (seg.join(edges, on=[*keys, SEG], how="left")
            .withColumn(out, F.when(F.col("_sw_at_edge"), F.col("_sw_carry"))
                        .otherwise(F.col("_sw_local")))
-           .drop("_sw_at_edge", "_sw_local", "_sw_carry"))
+           .drop("_sw_at_edge", "_sw_local", "_sw_carry", "_sw_first"))
     return res if keep_segment else res.drop(SEG)
 
 
 def seq_ffill(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-              out: str | None = None, width: float | None = None,
+              out: str | None = None, width: float | str | None = None,
               segment: str | None = None, target_rows: int = TARGET_ROWS,
               keep_segment: bool = False) -> DataFrame:
     """Forward fill: each null takes the last non-null earlier value of the
@@ -138,18 +166,18 @@ def seq_ffill(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     keys, order = list(keys), list(order)
     out = out or value
     seg = with_segments(df, keys, order[0], width, segment, target_rows)
-    w = _local_window(keys, _cols(order)).rowsBetween(Window.unboundedPreceding, 0)
-    seg = seg.withColumn("_sw_local", F.last(value, ignorenulls=True).over(w))
-    present = F.col(value).isNotNull()
-    last_in_seg = F.max_by(F.when(present, F.col(value)),
-                           F.when(present, F.struct(*_cols(order))))
-    carry = F.last("_sw_last", ignorenulls=True).over(
+    w = _local_window(keys, _cols(order))
+    seg = (seg.withColumn("_sw_local", F.last(value, ignorenulls=True).over(
+                w.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn("_sw_last", F.lead(F.lit(1)).over(w).isNull()))
+    # at the last row of a segment the running fill is the segment's last non-null
+    edges = _summary(seg, keys, F.col("_sw_last"), {"_sw_edge": F.col("_sw_local")})
+    carry = F.last("_sw_edge", ignorenulls=True).over(
         _seg_window(keys).rowsBetween(Window.unboundedPreceding, -1))
-    edges = (seg.groupBy(*keys, SEG).agg(last_in_seg.alias("_sw_last"))
-             .withColumn("_sw_carry", carry).select(*keys, SEG, "_sw_carry"))
+    edges = edges.select(*keys, SEG, carry.alias("_sw_carry"))
     res = (seg.join(edges, on=[*keys, SEG], how="left")
            .withColumn(out, F.coalesce(F.col("_sw_local"), F.col("_sw_carry")))
-           .drop("_sw_local", "_sw_carry"))
+           .drop("_sw_local", "_sw_carry", "_sw_last"))
     return res if keep_segment else res.drop(SEG)
 
 

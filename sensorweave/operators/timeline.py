@@ -16,7 +16,7 @@ from sensorweave.operators import sequence as seq
 
 # Grid points per segment in gap filling: bounds both the rows of one window
 # partition and the rows generated from one source row per explode level.
-GRID_SEGMENT_STEPS = 1 << 16
+GRID_SEGMENT_STEPS = seq.GRID_SEGMENT_STEPS
 EXPLODE_CHUNK = 4096
 
 
@@ -28,7 +28,7 @@ def round_to_grid(df: DataFrame, t: str, step: int, out: str | None = None) -> D
 def fill_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
               anchor: str = "epoch", carry: Sequence[str] = (),
               segment_steps: int = GRID_SEGMENT_STEPS,
-              max_gap_steps: int | None = None) -> DataFrame:
+              max_gap_steps: int | None = None, start_out: str | None = None) -> DataFrame:
     """Give every grid point of each recording a row (reindex over a full range).
 
     The grid runs from the recording's first sample to its last in ``step``
@@ -46,6 +46,9 @@ def fill_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
     ``max_gap_steps`` leaves gaps longer than that many steps unfilled (a
     counter reset would otherwise be filled); :func:`grid_gaps` reports them.
 
+    ``start_out`` adds the recording's first grid point to every output row
+    (for rebasing time to the start without another pass).
+
     No join with a generated grid is used: each sample's next sample
     (``lead``, computed per segment) tells how many empty grid points follow
     it, and those are generated from the sample row itself.
@@ -65,7 +68,7 @@ def fill_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
         raise ValueError(f"unknown anchor {anchor!r}")
     on = df.filter(on_grid)
     on = seq.seq_shift(on, keys, [t], t, "_fg_next", offset=1,
-                       width=float(step) * segment_steps)
+                       width=float(step) * segment_steps, first_out=start_out)
     end = F.when(F.col("_fg_next").isNull(), last_point).otherwise(
         F.greatest(tcol, F.col("_fg_next") - F.lit(step)))
     if max_gap_steps is not None:
@@ -80,6 +83,7 @@ def fill_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
     out = on.select(
         *[F.col(k) for k in keys],
         F.col("_fg_g").alias(t),
+        *([F.col(start_out)] if start_out else []),
         *[F.col(c) for c in carry],
         *[F.when(is_source, F.col(c)).alias(c) for c in values],
     )

@@ -33,8 +33,8 @@ def harmonise_long(df: DataFrame, sid: str, sensor: str, ts: str, sensors: Seque
                .filter(F.col(T).isNotNull()))
     wide = align.widen(slotted, [sid], T, sensor, sensors, values,
                        name=lambda s, v: names[(s, v)], dedupe=align.MEAN)
-    filled = timeline.fill_grid(wide, [sid], T, step_us, anchor="epoch")
-    timed = timeline.elapsed_since_start(filled, [sid], T, "time_ms", unit=1000)
+    filled = timeline.fill_grid(wide, [sid], T, step_us, anchor="epoch", start_out="_t0")
+    timed = filled.withColumn("time_ms", timegrid.elapsed_ms(F.col(T), F.col("_t0")))
     sensor_cols = list(names.values())
     return timed.select(
         "time_ms", F.col(sid).alias("sid"), F.lit(surface).alias("surface"),

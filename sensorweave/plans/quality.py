@@ -71,6 +71,9 @@ def linearity(df: DataFrame, keys: Sequence[str], t: str, fs: float | Column,
     keys = list(keys)
     d = df.filter(F.col(t).isNotNull() & ~F.isnan(F.col(t).cast("double")))
     order_cols = [t] if sort_first else [order, t]
+    if width is None and not isinstance(fs, Column) and sort_first:
+        # a regular axis: segments of a fixed number of expected steps
+        width = 1000.0 / float(fs) * seq.GRID_SEGMENT_STEPS
     d = seq.seq_shift(d, keys, order_cols, t, "_prev", offset=-1, width=width)
     fs_col = fs if isinstance(fs, Column) else F.lit(float(fs))
     diff = (F.col(t) - F.col("_prev")).cast("double")
@@ -118,7 +121,8 @@ def null_examples(df: DataFrame, keys: Sequence[str], order: str, max_examples:
     rows = df.withColumn("null_columns", null_columns(df, data_cols))
     rows = seq.seq_index(rows, keys, [order], "_pos", width=width)
     flagged = rows.filter(F.col("null_columns") != "").select(*keys, "_pos")
-    flagged = seq.seq_index(flagged, keys, ["_pos"], "_rank", width=width)
+    # positions are dense row numbers: segments of TARGET_ROWS positions
+    flagged = seq.seq_index(flagged, keys, ["_pos"], "_rank", width=float(seq.TARGET_ROWS))
     totals = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nflag"))
     anchors = (flagged.filter(F.col("_rank") < max_examples)
                .join(totals, on=keys, how="left")

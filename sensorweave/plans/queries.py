@@ -93,13 +93,13 @@ def widen_sensors(spark, sf_dir):
 
 def sample_number(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("user_id", "event_id")
-    out = timeline.sample_number(ev, ["user_id"], ["event_id"], "sample_no")
+    out = timeline.sample_number(ev, ["user_id"], ["event_id"], "sample_no", width=seq.GLOBAL)
     return out.withColumn("time_ms", timegrid.ms_from_step(F.col("sample_no"), catalog.GRID_STEP_MS["mhealth"]))
 
 
 def time_from_rate(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("user_id", "event_id")
-    out = timeline.sample_number(ev, ["user_id"], ["event_id"], "sample_no")
+    out = timeline.sample_number(ev, ["user_id"], ["event_id"], "sample_no", width=seq.GLOBAL)
     return out.withColumn("time_ms", timegrid.ms_from_rate(F.col("sample_no"), catalog.SAMPLING_RATE_HZ["bruno"]))
 
 
@@ -141,7 +141,7 @@ def label_ffill(spark, sf_dir):
     code = F.floor(F.col("value")).cast("int")
     d = ev.select("user_id", "event_id", code.alias("code"),
                   labels.map_label(code, catalog.MHEALTH_SURFACES, labels.NULL).alias("surface"))
-    return timeline.forward_fill(d, ["user_id"], ["event_id"], "surface")
+    return timeline.forward_fill(d, ["user_id"], ["event_id"], "surface", width=seq.GLOBAL)
 
 
 def surrogate_subject_id(spark, sf_dir):
@@ -238,7 +238,8 @@ def linearity_packets(spark, sf_dir):
     p = _packets(spark, sf_dir).withColumn("dataset", F.lit("luo"))
     p = catalog.with_dataset_config(p)
     p = p.withColumn("time_ms", F.col("packetcounter") * F.lit(catalog.GRID_STEP_MS["luo"]))
-    return quality.linearity(p, ["l_orderkey"], "time_ms", F.col("fs"), tolerance=1.0)
+    return quality.linearity(p, ["l_orderkey"], "time_ms", F.col("fs"), tolerance=1.0,
+                             width=float(catalog.GRID_STEP_MS["luo"] * seq.GRID_SEGMENT_STEPS))
 
 
 def linearity_conversations(spark, sf_dir):
