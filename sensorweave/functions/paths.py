@@ -33,11 +33,24 @@ def parent_dir(path: Column) -> Column:
     return F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(-2))).otherwise(F.lit(None))
 
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def without_scheme(path: Column) -> Column:
+    """``file:/a/b`` and ``s3a://bucket/a/b`` -> ``/a/b``."""
+    return F.regexp_replace(path, _SCHEME, "")
+
+
 def dir_below(path: Column, root: str) -> Column:
-    """First directory below ``root`` (e.g. the subject folder)."""
-    root = root.rstrip("/")
-    rest = F.when(path.startswith(root + "/"), F.substring(path, len(root) + 2, 1 << 30))
-    return F.try_element_at(F.split(rest, "/"), F.lit(1))
+    """First directory below ``root`` (e.g. the subject folder); scheme and
+    authority are ignored on both sides."""
+    import re
+    root = re.sub(_SCHEME, "", root).rstrip("/")
+    bare = without_scheme(path)
+    rest = F.when(bare.startswith(root + "/"), F.substring(bare, len(root) + 2, 1 << 30))
+    parts = F.split(rest, "/")
+    # only a directory: the last part is the file itself
+    return F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(1)))
 
 
 def split_part(text: Column, sep: str, index: int) -> Column:
