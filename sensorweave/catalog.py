@@ -184,8 +184,8 @@ DATASETS = {
 def dataset_config(spark: SparkSession) -> DataFrame:
     """The dataset configuration as a six-row DataFrame.
 
-    It is a fixed table of six rows, so joining it with ``broadcast`` is
-    bounded by construction.
+    It is a fixed table of six rows; :func:`with_dataset_config` applies it
+    as map literals instead of a join.
     """
     rows = [(s.name, float(s.fs), s.step_ms, s.has_trials) for s in DATASETS.values()]
     return spark.createDataFrame(

@@ -29,9 +29,14 @@ def _scratch(spark: SparkSession, tag: str) -> str:
     return os.path.join(checkpoint_dir(spark), "raw-layouts", f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
-def _write_lines(df: DataFrame, path: str, line, files: int) -> None:
-    """Write one text line per row into ``files`` files (hash of the row)."""
-    df.select(line.alias("value")).repartition(files).write.mode("overwrite").text(path)
+def _files(spark: SparkSession) -> int:
+    """Number of files to write: scales with the session's parallelism."""
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _write_lines(df: DataFrame, path: str, line) -> None:
+    """Write one text line per row, spread over many files."""
+    df.select(line.alias("value")).repartition(_files(df.sparkSession)).write.mode("overwrite").text(path)
 
 
 def headed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,10 +49,10 @@ def headed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     # layout A: natural order, upper case names; layout B: reversed, padded
     (a.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
      .toDF("C_CUSTKEY", "C_NAME", "C_NATIONKEY", "C_ACCTBAL", "C_MKTSEGMENT")
-     .repartition(3).write.option("header", True).csv(os.path.join(root, "a")))
+     .repartition(_files(spark)).write.option("header", True).csv(os.path.join(root, "a")))
     (b.select("c_mktsegment", "c_acctbal", "c_nationkey", "c_name", "c_custkey")
      .toDF(" c_mktsegment", " c_acctbal", " c_nationkey", " c_name", " c_custkey")
-     .repartition(2).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .repartition(_files(spark)).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
      .csv(os.path.join(root, "b")))
     scan = text.read_headed(spark, root, glob="*.csv", recursive=True, strip=True)
     r = scan.rows
@@ -68,7 +73,7 @@ def headerless_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("l_linenumber").cast("string"), F.lit("  "),
                        F.col("l_quantity").cast("string"),
                        F.when(F.col("l_linenumber") == 3, F.lit("\n")).otherwise(F.lit("")))
-    _write_lines(li, root, line, 4)
+    _write_lines(li, root, line)
     scan = text.read_headerless(spark, root, 3, pattern=r"\s+|,")
     r = scan.rows
     return r.select(r.f0.try_cast("long").alias("l_orderkey"),
@@ -83,7 +88,7 @@ def commented_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _scratch(spark, "commented")
     line = F.concat_ws(" ", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
                        F.concat(F.col("o_totalprice").cast("string"), F.lit("  # price")))
-    files = 5
+    files = _files(spark)
     body = o.select(line.alias("value"), F.lit(1).alias("_k"),
                     F.pmod(F.hash(line), F.lit(files)).alias("_f"))
     head = spark.range(files).select(F.lit("# recorded\nkey cust price").alias("value"),
@@ -103,7 +108,7 @@ def delimited_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
     root = _scratch(spark, "tsv")
     line = F.concat_ws("\t", *[F.col(c).cast("string") for c in p.columns])
-    _write_lines(p, root, line, 3)
+    _write_lines(p, root, line)
     scan = text.read_delimited(spark, root, ["p_partkey", "p_name", "p_size", "p_retailprice"], sep="\t")
     r = scan.rows
     return r.select(r.p_partkey.try_cast("long").alias("p_partkey"), r.p_name,
