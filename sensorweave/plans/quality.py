@@ -106,7 +106,8 @@ def null_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
 
 
 def null_examples(df: DataFrame, keys: Sequence[str], order: str, max_examples: int = 3,
-                  context: int = 2, width: float | None = None) -> DataFrame:
+                  context: int = 2, width: float | None = None,
+                  grid_step: int | None = None) -> DataFrame:
     """The first ``max_examples`` incomplete rows of each recording, each with
     ``context`` rows before and after it.
 
@@ -115,11 +116,18 @@ def null_examples(df: DataFrame, keys: Sequence[str], order: str, max_examples:
     ``more_flagged`` (incomplete rows of the recording beyond the examples).
     Rows and positions come from bounded segments; contexts are fetched with
     an equi-join on (recording, position), so no recording is ever gathered.
+
+    ``grid_step``: ``order`` is a gap-free grid starting at 0 in every
+    recording (``time_ms`` of a harmonised table), so a row's position is
+    ``order / grid_step`` and no numbering pass is needed.
     """
     keys = list(keys)
     data_cols = [c for c in df.columns if c not in keys]
     rows = df.withColumn("null_columns", null_columns(df, data_cols))
-    rows = seq.seq_index(rows, keys, [order], "_pos", width=width)
+    if grid_step is not None:
+        rows = rows.withColumn("_pos", F.floor(F.col(order) / F.lit(grid_step)).cast("long"))
+    else:
+        rows = seq.seq_index(rows, keys, [order], "_pos", width=width)
     flagged = rows.filter(F.col("null_columns") != "").select(*keys, "_pos")
     # positions are dense row numbers: segments of TARGET_ROWS positions
     flagged = seq.seq_index(flagged, keys, ["_pos"], "_rank", width=float(seq.TARGET_ROWS))

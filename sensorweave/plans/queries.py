@@ -318,7 +318,7 @@ def null_profile(spark, sf_dir):
 def null_context(spark, sf_dir):
     h = _harmonised_events(spark, sf_dir).select("sid", "time_ms", *[f"{s}_acc_x" for s in EVENT_SENSORS])
     ex = quality.null_examples(h, ["sid"], "time_ms", max_examples=3, context=2,
-                               width=float(HOUR_US // 1000) * 4096)
+                               grid_step=HOUR_US // 1000)
     return ex.select("sid", "example_no", "ctx_offset", "time_ms", "null_columns", "more_flagged")
 
 

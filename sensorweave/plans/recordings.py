@@ -214,3 +214,39 @@ def append_luo_subjects(spark: SparkSession, root: str, sids: list[int], target:
 def stack_recordings(frames: list[DataFrame]) -> DataFrame:
     """U1 + P8: stack frames by name and put the base columns first."""
     return order_columns(stack.stack_by_name(frames), BASE)
+
+
+# ---------------------------------------------------------------- reports and dispatch
+
+def trial_manifest(rows: DataFrame, keys=("sid", "trial_no")) -> DataFrame:
+    """The files of every (subject, trial). A trial has one file per
+    sensor, so each collected set is bounded by the sensor count."""
+    return rows.groupBy(*keys).agg(F.sort_array(F.collect_set("path")).alias("files"),
+                                   F.count_distinct("path").alias("n_files"))
+
+
+def run_totals(data: DataFrame, rows_read: DataFrame | None = None) -> DataFrame:
+    """One row with the number of subjects, trials (when present), rows
+    and, given the parsed lines, files."""
+    aggs = [F.count_distinct("sid").alias("subjects"), F.count(F.lit(1)).alias("rows")]
+    if "trial_no" in data.columns:
+        aggs.insert(1, F.count_distinct("sid", "trial_no").alias("trials"))
+    out = data.agg(*aggs)
+    if rows_read is not None:
+        n_files = rows_read.agg(F.count_distinct("path")).first()[0]
+        out = out.withColumn("files", F.lit(n_files).cast("long"))
+    return out
+
+
+def harmonise(name: str, spark: SparkSession, source) -> Harmonised:
+    """Run the flow of dataset ``name`` (``source`` is a root folder, or
+    the long table for 'beach')."""
+    flows = {
+        "luo": harmonise_luo, "karas": harmonise_karas, "bruno": harmonise_bruno,
+        "hugadb": harmonise_hugadb, "mhealth": harmonise_mhealth,
+    }
+    if name == "beach":
+        return harmonise_beach(source)
+    if name not in flows:
+        raise ValueError(f"unknown dataset {name!r}; known: {sorted([*flows, 'beach'])}")
+    return flows[name](spark, source)

@@ -31,10 +31,6 @@ class Scan:
     rejects: DataFrame
 
 
-def _empty_rejects(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "path string, line_no long, reason string")
-
-
 def scan_lines(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True,
                skip_parent_suffix: str | None = None,
                skip_names: Sequence[str] = (), require_suffix: str | None = None) -> DataFrame:
@@ -206,3 +202,12 @@ def read_headed(spark: SparkSession, root: str, columns: Sequence[str] | None =
 def as_double(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Coerce text fields to double (non-numbers become null)."""
     return df.withColumns({n: units.coerce_numeric(F.col(n)) for n in names})
+
+
+# ------------------------------------------------------------------ S6
+
+def read_long(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """Long sensor readings ``(sid, sensor, datetime, x, y, z)`` (the re-aimed
+    per-subject sensor frames), names stripped and lower-cased."""
+    df = spark.read.format(fmt).options(**options).load(path)
+    return df.toDF(*[c.strip().lower() for c in df.columns])

@@ -36,8 +36,11 @@ def test_null_examples_match_brute_force(spark):
             v = None if (i % 7 == 3 or (sid == "s2" and i > 30)) else float(i)
             rows.append((sid, i * 10, v))
     df = spark.createDataFrame(rows, "sid string, time_ms long, x double")
-    got = quality.null_examples(df, ["sid"], "time_ms", max_examples=3, context=2, width=50.0)
-    got = sorted((r.sid, r.example_no, r.ctx_offset, r.time_ms, r.more_flagged) for r in got.collect())
+    ex = quality.null_examples(df, ["sid"], "time_ms", max_examples=3, context=2, width=50.0)
+    got = sorted((r.sid, r.example_no, r.ctx_offset, r.time_ms, r.more_flagged) for r in ex.collect())
+    on_grid = quality.null_examples(df, ["sid"], "time_ms", max_examples=3, context=2, grid_step=10)
+    assert sorted((r.sid, r.example_no, r.ctx_offset, r.time_ms, r.more_flagged)
+                  for r in on_grid.collect()) == got
     want = []
     pdf = pd.DataFrame(rows, columns=["sid", "time_ms", "x"])
     for sid, g in pdf.groupby("sid"):

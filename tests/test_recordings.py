@@ -151,3 +151,27 @@ def test_csv_sink_writes_empty_for_missing(spark, tmpdir_path):
     sinks.write_csv(df.coalesce(1), out)
     body = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.endswith(".csv"))
     assert body.splitlines() == ["time_ms,x", "0,1.0", "10,", "20,"]
+
+
+def test_reports_and_dispatch(spark, tmpdir_path):
+    root = raw_layouts.luo(tmpdir_path)
+    scan = text.read_headed(spark, root, glob="*.csv", recursive=True)
+    from pyspark.sql import functions as F
+    from sensorweave.functions import paths
+    lines = scan.rows.withColumns({"sid": paths.dir_below(F.col("path"), root).try_cast("int"),
+                                   "trial_no": paths.trial_prefix(F.col("name")).try_cast("int")})
+    man = {(r.sid, r.trial_no): r.n_files for r in recordings.trial_manifest(lines).collect()}
+    assert man[(1, 4)] == 2 and man[(2, 17)] == 1
+    h = recordings.harmonise("luo", spark, root)
+    tot = recordings.run_totals(h.data, scan.rows).first()
+    assert (tot.subjects, tot.trials, tot.rows, tot.files) == (2, 3, 7, 7)
+    import pytest
+    with pytest.raises(ValueError):
+        recordings.harmonise("nope", spark, root)
+
+
+def test_read_long_normalises_names(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "long")
+    spark.createDataFrame([("1", "left_foot", 1.0)], "` SID` string, Sensor string, X double") \
+        .write.parquet(out)
+    assert text.read_long(spark, out).columns == ["sid", "sensor", "x"]
