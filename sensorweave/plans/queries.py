@@ -27,6 +27,7 @@ from sensorweave.functions import labels, paths, timegrid, units
 from sensorweave.operators import align, sequence as seq, stack, timeline
 from sensorweave.plans import quality
 from sensorweave.plans.harmonise import harmonise_long
+from sensorweave.session import materialize
 
 HOUR_US = 3_600_000_000
 TEN_MS_US = 10_000
@@ -311,19 +312,26 @@ def _harmonised_events(spark, sf_dir):
                           metric="acc", surface="flat")
 
 
+def _stored_harmonised_events(spark, sf_dir):
+    """The harmonised table as the checks see it in practice: written once,
+    then read (the checks have several branches over it)."""
+    return materialize(_harmonised_events(spark, sf_dir), "harmonised-events")
+
+
 def null_profile(spark, sf_dir):
     return quality.null_profile(_harmonised_events(spark, sf_dir))
 
 
 def null_context(spark, sf_dir):
-    h = _harmonised_events(spark, sf_dir).select("sid", "time_ms", *[f"{s}_acc_x" for s in EVENT_SENSORS])
+    h = _stored_harmonised_events(spark, sf_dir).select(
+        "sid", "time_ms", *[f"{s}_acc_x" for s in EVENT_SENSORS])
     ex = quality.null_examples(h, ["sid"], "time_ms", max_examples=3, context=2,
                                grid_step=HOUR_US // 1000)
     return ex.select("sid", "example_no", "ctx_offset", "time_ms", "null_columns", "more_flagged")
 
 
 def linearity_harmonised(spark, sf_dir):
-    h = _harmonised_events(spark, sf_dir)
+    h = _stored_harmonised_events(spark, sf_dir)
     return quality.linearity(h, ["sid"], "time_ms", 1000.0 / (HOUR_US // 1000))
 
 

@@ -63,3 +63,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str, sort_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet into the shared checkpoint folder and read
+    it back: later branches scan the written table (with column pruning and
+    statistics) instead of recomputing the lineage, and a lost executor only
+    costs re-reading files."""
+    import uuid
+
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    out = df
+    if sort_by:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = df.repartitionByRange(n, *sort_by).sortWithinPartitions(*sort_by)
+    out.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
