@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from sensorweave.catalog import METADATA_COLUMNS
+from sensorweave.catalog import METADATA_COLUMNS, SAMPLING_RATE_HZ
 from sensorweave.functions.names import location_of_name, metric_of_name
 from sensorweave.operators import sequence as seq
 
@@ -145,10 +145,15 @@ def null_examples(df: DataFrame, keys: Sequence[str], order: str, max_examples:
 
 # ---------------------------------------------------------------- combined
 
-def quality_report(df: DataFrame, dataset: str, keys: Sequence[str], fs: float,
+def quality_report(df: DataFrame, dataset: str, keys: Sequence[str], fs: float | None = None,
                    t: str = "time_ms", tolerance: float = 1.0) -> DataFrame:
     """All checks for one harmonised table:
-    ``(dataset, check, key, status, detail)``."""
+    ``(dataset, check, key, status, detail)``. ``fs`` defaults to the
+    dataset's configured sampling rate (unknown datasets raise)."""
+    if fs is None:
+        if dataset not in SAMPLING_RATE_HZ:
+            raise ValueError(f"no sampling rate configured for dataset {dataset!r}")
+        fs = SAMPLING_RATE_HZ[dataset]
     parts = []
     cols = column_listing(df, dataset)
     parts.append(cols.select(F.lit(dataset).alias("dataset"), F.lit("column").alias("check"),

@@ -133,12 +133,15 @@ def read_delimited(spark: SparkSession, root: str, names: Sequence[str], sep: st
                    **scan) -> Scan:
     """Headerless delimited lines with fixed ``names`` (text fields)."""
     raw = scan_lines(spark, root, **scan).filter(~_blank(F.col("line")))
-    raw = number_lines(raw).withColumn("_tok", F.split(F.col("line"), re.escape(sep)))
+    raw = raw.withColumn("_tok", F.split(F.col("line"), re.escape(sep)))
     bad = F.size(F.col("_tok")) > len(names)
-    rows = raw.filter(~bad).select(
+    # a skipped line takes no sample slot: number the kept lines only
+    kept = number_lines(raw.filter(~bad))
+    rows = kept.select(
         "path", "name", "line_no",
         *[F.try_element_at(F.col("_tok"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
-    rejects = raw.filter(bad).select("path", "line_no", F.lit("too many fields").alias("reason"))
+    rejects = raw.filter(bad).select("path", F.lit(None).cast("long").alias("line_no"),
+                                     F.lit("too many fields").alias("reason"))
     return Scan(rows, rejects)
 
 

@@ -72,3 +72,12 @@ def test_quality_report(spark):
     assert rep[("nulls", "chest_acc_x")] == ("warn", "1/3")
     assert rep[("location", "chest")][0] == "info" and rep[("metric", "acc")][0] == "info"
     assert rep[("column", "time_ms")] == ("info", "bigint")
+
+
+def test_quality_report_fs_from_config(spark):
+    import pytest
+    df = spark.createDataFrame([(0, "1", 1.0), (20, "1", 2.0)], "time_ms long, sid string, chest_acc_x double")
+    rep = {(r.check, r.key): r.status for r in quality.quality_report(df, "mhealth", ["sid"]).collect()}
+    assert rep[("linearity", "1")] == "pass"
+    with pytest.raises(ValueError):
+        quality.quality_report(df, "unknown", ["sid"])

@@ -175,3 +175,13 @@ def test_read_long_normalises_names(spark, tmpdir_path):
     spark.createDataFrame([("1", "left_foot", 1.0)], "` SID` string, Sensor string, X double") \
         .write.parquet(out)
     assert text.read_long(spark, out).columns == ["sid", "sensor", "x"]
+
+
+def test_delimited_bad_line_takes_no_slot(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "tsv")
+    os.makedirs(d)
+    with open(os.path.join(d, "mHealth_subject1.log"), "w") as fh:
+        fh.write("1\t2\n1\t2\t3\n5\t6\n")
+    scan = text.read_delimited(spark, d, ["a", "b"])
+    assert sorted((r.line_no, r.a) for r in scan.rows.collect()) == [(0, "1"), (1, "5")]
+    assert [r.reason for r in scan.rejects.collect()] == ["too many fields"]
