@@ -54,8 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="sensorweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # a session may refuse runtime changes of core settings
+            pass
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
