@@ -37,16 +37,28 @@ def _rejects(spark: SparkSession) -> DataFrame:
 
 # ---------------------------------------------------------------- E6 mhealth
 
-def harmonise_mhealth(spark: SparkSession, root: str) -> Harmonised:
+MHEALTH_SUBJECT = r"^mHealth_subject(\d+)\.log$"
+
+
+def harmonise_mhealth(spark: SparkSession, root: str, glob: str = "mHealth_subject*.log",
+                      subject_pattern: str = MHEALTH_SUBJECT, subject_in: str = "name",
+                      enumerated: bool = True) -> Harmonised:
     """``mHealth_subject<N>.log`` (N = 1..10): tab-separated, 23 readings and a
     label per line at 50 Hz. Labels map to surfaces; unknown labels take the
-    previous surface; gyroscopes deg/s -> rad/s."""
+    previous surface; gyroscopes deg/s -> rad/s.
+
+    ``subject_pattern`` (first group = subject id, matched against the file
+    ``name`` or full ``path``) and ``glob`` describe where files and ids are;
+    ``enumerated`` keeps only the subjects the layout promises (1..10) and
+    reports the missing ones.
+    """
     names = catalog.MHEALTH_COLUMNS
-    scan = text.read_delimited(spark, root, names, sep="\t", glob="mHealth_subject*.log",
-                               recursive=False)
-    sid = F.regexp_extract(F.col("name"), r"^mHealth_subject(\d+)\.log$", 1).try_cast("int")
+    scan = text.read_delimited(spark, root, names, sep="\t", glob=glob,
+                               recursive=not enumerated)
+    sid = F.regexp_extract(F.col(subject_in), subject_pattern, 1).try_cast("int")
     lo, hi = catalog.EXPECTED_SUBJECTS["mhealth"]
-    rows = scan.rows.withColumn("sid", sid).filter(F.col("sid").between(lo, hi))
+    rows = scan.rows.withColumn("sid", sid)
+    rows = rows.filter(F.col("sid").between(lo, hi)) if enumerated else rows.filter(F.col("sid").isNotNull())
     data_cols = [c for c in names if c != "surface"]
     rows = text.as_double(rows, data_cols)
     rows = rows.withColumn("surface", labels.map_label(F.col("surface"), catalog.MHEALTH_SURFACES,
@@ -56,7 +68,8 @@ def harmonise_mhealth(spark: SparkSession, root: str) -> Harmonised:
     rows = seq.seq_ffill(rows, ["path"], ["line_no"], "surface", width=float(seq.TARGET_ROWS))
     gyr = names_containing(rows.select(*data_cols), "gyr")
     rows = rows.withColumns({c: units.deg_to_rad(F.col(c)) for c in gyr})
-    missing = files.missing_inputs(files.expected_range(spark, "sid", lo, hi), rows, "sid")
+    missing = (files.missing_inputs(files.expected_range(spark, "sid", lo, hi), rows, "sid")
+               if enumerated else None)
     return Harmonised(rows.select("time_ms", "sid", "surface", *data_cols), scan.rejects, missing)
 
 

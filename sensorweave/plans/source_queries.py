@@ -16,7 +16,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorweave import catalog
 from sensorweave.functions.units import coerce_numeric
+from sensorweave.plans import recordings
 from sensorweave.session import checkpoint_dir
 from sensorweave.sources import text
 
@@ -116,11 +118,43 @@ def delimited_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
                     coerce_numeric(r.p_retailprice).alias("p_retailprice"))
 
 
+# mHealth layout derived from lineitem: one file per supplier (the subject),
+# 23 readings taken round-robin from these columns, the label from quantity
+MHEALTH_SOURCES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                   "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+MHEALTH_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                 "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _mhealth_fields() -> list[tuple[str, str]]:
+    data = [c for c in catalog.MHEALTH_COLUMNS if c != "surface"]
+    return [(n, MHEALTH_SOURCES[i % len(MHEALTH_SOURCES)]) for i, n in enumerate(data)]
+
+
+def mhealth_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 end to end: ``lineitem`` written in the mHealth layout (one TSV file
+    per subject, lines in a fixed order, no header), then harmonised:
+    position -> 20 ms time, label -> surface with forward fill, deg/s -> rad/s."""
+    li = _table(spark, sf_dir, "lineitem")
+    root = _scratch(spark, "mhealth")
+    # a missing value is an empty field, never a dropped one
+    fields = [F.coalesce(F.col(src).cast("string"), F.lit("")) for _, src in _mhealth_fields()]
+    label = F.coalesce(F.col("l_quantity").cast("int").cast("string"), F.lit(""))
+    lines = li.select((F.col("l_suppkey") + 1).alias("subject"), *MHEALTH_ORDER,
+                      F.concat_ws("\t", *fields, label).alias("value"))
+    (lines.repartition(_files(spark), "subject").sortWithinPartitions("subject", *MHEALTH_ORDER)
+     .select("value", "subject").write.mode("overwrite").partitionBy("subject").text(root))
+    h = recordings.harmonise_mhealth(spark, root, glob="*.txt", subject_pattern=r"subject=(\d+)/",
+                                     subject_in="path", enumerated=False)
+    return h.data
+
+
 QUERIES = {
     "src_headed_csv": headed_csv,
     "src_headerless_text": headerless_text,
     "src_commented_text": commented_text,
     "src_delimited_tsv": delimited_tsv,
+    "mhealth_layout": mhealth_layout,
 }
 
 ORACLE = {
@@ -129,3 +163,30 @@ ORACLE = {
     "src_commented_text": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "src_delimited_tsv": "SELECT p_partkey, p_name, p_size, p_retailprice FROM part",
 }
+
+
+def _mhealth_oracle() -> str:
+    def case(expr, mapping):
+        return "CASE " + expr + " " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in mapping.items()) + " END"
+    cols = []
+    for name, src in _mhealth_fields():
+        v = f"CAST({src} AS DOUBLE)"
+        if "gyr" in name:
+            v = f"{v} * (pi() / 180.0::DOUBLE)"
+        cols.append(f"{v} AS {name}")
+    order = ", ".join(MHEALTH_ORDER)
+    return f"""
+WITH b AS (
+  SELECT CAST(l_suppkey + 1 AS INTEGER) AS sid,
+         row_number() OVER (PARTITION BY l_suppkey ORDER BY {order}) - 1 AS pos,
+         {case("CAST(l_quantity AS INTEGER)", catalog.MHEALTH_SURFACES)} AS lab,
+         {", ".join(cols)}
+  FROM lineitem)
+SELECT pos * {catalog.GRID_STEP_MS["mhealth"]} AS time_ms, sid,
+       last_value(lab IGNORE NULLS) OVER (PARTITION BY sid ORDER BY pos
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS surface,
+       {", ".join(n for n, _ in _mhealth_fields())}
+FROM b"""
+
+
+ORACLE["mhealth_layout"] = _mhealth_oracle()
