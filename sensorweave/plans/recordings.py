@@ -75,15 +75,25 @@ def harmonise_mhealth(spark: SparkSession, root: str, glob: str = "mHealth_subje
 
 # ---------------------------------------------------------------- E5 hugadb
 
-def harmonise_hugadb(spark: SparkSession, root: str) -> Harmonised:
+def harmonise_hugadb(spark: SparkSession, root: str, sid_pattern: str | None = None,
+                     trial_pattern: str | None = None) -> Harmonised:
     """``HGD_vX_ACT_PR_CNT.txt``: '#' comments, a header line, then 39
     whitespace-separated int16 fields at 17 ms per row. Activity ids map to
-    surfaces (unknown -> 'other'); acc/gyr counts -> m/s^2 and rad/s."""
+    surfaces (unknown -> 'other'); acc/gyr counts -> m/s^2 and rad/s.
+
+    ``sid_pattern``/``trial_pattern`` (regex, first group, on the path) take
+    the ids from elsewhere than the file name; files are then searched
+    recursively.
+    """
     names = catalog.HUGADB_COLUMNS
-    scan = text.read_commented(spark, root, names, glob="*.txt", recursive=False,
+    by_path = sid_pattern is not None
+    scan = text.read_commented(spark, root, names, glob="*.txt", recursive=by_path,
                                skip_names=["readme.txt", "readme.md"])
-    stem = paths.file_stem(F.col("path"))
-    sid, trial = paths.underscored_ids(stem)
+    if by_path:
+        sid = F.regexp_extract(F.col("path"), sid_pattern, 1).try_cast("int")
+        trial = F.regexp_extract(F.col("path"), trial_pattern, 1).try_cast("int")
+    else:
+        sid, trial = paths.underscored_ids(paths.file_stem(F.col("path")))
     sensor_cols = [c for c in names if c != "activityid"]
     rows = text.as_double(scan.rows, sensor_cols)
     rows = rows.select(
@@ -99,15 +109,22 @@ def harmonise_hugadb(spark: SparkSession, root: str) -> Harmonised:
 
 # ---------------------------------------------------------------- E4 bruno
 
-def harmonise_bruno(spark: SparkSession, root: str) -> Harmonised:
+def harmonise_bruno(spark: SparkSession, root: str, activity_pattern: str | None = None,
+                    volunteer_pattern: str | None = None) -> Harmonised:
     """``<Activity>/Accelerometer-Y-M-D-h-m-s-<activity>-<volunteer>.txt``:
     three 6-bit codes per line at 32 Hz. Subjects and trials get integer ids
     by first appearance in path order; ``*_MODEL`` folders and manuals are
-    skipped."""
+    skipped. ``activity_pattern``/``volunteer_pattern`` (regex, first group,
+    on the path) replace the file-name rule."""
     scan = text.read_headerless(spark, root, 3, pattern=r"\s+|,",
                                 skip_parent_suffix="_MODEL",
                                 skip_names=["manual.txt", "readme.txt"], require_suffix=".txt")
-    ok, activity, volunteer = paths.dashed_metadata(F.col("name"))
+    if activity_pattern is not None:
+        activity = F.nullif(F.regexp_extract(F.col("path"), activity_pattern, 1), F.lit(""))
+        volunteer = F.nullif(F.regexp_extract(F.col("path"), volunteer_pattern, 1), F.lit(""))
+        ok = activity.isNotNull() & volunteer.isNotNull()
+    else:
+        ok, activity, volunteer = paths.dashed_metadata(F.col("name"))
     rows = scan.rows.withColumns({"_ok": ok, "_activity": activity, "_volunteer": volunteer})
     bad_names = (rows.filter(~F.col("_ok")).select("path").distinct()
                  .select("path", F.lit(None).cast("long").alias("line_no"),
@@ -132,9 +149,11 @@ def harmonise_bruno(spark: SparkSession, root: str) -> Harmonised:
 
 # ---------------------------------------------------------------- E3 karas
 
-def harmonise_karas(spark: SparkSession, root: str) -> Harmonised:
+def harmonise_karas(spark: SparkSession, root: str, subject_pattern: str | None = None) -> Harmonised:
     """``**/<sid>.csv``: headed CSV, already wide; ``activity`` code, ``time_s``
-    seconds and accelerations in g under any names. No grid (as published)."""
+    seconds and accelerations in g under any names. No grid (as published).
+    ``subject_pattern`` (regex, first group, on the path) replaces the file
+    stem as subject id."""
     scan = text.read_headed(spark, root, glob="*.csv", recursive=True, strip=False,
                             skip_initial_space=False)
     rows = scan.rows
@@ -142,7 +161,8 @@ def harmonise_karas(spark: SparkSession, root: str) -> Harmonised:
     rows = text.as_double(rows, ["time_s", *accel])
     out = rows.select(
         timegrid.seconds_to_ms(F.col("time_s")).alias("time_ms"),
-        paths.file_stem(F.col("path")).alias("sid"),
+        (paths.file_stem(F.col("path")) if subject_pattern is None
+         else F.regexp_extract(F.col("path"), subject_pattern, 1)).alias("sid"),
         labels.map_label(F.col("activity"), catalog.KARAS_SURFACES, labels.NULL).alias("surface"),
         *[units.g_to_ms2(F.col(c)).alias(c) for c in accel])
     return Harmonised(out, scan.rejects)

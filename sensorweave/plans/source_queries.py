@@ -190,3 +190,170 @@ FROM b"""
 
 
 ORACLE["mhealth_layout"] = _mhealth_oracle()
+
+
+# ---------------------------------------------------------------- karas
+
+def _karas_in_a():
+    # subjects are split between two header layouts; every row is written once
+    return F.coalesce(F.col("l_suppkey").bitwiseAND(F.lit(1)) == 0, F.lit(True))
+
+
+def karas_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 end to end: ``lineitem`` as one headed CSV per subject (supplier),
+    half of the subjects with another column order and an extra column, then
+    harmonised by header name: seconds -> ms, activity -> surface, g -> m/s^2."""
+    li = _table(spark, sf_dir, "lineitem")
+    root = _scratch(spark, "karas")
+    base = li.select(F.col("l_suppkey").alias("subject"), _karas_in_a().alias("_a"),
+                     F.col("l_linenumber").alias("activity"),
+                     (F.col("l_extendedprice") / F.lit(1000.0)).alias("time_s"),
+                     F.col("l_quantity").alias("lw_x"), F.col("l_discount").alias("lw_y"),
+                     F.col("l_tax").alias("lw_z"), F.col("l_partkey").alias("la_x"))
+    n = _files(spark)
+    (base.filter(F.col("_a")).select("subject", "activity", "time_s", "lw_x", "lw_y", "lw_z")
+     .repartition(n, "subject").write.mode("overwrite").partitionBy("subject")
+     .option("header", True).csv(os.path.join(root, "a")))
+    (base.filter(~F.col("_a")).select("subject", "lw_z", "time_s", "la_x", "activity", "lw_y", "lw_x")
+     .repartition(n, "subject").write.mode("overwrite").partitionBy("subject")
+     .option("header", True).csv(os.path.join(root, "b")))
+    return recordings.harmonise_karas(spark, root, subject_pattern=r"subject=(\d+)/").data
+
+
+def _karas_oracle() -> str:
+    g = "9.80665::DOUBLE"
+    surf = "CASE l_linenumber " + " ".join(
+        f"WHEN {k} THEN '{v}'" for k, v in catalog.KARAS_SURFACES.items()) + " END"
+    return f"""
+SELECT CAST(trunc((l_extendedprice / 1000.0::DOUBLE) * 1000.0::DOUBLE) AS BIGINT) AS time_ms,
+       CAST(l_suppkey AS VARCHAR) AS sid, {surf} AS surface,
+       l_quantity * {g} AS lw_x, l_discount * {g} AS lw_y, l_tax * {g} AS lw_z,
+       CASE WHEN (l_suppkey & 1) <> 0 THEN CAST(l_partkey AS DOUBLE) * {g} END AS la_x
+FROM lineitem"""
+
+
+# ---------------------------------------------------------------- hugadb (E5)
+
+HUGADB_INT_SOURCES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+HUGADB_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+                "l_discount", "l_tax"]
+
+
+def _hugadb_fields() -> list[tuple[str, str]]:
+    data = [c for c in catalog.HUGADB_COLUMNS if c != "activityid"]
+    return [(n, HUGADB_INT_SOURCES[i % len(HUGADB_INT_SOURCES)]) for i, n in enumerate(data)]
+
+
+def _hugadb_trial():
+    return F.when(F.col("l_linestatus") == "F", F.lit(1)).otherwise(F.lit(2))
+
+
+def hugadb_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 end to end: ``lineitem`` as one commented file per (subject,
+    trial): a '#' line, a header line, then 39 whitespace-separated fields,
+    some lines with trailing comments; harmonised by position (17 ms),
+    int16 scales and the activity map with 'other'."""
+    li = _table(spark, sf_dir, "lineitem")
+    root = _scratch(spark, "hugadb")
+    fields = [F.coalesce(F.col(src).cast("string"), F.lit("")) for _, src in _hugadb_fields()]
+    act = F.coalesce(F.col("l_quantity").cast("int").cast("string"), F.lit(""))
+    line = F.concat(F.concat_ws(" ", *fields, act),
+                    F.when(F.col("l_linenumber") == 1, F.lit("  # checked")).otherwise(F.lit("")))
+    body = li.select(F.col("l_suppkey").alias("sid"), _hugadb_trial().alias("trial"),
+                     F.lit(1).alias("_k"), *HUGADB_ORDER, line.alias("value"))
+    heads = body.select("sid", "trial").distinct().select(
+        "sid", "trial", F.lit(0).alias("_k"),
+        *[F.lit(None).cast(li.schema[c].dataType).alias(c) for c in HUGADB_ORDER],
+        F.lit("# HGD v2 export\nfield names").alias("value"))
+    (body.unionByName(heads).repartition(_files(spark), "sid", "trial")
+     .sortWithinPartitions("sid", "trial", "_k", *HUGADB_ORDER)
+     .select("value", "sid", "trial").write.mode("overwrite").partitionBy("sid", "trial").text(root))
+    return recordings.harmonise_hugadb(spark, root, sid_pattern=r"sid=(\d+)/",
+                                       trial_pattern=r"trial=(\d+)/").data
+
+
+def _hugadb_oracle() -> str:
+    acc = "((2.0::DOUBLE * 9.80665::DOUBLE) / 32768.0::DOUBLE)"
+    gyr = "((2000.0::DOUBLE * pi() / 180.0::DOUBLE) / 32768.0::DOUBLE)"
+    cols = []
+    for name, src in _hugadb_fields():
+        v = f"CAST({src} AS DOUBLE)"
+        if "acc" in name:
+            v = f"{v} * {acc}"
+        elif "gyr" in name:
+            v = f"{v} * {gyr}"
+        cols.append(f"{v} AS {name}")
+    surf = "COALESCE(CASE CAST(l_quantity AS INTEGER) " + " ".join(
+        f"WHEN {k} THEN '{v}'" for k, v in catalog.HUGADB_SURFACES.items()) + " END, 'other')"
+    order = ", ".join(HUGADB_ORDER)
+    return f"""
+WITH b AS (SELECT *, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS trial FROM lineitem)
+SELECT (row_number() OVER (PARTITION BY l_suppkey, trial ORDER BY {order}) - 1)
+         * {catalog.GRID_STEP_MS['hugadb']} AS time_ms,
+       CAST(l_suppkey AS INTEGER) AS sid, {surf} AS surface, CAST(trial AS INTEGER) AS trial_no,
+       {", ".join(cols)}
+FROM b"""
+
+
+# ---------------------------------------------------------------- bruno
+
+BRUNO_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+               "l_discount", "l_tax"]
+
+
+def _bruno_activity():
+    return (F.when(F.col("l_returnflag") == "A", F.lit("walk"))
+            .when(F.col("l_returnflag") == "N", F.lit("climb_stairs")).otherwise(F.lit("comb_hair")))
+
+
+def _bruno_volunteer():
+    return F.when(F.col("l_linestatus") == "F", F.lit("f1")).otherwise(F.lit("m2"))
+
+
+def bruno_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 end to end: ``lineitem`` as one headerless file per (activity,
+    volunteer), three codes per line separated by spaces or commas; trial and
+    subject ids by path order, 32 Hz time, 6-bit codes -> m/s^2."""
+    li = _table(spark, sf_dir, "lineitem")
+    root = _scratch(spark, "bruno")
+    sep = F.when(F.col("l_linenumber") % 2 == 0, F.lit(" ")).otherwise(F.lit(","))
+    line = F.concat_ws("", F.col("l_quantity").cast("string"), sep,
+                       F.col("l_linenumber").cast("string"), sep, F.col("l_tax").cast("string"))
+    (li.select(_bruno_activity().alias("activity"), _bruno_volunteer().alias("volunteer"),
+               *BRUNO_ORDER, line.alias("value"))
+     .repartition(_files(spark), "activity", "volunteer")
+     .sortWithinPartitions("activity", "volunteer", *BRUNO_ORDER)
+     .select("value", "activity", "volunteer").write.mode("overwrite")
+     .partitionBy("activity", "volunteer").text(root))
+    return recordings.harmonise_bruno(spark, root, activity_pattern=r"activity=([^/]+)/",
+                                      volunteer_pattern=r"volunteer=([^/]+)/").data
+
+
+def _bruno_oracle() -> str:
+    g = "9.80665::DOUBLE"
+
+    def six(c):
+        return f"(-1.5::DOUBLE + (CAST({c} AS DOUBLE) / 63.0::DOUBLE) * 3.0::DOUBLE) * {g}"
+    surf = "COALESCE(CASE activity " + " ".join(
+        f"WHEN '{k}' THEN '{v}'" for k, v in catalog.BRUNO_SURFACES.items()) + " END, activity)"
+    order = ", ".join(BRUNO_ORDER)
+    return f"""
+WITH b AS (
+  SELECT *, CASE l_returnflag WHEN 'A' THEN 'walk' WHEN 'N' THEN 'climb_stairs' ELSE 'comb_hair' END AS activity,
+         CASE WHEN l_linestatus = 'F' THEN 'f1' ELSE 'm2' END AS volunteer FROM lineitem),
+p AS (SELECT *, 'activity=' || activity || '/volunteer=' || volunteer || '/' AS dir FROM b),
+f AS (SELECT DISTINCT dir, volunteer FROM p),
+t AS (SELECT dir, row_number() OVER (ORDER BY dir) AS trial_no FROM f),
+v AS (SELECT volunteer, row_number() OVER (ORDER BY min(dir)) AS sid FROM f GROUP BY volunteer)
+SELECT CAST(trunc((row_number() OVER (PARTITION BY p.dir ORDER BY {order}) - 1)
+         * (1000.0::DOUBLE / 32.0::DOUBLE)) AS BIGINT) AS time_ms,
+       CAST(v.sid AS INTEGER) AS sid, {surf} AS surface, CAST(t.trial_no AS INTEGER) AS trial_no,
+       {six('l_quantity')} AS right_wrist_acc_x, {six('l_linenumber')} AS right_wrist_acc_y,
+       {six('l_tax')} AS right_wrist_acc_z
+FROM p JOIN t ON p.dir = t.dir JOIN v ON p.volunteer = v.volunteer"""
+
+
+QUERIES.update({"karas_layout": karas_layout, "hugadb_layout": hugadb_layout,
+                "bruno_layout": bruno_layout})
+ORACLE.update({"karas_layout": _karas_oracle(), "hugadb_layout": _hugadb_oracle(),
+               "bruno_layout": _bruno_oracle()})
