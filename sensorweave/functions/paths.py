@@ -15,22 +15,28 @@ def decoded_path(uri: Column) -> Column:
     return F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
+# These run once per scanned line, so they use linear string functions
+# (substring_index, length) rather than regular expressions.
+
 def file_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    """Text after the last '/'."""
+    return F.substring_index(path, "/", -1)
 
 
 def file_stem(path: Column) -> Column:
     """Name without its last extension. A leading dot or a trailing dot is not
     an extension ('.bashrc', 'a.' stay whole)."""
     name = file_name(path)
-    return F.when(name.rlike(r"^.+\.[^.]+$"),
-                  F.regexp_extract(name, r"^(.+)\.[^.]+$", 1)).otherwise(name)
+    ext = F.substring_index(name, ".", -1)
+    keep = F.length(name) - F.length(ext) - F.lit(1)  # characters before the last dot
+    has_ext = (F.instr(name, ".") > 0) & (F.length(ext) > 0) & (keep > 0)
+    return F.when(has_ext, F.substring(name, F.lit(1), keep)).otherwise(name)
 
 
 def parent_dir(path: Column) -> Column:
-    """Name of the directory holding the file ('' when there is none)."""
-    parts = F.split(path, "/")
-    return F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(-2))).otherwise(F.lit(None))
+    """Name of the directory holding the file (null when there is none)."""
+    return F.when(F.instr(path, "/") > 0,
+                  F.substring_index(F.substring_index(path, "/", -2), "/", 1))
 
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"

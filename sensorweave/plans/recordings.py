@@ -119,25 +119,28 @@ def harmonise_bruno(spark: SparkSession, root: str, activity_pattern: str | None
     scan = text.read_headerless(spark, root, 3, pattern=r"\s+|,",
                                 skip_parent_suffix="_MODEL",
                                 skip_names=["manual.txt", "readme.txt"], require_suffix=".txt")
+    # everything known per file is computed on the (small) file table and
+    # joined back once: name parts, trial id by path order, subject id by
+    # the volunteer's first path
+    files_t = scan.files
     if activity_pattern is not None:
         activity = F.nullif(F.regexp_extract(F.col("path"), activity_pattern, 1), F.lit(""))
         volunteer = F.nullif(F.regexp_extract(F.col("path"), volunteer_pattern, 1), F.lit(""))
         ok = activity.isNotNull() & volunteer.isNotNull()
     else:
-        ok, activity, volunteer = paths.dashed_metadata(F.col("name"))
-    rows = scan.rows.withColumns({"_ok": ok, "_activity": activity, "_volunteer": volunteer})
-    bad_names = (rows.filter(~F.col("_ok")).select("path").distinct()
+        ok, activity, volunteer = paths.dashed_metadata(paths.file_name(F.col("path")))
+    files_t = files_t.select("path", ok.alias("_ok"), activity.alias("_activity"),
+                             volunteer.alias("_volunteer"))
+    bad_names = (files_t.filter(~F.col("_ok"))
                  .select("path", F.lit(None).cast("long").alias("line_no"),
                          F.lit("file name has fewer than 9 parts").alias("reason")))
-    rows = rows.filter(F.col("_ok"))
-    # ids by first appearance in sorted path order: computed on the (small)
-    # per-file and per-volunteer tables, then joined back
-    files_t = rows.select("path", "_volunteer").distinct()
+    files_t = files_t.filter(F.col("_ok"))
     trials = seq.global_index(files_t.select("path"), ["path"], "trial_no")
     vols = files_t.groupBy("_volunteer").agg(F.min("path").alias("_first"))
     vols = seq.global_index(vols, ["_first", "_volunteer"], "sid")
-    rows = (rows.join(trials, "path").join(vols.select("_volunteer", "sid"), "_volunteer"))
-    rows = text.as_double(rows, ["f0", "f1", "f2"])
+    meta = (files_t.join(trials, "path").join(vols.select("_volunteer", "sid"), "_volunteer")
+            .select("path", "_activity", "trial_no", "sid"))
+    rows = text.as_double(scan.rows.join(meta, "path"), ["f0", "f1", "f2"])
     out = rows.select(
         timegrid.ms_from_rate(F.col("line_no"), catalog.SAMPLING_RATE_HZ["bruno"]).alias("time_ms"),
         (F.col("sid") + 1).cast("int").alias("sid"),

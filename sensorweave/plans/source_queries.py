@@ -122,10 +122,17 @@ def delimited_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 # 23 readings taken round-robin from these columns, the label from quantity
 MHEALTH_SOURCES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax",
                    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-MHEALTH_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+# a total order of the written lines: every written field is one of these
+MHEALTH_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                  "l_extendedprice", "l_discount", "l_tax"]
 
 
+def _subject():
+    """A subject groups ten suppliers: 10 subjects at sf0.01, like the
+    mHealth study, and larger files than one per supplier."""
+    return (F.col("l_suppkey") / F.lit(10)).cast("long")
+
+
 def _mhealth_fields() -> list[tuple[str, str]]:
     data = [c for c in catalog.MHEALTH_COLUMNS if c != "surface"]
     return [(n, MHEALTH_SOURCES[i % len(MHEALTH_SOURCES)]) for i, n in enumerate(data)]
@@ -140,7 +147,7 @@ def mhealth_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a missing value is an empty field, never a dropped one
     fields = [F.coalesce(F.col(src).cast("string"), F.lit("")) for _, src in _mhealth_fields()]
     label = F.coalesce(F.col("l_quantity").cast("int").cast("string"), F.lit(""))
-    lines = li.select((F.col("l_suppkey") + 1).alias("subject"), *MHEALTH_ORDER,
+    lines = li.select((_subject() + 1).alias("subject"), *MHEALTH_ORDER,
                       F.concat_ws("\t", *fields, label).alias("value"))
     (lines.repartition(_files(spark), "subject").sortWithinPartitions("subject", *MHEALTH_ORDER)
      .select("value", "subject").write.mode("overwrite").partitionBy("subject").text(root))
@@ -177,8 +184,8 @@ def _mhealth_oracle() -> str:
     order = ", ".join(MHEALTH_ORDER)
     return f"""
 WITH b AS (
-  SELECT CAST(l_suppkey + 1 AS INTEGER) AS sid,
-         row_number() OVER (PARTITION BY l_suppkey ORDER BY {order}) - 1 AS pos,
+  SELECT CAST(l_suppkey // 10 + 1 AS INTEGER) AS sid,
+         row_number() OVER (PARTITION BY l_suppkey // 10 ORDER BY {order}) - 1 AS pos,
          {case("CAST(l_quantity AS INTEGER)", catalog.MHEALTH_SURFACES)} AS lab,
          {", ".join(cols)}
   FROM lineitem)
@@ -196,7 +203,7 @@ ORACLE["mhealth_layout"] = _mhealth_oracle()
 
 def _karas_in_a():
     # subjects are split between two header layouts; every row is written once
-    return F.coalesce(F.col("l_suppkey").bitwiseAND(F.lit(1)) == 0, F.lit(True))
+    return F.coalesce(_subject().bitwiseAND(F.lit(1)) == 0, F.lit(True))
 
 
 def karas_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +212,7 @@ def karas_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     harmonised by header name: seconds -> ms, activity -> surface, g -> m/s^2."""
     li = _table(spark, sf_dir, "lineitem")
     root = _scratch(spark, "karas")
-    base = li.select(F.col("l_suppkey").alias("subject"), _karas_in_a().alias("_a"),
+    base = li.select(_subject().alias("subject"), _karas_in_a().alias("_a"),
                      F.col("l_linenumber").alias("activity"),
                      (F.col("l_extendedprice") / F.lit(1000.0)).alias("time_s"),
                      F.col("l_quantity").alias("lw_x"), F.col("l_discount").alias("lw_y"),
@@ -226,17 +233,17 @@ def _karas_oracle() -> str:
         f"WHEN {k} THEN '{v}'" for k, v in catalog.KARAS_SURFACES.items()) + " END"
     return f"""
 SELECT CAST(trunc((l_extendedprice / 1000.0::DOUBLE) * 1000.0::DOUBLE) AS BIGINT) AS time_ms,
-       CAST(l_suppkey AS VARCHAR) AS sid, {surf} AS surface,
+       CAST(l_suppkey // 10 AS VARCHAR) AS sid, {surf} AS surface,
        l_quantity * {g} AS lw_x, l_discount * {g} AS lw_y, l_tax * {g} AS lw_z,
-       CASE WHEN (l_suppkey & 1) <> 0 THEN CAST(l_partkey AS DOUBLE) * {g} END AS la_x
+       CASE WHEN ((l_suppkey // 10) & 1) <> 0 THEN CAST(l_partkey AS DOUBLE) * {g} END AS la_x
 FROM lineitem"""
 
 
 # ---------------------------------------------------------------- hugadb (E5)
 
 HUGADB_INT_SOURCES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-HUGADB_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-                "l_discount", "l_tax"]
+HUGADB_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _hugadb_fields() -> list[tuple[str, str]]:
@@ -259,7 +266,7 @@ def hugadb_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     act = F.coalesce(F.col("l_quantity").cast("int").cast("string"), F.lit(""))
     line = F.concat(F.concat_ws(" ", *fields, act),
                     F.when(F.col("l_linenumber") == 1, F.lit("  # checked")).otherwise(F.lit("")))
-    body = li.select(F.col("l_suppkey").alias("sid"), _hugadb_trial().alias("trial"),
+    body = li.select(_subject().alias("sid"), _hugadb_trial().alias("trial"),
                      F.lit(1).alias("_k"), *HUGADB_ORDER, line.alias("value"))
     heads = body.select("sid", "trial").distinct().select(
         "sid", "trial", F.lit(0).alias("_k"),
@@ -287,10 +294,11 @@ def _hugadb_oracle() -> str:
         f"WHEN {k} THEN '{v}'" for k, v in catalog.HUGADB_SURFACES.items()) + " END, 'other')"
     order = ", ".join(HUGADB_ORDER)
     return f"""
-WITH b AS (SELECT *, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS trial FROM lineitem)
-SELECT (row_number() OVER (PARTITION BY l_suppkey, trial ORDER BY {order}) - 1)
+WITH b AS (SELECT *, CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS trial,
+                    l_suppkey // 10 AS subject FROM lineitem)
+SELECT (row_number() OVER (PARTITION BY subject, trial ORDER BY {order}) - 1)
          * {catalog.GRID_STEP_MS['hugadb']} AS time_ms,
-       CAST(l_suppkey AS INTEGER) AS sid, {surf} AS surface, CAST(trial AS INTEGER) AS trial_no,
+       CAST(subject AS INTEGER) AS sid, {surf} AS surface, CAST(trial AS INTEGER) AS trial_no,
        {", ".join(cols)}
 FROM b"""
 

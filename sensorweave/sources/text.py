@@ -17,7 +17,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorweave.functions import paths, units
@@ -26,15 +26,18 @@ from sensorweave.operators import sequence as seq
 
 @dataclass
 class Scan:
-    """Parsed lines plus the lines/files set aside with a reason."""
+    """Parsed lines, the lines/files set aside with a reason, and the files
+    that contributed at least one kept line (``path``), taken from the scan
+    before numbering so per-file tables never recompute the numbering."""
     rows: DataFrame
     rejects: DataFrame
+    files: DataFrame | None = None
 
 
 def scan_lines(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True,
                skip_parent_suffix: str | None = None,
                skip_names: Sequence[str] = (), require_suffix: str | None = None) -> DataFrame:
-    """All lines of the matching files: ``(path, name, _block, _rowid, line)``.
+    """All lines of the matching files: ``(path, _block, _rowid, line)``.
 
     ``glob`` filters file names (``pathGlobFilter``); ``skip_parent_suffix``
     drops files whose directory name ends with it (e.g. ``_MODEL``);
@@ -52,24 +55,46 @@ def scan_lines(spark: SparkSession, root: str, glob: str | None = None, recursiv
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_rowid"),
         F.col("value").alias("line"))
-    df = df.withColumn("name", paths.file_name(F.col("path")))
+    name = paths.file_name(F.col("path"))
     if skip_parent_suffix:
         df = df.filter(~F.coalesce(paths.parent_dir(F.col("path")).endswith(skip_parent_suffix), F.lit(False)))
     if skip_names:
-        df = df.filter(~F.lower(F.col("name")).isin([n.lower() for n in skip_names]))
+        df = df.filter(~F.lower(name).isin([n.lower() for n in skip_names]))
     if require_suffix:
-        df = df.filter(F.col("name").endswith(require_suffix))
+        df = df.filter(name.endswith(require_suffix))
     return df
 
 
+def _with_name(df: DataFrame) -> DataFrame:
+    """File name, derived after the shuffles (it is a function of ``path``)."""
+    return df.withColumn("name", paths.file_name(F.col("path")))
+
+
 def number_lines(df: DataFrame, out: str = "line_no") -> DataFrame:
     """0-based position of each remaining line within its file.
 
-    The scan's split offset is the segment: rows of one split are numbered by
-    a window over that split only, and the counts of earlier splits of the
-    same file are added.
+    A scan task reads whole splits one after another, so lines are numbered
+    by a window over (scan task, split offset) ordered by the row id, all
+    long keys (bounded by the split size, no string sorting). A small
+    summary with one row per (task, split, file) segment then removes the
+    lines of other files packed earlier into the same task and adds the
+    lines of the file's earlier splits.
     """
-    return seq.seq_index(df, ["path"], ["_block", "_rowid"], out, segment="_block")
+    task = F.shiftright(F.col("_rowid"), 33)  # upper bits: index of the scan task
+    d = df.withColumn("_task", task)
+    local = F.row_number().over(Window.partitionBy("_task", "_block").orderBy("_rowid")) - F.lit(1)
+    d = d.withColumn("_rn", local)
+    seg = d.groupBy("_task", "_block", "path").agg(F.min("_rowid").alias("_r0"),
+                                                   F.count(F.lit(1)).alias("_n"))
+    seg = seg.select(
+        "_task", "_block", "path",
+        F.coalesce(F.sum("_n").over(Window.partitionBy("_task", "_block").orderBy("_r0")
+                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_in"),
+        F.coalesce(F.sum("_n").over(Window.partitionBy("path").orderBy("_block")
+                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return (d.join(seg, ["_task", "_block", "path"], "left")
+            .withColumn(out, (F.col("_rn") - F.col("_in") + F.col("_off")).cast("long"))
+            .drop("_task", "_rn", "_in", "_off"))
 
 
 def split_fields(line: Column, pattern: str) -> Column:
@@ -91,15 +116,15 @@ def read_headerless(spark: SparkSession, root: str, width: int, pattern: str = r
     line: skipped and reported. A shorter line is padded with nulls.
     """
     raw = scan_lines(spark, root, **scan).filter(~_blank(F.col("line")))
-    raw = raw.withColumn("_tok", split_fields(F.col("line"), pattern))
+    raw = raw.withColumn("_tok", split_fields(F.col("line"), pattern)).drop("line")
     bad = F.size(F.col("_tok")) > width
-    kept = number_lines(raw.filter(~bad))
+    kept = _with_name(number_lines(raw.filter(~bad)))
     rows = kept.select("path", "name", "line_no",
                        *[F.try_element_at(F.col("_tok"), F.lit(i + 1)).alias(f"f{i}") for i in range(width)])
     rejects = (raw.filter(bad)
                .select("path", F.lit(None).cast("long").alias("line_no"),
                        F.concat(F.lit("more than "), F.lit(str(width)), F.lit(" fields")).alias("reason")))
-    return Scan(rows, rejects)
+    return Scan(rows, rejects, raw.filter(~bad).select("path").distinct())
 
 
 # ------------------------------------------------------------------ S4
@@ -116,9 +141,9 @@ def read_commented(spark: SparkSession, root: str, names: Sequence[str], pattern
     raw = scan_lines(spark, root, **scan)
     raw = raw.withColumn("line", F.regexp_replace(F.col("line"), re.escape(comment) + ".*$", ""))
     raw = raw.filter(~_blank(F.col("line")))
-    raw = number_lines(raw, "_idx").filter(F.col("_idx") > 0)
-    raw = raw.withColumn("line_no", F.col("_idx") - 1).withColumn(
-        "_tok", split_fields(F.col("line"), pattern))
+    raw = raw.withColumn("_tok", split_fields(F.col("line"), pattern)).drop("line")
+    raw = _with_name(number_lines(raw, "_idx").filter(F.col("_idx") > 0))
+    raw = raw.withColumn("line_no", F.col("_idx") - 1)
     bad = F.size(F.col("_tok")) > len(names)
     rows = raw.filter(~bad).select(
         "path", "name", "line_no",
@@ -133,10 +158,10 @@ def read_delimited(spark: SparkSession, root: str, names: Sequence[str], sep: st
                    **scan) -> Scan:
     """Headerless delimited lines with fixed ``names`` (text fields)."""
     raw = scan_lines(spark, root, **scan).filter(~_blank(F.col("line")))
-    raw = raw.withColumn("_tok", F.split(F.col("line"), re.escape(sep)))
+    raw = raw.withColumn("_tok", F.split(F.col("line"), re.escape(sep))).drop("line")
     bad = F.size(F.col("_tok")) > len(names)
     # a skipped line takes no sample slot: number the kept lines only
-    kept = number_lines(raw.filter(~bad))
+    kept = _with_name(number_lines(raw.filter(~bad)))
     rows = kept.select(
         "path", "name", "line_no",
         *[F.try_element_at(F.col("_tok"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
@@ -184,13 +209,13 @@ def read_headed(spark: SparkSession, root: str, columns: Sequence[str] | None =
     raw = scan_lines(spark, root, **scan).filter(~_blank(F.col("line")))
     cols = list(columns) if columns is not None else header_names(spark, root, sep, strip, **scan)
     hdr = _headers(raw, sep, strip)
-    data = number_lines(raw, "_idx").filter(F.col("_idx") > 0)
-    # one header row per file: AQE broadcasts it after measuring its size
-    data = data.join(hdr, on="path", how="inner")
     tok = F.split(F.col("line"), re.escape(sep))
     if skip_initial_space:
         tok = F.transform(tok, lambda c: F.ltrim(c))
-    data = data.withColumn("_tok", tok).withColumn("line_no", F.col("_idx") - 1)
+    data = number_lines(raw.withColumn("_tok", tok).drop("line"), "_idx").filter(F.col("_idx") > 0)
+    # one header row per file: AQE broadcasts it after measuring its size
+    data = _with_name(data.join(hdr, on="path", how="inner"))
+    data = data.withColumn("line_no", F.col("_idx") - 1)
     bad = F.size(F.col("_tok")) > F.size(F.col("_hdr"))
 
     def field(n: str) -> Column:
