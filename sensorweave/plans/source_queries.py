@@ -224,7 +224,9 @@ def karas_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     (base.filter(~F.col("_a")).select("subject", "lw_z", "time_s", "la_x", "activity", "lw_y", "lw_x")
      .repartition(n, "subject").write.mode("overwrite").partitionBy("subject")
      .option("header", True).csv(os.path.join(root, "b")))
-    return recordings.harmonise_karas(spark, root, subject_pattern=r"subject=(\d+)/").data
+    return recordings.harmonise_karas(
+        spark, root, subject_pattern=r"subject=(\d+)/",
+        columns=["activity", "time_s", "lw_x", "lw_y", "lw_z", "la_x"]).data
 
 
 def _karas_oracle() -> str:
