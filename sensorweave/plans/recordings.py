@@ -189,23 +189,39 @@ def harmonise_beach(long: DataFrame) -> Harmonised:
 # ---------------------------------------------------------------- E1 luo
 
 def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,
-                  max_gap_packets: int | None = None) -> Harmonised:
+                  max_gap_packets: int | None = None, sid_pattern: str | None = None,
+                  trial_pattern: str | None = None, code_pattern: str | None = None,
+                  enumerated: bool = True) -> Harmonised:
     """``<sid>/**/<trial>-...<code>.csv`` (sid 1..30): one headed CSV per
     sensor with a packet counter. Sensors of a trial are aligned on the
     counter, every packet from first to last gets a row, time is 10 ms per
     packet from the trial start. Files with an unknown sensor code and trials
-    where one sensor repeats a packet are set aside in ``rejects``."""
+    where one sensor repeats a packet are set aside in ``rejects``.
+
+    ``sid_pattern``/``trial_pattern``/``code_pattern`` (regex, first group,
+    on the path) replace the folder and file-name rules; ``enumerated``
+    keeps only the subjects the layout promises (1..30).
+    """
     root = root.rstrip("/")
     scan = text.read_headed(spark, root, glob="*.csv", recursive=True, strip=True,
                             skip_initial_space=True)
     rows = scan.rows
-    sid = paths.dir_below(F.col("path"), root).try_cast("int")
-    lo, hi = catalog.EXPECTED_SUBJECTS["luo"]
-    rows = rows.withColumn("sid", sid).filter(F.col("sid").between(lo, hi))
+
+    def from_path(pattern):
+        return F.nullif(F.regexp_extract(F.col("path"), pattern, 1), F.lit(""))
+
+    sid = (paths.dir_below(F.col("path"), root) if sid_pattern is None
+           else from_path(sid_pattern)).try_cast("int")
+    rows = rows.withColumn("sid", sid)
+    if enumerated:
+        lo, hi = catalog.EXPECTED_SUBJECTS["luo"]
+        rows = rows.filter(F.col("sid").between(lo, hi))
+    else:
+        rows = rows.filter(F.col("sid").isNotNull())
     if sids is not None:
         rows = rows.filter(F.col("sid").isin(list(sids)))
-    trial_text = paths.trial_prefix(F.col("name"))
-    code = paths.suffix_code(F.col("name"))
+    trial_text = paths.trial_prefix(F.col("name")) if trial_pattern is None else from_path(trial_pattern)
+    code = paths.suffix_code(F.col("name")) if code_pattern is None else from_path(code_pattern)
     rows = rows.withColumns({
         "trial_no": trial_text.try_cast("int"),
         "loc": labels.map_label(code, catalog.LUO_SENSOR_CODES, labels.NULL),

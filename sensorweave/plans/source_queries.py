@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sensorweave import catalog
 from sensorweave.functions.units import coerce_numeric
+from sensorweave.operators import sequence as seq
 from sensorweave.plans import recordings
 from sensorweave.session import checkpoint_dir
 from sensorweave.sources import text
@@ -367,3 +368,74 @@ QUERIES.update({"karas_layout": karas_layout, "hugadb_layout": hugadb_layout,
                 "bruno_layout": bruno_layout})
 ORACLE.update({"karas_layout": _karas_oracle(), "hugadb_layout": _hugadb_oracle(),
                "bruno_layout": _bruno_oracle()})
+
+
+# ---------------------------------------------------------------- luo
+
+LUO_CODES = {"A": "CC", "N": "9B", "R": "B6"}
+
+
+def luo_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 end to end: ``lineitem`` as one headed CSV per (subject, trial,
+    sensor) with a packet counter (8 x the rank of (order, supplier) in the
+    recording + line number, so packets have real gaps and some repeat,
+    which rejects those trials); harmonised by
+    aligning the sensors on the counter (trials with a repeated packet are
+    rejected), filling every packet, 10 ms per packet from the trial start."""
+    li = _table(spark, sf_dir, "lineitem")
+    root = _scratch(spark, "luo")
+    code = F.when(F.col("l_returnflag") == "A", F.lit(LUO_CODES["A"])).when(
+        F.col("l_returnflag") == "N", F.lit(LUO_CODES["N"])).otherwise(F.lit(LUO_CODES["R"]))
+    base = li.select(_subject().alias("sid"), _hugadb_trial().alias("trial"), code.alias("code"),
+                     "l_orderkey", "l_suppkey", "l_linenumber", "l_partkey", "l_quantity",
+                     "l_discount", "l_tax")
+    # rank of (order, supplier) inside its recording, on the distinct pairs
+    # (segmented index, no recording-wide window)
+    orders = base.select("sid", "trial", "l_orderkey", "l_suppkey").distinct()
+    orders = seq.seq_index(orders, ["sid", "trial"], ["l_orderkey", "l_suppkey"], "_rank")
+    base = base.join(orders, ["sid", "trial", "l_orderkey", "l_suppkey"])
+    packet = F.lit(8) * (F.col("_rank") + F.lit(1)) + F.col("l_linenumber")
+    (base.select("sid", "trial", "code", packet.alias("PacketCounter"),
+                 F.col("l_partkey").alias("SampleTimeFine"), F.col("l_quantity").alias("Acc_X"),
+                 F.col("l_discount").alias("Acc_Y"), F.col("l_tax").alias("Acc_Z"))
+     .repartition(_files(spark), "sid", "trial", "code")
+     .write.mode("overwrite").partitionBy("sid", "trial", "code").option("header", True).csv(root))
+    return recordings.harmonise_luo(spark, root, sid_pattern=r"sid=(\d+)/",
+                                    trial_pattern=r"trial=(\d+)/", code_pattern=r"code=([^/]+)/",
+                                    enumerated=False).data
+
+
+def _luo_oracle() -> str:
+    locs = list(dict.fromkeys(catalog.LUO_SENSOR_CODES.values()))
+    loc_case = "CASE l_returnflag " + " ".join(
+        f"WHEN '{flag}' THEN '{catalog.LUO_SENSOR_CODES[c]}'" for flag, c in LUO_CODES.items()
+        if flag != "R") + f" ELSE '{catalog.LUO_SENSOR_CODES[LUO_CODES['R']]}' END"
+    metrics = [("l_quantity", "acc_x"), ("l_discount", "acc_y"), ("l_tax", "acc_z")]
+    wide = ", ".join(f"max(CASE WHEN loc = '{lo}' THEN {src} END) AS {lo}_{m}"
+                     for lo in locs for src, m in metrics)
+    cols = ", ".join(f"w.{lo}_{m}" for lo in locs for _, m in metrics)
+    trial_map = __import__("sensorweave.functions.labels", fromlist=["x"]).expand_lists(
+        catalog.LUO_TRIAL_SURFACES)
+    surf = "COALESCE(CASE g.trial " + " ".join(
+        f"WHEN {k} THEN '{v}'" for k, v in trial_map.items()) + " END, 'unknown')"
+    return f"""
+WITH b AS (
+  SELECT CAST(l_suppkey // 10 AS INTEGER) AS sid,
+         CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS trial,
+         {loc_case} AS loc, l_orderkey, l_suppkey, l_linenumber, l_quantity, l_discount, l_tax
+  FROM lineitem),
+r AS (SELECT *, CAST(8 * dense_rank() OVER (PARTITION BY sid, trial ORDER BY l_orderkey, l_suppkey)
+                     + l_linenumber AS BIGINT) AS packet FROM b),
+bad AS (SELECT DISTINCT sid, trial FROM r GROUP BY sid, trial, packet, loc HAVING count(*) > 1),
+ok AS (SELECT * FROM r WHERE NOT EXISTS (
+         SELECT 1 FROM bad WHERE bad.sid = r.sid AND bad.trial = r.trial)),
+w AS (SELECT sid, trial, packet, {wide} FROM ok GROUP BY sid, trial, packet),
+e AS (SELECT sid, trial, min(packet) AS lo, max(packet) AS hi FROM w GROUP BY sid, trial),
+g AS (SELECT sid, trial, lo, unnest(generate_series(lo, hi)) AS packet FROM e)
+SELECT (g.packet - g.lo) * {catalog.GRID_STEP_MS['luo']} AS time_ms, g.sid, {surf} AS surface,
+       CAST(g.trial AS INTEGER) AS trial_no, g.packet AS packetcounter, {cols}
+FROM g LEFT JOIN w ON w.sid = g.sid AND w.trial = g.trial AND w.packet = g.packet"""
+
+
+QUERIES["luo_layout"] = luo_layout
+ORACLE["luo_layout"] = _luo_oracle()
