@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorweave.functions import paths, units
-from sensorweave.operators import sequence as seq
 
 
 @dataclass
