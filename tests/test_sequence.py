@@ -1,6 +1,7 @@
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 import pytest
 
 from sensorweave.operators import sequence as seq
@@ -105,3 +106,17 @@ def test_elapsed_since_start(spark):
 def test_round_to_grid_operator(spark):
     df = spark.createDataFrame([(15000,), (25000,)], "u long")
     assert [r.g for r in timeline.round_to_grid(df, "u", 10000, "g").collect()] == [20000, 20000]
+
+
+def test_segments_bound_a_dominant_recording(spark):
+    # recording 0 holds ~95% of the rows; no window partition may hold more
+    # than a bounded number of them, whatever segmenting mode is used
+    big = spark.range(0, 190_000).select(F.lit(0).alias("rec"), (F.col("id") * 3).alias("t"))
+    small = spark.range(0, 10_000).select((F.col("id") % 50 + 1).alias("rec"), F.col("id").alias("t"))
+    df = big.unionByName(small)
+    for kwargs, bound in [({"width": 3.0 * 1000}, 1000), ({"target_rows": 2000}, 2 * 2000),
+                          ({"width": "global", "target_rows": 2000}, 2 * 2000)]:
+        seg = seq.with_segments(df, ["rec"], "t", **kwargs)
+        sizes = seg.groupBy("rec", seq.SEG).count()
+        assert sizes.agg(F.max("count")).first()[0] <= bound, kwargs
+        assert seg.count() == df.count()
