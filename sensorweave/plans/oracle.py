@@ -229,9 +229,10 @@ r AS (SELECT sid, time_ms, {_null_cols(['time_ms', *sensors], sensors)} AS null_
         row_number() OVER (PARTITION BY sid ORDER BY time_ms) - 1 AS pos FROM h),
 f AS (SELECT sid, pos, row_number() OVER (PARTITION BY sid ORDER BY pos) - 1 AS rk,
         count(*) OVER (PARTITION BY sid) AS nflag FROM r WHERE null_columns <> ''),
-o AS (SELECT CAST(unnest(range(-2, 3)) AS INTEGER) AS ctx_offset),
+o AS (SELECT sid, rk, pos, nflag, CAST(unnest(range(-2, 3)) AS INTEGER) AS ctx_offset
+      FROM f WHERE rk < 3),
 a AS (SELECT sid, rk + 1 AS example_no, ctx_offset, pos + ctx_offset AS cpos,
-        greatest(nflag - 3, 0) AS more_flagged FROM f, o WHERE rk < 3)
+        greatest(nflag - 3, 0) AS more_flagged FROM o)
 SELECT a.sid, a.example_no, a.ctx_offset, r.time_ms, r.null_columns, a.more_flagged
 FROM a JOIN r ON r.sid = a.sid AND r.pos = a.cpos"""
     return sql
