@@ -191,7 +191,7 @@ def harmonise_beach(long: DataFrame) -> Harmonised:
 def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,
                   max_gap_packets: int | None = None, sid_pattern: str | None = None,
                   trial_pattern: str | None = None, code_pattern: str | None = None,
-                  enumerated: bool = True) -> Harmonised:
+                  enumerated: bool = True, columns: list[str] | None = None) -> Harmonised:
     """``<sid>/**/<trial>-...<code>.csv`` (sid 1..30): one headed CSV per
     sensor with a packet counter. Sensors of a trial are aligned on the
     counter, every packet from first to last gets a row, time is 10 ms per
@@ -200,11 +200,12 @@ def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,
 
     ``sid_pattern``/``trial_pattern``/``code_pattern`` (regex, first group,
     on the path) replace the folder and file-name rules; ``enumerated``
-    keeps only the subjects the layout promises (1..30).
+    keeps only the subjects the layout promises (1..30); ``columns`` fixes
+    the (normalised) header names to read instead of collecting them.
     """
     root = root.rstrip("/")
-    scan = text.read_headed(spark, root, glob="*.csv", recursive=True, strip=True,
-                            skip_initial_space=True)
+    scan = text.read_headed(spark, root, columns=columns, glob="*.csv", recursive=True,
+                            strip=True, skip_initial_space=True)
     rows = scan.rows
 
     def from_path(pattern):

@@ -402,7 +402,8 @@ def luo_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
      .write.mode("overwrite").partitionBy("sid", "trial", "code").option("header", True).csv(root))
     return recordings.harmonise_luo(spark, root, sid_pattern=r"sid=(\d+)/",
                                     trial_pattern=r"trial=(\d+)/", code_pattern=r"code=([^/]+)/",
-                                    enumerated=False).data
+                                    enumerated=False,
+                                    columns=["packetcounter", "sampletimefine", "acc_x", "acc_y", "acc_z"]).data
 
 
 def _luo_oracle() -> str:
