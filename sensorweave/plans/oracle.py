@@ -235,4 +235,24 @@ a AS (SELECT sid, rk + 1 AS example_no, ctx_offset, pos + ctx_offset AS cpos,
         greatest(nflag - 3, 0) AS more_flagged FROM o)
 SELECT a.sid, a.example_no, a.ctx_offset, r.time_ms, r.null_columns, a.more_flagged
 FROM a JOIN r ON r.sid = a.sid AND r.pos = a.cpos"""
+    cols_types = [("time_ms", "bigint"), ("sid", "string"), ("surface", "string")] + \
+        [(c, "double") for c in sensors]
+    col_rows = ", ".join(f"({_q(n)}, {_q(t)})" for n, t in cols_types)
+    loc_rows = ", ".join(f"({_q(s_)})" for s_ in sorted(EVENT_SENSORS))
+    fs = f"1000.0::DOUBLE / {HOUR_US // 1000}.0::DOUBLE"
+    lin = _linearity(f"SELECT sid, time_ms FROM h", "sid", fs).replace("WITH p AS", "p AS", 1)
+    sql["quality_report"] = f"""
+WITH h AS ({_beach(rounded=False)}),
+{lin.strip().rsplit("SELECT *, NOT has_negative", 1)[0].rstrip()},
+l AS (SELECT *, NOT has_negative AND NOT out_of_tolerance AS linear FROM a),
+n AS (SELECT * FROM ({profile}) WHERE null_count > 0)
+SELECT 'beach' AS dataset, 'column' AS "check", name AS key, 'info' AS status, type AS detail
+  FROM (VALUES {col_rows}) v(name, type)
+UNION ALL SELECT 'beach', 'location', loc, 'info', CAST(NULL AS VARCHAR) FROM (VALUES {loc_rows}) v(loc)
+UNION ALL SELECT 'beach', 'metric', 'acc', 'info', CAST(NULL AS VARCHAR)
+UNION ALL SELECT 'beach', 'linearity', sid, CASE WHEN linear THEN 'pass' ELSE 'fail' END,
+  'points=' || CAST(n_points AS VARCHAR) || ' negative=' || CAST(has_negative AS VARCHAR)
+  || ' out_of_tolerance=' || CAST(out_of_tolerance AS VARCHAR) FROM l
+UNION ALL SELECT 'beach', 'nulls', column_name, 'warn',
+  CAST(null_count AS VARCHAR) || '/' || CAST(total_rows AS VARCHAR) FROM n"""
     return sql

@@ -335,6 +335,12 @@ def linearity_harmonised(spark, sf_dir):
     return quality.linearity(h, ["sid"], "time_ms", 1000.0 / (HOUR_US // 1000))
 
 
+def quality_report(spark, sf_dir):
+    """Q6: every check over the harmonised table in one long report."""
+    h = _stored_harmonised_events(spark, sf_dir)
+    return quality.quality_report(h, "beach", ["sid"], fs=1000.0 / (HOUR_US // 1000))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "beach_harmonise": beach_harmonise,
     "round_to_grid": round_to_grid,
@@ -373,4 +379,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linearity_harmonised": linearity_harmonised,
     "null_profile": null_profile,
     "null_context": null_context,
+    "quality_report": quality_report,
 }
