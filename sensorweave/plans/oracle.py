@@ -209,6 +209,9 @@ SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nationkey, s_acctbal AS
     sql["missing_subjects"] = """
 SELECT c_custkey, c_name FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)"""
+    sql["missing_recordings"] = """
+SELECT o_orderkey, o_custkey FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"""
     sql["linearity_packets"] = _linearity(
         "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) * 10 AS time_ms FROM lineitem",
         "l_orderkey", "100.0::DOUBLE")

@@ -28,6 +28,7 @@ from sensorweave.operators import align, sequence as seq, stack, timeline
 from sensorweave.plans import quality
 from sensorweave.plans.harmonise import harmonise_long
 from sensorweave.session import materialize
+from sensorweave.sources import files
 
 HOUR_US = 3_600_000_000
 TEN_MS_US = 10_000
@@ -304,6 +305,13 @@ def missing_subjects(spark, sf_dir):
     return cu.join(found, on="c_custkey", how="left_anti")
 
 
+def missing_recordings(spark, sf_dir):
+    """Expected recordings (orders) for which no packet was found."""
+    expected = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    found = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return files.missing_inputs(expected, found, "o_orderkey")
+
+
 # ---------------------------------------------------------------- quality on harmonised events
 
 def _harmonised_events(spark, sf_dir):
@@ -374,6 +382,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stack_by_name": stack_by_name,
     "schema_align": schema_align,
     "missing_subjects": missing_subjects,
+    "missing_recordings": missing_recordings,
     "linearity_packets": linearity_packets,
     "linearity_conversations": linearity_conversations,
     "linearity_harmonised": linearity_harmonised,
