@@ -22,6 +22,7 @@ from sensorweave.operators import sequence as seq
 from sensorweave.plans import recordings
 from sensorweave.session import checkpoint_dir
 from sensorweave.sources import text
+from sensorweave.sources.sinks import append_aligned
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -375,15 +376,14 @@ ORACLE.update({"karas_layout": _karas_oracle(), "hugadb_layout": _hugadb_oracle(
 LUO_CODES = {"A": "CC", "N": "9B", "R": "B6"}
 
 
-def luo_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E1 end to end: ``lineitem`` as one headed CSV per (subject, trial,
-    sensor) with a packet counter (8 x the rank of (order, supplier) in the
-    recording + line number, so packets have real gaps and some repeat,
-    which rejects those trials); harmonised by
-    aligning the sensors on the counter (trials with a repeated packet are
-    rejected), filling every packet, 10 ms per packet from the trial start."""
+LUO_COLUMNS = ["packetcounter", "sampletimefine", "acc_x", "acc_y", "acc_z"]
+LUO_RULES = dict(sid_pattern=r"sid=(\d+)/", trial_pattern=r"trial=(\d+)/",
+                 code_pattern=r"code=([^/]+)/", enumerated=False, columns=LUO_COLUMNS)
+
+
+def _luo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as luo sensor rows: (sid, trial, code, PacketCounter, ...)."""
     li = _table(spark, sf_dir, "lineitem")
-    root = _scratch(spark, "luo")
     code = F.when(F.col("l_returnflag") == "A", F.lit(LUO_CODES["A"])).when(
         F.col("l_returnflag") == "N", F.lit(LUO_CODES["N"])).otherwise(F.lit(LUO_CODES["R"]))
     base = li.select(_subject().alias("sid"), _hugadb_trial().alias("trial"), code.alias("code"),
@@ -395,18 +395,48 @@ def luo_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = seq.seq_index(orders, ["sid", "trial"], ["l_orderkey", "l_suppkey"], "_rank")
     base = base.join(orders, ["sid", "trial", "l_orderkey", "l_suppkey"])
     packet = F.lit(8) * (F.col("_rank") + F.lit(1)) + F.col("l_linenumber")
-    (base.select("sid", "trial", "code", packet.alias("PacketCounter"),
-                 F.col("l_partkey").alias("SampleTimeFine"), F.col("l_quantity").alias("Acc_X"),
-                 F.col("l_discount").alias("Acc_Y"), F.col("l_tax").alias("Acc_Z"))
-     .repartition(_files(spark), "sid", "trial", "code")
+    return base.select("sid", "trial", "code", packet.alias("PacketCounter"),
+                       F.col("l_partkey").alias("SampleTimeFine"), F.col("l_quantity").alias("Acc_X"),
+                       F.col("l_discount").alias("Acc_Y"), F.col("l_tax").alias("Acc_Z"))
+
+
+def _write_luo(lines: DataFrame, root: str) -> None:
+    """One headed CSV per (subject, trial, sensor) folder."""
+    (lines.repartition(_files(lines.sparkSession), "sid", "trial", "code")
      .write.mode("overwrite").partitionBy("sid", "trial", "code").option("header", True).csv(root))
-    return recordings.harmonise_luo(spark, root, sid_pattern=r"sid=(\d+)/",
-                                    trial_pattern=r"trial=(\d+)/", code_pattern=r"code=([^/]+)/",
-                                    enumerated=False,
-                                    columns=["packetcounter", "sampletimefine", "acc_x", "acc_y", "acc_z"]).data
 
 
-def _luo_oracle() -> str:
+def luo_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 end to end: ``lineitem`` as one headed CSV per (subject, trial,
+    sensor) with a packet counter (8 x the rank of (order, supplier) in the
+    recording + line number, so packets have real gaps and some repeat,
+    which rejects those trials); harmonised by aligning the sensors on the
+    counter, filling every packet, 10 ms per packet from the trial start."""
+    root = _scratch(spark, "luo")
+    _write_luo(_luo_lines(spark, sf_dir), root)
+    return recordings.harmonise_luo(spark, root, **LUO_RULES).data
+
+
+def luo_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E7 end to end: the luo files arrive in two folders (trial 1, then
+    trial 2; every row is in one of them). The first batch is harmonised and
+    stored in an older output layout (one sensor column missing, one
+    obsolete column); the second batch is harmonised and appended matched to
+    that layout. The result is the stored table read back."""
+    root = _scratch(spark, "luo-append")
+    lines = _luo_lines(spark, sf_dir)
+    first = F.col("trial") == 1
+    _write_luo(lines.filter(first), os.path.join(root, "batch1"))
+    _write_luo(lines.filter(~first), os.path.join(root, "batch2"))
+    out = os.path.join(root, "out")
+    older = (recordings.harmonise_luo(spark, os.path.join(root, "batch1"), **LUO_RULES).data
+             .drop("right_wrist_acc_y").withColumn("trunk_roll", F.lit(None).cast("double")))
+    older.write.mode("overwrite").parquet(out)
+    append_aligned(recordings.harmonise_luo(spark, os.path.join(root, "batch2"), **LUO_RULES).data, out)
+    return spark.read.parquet(out)
+
+
+def _luo_oracle(drop: str | None = None, extra: str | None = None) -> str:
     locs = list(dict.fromkeys(catalog.LUO_SENSOR_CODES.values()))
     loc_case = "CASE l_returnflag " + " ".join(
         f"WHEN '{flag}' THEN '{catalog.LUO_SENSOR_CODES[c]}'" for flag, c in LUO_CODES.items()
@@ -414,7 +444,8 @@ def _luo_oracle() -> str:
     metrics = [("l_quantity", "acc_x"), ("l_discount", "acc_y"), ("l_tax", "acc_z")]
     wide = ", ".join(f"max(CASE WHEN loc = '{lo}' THEN {src} END) AS {lo}_{m}"
                      for lo in locs for src, m in metrics)
-    cols = ", ".join(f"w.{lo}_{m}" for lo in locs for _, m in metrics)
+    cols = ", ".join([f"w.{lo}_{m}" for lo in locs for _, m in metrics if f"{lo}_{m}" != drop]
+                     + ([f"CAST(NULL AS DOUBLE) AS {extra}"] if extra else []))
     trial_map = __import__("sensorweave.functions.labels", fromlist=["x"]).expand_lists(
         catalog.LUO_TRIAL_SURFACES)
     surf = "COALESCE(CASE g.trial " + " ".join(
@@ -440,3 +471,5 @@ FROM g LEFT JOIN w ON w.sid = g.sid AND w.trial = g.trial AND w.packet = g.packe
 
 QUERIES["luo_layout"] = luo_layout
 ORACLE["luo_layout"] = _luo_oracle()
+QUERIES["luo_append"] = luo_append
+ORACLE["luo_append"] = _luo_oracle(drop="right_wrist_acc_y", extra="trunk_roll")
