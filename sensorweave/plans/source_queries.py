@@ -424,15 +424,17 @@ def luo_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     obsolete column); the second batch is harmonised and appended matched to
     that layout. The result is the stored table read back."""
     root = _scratch(spark, "luo-append")
-    lines = _luo_lines(spark, sf_dir)
-    first = F.col("trial") == 1
-    _write_luo(lines.filter(first), os.path.join(root, "batch1"))
-    _write_luo(lines.filter(~first), os.path.join(root, "batch2"))
+    # one write: the batch folder is the trial (every row lands in one batch)
+    lines = _luo_lines(spark, sf_dir).withColumn("batch", F.col("trial"))
+    (lines.repartition(_files(spark), "batch", "sid", "trial", "code")
+     .write.mode("overwrite").partitionBy("batch", "sid", "trial", "code")
+     .option("header", True).csv(os.path.join(root, "in")))
     out = os.path.join(root, "out")
-    older = (recordings.harmonise_luo(spark, os.path.join(root, "batch1"), **LUO_RULES).data
+    older = (recordings.harmonise_luo(spark, os.path.join(root, "in", "batch=1"), **LUO_RULES).data
              .drop("right_wrist_acc_y").withColumn("trunk_roll", F.lit(None).cast("double")))
     older.write.mode("overwrite").parquet(out)
-    append_aligned(recordings.harmonise_luo(spark, os.path.join(root, "batch2"), **LUO_RULES).data, out)
+    append_aligned(recordings.harmonise_luo(spark, os.path.join(root, "in", "batch=2"), **LUO_RULES).data,
+                   out)
     return spark.read.parquet(out)
 
 
