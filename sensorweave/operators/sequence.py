@@ -83,9 +83,10 @@ def _seg_window(keys):
 
 
 def _summary(windowed: DataFrame, keys: Sequence[str], pick: Column, cols: dict[str, Column]) -> DataFrame:
-    """One row per segment taken from the already windowed rows (``pick`` is
-    true on exactly one row per segment), so the segment exchange is reused
-    instead of scanning and shuffling the input a second time."""
+    """One row per segment taken from the windowed rows (``pick`` is true on
+    exactly one row per segment). Column pruning leaves this branch only the
+    key and order columns, so it re-reads little: on columnar input just
+    those columns."""
     return windowed.filter(pick).select(*keys, SEG, *[c.alias(n) for n, c in cols.items()])
 
 
