@@ -29,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorweave.session import shuffle_partitions
+
 SEG = "_sw_seg"
 TARGET_ROWS = 1 << 17
 GRID_SEGMENT_STEPS = 1 << 16
@@ -213,7 +215,7 @@ def global_index(df: DataFrame, order: Sequence[str], out: str,
     fixed by ``partitions``, so broadcasting it is safe.
     """
     order = list(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or shuffle_partitions(df.sparkSession)
     ranged = (df.repartitionByRange(n, *order)
               .withColumn("_sw_part", F.spark_partition_id()))
     local = F.row_number().over(Window.partitionBy("_sw_part").orderBy(*order)) - F.lit(1)

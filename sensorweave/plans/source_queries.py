@@ -20,7 +20,7 @@ from sensorweave import catalog
 from sensorweave.functions.units import coerce_numeric
 from sensorweave.operators import sequence as seq
 from sensorweave.plans import recordings
-from sensorweave.session import checkpoint_dir
+from sensorweave.session import checkpoint_dir, shuffle_partitions
 from sensorweave.sources import text
 from sensorweave.sources.sinks import append_aligned
 
@@ -35,7 +35,7 @@ def _scratch(spark: SparkSession, tag: str) -> str:
 
 def _files(spark: SparkSession) -> int:
     """Number of files to write: scales with the session's parallelism."""
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(2, shuffle_partitions(spark))
 
 
 def _write_lines(df: DataFrame, path: str, line) -> None:

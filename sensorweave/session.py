@@ -42,6 +42,16 @@ def build_session(master: str | None = None, app: str = "sensorweave",
     return spark
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """``spark.sql.shuffle.partitions`` as a number (falls back to the
+    default parallelism when the setting is not an integer)."""
+    value = spark.conf.get("spark.sql.shuffle.partitions", None)
+    try:
+        return max(1, int(value))
+    except (TypeError, ValueError):
+        return max(1, spark.sparkContext.defaultParallelism)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -79,7 +89,7 @@ def materialize(df: DataFrame, name: str, sort_by: list[str] | None = None) -> D
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
     out = df
     if sort_by:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = shuffle_partitions(df.sparkSession)
         out = df.repartitionByRange(n, *sort_by).sortWithinPartitions(*sort_by)
     out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from sensorweave.operators.stack import align_to_schema
+from sensorweave.session import shuffle_partitions
 
 
 def nan_to_null_all(df: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("sid"
     order = keys + [c for c in sort_by if c in df.columns]
     out = df
     if order:
-        n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = files or shuffle_partitions(df.sparkSession)
         out = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     writer = out.write.mode(mode)
     if keys:
