@@ -52,6 +52,7 @@ def scan_lines(spark: SparkSession, root: str, glob: str | None = None, recursiv
     df = reader.text(root).select(
         paths.decoded_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.file_size").alias("_size"),
         F.monotonically_increasing_id().alias("_rowid"),
         F.col("value").alias("line"))
     name = paths.file_name(F.col("path"))
@@ -69,31 +70,52 @@ def _with_name(df: DataFrame) -> DataFrame:
     return df.withColumn("name", paths.file_name(F.col("path")))
 
 
+def _never_split_bytes(spark: SparkSession) -> int:
+    """Files up to this size are always read as one split: Spark's split
+    size is never below min(maxPartitionBytes, openCostInBytes)."""
+    def conf_bytes(key, default):
+        v = spark.conf.get(key, default)
+        try:
+            return int(v)
+        except ValueError:
+            return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(v))
+    return min(conf_bytes("spark.sql.files.maxPartitionBytes", "134217728"),
+               conf_bytes("spark.sql.files.openCostInBytes", "4194304"))
+
+
 def number_lines(df: DataFrame, out: str = "line_no") -> DataFrame:
     """0-based position of each remaining line within its file.
 
     A scan task reads whole splits one after another, so lines are numbered
-    by a window over (scan task, split offset) ordered by the row id, all
-    long keys (bounded by the split size, no string sorting). A small
-    summary with one row per (task, split, file) segment then removes the
-    lines of other files packed earlier into the same task and adds the
-    lines of the file's earlier splits.
+    by a window over (scan task, split offset) ordered by the row id: long
+    keys, bounded by the split size. Files packed into the same task follow
+    each other, so a file's first line is where the path changes, and the
+    lines of earlier files are subtracted with a running value of the same
+    window. Only files large enough to be split need the line counts of
+    their earlier splits: those come from a small per-split summary over
+    just those files, joined to the rows of their later splits.
     """
-    task = F.shiftright(F.col("_rowid"), 33)  # upper bits: index of the scan task
-    d = df.withColumn("_task", task)
-    local = F.row_number().over(Window.partitionBy("_task", "_block").orderBy("_rowid")) - F.lit(1)
-    d = d.withColumn("_rn", local)
-    seg = d.groupBy("_task", "_block", "path").agg(F.min("_rowid").alias("_r0"),
-                                                   F.count(F.lit(1)).alias("_n"))
-    seg = seg.select(
-        "_task", "_block", "path",
-        F.coalesce(F.sum("_n").over(Window.partitionBy("_task", "_block").orderBy("_r0")
-                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_in"),
+    spark = df.sparkSession
+    w = Window.partitionBy("_task", "_block").orderBy("_rowid")
+    d = df.withColumn("_task", F.shiftright(F.col("_rowid"), 33))  # index of the scan task
+    d = (d.withColumn("_rn", F.row_number().over(w) - F.lit(1))
+         .withColumn("_start", F.when(F.coalesce(F.lag("path").over(w) != F.col("path"), F.lit(True)),
+                                      F.col("_rn"))))
+    d = d.withColumn("_local", F.col("_rn") - F.last("_start", ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    d = d.drop("_task", "_rn", "_start")
+    first = d.filter(F.col("_block") == 0).withColumn(out, F.col("_local"))
+    later = d.filter(F.col("_block") > 0)
+    big = df.filter(F.col("_size") > F.lit(_never_split_bytes(spark)))
+    counts = big.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(
+        "path", "_block",
         F.coalesce(F.sum("_n").over(Window.partitionBy("path").orderBy("_block")
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (d.join(seg, ["_task", "_block", "path"], "left")
-            .withColumn(out, (F.col("_rn") - F.col("_in") + F.col("_off")).cast("long"))
-            .drop("_task", "_rn", "_in", "_off"))
+    later = (later.join(offsets, ["path", "_block"], "left")
+             .withColumn(out, F.col("_local") + F.col("_off")).drop("_off"))
+    return (first.unionByName(later).withColumn(out, F.col(out).cast("long"))
+            .drop("_local", "_size"))
 
 
 def split_fields(line: Column, pattern: str) -> Column:
