@@ -185,3 +185,23 @@ def test_delimited_bad_line_takes_no_slot(spark, tmpdir_path):
     scan = text.read_delimited(spark, d, ["a", "b"])
     assert sorted((r.line_no, r.a) for r in scan.rows.collect()) == [(0, "1"), (1, "5")]
     assert [r.reason for r in scan.rejects.collect()] == ["too many fields"]
+
+
+def test_numbering_with_packed_splits_of_several_files(spark, tmpdir_path):
+    # two large files split at the same offsets and small files packed with
+    # their last splits: every line must still get its position in its file
+    d = os.path.join(tmpdir_path, "many")
+    os.makedirs(d)
+    sizes = {"a.log": 6000, "b.log": 6000, "c.log": 3, "d.log": 1, "e.log": 700}
+    for name, n in sizes.items():
+        with open(os.path.join(d, name), "w") as fh:
+            for i in range(n):
+                fh.write(f"{name}\t{i}\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        scan = text.read_delimited(spark, d, ["f", "i"], glob="*.log", recursive=False)
+        got = [(r.f, r.line_no, r.i) for r in scan.rows.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == sum(sizes.values())
+    assert all(str(line_no) == i for _, line_no, i in got)
