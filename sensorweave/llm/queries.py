@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import sharding, token_counts
+from sensorweave.llm import packing, sharding, token_counts
 from sensorweave.llm.common import read_table
 
 #: Shards of the registered sharding query.
@@ -18,6 +18,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document, by its id (by its text where the id is null)."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -28,6 +32,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
 
