@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import packing, sharding, token_counts
+from sensorweave.llm import packing, quality_rules, sharding, token_counts
 from sensorweave.llm.common import read_table
 
 #: Shards of the registered sharding query.
@@ -18,6 +18,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality_rules.learn_rules(docs, read_table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -32,6 +39,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_quality_rules": op3_quality_rules,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
