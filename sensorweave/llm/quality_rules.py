@@ -204,9 +204,9 @@ def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
     """A decision list for rejecting documents, learned from those labelled 0
     and 1 that the base rule passes."""
     sample = labelled_sample(docs, labels, id_col, label_col, text_col, bound)
-    sample = (sample.where(~F.col("base_failed")).orderBy(F.xxhash64("__id"), "__id", *FEATURES).limit(bound)
-              .select((F.col("__label") > 0).alias("__keep"), *FEATURES))
-    return cover([r.asDict() for r in sample.collect()])
+    sample = (sample.select("__id", (F.col("__label") > 0).alias("__keep"), "base_failed", *FEATURES)
+              .orderBy(F.xxhash64("__id"), "__id", *FEATURES).limit(bound))  # ids may repeat
+    return cover([r.asDict() for r in sample.collect() if not r["base_failed"]])
 
 
 def judge(docs: DataFrame, rules: DecisionList, text_col: str = "text") -> DataFrame:
@@ -219,4 +219,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows of ``docs`` that pass, with their columns as they were."""
     rules = learn_rules(docs, labels, id_col=id_col, text_col=text_col)
     boxed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), docs[text_col].alias("__text"))
-    return judge(boxed, rules, "__text").where("kept").select("__row.*")
+    # the row number keeps the optimiser from copying the statistics into a pushed filter
+    judged = judge(boxed, rules, "__text").select("__row", "kept", F.monotonically_increasing_id().alias("__at"))
+    return judged.where(F.col("kept") & (F.col("__at") >= 0)).select("__row.*")
