@@ -18,7 +18,6 @@ table gives no rows; other columns of the input are not read.
 from __future__ import annotations
 
 import functools
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,17 +35,16 @@ END_ID = 1
 #: Pieces packed together; the state of a group is this many small rows.
 GROUP_PIECES = 32_768
 #: Words a worker remembers the ids of; the table is emptied when full.
-CACHED_WORDS = 400_000
-_TAIL = re.compile(rb"(?<=[a-z])([.,]+)(?=[ \n]|$)")
+CACHED_WORDS = 1_000_000
 
 
 class WordEncoder:
     """Ids of texts for a tokenizer that drops white space and lower-cases:
     the ids of a text are those of its white-space separated words, so each
-    word is encoded once and remembered. Only ASCII white space separates, a
-    closing ``.`` or ``,`` after a letter is a word of its own (the tokenizer's
-    pattern cuts there too), and texts with a special token's string are
-    encoded whole."""
+    word is encoded once and remembered. Only ASCII white space separates; a
+    new word's closing ``.`` or ``,`` after a letter is looked up apart (the
+    tokenizer's pattern cuts there too); texts with a special token's string
+    are encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -59,14 +57,20 @@ class WordEncoder:
     def _drops_spaces(self) -> bool:
         """Whether words may be encoded apart (tried on the cases that matter)."""
         probes = ["Ab, Cd. éa", "x,y a.b ... c", "a 1 22 b's  ß!? (c), d"]
-        return all(self._whole(p) == b"".join(self._whole(w.decode()) for w in self._split(p)) for p in probes)
+        return all(self._whole(p) == b"".join(self._whole(part.decode()) for w in self._split(p) for part in self._parts(w)) for p in probes)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     @staticmethod
     def _split(text: str) -> list[bytes]:
-        return _TAIL.sub(rb" \1", text.encode().lower()).split()
+        return text.encode().lower().split()
+
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, bytes]:
+        """A word without and with only its closing marks."""
+        stem = word.rstrip(b".,")
+        return (stem, word[len(stem):]) if stem and 97 <= stem[-1] <= 122 else (word, b"")
 
     def _learn(self, words: list[bytes]) -> None:
         for i in range(0, len(words), 2000):
@@ -87,8 +91,12 @@ class WordEncoder:
         if len(self.words) + len(new) > CACHED_WORDS:
             self.words.clear()
             new = list(set().union(*(s for s in split if s)))
-        self._learn(new)
         known = self.words
+        parts = [self._parts(w) for w in new]
+        self._learn(list({p for pair in parts for p in pair if p} - known.keys()))
+        for word, (stem, tail) in zip(new, parts):
+            if tail:
+                known[word] = known[stem] + known[tail]
         for text, words in zip(texts, split):
             yield self._whole(text or "") if words is None else b"".join([known[w] for w in words])
 
