@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import packing, quality_rules, sharding, token_counts
+from sensorweave.llm import near_dedup, packing, quality_rules, sharding, token_counts
 from sensorweave.llm.common import read_table
 
 #: Shards of the registered sharding query.
@@ -25,6 +25,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_quality_rules": op3_quality_rules,
+    "op5_near_dedup": op5_near_dedup,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
