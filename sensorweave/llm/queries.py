@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import near_dedup, packing, quality_rules, sharding, token_counts
+from sensorweave.llm import line_dedup, near_dedup, packing, quality_rules, sharding, token_counts
 from sensorweave.llm.common import read_table
 
 #: Shards of the registered sharding query.
@@ -29,6 +29,14 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every text, and the runs of lines deleted (from-to, comma-joined)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    spans = F.transform("runs", lambda r: F.concat_ws("-", r["first_line"], r["last_line"]))
+    return line_dedup.dedup_lines(docs).select(
+        "row.doc_id", "n_lines", "n_deleted", F.coalesce(F.array_join(spans, ","), F.lit("")).alias("deleted_runs"), "text")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_quality_rules": op3_quality_rules,
     "op5_near_dedup": op5_near_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
