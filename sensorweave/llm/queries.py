@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import line_dedup, near_dedup, packing, quality_rules, sharding, token_counts
+from sensorweave.llm import line_dedup, near_dedup, packing, pii, quality_rules, sharding, token_counts
 from sensorweave.llm.common import read_table
 
 #: Shards of the registered sharding query.
@@ -18,6 +18,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the base kinds, digest of the base spans, and all spans."""
+    found = pii.find_pii(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in pii.BASE_KINDS],
+                        F.sha2(pii.digest(base).cast("binary"), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality_rules.learn_rules(docs, read_table(spark, sf_dir, "labels"))
@@ -51,6 +60,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_pii": op2_pii,
     "op3_quality_rules": op3_quality_rules,
     "op5_near_dedup": op5_near_dedup,
     "op8_line_dedup": op8_line_dedup,
