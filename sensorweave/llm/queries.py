@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import line_dedup, near_dedup, packing, pii, quality_rules, sharding, token_counts
+from sensorweave.llm import language, line_dedup, near_dedup, packing, pii, quality_rules, sharding, token_counts
 from sensorweave.llm.common import read_table
 
 #: Shards of the registered sharding query.
@@ -34,6 +34,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.predict(docs.drop("lang"), language.fit(docs))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
     "op3_quality_rules": op3_quality_rules,
+    "op4_language": op4_language,
     "op5_near_dedup": op5_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
