@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import language, line_dedup, near_dedup, packing, pii, quality_rules, sharding, token_counts
-from sensorweave.llm.common import read_table
+from sensorweave.llm import fingerprints, language, line_dedup, near_dedup, packing, pii, quality_rules, sharding, token_counts
+from sensorweave.llm.common import read_table, stored
 
 #: Shards of the registered sharding query.
 SHARDS = tuple(f"shard-{i:04d}" for i in range(256))
@@ -43,6 +43,19 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text; for ids divisible by 50
+    also the number of other rows within 3 bits, found in the block tables."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = stored(fingerprints.edited_pairs(docs), "fingerprints")
+    asked = marked.where("doc_id % 50 = 0").select("fingerprint")
+    sizes = marked.groupBy("fingerprint").agg(F.count("*").alias("n"))
+    near = fingerprints.neighbours(marked, asked, radius=3, blocks=4).join(sizes, "fingerprint").groupBy("query").agg(F.sum("n").alias("n"))
+    found = marked.where("doc_id % 50 = 0").select("doc_id", F.col("fingerprint").alias("query")).join(near, "query")
+    found = found.groupBy("doc_id").agg((F.max("n") - 1).alias("n_near"))
+    return marked.join(found, "doc_id", "left")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every text, and the runs of lines deleted (from-to, comma-joined)."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_language": op4_language,
     "op5_near_dedup": op5_near_dedup,
+    "op7_fingerprints": op7_fingerprints,
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
