@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import fingerprints, language, line_dedup, near_dedup, packing, pii, quality_rules, sharding, token_counts
+from sensorweave.llm import fingerprints, language, line_dedup, near_dedup, packing, pii, piece_lattice, quality_rules, sharding, token_counts
 from sensorweave.llm.common import read_table, stored
 
 #: Shards of the registered sharding query.
@@ -43,6 +43,14 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best segmentations of every text: scores, checksums, round trip."""
+    found = piece_lattice.summarise_nbest(read_table(spark, sf_dir, "documents"), n=3)
+    return found.select("doc_id", "n_pieces", F.element_at("scores", 1).alias("best_score"),
+                        *[F.get("scores", i).alias(f"score_{i + 1}") for i in (1, 2)],
+                        *[F.get("ids_crc32", i).alias(f"ids_crc32_{i + 1}") for i in range(3)], "round_trip")
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text; for ids divisible by 50
     also the number of other rows within 3 bits, found in the block tables."""
@@ -82,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_language": op4_language,
     "op5_near_dedup": op5_near_dedup,
+    "op6_piece_lattice": op6_piece_lattice,
     "op7_fingerprints": op7_fingerprints,
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
