@@ -28,6 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,7 +76,7 @@ def fingerprint(text: Column) -> Column:
     @F.arrow_udf("string")
     def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            sizes = [n or 0 for n in pa.compute.binary_length(texts).to_pylist()]
+            sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
             yield pa.array([row.tobytes().hex() for a, b in by_bytes(sizes, _BLOCK_BYTES)
                             for row in simhashes(texts.slice(a, b - a).to_pylist())], pa.string())
 

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,7 +123,7 @@ def tokenize_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         encoder, task, row = word_encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            sizes = [n or 0 for n in pa.compute.binary_length(texts).to_pylist()]
+            sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
             for a, b in by_bytes(sizes, BATCH_BYTES):
                 at, out = [], []
                 for i, coded in enumerate(encoder.encode(texts.slice(a, b - a).to_pylist()), a):
@@ -173,7 +174,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     schema = T.StructType([*kept, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def fill(key: tuple, rows: pa.Table) -> pa.Table:
-        order = pa.compute.sort_indices(rows, [("length", "descending"), ("deal", "ascending"), ("ids_crc32", "ascending")])
+        order = pc.sort_indices(rows, [("length", "descending"), ("deal", "ascending"), ("ids_crc32", "ascending")])
         rows = rows.take(order)
         sequence, offset = place(rows["length"].to_numpy(), capacity)
         rows = rows.select([f.name for f in kept])

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,7 +84,7 @@ def token_count(text: Column, path: str) -> Column:
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            sizes = [n or 0 for n in pa.compute.binary_length(texts).to_pylist()]
+            sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
             out = [token_lengths(texts.slice(a, b - a).to_pylist(), path) for a, b in by_bytes(sizes)]
             yield pa.array(np.concatenate(out) if out else np.zeros(0, np.int64), pa.int64())
 
