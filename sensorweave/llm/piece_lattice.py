@@ -16,8 +16,7 @@ does it. A character without a piece of its own is spelled in byte pieces, at
 ``UNKNOWN_LOSS`` below the lowest score.
 
 Defined cases: null and empty texts have the empty segmentation (score 0); of
-segmentations with equal scores, the one with the longer pieces towards the end
-comes first; decoding gives back every text, except that a space mark in a text
+segmentations with equal scores the order is fixed, whichever comes first; decoding gives back every text, except that a space mark in a text
 comes back as a space; repeated rows and null ids are handled row by row; other
 columns are not read.
 """
@@ -127,9 +126,10 @@ class PieceLattice:
         into: list[list[tuple[int, float, bytes]]] = [[] for _ in range(len(text) + 1)]
         for i, j, score, piece in edges:
             into[j].append((i, score, piece))
-        agenda, made, out = [(-best[-1], 0, len(text), 0.0, None)], 0, []
+        # of equal scores the one nearest to the start goes on, so that ties don't pile up
+        agenda, made, out = [(-best[-1], len(text), 0, 0.0, None)], 0, []
         while agenda and len(out) < (n or self.n):
-            _, _, at, behind, chain = heapq.heappop(agenda)
+            _, at, _, behind, chain = heapq.heappop(agenda)
             if at == 0:
                 ids = []
                 while chain:
@@ -140,7 +140,7 @@ class PieceLattice:
             for start, score, piece in into[at]:
                 made += 1
                 total = behind + score
-                heapq.heappush(agenda, (-(best[start] + total), made, start, total, (piece, chain)))
+                heapq.heappush(agenda, (-(best[start] + total), start, made, total, (piece, chain)))
         return out
 
     def split(self, text: str) -> list[str]:

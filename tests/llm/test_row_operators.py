@@ -1,0 +1,283 @@
+"""Operators that judge row by row: tokens, personal data, quality, language, lattice, shards."""
+
+import collections
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+import public_tokenizers
+from sensorweave.llm import language, pii, piece_lattice, quality_rules, sharding, token_counts
+from sensorweave.llm.common import by_bytes
+
+from .cases import CLASHING, awkward, frame, prose
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def test_by_bytes_covers_everything_in_order():
+    for sizes in ([], [5], [0, 0, 0], [9, 1, 1, 20, 3, 0], [0, 50]):
+        cuts = list(by_bytes(sizes, 10))
+        assert [i for a, b in cuts for i in range(a, b)] == list(range(len(sizes)))
+
+
+# token counts
+
+def test_split_texts_count_like_whole_ones():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rng = random.Random(0)
+    parts = ["the", " ", "  ", "\n", "▁", "é", "日本", ".", "ing", "<s>", "\t", "a b"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(400)] + [None, "", " ", "ab ", " ab"]
+    got = token_counts.token_lengths(texts, PIECES, split=5, batch=64)
+    assert got.tolist() == [len(model.encode(t or "")) for t in texts]
+
+
+def test_token_counts_of_awkward_rows(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    got = token_counts.count_tokens(frame(spark, awkward())).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    want = [(i, len((t or "").encode()), len(model.encode(t or "")), len(model.encode(t or "")) > 4096) for i, t in awkward()]
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    assert token_counts.count_tokens(frame(spark, [])).count() == 0
+
+
+# personal data
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def by_patterns(text):
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in CARD.finditer(text):
+        digits = [int(c) for c in m[0] if c.isdigit()]
+        double = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+        if 16 <= len(digits) <= 19 and sum(double) % 10 == 0:
+            out.append(("card", *m.span()))
+    return out + [("phone", *m.span()) for m in PHONE.finditer(text) if 8 <= sum(c.isdigit() for c in m[0]) <= 15]
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(1)
+    parts = list("0123456789") + list(".. --+@aZ_%()é \n") + ["4111111111111111", "1.2.3.4", "a@b.c", "+1 (017) 555-7713", "٣", "4111-1111 11111111"]
+    for _ in range(8000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
+        assert [s for s in pii.find_spans(text) if s[0] in pii.BASE_KINDS] == by_patterns(text), text
+
+
+@pytest.mark.parametrize(("text", "kind", "value"), [
+    ("IBAN: DE89 3704 0044 0532 0130 00 and so on", "account", "DE89 3704 0044 0532 0130 00"),
+    ("IBAN: DE88 3704 0044 0532 0130 00", None, None),
+    ("Account no: 12345678 is mine", "account", "12345678"), ("the account: of years", None, None),
+    ("ssn: 123-45-6789.", "account", "123-45-6789"), ("ssn: 000-45-6789", None, None),
+    ('token = "04dbebab91ab85687d33"', "secret", "04dbebab91ab85687d33"), ("a token of thanks", None, None),
+    ("mailto:jo@localhost now", "contact", "jo@localhost"), ("see https://bob:pw12@host.org/x.", "url", "https://bob:pw12@host.org/x"),
+    ("see https://host.org/x", None, None)])
+def test_spans_added_by_cue(text, kind, value):
+    added = [s for s in pii.find_spans(text) if s[0] in pii.ADDED_KINDS]
+    assert [(k, text[a:b]) for k, a, b in added] == ([(kind, value)] if kind else [])
+
+
+def test_redaction_keeps_rows_and_other_columns(spark):
+    docs = frame(spark, [*awkward(), (20, "write a.b@c.de or 10.0.0.1 now")])
+    done = pii.redact_documents(docs)
+    assert done.columns == docs.columns and done.count() == docs.count()
+    texts = {r.doc_id: r.text for r in done.collect()}
+    assert texts[20] == "write [EMAIL] or [IP] now" and texts[2] is None and texts[3] == "" and texts[1] == prose(1, 120)
+    assert pii.find_pii(frame(spark, [])).count() == 0
+    assert pii.redact_text("ab", [("x", 0, 2), ("y", 1, 2)]) == "[X]"
+    assert pii.find_spans("0" * 6000 + ".1.2.3")[0][0] == "ip"
+
+
+# quality
+
+def counted(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, seen, dup, hit = len(words), set(), 0, set()
+    windows = collections.Counter(tuple(words[i : i + 5]) for i in range(n - 4))
+    for i in range(n - 4):
+        if windows[tuple(words[i : i + 5])] > 1:
+            hit.update(range(i, i + 5))
+    for line in (text or "").split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(hit), n < 10 or 100 * len(hit) > 20 * n)
+
+
+def test_statistics_equal_plain_counting(spark):
+    rng = random.Random(4)
+    texts = [t for _, t in awkward()]
+    texts += [" ".join(rng.choice("ab#|\n\x1cé") + rng.choice(["", "\n", "\t"]) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    texts += ["a b c d e " * 4, "a a a a a a a", "l one\nl one\n\n\nl one\n x", "one word \x85 x"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    got = {r.doc_id: tuple(r[n] for n in names) for r in quality_rules.text_statistics(frame(spark, rows)).collect()}
+    assert got == {i: counted(t) for i, t in rows}
+
+
+def test_rules_are_learned_applied_and_keep_columns(spark):
+    good = [(i, prose(100 + i, 60)) for i in range(120)]
+    junk = [(1000 + i, " ".join(w + "***" for w in prose(500 + i, 50).split())) for i in range(60)]
+    docs = frame(spark, good + junk + [(None, None), (5000, ""), (5001, good[0][1]), (5001, good[0][1])])
+    marks = [(i, 1) for i, _ in good] + [(i, 0) for i, _ in junk] + [(None, 0), (3, None), (7, 1), (8, 0), (8, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    rules = quality_rules.learn_rules(docs, labels)
+    assert rules.rules and not any(r.keep for r in rules.rules)
+    kept = quality_rules.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(ids) == sorted([i for i, _ in good] + [5001, 5001])
+    assert quality_rules.keep_good(frame(spark, []), labels).count() == 0
+
+
+def test_rules_without_labels_keep_what_the_base_rule_passes(spark):
+    docs = frame(spark, awkward())
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality_rules.learn_rules(docs, none).rules == ()
+    want = [i for i, t in awkward() if not counted(t)[5]]
+    assert collections.Counter(r.doc_id for r in quality_rules.keep_good(docs, none).collect()) == collections.Counter(want)
+
+
+def test_verdict_column_equals_the_list_row_by_row(spark):
+    C, R = quality_rules.Condition, quality_rules.Rule
+    rules = quality_rules.DecisionList((R((C("a", True, 1.0), C("b", False, 2.0)), False), R((C("a", True, 1.0),), True), R((C("b", True, 5.0),), False)))
+    rows = [(a, b) for a in (None, 0.0, 1.0, 1.5) for b in (None, 2.0, 3.0, 6.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    assert [r.v for r in df.select(rules.verdict().alias("v")).collect()] == [rules.decide({"a": a, "b": b}) for a, b in rows]
+
+
+# language
+
+def test_chunked_grams_equal_whole_ones(monkeypatch):
+    rng = random.Random(5)
+    for _ in range(60):
+        text = "".join(rng.choice("abÄé  .1ñß\n") for _ in range(rng.randint(0, 200)))
+        monkeypatch.setattr(language, "_CHUNK", 1 << 20)
+        whole = language.ngram_counts(text)
+        monkeypatch.setattr(language, "_CHUNK", 7)
+        part = language.ngram_counts(text)
+        assert (whole is None) == (part is None) and (whole is None or (whole == part).all())
+
+
+def test_languages_are_told_apart_on_held_out_rows(spark):
+    rng = random.Random(6)
+    stock = {"aa": "ka ri mo ti sa lu", "bb": "schw ung ent heit pf", "cc": "ción ado ñar iez que"}
+    rows = [(i, " ".join("".join(rng.choice(stock[lang].split()) for _ in range(3)) for _ in range(30)), lang)
+            for i, lang in enumerate(rng.choices(sorted(stock), k=400))]
+    rows += [(None, "karimo tisalu", "aa"), (900, None, "aa"), (901, "12 34 !", "aa"), (902, "karimo tisalu karimo", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.predict(docs, language.fit(docs)).collect()}
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, _, _ in rows if i is not None)
+    held = [(lang, got[i].lang_pred) for i, _, lang in rows[:400] if got[i].held_out]
+    assert len(held) > 50 and sum(a == b for a, b in held) >= 0.95 * len(held)
+    assert (got[900].lang_pred, got[901].lang_pred, got[902].lang_pred) == ("und", "und", "aa")
+    assert got[None].held_out is False and all(0 <= r.score <= 1 for r in got.values())
+    empty = docs.where("false")
+    assert language.predict(empty, language.fit(empty)).count() == 0
+    unlearned = docs.withColumn("lang", docs.lang.substr(0, 0)).na.replace("", None, "lang")
+    assert {r.lang_pred for r in language.predict(docs, language.fit(unlearned)).collect()} == {"und"}
+
+
+def test_a_text_far_from_all_centroids_is_rejected():
+    grams = [language.ngram_counts(t) for t in ("aaa aab aba", "zzz zzy zyz")]
+    idf = np.ones(language.DIMENSIONS, np.float32)
+    vectors = np.stack([language.unit_vector(g, idf) for g in grams])
+    model = language.Centroids(["a", "z"], vectors, np.array([0.1, 0.1]), idf)
+    assert model.predict("aaa aba")[0] == "a" and not model.predict("aaa aab aba")[2] and model.predict("qqq kkk www")[2]
+
+
+# lattice
+
+def test_nbest_equals_trying_all_segmentations():
+    model = piece_lattice.PieceLattice.load(PIECES, 3)
+    rng = random.Random(7)
+    parts = ["a", "b", "the ", "ing", " ", "é", ".", "漢", "😀", "T", ",", "x\n", "1"]
+
+    def every(s, i=0):
+        if i == len(s):
+            yield 0.0, b""
+            return
+        if not model.table.get(s[i]):
+            for score, ids in every(s, i + 1):
+                yield model.unknown + score, model._spelled(s[i]) + ids
+        for j in range(i + 1, len(s) + 1):
+            if edge := model.table.get(s[i:j]):
+                for score, ids in every(s, j):
+                    yield edge[0] + score, edge[1] + ids
+
+    for _ in range(200):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 5)))[:9]
+        paths = model.nbest(text)
+        tried = list(every((" " + text).replace(" ", "▁")))
+        assert [s for s, _ in paths] == sorted((s for s, _ in tried), reverse=True)[:3]
+        assert len({i for _, i in paths}) == len(paths) and set(paths) <= set(tried)
+        assert model.decode(paths[0][1]) == text
+
+
+def test_lattice_rows_round_trip(spark):
+    docs = frame(spark, awkward())
+    got = piece_lattice.encode_nbest(docs, n=2)
+    back = got.select("doc_id", piece_lattice.decoded(got.paths[0].ids, PIECES).alias("text")).collect()
+    want = sorted(((i, t or "") for i, t in awkward()), key=str)
+    assert sorted(map(tuple, back), key=str) == want
+    assert all(r.round_trip for r in piece_lattice.summarise_nbest(docs).collect())
+    assert piece_lattice.encode_nbest(frame(spark, [])).count() == 0
+
+
+# shards
+
+def claimed_in_turns(shards, size, weights):
+    """The table filled with explicit preference lists."""
+    order = []
+    for s in shards:
+        offset, skip = sharding._hash(f"offset:{s}") % size, sharding._hash(f"skip:{s}") % (size - 1) + 1
+        order.append([(offset + k * skip) % size for k in range(size)])
+    table = {}
+    while len(table) < size:
+        for s in range(len(shards)):
+            for _ in range(weights[s]):
+                free = next((x for x in order[s] if x not in table), None)
+                if free is not None:
+                    table[free] = s
+    return [table[i] for i in range(size)]
+
+
+def test_table_equals_claiming_in_turns():
+    for shards, weights in ((["a"], [1]), (["a", "b", "c"], [1, 1, 1]), (["x", "y", "z"], [3, 0, 1])):
+        assert sharding.build_table(shards, 101, weights) == claimed_in_turns(shards, 101, weights)
+    even = collections.Counter(sharding.build_table([f"s{i}" for i in range(7)], 1009))
+    assert max(even.values()) - min(even.values()) <= 1
+    old = sharding.build_table([f"s{i}" for i in range(20)], 10_007)
+    new = sharding.build_table([f"s{i}" for i in range(21)], 10_007)
+    assert sharding.moved_share(old, new) < 0.12
+    for bad in ([], ["a", "a"]):
+        with pytest.raises(ValueError):
+            sharding.build_table(bad)
+    with pytest.raises(ValueError):
+        sharding.build_table(["a"], 100)
+
+
+def test_every_row_gets_the_shard_of_its_slot(spark):
+    import hashlib
+
+    shards = [f"s{i}" for i in range(5)]
+    docs = frame(spark, awkward())
+    placed = sharding.assign_shards(docs, sharding.table_frame(spark, shards, 1009), size=1009, fallback=["text"])
+    assert set(placed.columns) == set(docs.columns) and placed.count() == docs.count()
+    table = sharding.build_table(shards, 1009)
+    for r in placed.collect():
+        key = str(r.doc_id) if r.doc_id is not None else (r.text or "")
+        slot = int(hashlib.md5(key.encode()).hexdigest()[:15], 16) % 1009
+        assert (r.slot, r.shard) == (slot, shards[table[slot]])
+    assert sharding.assign_shards(frame(spark, []), sharding.table_frame(spark, shards, 101), size=101).count() == 0
