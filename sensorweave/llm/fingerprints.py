@@ -120,7 +120,8 @@ def _range_of(order: Column, bounds: list[int]) -> Column:
     array = lambda xs: F.array(*[F.lit(x) for x in xs])
     below = lambda xs: F.size(F.filter(xs, lambda b: b < order))
     chunk = below(array([c[-1] for c in chunks]))
-    return chunk * width + F.coalesce(below(F.get(F.array(*[array(c) for c in chunks]), chunk)), F.lit(0))
+    inside = chunk * width + below(F.get(F.array(*[array(c) for c in chunks]), chunk))
+    return F.when(chunk < len(chunks), inside).otherwise(F.lit(len(bounds)))
 
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None) -> DataFrame:
