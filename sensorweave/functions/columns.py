@@ -1,4 +1,4 @@
-"""Column-name rules: normalisation, prefixing and name predicates.
+"""Column-name rules: name predicates and canonical order.
 
 These act on the schema (driver-side lists of names), never on data.
 """
@@ -8,27 +8,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def normalise_names(df: DataFrame) -> DataFrame:
-    """Strip blanks and lower-case every column name."""
-    return df.toDF(*[c.strip().lower() for c in df.columns])
-
-
-def prefix_names(df: DataFrame, prefix: str, keep: Iterable[str] = ()) -> DataFrame:
-    """Rename every column ``c`` not in ``keep`` to ``{prefix}_{c}``."""
-    keep = set(keep)
-    return df.withColumnsRenamed({c: f"{prefix}_{c}" for c in df.columns if c not in keep})
-
-
-def rename_exact(df: DataFrame, old: str, new: str) -> DataFrame:
-    """Rename one column only when its name matches exactly."""
-    return df.withColumnRenamed(old, new) if old in df.columns else df
-
-
-def drop_if_present(df: DataFrame, *names: str) -> DataFrame:
-    return df.drop(*[n for n in names if n in df.columns])
 
 
 def names_containing(df: DataFrame, token: str, exclude: Iterable[str] = ()) -> list[str]:
@@ -36,17 +15,7 @@ def names_containing(df: DataFrame, token: str, exclude: Iterable[str] = ()) ->
     return [c for c in df.columns if token in c and c not in exclude]
 
 
-def names_except(df: DataFrame, exclude: Iterable[str]) -> list[str]:
-    exclude = set(exclude)
-    return [c for c in df.columns if c not in exclude]
-
-
 def order_columns(df: DataFrame, first: Iterable[str]) -> DataFrame:
     """Put ``first`` (those present) before the remaining columns."""
     first = [c for c in first if c in df.columns]
     return df.select(*first, *[c for c in df.columns if c not in first])
-
-
-def scale_columns(df: DataFrame, names: Iterable[str], fn) -> DataFrame:
-    """Apply a ``Column -> Column`` conversion to the named columns."""
-    return df.withColumns({n: fn(F.col(n)) for n in names})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 IDENTITY = "identity"   # unmapped codes keep their own text
 NULL = "null"           # unmapped codes become null
+ERROR = "error"         # an unmapped code fails the job, naming the code
 # any other string: unmapped codes become that literal (e.g. "other")
 
 
@@ -33,12 +34,14 @@ def expand_lists(groups: Mapping[str, list]) -> dict:
 def map_label(code: Column, mapping: Mapping, default: str = NULL) -> Column:
     """Look ``code`` up in ``mapping``; unmapped codes follow ``default``.
 
-    Integer-keyed maps compare numerically: ``code`` is cast to the key type
-    (text that is not an integer counts as unmapped).
+    Integer-keyed maps compare numerically: the text ``1.0`` is the code 1;
+    text that is not a whole number counts as unmapped. A missing code is not
+    an error under ``ERROR``.
     """
     keys = list(mapping)
     if keys and all(isinstance(k, int) for k in keys):
-        key = code.cast("string").try_cast("long")
+        number = code.cast("string").try_cast("double")
+        key = F.coalesce(code.cast("string").try_cast("long"), F.when(number == F.floor(number), number.try_cast("long")))
         m = map_literal({int(k): v for k, v in mapping.items()})
     else:
         key = code.cast("string")
@@ -48,8 +51,7 @@ def map_label(code: Column, mapping: Mapping, default: str = NULL) -> Column:
         return found
     if default == IDENTITY:
         return F.coalesce(found, code.cast("string"))
+    if default == ERROR:
+        unknown = F.raise_error(F.concat(F.lit("no label for code "), code.cast("string"))).cast("string")
+        return F.when(found.isNotNull() | code.isNull(), found).otherwise(unknown)
     return F.coalesce(found, F.lit(default))
-
-
-def constant_label(value: str) -> Column:
-    return F.lit(value)

@@ -14,12 +14,6 @@ INT16_ACC_SCALE = (2.0 * STANDARD_GRAVITY) / 32768.0
 INT16_GYR_SCALE = (2000.0 * math.pi / 180.0) / 32768.0
 DEG_TO_RAD = math.pi / 180.0
 
-# Text accepted as a number: optional sign, digits with optional fraction,
-# optional exponent, or inf/infinity; surrounding blanks allowed. Anything
-# else (including Java-style suffixes such as '1d') is not a number.
-NUMERIC_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
-
-
 def six_bit_to_ms2(code: Column) -> Column:
     """6-bit accelerometer code (0..63 spans -1.5 g..+1.5 g) to m/s^2."""
     return (F.lit(-1.5) + (code / F.lit(63.0)) * F.lit(3.0)) * F.lit(STANDARD_GRAVITY)
@@ -44,12 +38,18 @@ def deg_to_rad(value: Column) -> Column:
 def coerce_numeric(text: Column) -> Column:
     """Parse text as a double; anything that is not a number becomes null.
 
-    Numeric columns are passed through after casting; NaN becomes null so
-    that a missing value has one representation.
+    A number is an optional sign, digits with an optional fraction and an
+    optional exponent, or inf/infinity, with blanks around it. The cast alone
+    also takes Java's type suffixes (``1d``) and hexadecimal digits: these are
+    told by one letter. Numeric columns pass through; NaN becomes null so that
+    a missing value has one representation.
     """
-    as_text = text.cast("string")
-    parsed = F.when(as_text.rlike(NUMERIC_TEXT), F.trim(as_text).try_cast("double"))
-    return F.nanvl(parsed, F.lit(None).cast("double"))
+    as_text = F.trim(text.cast("string"))
+    value = as_text.try_cast("double")
+    last = F.lower(F.right(as_text, F.lit(1)))
+    typed = last.isin("d", "f") & ~F.lower(as_text).endswith("inf")
+    hexadecimal = F.contains(F.lower(as_text), F.lit("x"))
+    return F.nanvl(F.when(~typed & ~hexadecimal, value), F.lit(None).cast("double"))
 
 
 def nan_to_null(value: Column) -> Column:

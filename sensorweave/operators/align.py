@@ -9,13 +9,17 @@ key, a huge recording spreads over all tasks.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorweave.functions.units import nan_to_null
+from sensorweave.operators.joins import null_safe_join
+from sensorweave.session import materialize
 
-MEAN, MAX, ERROR = "mean", "max", "error"
+MEAN, MAX, FIRST, ERROR = "mean", "max", "first", "error"
 
 
 def default_name(sensor: str, value: str) -> str:
@@ -34,33 +38,52 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], t: str, sensor: str) -> D
 def widen(df: DataFrame, keys: Sequence[str], t: str, sensor: str,
           sensors: Sequence[str], values: Sequence[str],
           name: Callable[[str, str], str] = default_name,
-          dedupe: str = MEAN) -> DataFrame:
+          dedupe: str = MEAN, order: str | None = None) -> DataFrame:
     """Align ``sensors`` on ``t``: columns ``name(sensor, value)`` per pair.
 
     ``dedupe`` decides what happens to two samples of one sensor at one ``t``:
     ``mean`` averages them (nulls and NaN skipped), ``max`` keeps the largest,
-    ``error`` drops the whole recording (see :func:`duplicate_keys` for the
-    report of such recordings). Sensors absent at a ``t`` give nulls there.
+    ``first`` the one smallest in ``order``, ``error`` drops the whole
+    recording (see :func:`widen_or_set_aside` for those). Sensors absent at a
+    ``t`` give nulls there; samples of other sensors make no row.
     """
     keys = list(keys)
     if dedupe == ERROR:
-        bad = duplicate_keys(df, keys, t, sensor).select(*keys)
-        df = df.join(bad, on=keys, how="left_anti")
-        dedupe = MAX  # at most one sample per (recording, t, sensor) is left
-    aggs = []
+        return widen_or_set_aside(df, keys, t, sensor, sensors, values, name)[0]
+    df = df.filter(F.col(sensor).isin(list(sensors)))
     if dedupe == MEAN:
-        for s in sensors:
-            for v in values:
-                aggs.append(F.avg(F.when(F.col(sensor) == F.lit(s), nan_to_null(F.col(v))))
-                            .alias(name(s, v)))
+        aggs = [F.avg(F.when(F.col(sensor) == F.lit(s), nan_to_null(F.col(v)))).alias(name(s, v))
+                for s in sensors for v in values]
         return df.groupBy(*keys, t).agg(*aggs)
-    if dedupe == MAX:
-        # one struct aggregate per sensor keeps the aggregation narrow even
-        # when a sensor carries dozens of metrics
-        for s in sensors:
-            st = F.struct(*[F.col(v).alias(v) for v in values])
-            aggs.append(F.max(F.when(F.col(sensor) == F.lit(s), st)).alias(f"_w_{s}"))
-        wide = df.groupBy(*keys, t).agg(*aggs)
-        return wide.select(*keys, t, *[F.col(f"_w_{s}.{v}").alias(name(s, v))
-                                       for s in sensors for v in values])
-    raise ValueError(f"unknown dedupe policy {dedupe!r}")
+    if dedupe not in (MAX, FIRST) or (dedupe == FIRST) != (order is not None):
+        raise ValueError(f"unknown dedupe policy {dedupe!r}, or an order without 'first'")
+    # one struct aggregate per sensor keeps the aggregation narrow even when a
+    # sensor carries dozens of metrics
+    wide = df.groupBy(*keys, t).agg(*[_one_sample(sensor, s, values, order).alias(f"_w_{s}") for s in sensors])
+    return wide.select(*keys, t, *_spread(sensors, values, name))
+
+
+def _one_sample(sensor: str, s: str, values: Sequence[str], order: str | None) -> Column:
+    sample = F.when(F.col(sensor) == F.lit(s), F.struct(*[F.col(v).alias(v) for v in values]))
+    return F.max(sample) if order is None else F.min_by(sample, F.when(F.col(sensor) == F.lit(s), F.col(order)))
+
+
+def _spread(sensors: Sequence[str], values: Sequence[str], name: Callable[[str, str], str]) -> list[Column]:
+    return [F.col(f"_w_{s}.{v}").alias(name(s, v)) for s in sensors for v in values]
+
+
+def widen_or_set_aside(df: DataFrame, keys: Sequence[str], t: str, sensor: str,
+                       sensors: Sequence[str], values: Sequence[str],
+                       name: Callable[[str, str], str] = default_name) -> tuple[DataFrame, DataFrame]:
+    """The wide table of the recordings in which no sensor has two samples at
+    one ``t``, and the keys of the others. Samples are counted in the same
+    aggregation that aligns them; its result is written once, as both outputs
+    read it."""
+    keys = list(keys)
+    df = df.filter(F.col(sensor).isin(list(sensors)))
+    aggs = [_one_sample(sensor, s, values, None).alias(f"_w_{s}") for s in sensors]
+    repeated = [F.count_if(F.col(sensor) == F.lit(s)) > 1 for s in sensors]
+    wide = materialize(df.groupBy(*keys, t).agg(*aggs, reduce(or_, repeated).alias("_repeated")), "aligned")
+    bad = wide.filter("_repeated").select(*keys).distinct()
+    good = null_safe_join(wide, bad, keys, "left_anti")
+    return good.select(*keys, t, *_spread(sensors, values, name)), bad

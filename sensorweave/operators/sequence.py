@@ -29,7 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorweave.session import shuffle_partitions
+from sensorweave.operators.joins import null_safe_join
+from sensorweave.session import materialize, shuffle_partitions
 
 SEG = "_sw_seg"
 TARGET_ROWS = 1 << 17
@@ -67,7 +68,7 @@ def with_segments(df: DataFrame, keys: Sequence[str], order: str,
     if keys:
         # one row per recording: AQE broadcasts it when its measured size is
         # small, otherwise sort-merge with skew-join splitting of hot keys
-        joined = df.join(stats.select(*keys, "_sw_lo", "_sw_w"), on=keys, how="left")
+        joined = null_safe_join(df, stats.select(*keys, "_sw_lo", "_sw_w"), keys)
     else:
         lo, w = stats.select("_sw_lo", "_sw_w").first() or (0, 1.0)
         joined = df.withColumn("_sw_lo", F.lit(lo)).withColumn("_sw_w", F.lit(w))
@@ -111,7 +112,7 @@ def seq_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str
         *keys, SEG,
         F.coalesce(F.sum("_sw_cnt").over(
             _seg_window(keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_sw_off"))
-    res = (seg.join(offsets, on=[*keys, SEG], how="left")
+    res = (null_safe_join(seg, offsets, [*keys, SEG])
            .withColumn(out, (F.col("_sw_off") + F.col("_sw_local")).cast("long"))
            .drop("_sw_off", "_sw_local", "_sw_cnt"))
     return res if keep_segment else res.drop(SEG)
@@ -153,7 +154,7 @@ def seq_shift(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
         extra.append(F.first("_sw_edge").over(_seg_window(keys).rowsBetween(
             Window.unboundedPreceding, Window.unboundedFollowing)).alias(first_out))
     edges = edges.select(*keys, SEG, carry.alias("_sw_carry"), *extra)
-    res = (seg.join(edges, on=[*keys, SEG], how="left")
+    res = (null_safe_join(seg, edges, [*keys, SEG])
            .withColumn(out, F.when(F.col("_sw_at_edge"), F.col("_sw_carry"))
                        .otherwise(F.col("_sw_local")))
            .drop("_sw_at_edge", "_sw_local", "_sw_carry", "_sw_first"))
@@ -178,7 +179,7 @@ def seq_ffill(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     carry = F.last("_sw_edge", ignorenulls=True).over(
         _seg_window(keys).rowsBetween(Window.unboundedPreceding, -1))
     edges = edges.select(*keys, SEG, carry.alias("_sw_carry"))
-    res = (seg.join(edges, on=[*keys, SEG], how="left")
+    res = (null_safe_join(seg, edges, [*keys, SEG])
            .withColumn(out, F.coalesce(F.col("_sw_local"), F.col("_sw_carry")))
            .drop("_sw_local", "_sw_carry", "_sw_last"))
     return res if keep_segment else res.drop(SEG)
@@ -202,28 +203,29 @@ def with_recording_stats(df: DataFrame, keys: Sequence[str], order: str,
         row = stats.first()
         return df.withColumns({f"{prefix}_min": F.lit(row[0]), f"{prefix}_max": F.lit(row[1]),
                                f"{prefix}_rows": F.lit(row[2])})
-    return df.join(stats, on=keys, how="left")
+    return null_safe_join(df, stats, keys)
 
 
 def global_index(df: DataFrame, order: Sequence[str], out: str,
                  partitions: int | None = None) -> DataFrame:
     """0-based position of each row in a total ``order`` over the whole frame.
 
-    Works for any orderable key (strings too): rows are range-partitioned on
-    ``order``, numbered inside each range, and offset by the row counts of the
-    earlier ranges. The offset table has one row per range partition, a bound
-    fixed by ``partitions``, so broadcasting it is safe.
+    Works for any orderable key (strings too): rows are range-partitioned and
+    sorted on ``order`` and written once, so that counts and numbers come from
+    the same ranges whatever else is selected; each row's place in its range is
+    offset by the row counts of the earlier ranges. The offset table has one
+    row per range partition, a bound fixed by ``partitions``, so broadcasting
+    it is safe.
     """
     order = list(order)
     n = partitions or shuffle_partitions(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *order)
-              .withColumn("_sw_part", F.spark_partition_id()))
-    local = F.row_number().over(Window.partitionBy("_sw_part").orderBy(*order)) - F.lit(1)
-    ranged = ranged.withColumn("_sw_local", local)
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_sw_id", F.monotonically_increasing_id()))
+    ranged = materialize(ranged, "ranges").withColumn("_sw_part", F.shiftright("_sw_id", 33))
     counts = ranged.groupBy("_sw_part").agg(F.count(F.lit(1)).alias("_sw_cnt"))
-    offsets = counts.withColumn(
-        "_sw_off", F.coalesce(F.sum("_sw_cnt").over(
-            Window.orderBy("_sw_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (ranged.join(F.broadcast(offsets.select("_sw_part", "_sw_off")), "_sw_part")
-            .withColumn(out, (F.col("_sw_off") + F.col("_sw_local")).cast("long"))
-            .drop("_sw_part", "_sw_local", "_sw_off"))
+    offsets = counts.select("_sw_part", (F.coalesce(F.sum("_sw_cnt").over(
+        Window.orderBy("_sw_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        - F.shiftleft(F.col("_sw_part"), 33)).alias("_sw_shift"))
+    return (ranged.join(F.broadcast(offsets), "_sw_part")
+            .withColumn(out, F.col("_sw_id") + F.col("_sw_shift"))
+            .drop("_sw_part", "_sw_id", "_sw_shift"))

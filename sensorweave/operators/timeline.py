@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sensorweave.functions import timegrid
 from sensorweave.operators import sequence as seq
+from sensorweave.operators.joins import null_safe_join
 
 # Grid points per segment in gap filling: bounds both the rows of one window
 # partition and the rows generated from one source row per explode level.
@@ -27,8 +28,7 @@ def round_to_grid(df: DataFrame, t: str, step: int, out: str | None = None) -> D
 
 def fill_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
               anchor: str = "epoch", carry: Sequence[str] = (),
-              segment_steps: int = GRID_SEGMENT_STEPS,
-              max_gap_steps: int | None = None, start_out: str | None = None) -> DataFrame:
+              segment_steps: int = GRID_SEGMENT_STEPS, start_out: str | None = None) -> DataFrame:
     """Give every grid point of each recording a row (reindex over a full range).
 
     The grid runs from the recording's first sample to its last in ``step``
@@ -43,8 +43,8 @@ def fill_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
     ends at the last grid point not after its largest ``t``; samples off that
     grid are dropped.
 
-    ``max_gap_steps`` leaves gaps longer than that many steps unfilled (a
-    counter reset would otherwise be filled); :func:`grid_gaps` reports them.
+    Every gap is filled, however long; :func:`grid_gaps` reports them (a
+    counter reset shows as a very long one).
 
     ``start_out`` adds the recording's first grid point to every output row
     (for rebasing time to the start without another pass).
@@ -71,8 +71,6 @@ def fill_grid(df: DataFrame, keys: Sequence[str], t: str, step: int,
                        width=float(step) * segment_steps, first_out=start_out)
     end = F.when(F.col("_fg_next").isNull(), last_point).otherwise(
         F.greatest(tcol, F.col("_fg_next") - F.lit(step)))
-    if max_gap_steps is not None:
-        end = F.when((end - tcol) > F.lit(step * max_gap_steps), tcol).otherwise(end)
     on = on.withColumn("_fg_end", end)
     chunk = step * EXPLODE_CHUNK
     # two-level generation keeps every generated array at most EXPLODE_CHUNK long
@@ -113,7 +111,7 @@ def elapsed_since_start(df: DataFrame, keys: Sequence[str], t: str, out: str,
     """
     keys = list(keys)
     stats = df.groupBy(*keys).agg(F.min(t).alias("_t0"))
-    joined = df.join(stats, on=keys, how="left") if keys else df.withColumn(
+    joined = null_safe_join(df, stats, keys) if keys else df.withColumn(
         "_t0", F.lit(stats.first()[0]))
     delta = F.col(t) - F.col("_t0")
     val = timegrid.floor_div(delta, unit) if unit != 1 else delta

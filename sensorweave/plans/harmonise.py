@@ -25,7 +25,8 @@ def harmonise_long(df: DataFrame, sid: str, sensor: str, ts: str, sensors: Seque
     """``(sid, sensor, ts, values...)`` -> ``time_ms, sid, surface, {sensor}_{metric}_{value}...``.
 
     ``step_us`` is the grid step in microseconds (10 ms for 100 Hz). Samples
-    with a null clock are dropped (they belong to no slot). ``convert`` is
+    with a null clock are dropped (they belong to no slot), and so are those of
+    sensors not listed (they make no slot). ``convert`` is
     applied to every sensor column after alignment (g -> m/s^2 by default).
     """
     names = {(s, v): f"{s}_{metric}_{v}".lower() for s in sensors for v in values}

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from sensorweave import catalog
 from sensorweave.functions.labels import expand_lists
-from sensorweave.functions.units import NUMERIC_TEXT
 from sensorweave.plans.queries import EVENT_ACTIVITY, EVENT_SENSORS, HOUR_US, PACKET_SENSORS, TEN_MS_US
 
 G = "9.80665::DOUBLE"
+# what counts as a number in text, stated here on its own
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 D = 9  # decimals of rounded averages
 
 
@@ -39,7 +40,7 @@ def _nn(x: str) -> str:
 
 
 def _coerce(x: str) -> str:
-    return (f"CASE WHEN regexp_matches(CAST({x} AS VARCHAR), '{NUMERIC_TEXT}') "
+    return (f"CASE WHEN regexp_matches(CAST({x} AS VARCHAR), '{NUMBER}') "
             f"THEN TRY_CAST(trim(CAST({x} AS VARCHAR)) AS DOUBLE) END")
 
 

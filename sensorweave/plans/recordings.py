@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 
 from sensorweave import catalog
 from sensorweave.functions import labels, paths, timegrid, units
-from sensorweave.functions.columns import names_containing, order_columns
-from sensorweave.operators import align, sequence as seq, stack, timeline
+from sensorweave.functions.columns import names_containing
+from sensorweave.operators import align, sequence as seq, timeline
 from sensorweave.plans.harmonise import harmonise_long
+from sensorweave.session import materialize
 from sensorweave.sources import files, text
 
-BASE = ["time_ms", "sid", "surface", "trial_no"]
-
 
 @dataclass
 class Harmonised:
@@ -35,6 +34,16 @@ def _rejects(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "path string, line_no long, reason string")
 
 
+def _whole_files(found: DataFrame, reason) -> DataFrame:
+    """Rejects of whole files, from a file listing and a reason per path."""
+    return (found.select("path", F.lit(None).cast("long").alias("line_no"), reason.alias("reason"))
+            .where(F.col("reason").isNotNull()))
+
+
+def _outside(sid, lo: int, hi: int):
+    return F.coalesce(~sid.between(lo, hi), F.lit(True))
+
+
 # ---------------------------------------------------------------- E6 mhealth
 
 MHEALTH_SUBJECT = r"^mHealth_subject(\d+)\.log$"
@@ -53,12 +62,22 @@ def harmonise_mhealth(spark: SparkSession, root: str, glob: str = "mHealth_subje
     reports the missing ones.
     """
     names = catalog.MHEALTH_COLUMNS
-    scan = text.read_delimited(spark, root, names, sep="\t", glob=glob,
-                               recursive=not enumerated)
-    sid = F.regexp_extract(F.col(subject_in), subject_pattern, 1).try_cast("int")
     lo, hi = catalog.EXPECTED_SUBJECTS["mhealth"]
-    rows = scan.rows.withColumn("sid", sid)
-    rows = rows.filter(F.col("sid").between(lo, hi)) if enumerated else rows.filter(F.col("sid").isNotNull())
+
+    def subject(path):
+        where = paths.file_name(path) if subject_in == "name" else path
+        return F.regexp_extract(where, subject_pattern, 1).try_cast("int")
+
+    def reason(path):
+        sid = subject(path)
+        out = F.when(sid.isNull(), F.lit("no subject in the file name"))
+        return out.when(_outside(sid, lo, hi), F.lit("subject outside the layout's range")) if enumerated else out
+
+    look = {"glob": glob, "recursive": not enumerated}
+    scan = text.read_delimited(spark, root, names, sep="\t", where=lambda p: reason(p).isNull(), **look)
+    listed = text.list_files(spark, root, **look)
+    rejects = scan.rejects.unionByName(_whole_files(listed, reason(F.col("path"))))
+    rows = scan.rows.withColumn("sid", subject(F.col("path")))
     data_cols = [c for c in names if c != "surface"]
     rows = text.as_double(rows, data_cols)
     rows = rows.withColumn("surface", labels.map_label(F.col("surface"), catalog.MHEALTH_SURFACES,
@@ -68,9 +87,9 @@ def harmonise_mhealth(spark: SparkSession, root: str, glob: str = "mHealth_subje
     rows = seq.seq_ffill(rows, ["path"], ["line_no"], "surface", width=float(seq.TARGET_ROWS))
     gyr = names_containing(rows.select(*data_cols), "gyr")
     rows = rows.withColumns({c: units.deg_to_rad(F.col(c)) for c in gyr})
-    missing = (files.missing_inputs(files.expected_range(spark, "sid", lo, hi), rows, "sid")
-               if enumerated else None)
-    return Harmonised(rows.select("time_ms", "sid", "surface", *data_cols), scan.rejects, missing)
+    missing = (files.missing_inputs(files.expected_range(spark, "sid", lo, hi),
+                                    listed.select(subject(F.col("path")).alias("sid")), "sid") if enumerated else None)
+    return Harmonised(rows.select("time_ms", "sid", "surface", *data_cols), rejects, missing)
 
 
 # ---------------------------------------------------------------- E5 hugadb
@@ -87,13 +106,20 @@ def harmonise_hugadb(spark: SparkSession, root: str, sid_pattern: str | None = N
     """
     names = catalog.HUGADB_COLUMNS
     by_path = sid_pattern is not None
-    scan = text.read_commented(spark, root, names, glob="*.txt", recursive=by_path,
-                               skip_names=["readme.txt", "readme.md"])
-    if by_path:
-        sid = F.regexp_extract(F.col("path"), sid_pattern, 1).try_cast("int")
-        trial = F.regexp_extract(F.col("path"), trial_pattern, 1).try_cast("int")
-    else:
-        sid, trial = paths.underscored_ids(paths.file_stem(F.col("path")))
+
+    def ids(path):
+        if not by_path:
+            return paths.underscored_ids(paths.file_stem(path))
+        return tuple(F.regexp_extract(path, p, 1).try_cast("int") for p in (sid_pattern, trial_pattern))
+
+    def reason(path):
+        sid, trial = ids(path)
+        return F.when(sid.isNull() | trial.isNull(), F.lit("no subject and trial number in the file name"))
+
+    look = {"glob": "*.txt", "recursive": by_path, "skip_names": ["readme.txt", "readme.md"]}
+    scan = text.read_commented(spark, root, names, where=lambda p: reason(p).isNull(), **look)
+    sid, trial = ids(F.col("path"))
+    rejects = scan.rejects.unionByName(_whole_files(text.list_files(spark, root, **look), reason(F.col("path"))))
     sensor_cols = [c for c in names if c != "activityid"]
     rows = text.as_double(scan.rows, sensor_cols)
     rows = rows.select(
@@ -104,7 +130,7 @@ def harmonise_hugadb(spark: SparkSession, root: str, sid_pattern: str | None = N
         *[F.col(c) for c in sensor_cols])
     rows = rows.withColumns({c: units.int16_acc_to_ms2(F.col(c)) for c in sensor_cols if "acc" in c})
     rows = rows.withColumns({c: units.int16_gyr_to_rads(F.col(c)) for c in sensor_cols if "gyr" in c})
-    return Harmonised(rows, scan.rejects)
+    return Harmonised(rows, rejects)
 
 
 # ---------------------------------------------------------------- E4 bruno
@@ -116,25 +142,21 @@ def harmonise_bruno(spark: SparkSession, root: str, activity_pattern: str | None
     by first appearance in path order; ``*_MODEL`` folders and manuals are
     skipped. ``activity_pattern``/``volunteer_pattern`` (regex, first group,
     on the path) replace the file-name rule."""
-    scan = text.read_headerless(spark, root, 3, pattern=r"\s+|,",
-                                skip_parent_suffix="_MODEL",
-                                skip_names=["manual.txt", "readme.txt"], require_suffix=".txt")
+    def parts(path):
+        if activity_pattern is None:
+            return paths.dashed_metadata(paths.file_name(path))
+        activity, volunteer = (F.nullif(F.regexp_extract(path, p, 1), F.lit("")) for p in (activity_pattern, volunteer_pattern))
+        return activity.isNotNull() & volunteer.isNotNull(), activity, volunteer
+
+    look = {"skip_parent_suffix": "_MODEL", "skip_names": ["manual.txt", "readme.txt"], "require_suffix": ".txt"}
+    scan = text.read_headerless(spark, root, 3, pattern=r"\s+|,", where=lambda p: parts(p)[0], **look)
     # everything known per file is computed on the (small) file table and
     # joined back once: name parts, trial id by path order, subject id by
     # the volunteer's first path
-    files_t = scan.files
-    if activity_pattern is not None:
-        activity = F.nullif(F.regexp_extract(F.col("path"), activity_pattern, 1), F.lit(""))
-        volunteer = F.nullif(F.regexp_extract(F.col("path"), volunteer_pattern, 1), F.lit(""))
-        ok = activity.isNotNull() & volunteer.isNotNull()
-    else:
-        ok, activity, volunteer = paths.dashed_metadata(paths.file_name(F.col("path")))
-    files_t = files_t.select("path", ok.alias("_ok"), activity.alias("_activity"),
-                             volunteer.alias("_volunteer"))
-    bad_names = (files_t.filter(~F.col("_ok"))
-                 .select("path", F.lit(None).cast("long").alias("line_no"),
-                         F.lit("file name has fewer than 9 parts").alias("reason")))
-    files_t = files_t.filter(F.col("_ok"))
+    _, activity, volunteer = parts(F.col("path"))
+    files_t = materialize(scan.files.select("path", activity.alias("_activity"), volunteer.alias("_volunteer")), "bruno-files")
+    unnamed = F.when(~parts(F.col("path"))[0], F.lit("file name has fewer than 9 parts"))
+    bad_names = _whole_files(text.list_files(spark, root, **look), unnamed)
     trials = seq.global_index(files_t.select("path"), ["path"], "trial_no")
     vols = files_t.groupBy("_volunteer").agg(F.min("path").alias("_first"))
     vols = seq.global_index(vols, ["_first", "_volunteer"], "sid")
@@ -189,7 +211,7 @@ def harmonise_beach(long: DataFrame) -> Harmonised:
 # ---------------------------------------------------------------- E1 luo
 
 def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,
-                  max_gap_packets: int | None = None, sid_pattern: str | None = None,
+                  sid_pattern: str | None = None,
                   trial_pattern: str | None = None, code_pattern: str | None = None,
                   enumerated: bool = True, columns: list[str] | None = None) -> Harmonised:
     """``<sid>/**/<trial>-...<code>.csv`` (sid 1..30): one headed CSV per
@@ -204,49 +226,54 @@ def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,
     the (normalised) header names to read instead of collecting them.
     """
     root = root.rstrip("/")
-    scan = text.read_headed(spark, root, columns=columns, glob="*.csv", recursive=True,
-                            strip=True, skip_initial_space=True)
-    rows = scan.rows
+    lo, hi = catalog.EXPECTED_SUBJECTS["luo"]
+
+    def part(path, pattern):
+        return F.nullif(F.regexp_extract(path, pattern, 1), F.lit(""))
+
+    def subject(path):
+        return (paths.dir_below(path, root) if sid_pattern is None else part(path, sid_pattern)).try_cast("int")
+
+    def trial(path):
+        return (paths.trial_prefix(paths.file_name(path)) if trial_pattern is None else part(path, trial_pattern)).try_cast("int")
 
-    def from_path(pattern):
-        return F.nullif(F.regexp_extract(F.col("path"), pattern, 1), F.lit(""))
-
-    sid = (paths.dir_below(F.col("path"), root) if sid_pattern is None
-           else from_path(sid_pattern)).try_cast("int")
-    rows = rows.withColumn("sid", sid)
-    if enumerated:
-        lo, hi = catalog.EXPECTED_SUBJECTS["luo"]
-        rows = rows.filter(F.col("sid").between(lo, hi))
-    else:
-        rows = rows.filter(F.col("sid").isNotNull())
-    if sids is not None:
-        rows = rows.filter(F.col("sid").isin(list(sids)))
-    trial_text = paths.trial_prefix(F.col("name")) if trial_pattern is None else from_path(trial_pattern)
-    code = paths.suffix_code(F.col("name")) if code_pattern is None else from_path(code_pattern)
-    rows = rows.withColumns({
-        "trial_no": trial_text.try_cast("int"),
-        "loc": labels.map_label(code, catalog.LUO_SENSOR_CODES, labels.NULL),
-    })
-    unknown = (rows.filter(F.col("loc").isNull()).select("path").distinct()
-               .select("path", F.lit(None).cast("long").alias("line_no"),
-                       F.lit("unknown sensor code").alias("reason")))
-    rows = rows.filter(F.col("loc").isNotNull())
+    def location(path):
+        code = paths.suffix_code(paths.file_name(path)) if code_pattern is None else part(path, code_pattern)
+        return labels.map_label(code, catalog.LUO_SENSOR_CODES, labels.NULL)
+
+    def reason(path):
+        out = F.when(subject(path).isNull(), F.lit("no subject number"))
+        if enumerated:
+            out = out.when(_outside(subject(path), lo, hi), F.lit("subject outside the layout's range"))
+        return (out.when(trial(path).isNull(), F.lit("no trial number"))
+                .when(location(path).isNull(), F.lit("unknown sensor code")))
+
+    def asked(path):
+        return subject(path).isin(list(sids)) if sids is not None else F.lit(True)
+
+    look = {"glob": "*.csv", "recursive": True}
+    scan = text.read_headed(spark, root, columns=columns, strip=True, skip_initial_space=True,
+                            where=lambda p: reason(p).isNull() & asked(p), **look)
+    listed = text.list_files(spark, root, **look).where(asked(F.col("path")) | subject(F.col("path")).isNull())
+    at = F.col("path")
+    rows = scan.rows.withColumns({"sid": subject(at), "trial_no": trial(at), "loc": location(at)})
     metrics = [c for c in rows.columns
                if c not in ("path", "name", "line_no", "sid", "trial_no", "loc", "packetcounter",
                             "sampletimefine")]
     rows = text.as_double(rows, metrics).withColumn(
         "packetcounter", units.coerce_numeric(F.col("packetcounter")).cast("long"))
+    unread = (rows.filter(F.col("packetcounter").isNull())
+              .select("path", "line_no", F.lit("unreadable packet counter").alias("reason")))
     rows = rows.filter(F.col("packetcounter").isNotNull())
     keys = ["sid", "trial_no"]
-    dups = align.duplicate_keys(rows, keys, "packetcounter", "loc")
-    dup_rejects = (rows.join(dups, keys).select("path").distinct()
-                   .select("path", F.lit(None).cast("long").alias("line_no"),
-                           F.lit("sensor repeats a packet in its trial").alias("reason")))
     locations = list(dict.fromkeys(catalog.LUO_SENSOR_CODES.values()))
-    wide = align.widen(rows, keys, "packetcounter", "loc", locations, metrics,
-                       name=lambda s, v: f"{s}_{v}", dedupe=align.ERROR)
+    wide, dups = align.widen_or_set_aside(rows, keys, "packetcounter", "loc", locations, metrics,
+                                          name=lambda s, v: f"{s}_{v}")
+    repeats = (listed.where(reason(at).isNull()).select("path", subject(at).alias("sid"), trial(at).alias("trial_no"))
+               .join(dups, keys).select("path", F.lit(None).cast("long").alias("line_no"),
+                                        F.lit("sensor repeats a packet in its trial").alias("reason")))
     filled = timeline.fill_grid(wide, keys, "packetcounter", 1, anchor="epoch",
-                                max_gap_steps=max_gap_packets, start_out="_p0")
+                                start_out="_p0")
     surface = labels.map_label(F.col("trial_no"), labels.expand_lists(catalog.LUO_TRIAL_SURFACES),
                                "unknown")
     out = filled.withColumns({
@@ -255,7 +282,8 @@ def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,
     }).drop("_p0")
     sensor_cols = [f"{s}_{v}" for s in locations for v in metrics]
     out = out.select("time_ms", "sid", "surface", "trial_no", "packetcounter", *sensor_cols)
-    return Harmonised(out, scan.rejects.unionByName(unknown).unionByName(dup_rejects))
+    rejects = scan.rejects.unionByName(unread).unionByName(_whole_files(listed, reason(at))).unionByName(repeats)
+    return Harmonised(out, rejects)
 
 
 def append_luo_subjects(spark: SparkSession, root: str, sids: list[int], target: str,
@@ -266,11 +294,6 @@ def append_luo_subjects(spark: SparkSession, root: str, sids: list[int], target:
     return append_aligned(harmonise_luo(spark, root, sids=sids).data, target, fmt)
 
 
-def stack_recordings(frames: list[DataFrame]) -> DataFrame:
-    """U1 + P8: stack frames by name and put the base columns first."""
-    return order_columns(stack.stack_by_name(frames), BASE)
-
-
 # ---------------------------------------------------------------- reports and dispatch
 
 def trial_manifest(rows: DataFrame, keys=("sid", "trial_no")) -> DataFrame:
@@ -287,9 +310,8 @@ def run_totals(data: DataFrame, rows_read: DataFrame | None = None) -> DataFrame
     if "trial_no" in data.columns:
         aggs.insert(1, F.count_distinct("sid", "trial_no").alias("trials"))
     out = data.agg(*aggs)
-    if rows_read is not None:
-        n_files = rows_read.agg(F.count_distinct("path")).first()[0]
-        out = out.withColumn("files", F.lit(n_files).cast("long"))
+    if rows_read is not None:  # two single rows
+        out = out.join(rows_read.agg(F.count_distinct("path").alias("files")), how="cross")
     return out
 
 

@@ -11,16 +11,16 @@ not known to the oracle, so outputs carry no line numbers.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorweave import catalog
+from sensorweave.functions.labels import expand_lists
 from sensorweave.functions.units import coerce_numeric
 from sensorweave.operators import sequence as seq
 from sensorweave.plans import recordings
-from sensorweave.session import checkpoint_dir, shuffle_partitions
+from sensorweave.session import scratch_path, shuffle_partitions
 from sensorweave.sources import text
 from sensorweave.sources.sinks import append_aligned
 
@@ -30,7 +30,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, tag: str) -> str:
-    return os.path.join(checkpoint_dir(spark), "raw-layouts", f"{tag}-{uuid.uuid4().hex[:12]}")
+    return scratch_path(spark, f"raw-{tag}")
 
 
 def _files(spark: SparkSession) -> int:
@@ -448,8 +448,7 @@ def _luo_oracle(drop: str | None = None, extra: str | None = None) -> str:
                      for lo in locs for src, m in metrics)
     cols = ", ".join([f"w.{lo}_{m}" for lo in locs for _, m in metrics if f"{lo}_{m}" != drop]
                      + ([f"CAST(NULL AS DOUBLE) AS {extra}"] if extra else []))
-    trial_map = __import__("sensorweave.functions.labels", fromlist=["x"]).expand_lists(
-        catalog.LUO_TRIAL_SURFACES)
+    trial_map = expand_lists(catalog.LUO_TRIAL_SURFACES)
     surf = "COALESCE(CASE g.trial " + " ".join(
         f"WHEN {k} THEN '{v}'" for k, v in trial_map.items()) + " END, 'unknown')"
     return f"""

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,41 +58,52 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator of the cluster sets it to shared storage and it
-    is used as is. Only when it is unset (local tests) a private scratch
-    folder is created and registered.
+    It must be storage that the driver and all executors share. Where it is
+    unset, a cluster session is refused; only a ``local[...]`` session, whose
+    executors are threads of the driver, gets a private folder, which is
+    removed when the process ends.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="sensorweave-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", current)
-        except Exception:  # a session may refuse runtime changes of core settings
-            pass
+        master = spark.sparkContext.master
+        if not master.startswith("local[") and master != "local":
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share "
+                               "(intermediate tables and stream progress are kept there)")
+        current = tempfile.mkdtemp(prefix="sensorweave-local-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table, below :func:`scratch_root`."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables: one folder, so
+    that :func:`clear_scratch` or the folder's owner can remove them at once."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/sensorweave-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; frames that still read
+    from them can't be used afterwards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str, sort_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once as Parquet into the shared checkpoint folder and read
-    it back: later branches scan the written table (with column pruning and
+    """Write ``df`` once as Parquet into the shared scratch folder and read it
+    back: later branches scan the written table (with column pruning and
     statistics) instead of recomputing the lineage, and a lost executor only
     costs re-reading files."""
-    import uuid
-
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(df.sparkSession, name)
     out = df
     if sort_by:
         n = shuffle_partitions(df.sparkSession)
         out = df.repartitionByRange(n, *sort_by).sortWithinPartitions(*sort_by)
     out.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,11 +18,21 @@ def nan_to_null_all(df: DataFrame) -> DataFrame:
                            for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))})
 
 
+#: Partition folders carry the key's text under this name, and the key itself
+#: stays in the files: a folder name would not say whether it is text or a number.
+FOLDER = "part_{}"
+
+
+def _with_folders(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumns({FOLDER.format(k): F.coalesce(F.col(k).cast("string"), F.lit("none")) for k in keys})
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("sid",),
                   sort_by: Sequence[str] = ("time_ms",), mode: str = "overwrite",
                   files: int | None = None) -> None:
     """Partitioned Parquet, rows sorted by time inside every file so time
-    ranges get tight column statistics.
+    ranges get tight column statistics. :func:`read_output` gives the rows
+    back as they were, subject ids such as ``01`` and ``1`` included.
 
     Rows are range-partitioned on (partition keys, time): a subject with a
     huge share of the rows is split by time over many writer tasks instead
@@ -34,12 +44,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ("sid"
     if order:
         n = files or shuffle_partitions(df.sparkSession)
         out = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    writer = out.write.mode(mode)
+    writer = _with_folders(out, keys).write.mode(mode)
     if keys:
-        writer = writer.partitionBy(*keys)
+        writer = writer.partitionBy(*[FOLDER.format(k) for k in keys])
     writer.parquet(path)
 
 
+def read_output(spark: SparkSession, path: str) -> DataFrame:
+    """An output of :func:`write_parquet`, without its folder columns."""
+    df = spark.read.parquet(path)
+    return df.drop(*[c for c in df.columns if c in {FOLDER.format(k) for k in df.columns}])
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headed CSV, missing values as empty fields, no index column."""
     nan_to_null_all(df).write.mode(mode).option("header", True).option("nullValue", "").csv(path)
@@ -48,22 +64,24 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def read_target_schema(spark: SparkSession, path: str, fmt: str = "parquet"):
     """Schema of an existing output (Parquet footers or CSV header only)."""
     if fmt == "parquet":
-        return spark.read.parquet(path).schema
+        return read_output(spark, path).schema
     return spark.read.option("header", True).csv(path).schema
 
 
-def append_aligned(df: DataFrame, path: str, fmt: str = "parquet",
-                   partition_by: Sequence[str] = ()) -> DataFrame:
+def partition_keys(spark: SparkSession, path: str) -> list[str]:
+    """The keys whose folders an existing Parquet output is divided by."""
+    names = spark.read.parquet(path).columns
+    return [k for k in names if FOLDER.format(k) in names]
+
+
+def append_aligned(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """Append ``df`` to an existing output after matching its layout: target
-    column order, missing columns null, extra columns dropped. Returns the
-    aligned frame that was written."""
-    target = read_target_schema(df.sparkSession, path, fmt)
-    aligned = align_to_schema(df, target)
-    writer = aligned.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    column order, missing columns null, extra columns dropped, the same
+    partition folders. Returns the aligned frame that was written."""
+    spark = df.sparkSession
+    aligned = align_to_schema(df, read_target_schema(spark, path, fmt))
     if fmt == "parquet":
-        writer.parquet(path)
+        write_parquet(aligned, path, partition_by=partition_keys(spark, path), mode="append")
     else:
         nan_to_null_all(aligned).write.mode("append").option("header", False).csv(path)
     return aligned

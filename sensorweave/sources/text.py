@@ -3,119 +3,134 @@
 Every reader scans all matching files in one distributed text scan and
 returns one row per kept data line with ``path`` (the file, the recording
 key), ``line_no`` (0-based position among the file's kept lines, the source
-order) and the parsed fields. Large files are split by the scan; line
-numbers are stitched across splits with per-split counts (one summary row per
-split), so a huge file never becomes one task.
+order) and the parsed fields. Large files are split by the scan; line numbers
+are stitched across splits with a summary of one row per split, so a huge file
+never becomes one task and the lines themselves are never shuffled.
 
-Lines that break the layout are not silently dropped: ``*_rejects`` helpers
-return them as ``(path, line_no, reason)``.
+Lines that break the layout are not silently dropped: each reader returns
+them as ``(path, line_no, reason)`` in ``Scan.rejects``.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorweave.functions import paths, units
+from sensorweave.session import materialize
+
+#: Splits (about 40 bytes each) whose summary is broadcast; more are joined.
+BROADCAST_SPLITS = 500_000
 
 
 @dataclass
 class Scan:
-    """Parsed lines, the lines/files set aside with a reason, and the files
-    that contributed at least one kept line (``path``), taken from the scan
-    before numbering so per-file tables never recompute the numbering."""
+    """Parsed lines, the lines set aside with a reason, and the files that hold
+    any line (``path``), taken from the split summary."""
     rows: DataFrame
     rejects: DataFrame
     files: DataFrame | None = None
 
 
+def _reader(spark: SparkSession, glob: str | None, recursive: bool):
+    reader = spark.read
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", glob) if glob else reader
+
+
+def _path_rule(path: Column, skip_parent_suffix: str | None, skip_names: Sequence[str], require_suffix: str | None) -> Column:
+    name = paths.file_name(path)
+    rule = F.lit(True)
+    if skip_parent_suffix:
+        rule = rule & ~F.coalesce(paths.parent_dir(path).endswith(skip_parent_suffix), F.lit(False))
+    if skip_names:
+        rule = rule & ~F.lower(name).isin([n.lower() for n in skip_names])
+    return rule & name.endswith(require_suffix) if require_suffix else rule
+
+
+def list_files(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True,
+               skip_parent_suffix: str | None = None, skip_names: Sequence[str] = (),
+               require_suffix: str | None = None) -> DataFrame:
+    """``(path)`` of the matching files; no file is opened."""
+    found = _reader(spark, glob, recursive).format("binaryFile").load(root)
+    path = paths.decoded_path(F.col("path")).alias("path")
+    return found.select(path).where(_path_rule(F.col("path"), skip_parent_suffix, skip_names, require_suffix))
+
+
 def scan_lines(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True,
-               skip_parent_suffix: str | None = None,
-               skip_names: Sequence[str] = (), require_suffix: str | None = None) -> DataFrame:
-    """All lines of the matching files: ``(path, _block, _rowid, line)``.
+               skip_parent_suffix: str | None = None, skip_names: Sequence[str] = (),
+               require_suffix: str | None = None, where: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Non-blank lines of the matching files: ``(path, _block, line)``.
 
     ``glob`` filters file names (``pathGlobFilter``); ``skip_parent_suffix``
     drops files whose directory name ends with it (e.g. ``_MODEL``);
     ``skip_names`` drops names compared lower-cased; ``require_suffix`` keeps
-    only names ending with it (case-sensitive). Zero-length files produce no
+    only names ending with it (case-sensitive); ``where`` is any further rule
+    on the path. All are rules on the file path alone, which the scan applies
+    to its file list before it opens a file. Zero-length files produce no
     lines and therefore do not exist for the readers.
     """
-    reader = spark.read
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.text(root).select(
-        paths.decoded_path(F.col("_metadata.file_path")).alias("path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.col("_metadata.file_size").alias("_size"),
-        F.monotonically_increasing_id().alias("_rowid"),
-        F.col("value").alias("line"))
-    name = paths.file_name(F.col("path"))
-    if skip_parent_suffix:
-        df = df.filter(~F.coalesce(paths.parent_dir(F.col("path")).endswith(skip_parent_suffix), F.lit(False)))
-    if skip_names:
-        df = df.filter(~F.lower(name).isin([n.lower() for n in skip_names]))
-    if require_suffix:
-        df = df.filter(name.endswith(require_suffix))
-    return df
+    df = _reader(spark, glob, recursive).text(root)
+    path = paths.decoded_path(F.col("_metadata.file_path"))
+    rule = _path_rule(path, skip_parent_suffix, skip_names, require_suffix)
+    df = df.where(rule & where(path) if where else rule)
+    lines = df.select(path.alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("line"))
+    return lines.where(F.trim("line") != "")
 
 
 def _with_name(df: DataFrame) -> DataFrame:
-    """File name, derived after the shuffles (it is a function of ``path``)."""
     return df.withColumn("name", paths.file_name(F.col("path")))
 
 
-def _never_split_bytes(spark: SparkSession) -> int:
-    """Files up to this size are always read as one split: Spark's split
-    size is never below min(maxPartitionBytes, openCostInBytes)."""
-    def conf_bytes(key, default):
-        v = spark.conf.get(key, default)
-        try:
-            return int(v)
-        except ValueError:
-            return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(v))
-    return min(conf_bytes("spark.sql.files.maxPartitionBytes", "134217728"),
-               conf_bytes("spark.sql.files.openCostInBytes", "4194304"))
-
-
-def number_lines(df: DataFrame, out: str = "line_no") -> DataFrame:
-    """0-based position of each remaining line within its file.
-
-    A scan task reads whole splits one after another, so lines are numbered
-    by a window over (scan task, split offset) ordered by the row id: long
-    keys, bounded by the split size. Files packed into the same task follow
-    each other, so a file's first line is where the path changes, and the
-    lines of earlier files are subtracted with a running value of the same
-    window. Only files large enough to be split need the line counts of
-    their earlier splits: those come from a small per-split summary over
-    just those files, joined to the rows of their later splits.
+def split_summary(lines: DataFrame, good: Column, header: bool) -> DataFrame:
+    """One row per (file, split), written once: the scan task (``_task``), the
+    number before the split's first kept line in its task's row ids
+    (``_first``), the kept data lines of the file's earlier splits (``_off``),
+    and with ``header`` the file's first line (``_head``).
+
+    A scan task reads whole splits one after another, so the ids that
+    ``monotonically_increasing_id`` gives to its kept lines run on from split
+    to split; with the kept lines of each split counted, every id can be turned
+    into a position in its file.
     """
-    spark = df.sparkSession
-    w = Window.partitionBy("_task", "_block").orderBy("_rowid")
-    d = df.withColumn("_task", F.shiftright(F.col("_rowid"), 33))  # index of the scan task
-    d = (d.withColumn("_rn", F.row_number().over(w) - F.lit(1))
-         .withColumn("_start", F.when(F.coalesce(F.lag("path").over(w) != F.col("path"), F.lit(True)),
-                                      F.col("_rn"))))
-    d = d.withColumn("_local", F.col("_rn") - F.last("_start", ignorenulls=True).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.drop("_task", "_rn", "_start")
-    first = d.filter(F.col("_block") == 0).withColumn(out, F.col("_local"))
-    later = d.filter(F.col("_block") > 0)
-    big = df.filter(F.col("_size") > F.lit(_never_split_bytes(spark)))
-    counts = big.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "path", "_block",
-        F.coalesce(F.sum("_n").over(Window.partitionBy("path").orderBy("_block")
-                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    later = (later.join(offsets, ["path", "_block"], "left")
-             .withColumn(out, F.col("_local") + F.col("_off")).drop("_off"))
-    return (first.unionByName(later).withColumn(out, F.col(out).cast("long"))
-            .drop("_local", "_size"))
+    ids = lines.withColumn("_id", F.monotonically_increasing_id()).withColumn("_good", good)
+    ids = ids.withColumn("_task", F.shiftright("_id", 33))
+    # the file's first line is known only to the split that holds it: keep each split's candidate
+    splits = ids.groupBy("_task", "path", "_block").agg(
+        F.min("_id").alias("_at"), F.count_if("_good").alias("_n"),
+        *([F.min_by("line", "_id").alias("_head"), F.min_by("_good", "_id").alias("_head_good")] if header else []))
+    in_task = Window.partitionBy("_task").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_first", F.shiftleft(F.col("_task"), 33) + F.coalesce(F.sum("_n").over(in_task), F.lit(0)))
+    in_file = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(in_file), F.lit(0)))
+    if header:
+        whole = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        splits = splits.withColumn("_head", F.first("_head").over(whole))
+        # a header that counts as a kept line takes no place among the data lines
+        splits = splits.withColumn("_off", F.col("_off") - F.first("_head_good").over(whole).cast("long"))
+    kept = ["_task", "path", "_block", "_first", "_off", *(["_head"] if header else [])]
+    return materialize(splits.select(*kept).withColumn("_file", F.xxhash64("path")), "splits")
+
+
+def number_lines(kept: DataFrame, splits: DataFrame, out: str = "line_no", extra: Sequence[str] = ()) -> DataFrame:
+    """0-based position of each kept line within its file, from the split
+    summary of the same scan; a header gets -1. ``extra`` columns of the summary
+    are attached. The summary's size is counted, and it is broadcast up to
+    ``BROADCAST_SPLITS`` rows: then no line moves."""
+    side = splits.select("_task", "_file", "_block", (F.col("_off") - F.col("_first")).alias("_shift"), *extra)
+    if splits.count() <= BROADCAST_SPLITS:
+        side = F.broadcast(side)
+    rows = kept.withColumn("_id", F.monotonically_increasing_id())
+    rows = rows.withColumn("_task", F.shiftright("_id", 33)).withColumn("_file", F.xxhash64("path"))
+    rows = rows.join(side, ["_task", "_file", "_block"], "left")
+    changed = F.raise_error(F.concat(F.lit("a file changed while it was read: "), F.col("path"))).cast("long")
+    place = F.when(F.col("_shift").isNull(), changed).otherwise(F.col("_id") + F.col("_shift"))
+    return rows.withColumn(out, place.cast("long")).drop("_id", "_task", "_file", "_block", "_shift")
 
 
 def split_fields(line: Column, pattern: str) -> Column:
@@ -123,8 +138,37 @@ def split_fields(line: Column, pattern: str) -> Column:
     return F.split(F.trim(line), pattern)
 
 
-def _blank(line: Column) -> Column:
-    return F.trim(line) == ""
+def split_csv(line: Column, sep: str = ",", skip_initial_space: bool = False) -> Column:
+    """Fields of a delimited line; a quoted field may hold the separator and
+    doubled quotes. Lines without a quote take the plain split."""
+    plain = F.split(line, re.escape(sep), -1)
+    blanks = "[ ]*" if skip_initial_space else ""
+    field = rf'{re.escape(sep)}{blanks}("(?:[^"]|"")*"[^{re.escape(sep)}]*|[^{re.escape(sep)}]*)'
+    found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(field), 1)
+    quoted = F.transform(found, lambda c: F.when(c.rlike('^".*"[ \r]*$'), F.replace(F.regexp_extract(c, '^"(.*)"[ \r]*$', 1), F.lit('""'), F.lit('"')))
+                         .otherwise(c))
+    fields = F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)
+    return F.transform(fields, lambda c: F.ltrim(c)) if skip_initial_space else fields
+
+
+def _fields(tok: Column, names: Sequence[str]) -> list[Column]:
+    return [F.get(tok, F.lit(i)).alias(n) for i, n in enumerate(names)]
+
+
+def _fixed(lines: DataFrame, names: Sequence[str], header: bool) -> Scan:
+    """Lines with ``_tok`` fields bound by position to ``names``. A line with
+    more fields is set aside and takes no place; a shorter one is padded."""
+    good = F.size("_tok") <= len(names)
+    splits = split_summary(lines, good, header)
+    kept = number_lines(lines.where(good).drop("line"), splits)
+    kept = kept.where("line_no >= 0") if header else kept
+    bad = lines.where(~good)
+    if header:
+        # a first line with too many fields is the header all the same
+        heads = splits.select("path", F.col("_head").alias("line")).distinct()
+        bad = bad.select("path", "line").exceptAll(heads.join(bad.select("path", "line").distinct(), ["path", "line"]))
+    rejects = bad.select("path", F.lit(None).cast("long").alias("line_no"), F.lit(f"more than {len(names)} fields").alias("reason"))
+    return Scan(_with_name(kept).select("path", "name", "line_no", *_fields(F.col("_tok"), names)), rejects, splits.select("path").distinct())
 
 
 # ------------------------------------------------------------------ S3
@@ -136,16 +180,8 @@ def read_headerless(spark: SparkSession, root: str, width: int, pattern: str = r
     Blank lines are skipped. A line with more than ``width`` fields is a bad
     line: skipped and reported. A shorter line is padded with nulls.
     """
-    raw = scan_lines(spark, root, **scan).filter(~_blank(F.col("line")))
-    raw = raw.withColumn("_tok", split_fields(F.col("line"), pattern)).drop("line")
-    bad = F.size(F.col("_tok")) > width
-    kept = _with_name(number_lines(raw.filter(~bad)))
-    rows = kept.select("path", "name", "line_no",
-                       *[F.try_element_at(F.col("_tok"), F.lit(i + 1)).alias(f"f{i}") for i in range(width)])
-    rejects = (raw.filter(bad)
-               .select("path", F.lit(None).cast("long").alias("line_no"),
-                       F.concat(F.lit("more than "), F.lit(str(width)), F.lit(" fields")).alias("reason")))
-    return Scan(rows, rejects, raw.filter(~bad).select("path").distinct())
+    lines = scan_lines(spark, root, **scan)
+    return _fixed(lines.withColumn("_tok", split_fields(F.col("line"), pattern)), [f"f{i}" for i in range(width)], False)
 
 
 # ------------------------------------------------------------------ S4
@@ -156,21 +192,12 @@ def read_commented(spark: SparkSession, root: str, names: Sequence[str], pattern
 
     Text from ``comment`` to the end of a line is removed; lines left blank
     are skipped; the first remaining line of every file is its header and is
-    replaced by ``names``. Data lines get ``line_no`` counted from 0 after the
-    header. Lines with more fields than ``names`` are reported.
+    replaced by ``names``. Data lines with more fields than ``names`` are
+    reported and take no place; the others are numbered from 0.
     """
-    raw = scan_lines(spark, root, **scan)
-    raw = raw.withColumn("line", F.regexp_replace(F.col("line"), re.escape(comment) + ".*$", ""))
-    raw = raw.filter(~_blank(F.col("line")))
-    raw = raw.withColumn("_tok", split_fields(F.col("line"), pattern)).drop("line")
-    raw = _with_name(number_lines(raw, "_idx").filter(F.col("_idx") > 0))
-    raw = raw.withColumn("line_no", F.col("_idx") - 1)
-    bad = F.size(F.col("_tok")) > len(names)
-    rows = raw.filter(~bad).select(
-        "path", "name", "line_no",
-        *[F.try_element_at(F.col("_tok"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
-    rejects = raw.filter(bad).select("path", "line_no", F.lit("too many fields").alias("reason"))
-    return Scan(rows, rejects)
+    lines = scan_lines(spark, root, **scan)
+    lines = lines.withColumn("line", F.regexp_replace("line", re.escape(comment) + ".*$", "")).where(F.trim("line") != "")
+    return _fixed(lines.withColumn("_tok", split_fields(F.col("line"), pattern)), list(names), True)
 
 
 # ------------------------------------------------------------------ S5
@@ -178,41 +205,14 @@ def read_commented(spark: SparkSession, root: str, names: Sequence[str], pattern
 def read_delimited(spark: SparkSession, root: str, names: Sequence[str], sep: str = "\t",
                    **scan) -> Scan:
     """Headerless delimited lines with fixed ``names`` (text fields)."""
-    raw = scan_lines(spark, root, **scan).filter(~_blank(F.col("line")))
-    raw = raw.withColumn("_tok", F.split(F.col("line"), re.escape(sep))).drop("line")
-    bad = F.size(F.col("_tok")) > len(names)
-    # a skipped line takes no sample slot: number the kept lines only
-    kept = _with_name(number_lines(raw.filter(~bad)))
-    rows = kept.select(
-        "path", "name", "line_no",
-        *[F.try_element_at(F.col("_tok"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
-    rejects = raw.filter(bad).select("path", F.lit(None).cast("long").alias("line_no"),
-                                     F.lit("too many fields").alias("reason"))
-    return Scan(rows, rejects)
+    lines = scan_lines(spark, root, **scan)
+    return _fixed(lines.withColumn("_tok", F.split("line", re.escape(sep), -1)), list(names), False)
 
 
 # ------------------------------------------------------------------ S1 / S2
 
-def header_names(spark: SparkSession, root: str, sep: str = ",", strip: bool = True,
-                 **scan) -> list[str]:
-    """Distinct normalised header names over all files, in first-seen order
-    (the schema of a headed layout; one small driver result)."""
-    raw = scan_lines(spark, root, **scan).filter(~_blank(F.col("line")))
-    hdr = _headers(raw, sep, strip)
-    rows = (hdr.select("path", F.posexplode("_hdr").alias("pos", "col"))
-            .groupBy("col").agg(F.min(F.struct("path", "pos")).alias("first"))
-            .orderBy("first").select("col").collect())
-    return [r[0] for r in rows if r[0] != ""]
-
-
-def _headers(raw: DataFrame, sep: str, strip: bool) -> DataFrame:
-    """First line of every file, split and normalised: ``(path, _hdr)``.
-    A partial aggregation keeps one candidate per file per task."""
-    first = raw.groupBy("path").agg(
-        F.min_by(F.col("line"), F.struct("_block", "_rowid")).alias("_h"))
-    tok = F.split(F.col("_h"), re.escape(sep))
-    clean = (lambda c: F.lower(F.trim(c))) if strip else (lambda c: F.lower(c))
-    return first.select("path", F.transform(tok, lambda c: clean(c)).alias("_hdr"))
+def _clean(name: Column, strip: bool) -> Column:
+    return F.lower(F.trim(name) if strip else name)
 
 
 def read_headed(spark: SparkSession, root: str, columns: Sequence[str] | None = None,
@@ -223,29 +223,28 @@ def read_headed(spark: SparkSession, root: str, columns: Sequence[str] | None =
     The first non-blank line of each file is its header (names lower-cased,
     and trimmed when ``strip``). Every data field is bound to the name at its
     position in *its own file's* header, so files with reordered columns line
-    up by name. ``columns`` fixes the output names (default: every header
-    name seen). Names missing from a file are null there. A line with more
-    fields than its header is skipped and reported; a shorter one is padded.
+    up by name: the places of the output names are looked up once per file and
+    travel with the split summary. Fields may be quoted (not over several
+    lines). ``columns`` fixes the output names (default: every header name
+    seen). Names missing from a file are null there. A line with more fields
+    than its header is skipped and reported; a shorter one is padded.
+    ``line_no`` counts all non-blank data lines.
     """
-    raw = scan_lines(spark, root, **scan).filter(~_blank(F.col("line")))
-    cols = list(columns) if columns is not None else header_names(spark, root, sep, strip, **scan)
-    hdr = _headers(raw, sep, strip)
-    tok = F.split(F.col("line"), re.escape(sep))
-    if skip_initial_space:
-        tok = F.transform(tok, lambda c: F.ltrim(c))
-    data = number_lines(raw.withColumn("_tok", tok).drop("line"), "_idx").filter(F.col("_idx") > 0)
-    # one header row per file: AQE broadcasts it after measuring its size
-    data = _with_name(data.join(hdr, on="path", how="inner"))
-    data = data.withColumn("line_no", F.col("_idx") - 1)
-    bad = F.size(F.col("_tok")) > F.size(F.col("_hdr"))
-
-    def field(n: str) -> Column:
-        pos = F.array_position(F.col("_hdr"), F.lit(n))
-        return F.when(pos > 0, F.try_element_at(F.col("_tok"), pos.cast("int")))
-
-    rows = data.filter(~bad).select("path", "name", "line_no", *[field(n).alias(n) for n in cols])
-    rejects = data.filter(bad).select("path", "line_no", F.lit("more fields than header").alias("reason"))
-    return Scan(rows, rejects)
+    lines = scan_lines(spark, root, **scan)
+    splits = split_summary(lines, F.lit(True), True)
+    heads = splits.withColumn("_hdr", F.transform(split_csv(F.col("_head"), sep, skip_initial_space), lambda c: _clean(c, strip)))
+    if columns is None:  # a small result: the distinct names, in the order first seen
+        seen = (heads.select("path", F.posexplode("_hdr").alias("pos", "col")).where("col <> ''")
+                .groupBy("col").agg(F.min(F.struct("path", "pos")).alias("first")).orderBy("first").select("col"))
+        columns = [r[0] for r in seen.collect()]
+    places = F.array(*[F.array_position("_hdr", F.lit(n)).cast("int") for n in columns])
+    heads = heads.withColumn("_at", places).withColumn("_width", F.size("_hdr"))
+    data = number_lines(lines, heads, extra=["_at", "_width"]).where("line_no >= 0")
+    data = _with_name(data.withColumn("_tok", split_csv(F.col("line"), sep, skip_initial_space)).drop("line"))
+    good = F.size("_tok") <= F.col("_width")
+    fields = [F.get("_tok", F.col("_at")[i] - 1).alias(n) for i, n in enumerate(columns)]
+    rejects = data.where(~good).select("path", "line_no", F.lit("more fields than header").alias("reason"))
+    return Scan(data.where(good).select("path", "name", "line_no", *fields), rejects, splits.select("path").distinct())
 
 
 def as_double(df: DataFrame, names: Sequence[str]) -> DataFrame:

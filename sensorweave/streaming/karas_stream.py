@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorweave import catalog
 from sensorweave.functions import labels, paths, timegrid, units
 from sensorweave.session import checkpoint_dir
+from sensorweave.sources.text import split_csv
 
 
 def karas_stream(spark: SparkSession, source_dir: str, columns: Sequence[str],
@@ -30,9 +31,10 @@ def karas_stream(spark: SparkSession, source_dir: str, columns: Sequence[str],
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(source_dir).select(
         paths.decoded_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line"))
-    tok = F.split(F.col("line"), ",")
+    tok = split_csv(F.col("line"))
     first = F.lower(F.trim(F.try_element_at(tok, F.lit(1))))
-    rows = lines.filter((F.trim(F.col("line")) != "") & (first != F.lit(columns[0])))
+    # as in the batch reader, a line with more fields than the header is left out
+    rows = lines.filter((F.trim(F.col("line")) != "") & (first != F.lit(columns[0])) & (F.size(tok) <= len(columns)))
     fields = {n: F.try_element_at(tok, F.lit(i + 1)) for i, n in enumerate(columns)}
     accel = [c for c in columns if c not in ("activity", "time_s")]
     return rows.select(

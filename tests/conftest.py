@@ -6,15 +6,16 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sensorweave.session import build_session, checkpoint_dir  # noqa: E402
+from sensorweave.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="sensorweave-tests", shuffle_partitions=4)
-    checkpoint_dir(s)  # tests only: a private folder when none is configured
-    yield s
-    s.stop()
+    with tempfile.TemporaryDirectory(prefix="sensorweave-tests-") as folder:
+        s = build_session("local[4]", app="sensorweave-tests", shuffle_partitions=4,
+                          conf={"spark.checkpoint.dir": folder})
+        yield s
+        s.stop()
 
 
 @pytest.fixture()

@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as entry
 
 SMALL = "/root/testdata/sf0.001"
-TABLES = ["customer", "supplier", "part", "orders", "lineitem", "events", "pages", "conversations"]
+TABLES = ["customer", "supplier", "part", "orders", "lineitem", "events", "pages", "conversations",
+          "documents", "labels"]
 
 
 def test_entry_smoke(spark):
@@ -17,7 +18,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    optional = set(entry.LLM_QUERIES)  # what SQL can't express is tested beside its operator
+    assert set(entry.queries()) - optional == set(entry.oracle_sql()) - optional
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def _norm(rows, cols):
@@ -37,6 +40,8 @@ def test_queries_match_duckdb_at_small_scale(spark):
     sql = entry.oracle_sql()
     bad = []
     for name, fn in entry.queries().items():
+        if name not in sql:
+            continue
         df = fn(spark, SMALL)
         got = _norm([tuple(r) for r in df.collect()], df.columns)
         res = con.execute(sql[name])

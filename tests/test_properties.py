@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sensorweave import catalog
+from sensorweave.plans.oracle import NUMBER
 from sensorweave.functions import timegrid, units
 
 FEW = settings(max_examples=15, deadline=None)
@@ -63,7 +64,7 @@ def test_coerce_numeric_accepts_exactly_plain_numbers(spark, texts):
     import re
     got = _eval(spark, texts, "t string", units.coerce_numeric(F.col("t")))
     for t, v in zip(texts, got):
-        if re.fullmatch(units.NUMERIC_TEXT.strip("^$"), t):
+        if re.fullmatch(NUMBER.strip("^$"), t):
             assert v == float(t)
         else:
             assert v is None

@@ -89,10 +89,10 @@ def test_fill_grid_properties(spark):
     assert all(sorted(v) == list(range(min(v), max(v) + 1)) for v in lin.values())
 
 
-def test_fill_grid_max_gap_and_gaps_report(spark):
+def test_fill_grid_fills_every_gap_and_gaps_are_reported(spark):
     df = spark.createDataFrame([(1, 0), (1, 1), (1, 10_000), (1, 10_002)], "rec int, t long")
-    out = timeline.fill_grid(df, ["rec"], "t", 1, max_gap_steps=100)
-    assert sorted(r.t for r in out.collect()) == [0, 1, 10_000, 10_001, 10_002]
+    out = timeline.fill_grid(df, ["rec"], "t", 1)
+    assert sorted(r.t for r in out.collect()) == list(range(10_003))
     gaps = timeline.grid_gaps(df, ["rec"], "t", 1).collect()
     assert sorted((g.gap_after, g.gap_before, g.missing) for g in gaps) == [(1, 10_000, 9_998), (10_000, 10_002, 1)]
 
@@ -120,3 +120,27 @@ def test_segments_bound_a_dominant_recording(spark):
         sizes = seg.groupBy("rec", seq.SEG).count()
         assert sizes.agg(F.max("count")).first()[0] <= bound, kwargs
         assert seg.count() == df.count()
+
+
+def test_a_null_recording_key_is_a_recording(spark):
+    df = spark.createDataFrame([(k, t) for k in (None, 7) for t in (0, 200_000)], "rec int, t long")
+    out = timeline.fill_grid(df, ["rec"], "t", 1, start_out="t0")
+    got = {r.rec: (r.n, r.t0) for r in out.groupBy("rec").agg(F.count("*").alias("n"), F.min("t0").alias("t0")).collect()}
+    assert got == {None: (200_001, 0), 7: (200_001, 0)}
+    index = seq.seq_index(df, ["rec"], ["t"], "i", width=1000.0).collect()
+    assert sorted((r.rec or 0, r.i) for r in index) == [(0, 0), (0, 1), (7, 0), (7, 1)]
+
+
+def test_global_index_above_the_sampling_size(spark):
+    # more keys than the range partitioner samples, an extra column used, and exchanges not shared
+    df = spark.range(0, 400_000, 1, 8).select(F.xxhash64("id").alias("k"), F.col("id").alias("extra"))
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            out = seq.global_index(df, ["k"], "n", partitions=16)
+            got = out.agg(F.count_distinct("n"), F.min("n"), F.max("n"), F.sum("extra")).first()
+            assert tuple(got) == (400_000, 0, 399_999, 400_000 * 399_999 // 2)
+            lead = out.selectExpr("k", "lead(k) over (partition by n div 50000 order by n) as next")
+            assert lead.where("next <= k").count() == 0
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
