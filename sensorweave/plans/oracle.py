@@ -231,14 +231,13 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"""
 WITH h AS ({_beach(rounded=False)}),
 r AS (SELECT sid, time_ms, {_null_cols(['time_ms', *sensors], sensors)} AS null_columns,
         row_number() OVER (PARTITION BY sid ORDER BY time_ms) - 1 AS pos FROM h),
-f AS (SELECT sid, pos, row_number() OVER (PARTITION BY sid ORDER BY pos) - 1 AS rk,
-        count(*) OVER (PARTITION BY sid) AS nflag FROM r WHERE null_columns <> ''),
-o AS (SELECT sid, rk, pos, nflag, CAST(unnest(range(-2, 3)) AS INTEGER) AS ctx_offset
-      FROM f WHERE rk < 3),
-a AS (SELECT sid, rk + 1 AS example_no, ctx_offset, pos + ctx_offset AS cpos,
-        greatest(nflag - 3, 0) AS more_flagged FROM o)
-SELECT a.sid, a.example_no, a.ctx_offset, r.time_ms, r.null_columns, a.more_flagged
-FROM a JOIN r ON r.sid = a.sid AND r.pos = a.cpos"""
+m AS (SELECT *, CASE WHEN null_columns <> '' THEN count(*) FILTER (WHERE null_columns <> '')
+             OVER (PARTITION BY sid ORDER BY pos ROWS UNBOUNDED PRECEDING) END AS example_no,
+        count(*) FILTER (WHERE null_columns <> '') OVER (PARTITION BY sid) AS flagged FROM r),
+c AS (SELECT *, {", ".join(f"{'lag' if o > 0 else 'lead'}(example_no, {abs(o)}) OVER (PARTITION BY sid ORDER BY pos) AS e{i}"
+                           for i, o in enumerate(range(-2, 3)))} FROM m)
+{" UNION ALL ".join(f"SELECT sid, e{i} AS example_no, CAST({o} AS INTEGER) AS ctx_offset, time_ms, null_columns, greatest(flagged - 3, 0) AS more_flagged FROM c WHERE e{i} <= 3"
+                    for i, o in enumerate(range(-2, 3)))}"""
     cols_types = [("time_ms", "bigint"), ("sid", "string"), ("surface", "string")] + \
         [(c, "double") for c in sensors]
     col_rows = ", ".join(f"({_q(n)}, {_q(t)})" for n, t in cols_types)

@@ -310,8 +310,9 @@ def run_totals(data: DataFrame, rows_read: DataFrame | None = None) -> DataFrame
     if "trial_no" in data.columns:
         aggs.insert(1, F.count_distinct("sid", "trial_no").alias("trials"))
     out = data.agg(*aggs)
-    if rows_read is not None:  # two single rows
-        out = out.join(rows_read.agg(F.count_distinct("path").alias("files")), how="cross")
+    if rows_read is not None:  # two single rows made one
+        out = out.unionByName(rows_read.agg(F.count_distinct("path").alias("files")), allowMissingColumns=True)
+        out = out.agg(*[F.max(c).alias(c) for c in out.columns])
     return out
 
 

@@ -319,7 +319,8 @@ def _bruno_activity():
 
 
 def _bruno_volunteer():
-    return F.when(F.col("l_linestatus") == "F", F.lit("f1")).otherwise(F.lit("m2"))
+    # as many volunteers as subjects, so that the files grow in number with the table
+    return F.concat(F.when(F.col("l_linestatus") == "F", F.lit("f")).otherwise(F.lit("m")), _subject().cast("string"))
 
 
 def bruno_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,7 +353,7 @@ def _bruno_oracle() -> str:
     return f"""
 WITH b AS (
   SELECT *, CASE l_returnflag WHEN 'A' THEN 'walk' WHEN 'N' THEN 'climb_stairs' ELSE 'comb_hair' END AS activity,
-         CASE WHEN l_linestatus = 'F' THEN 'f1' ELSE 'm2' END AS volunteer FROM lineitem),
+         CASE WHEN l_linestatus = 'F' THEN 'f' ELSE 'm' END || CAST(l_suppkey // 10 AS VARCHAR) AS volunteer FROM lineitem),
 p AS (SELECT *, 'activity=' || activity || '/volunteer=' || volunteer || '/' AS dir FROM b),
 f AS (SELECT DISTINCT dir, volunteer FROM p),
 t AS (SELECT dir, row_number() OVER (ORDER BY dir) AS trial_no FROM f),
@@ -377,6 +378,8 @@ LUO_CODES = {"A": "CC", "N": "9B", "R": "B6"}
 
 
 LUO_COLUMNS = ["packetcounter", "sampletimefine", "acc_x", "acc_y", "acc_z"]
+# a total order of the written rows
+LUO_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity", "l_discount", "l_tax"]
 LUO_RULES = dict(sid_pattern=r"sid=(\d+)/", trial_pattern=r"trial=(\d+)/",
                  code_pattern=r"code=([^/]+)/", enumerated=False, columns=LUO_COLUMNS)
 
@@ -387,14 +390,11 @@ def _luo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.when(F.col("l_returnflag") == "A", F.lit(LUO_CODES["A"])).when(
         F.col("l_returnflag") == "N", F.lit(LUO_CODES["N"])).otherwise(F.lit(LUO_CODES["R"]))
     base = li.select(_subject().alias("sid"), _hugadb_trial().alias("trial"), code.alias("code"),
-                     "l_orderkey", "l_suppkey", "l_linenumber", "l_partkey", "l_quantity",
-                     "l_discount", "l_tax")
-    # rank of (order, supplier) inside its recording, on the distinct pairs
-    # (segmented index, no recording-wide window)
-    orders = base.select("sid", "trial", "l_orderkey", "l_suppkey").distinct()
-    orders = seq.seq_index(orders, ["sid", "trial"], ["l_orderkey", "l_suppkey"], "_rank")
-    base = base.join(orders, ["sid", "trial", "l_orderkey", "l_suppkey"])
-    packet = F.lit(8) * (F.col("_rank") + F.lit(1)) + F.col("l_linenumber")
+                     *LUO_ORDER)
+    # place of the row inside its recording (segmented index, no recording-wide window)
+    base = seq.seq_index(base, ["sid", "trial"], LUO_ORDER, "_rank")
+    packet = F.when((F.col("sid") % 8 == 5) & (F.col("trial") == 2), F.floor(F.col("_rank") / 3)).otherwise(
+        3 * F.col("_rank") + F.col("l_linenumber") % 3).cast("long")
     return base.select("sid", "trial", "code", packet.alias("PacketCounter"),
                        F.col("l_partkey").alias("SampleTimeFine"), F.col("l_quantity").alias("Acc_X"),
                        F.col("l_discount").alias("Acc_Y"), F.col("l_tax").alias("Acc_Z"))
@@ -408,10 +408,10 @@ def _write_luo(lines: DataFrame, root: str) -> None:
 
 def luo_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 end to end: ``lineitem`` as one headed CSV per (subject, trial,
-    sensor) with a packet counter (8 x the rank of (order, supplier) in the
-    recording + line number, so packets have real gaps and some repeat,
-    which rejects those trials); harmonised by aligning the sensors on the
-    counter, filling every packet, 10 ms per packet from the trial start."""
+    sensor) with a packet counter (three per row and a shift, so packets have
+    gaps; in the second trial of every eighth subject they repeat, which
+    rejects it); harmonised by aligning the sensors on the counter, filling
+    every packet, 10 ms per packet from the trial start."""
     root = _scratch(spark, "luo")
     _write_luo(_luo_lines(spark, sf_dir), root)
     return recordings.harmonise_luo(spark, root, **LUO_RULES).data
@@ -455,10 +455,10 @@ def _luo_oracle(drop: str | None = None, extra: str | None = None) -> str:
 WITH b AS (
   SELECT CAST(l_suppkey // 10 AS INTEGER) AS sid,
          CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS trial,
-         {loc_case} AS loc, l_orderkey, l_suppkey, l_linenumber, l_quantity, l_discount, l_tax
+         {loc_case} AS loc, {", ".join(LUO_ORDER)}
   FROM lineitem),
-r AS (SELECT *, CAST(8 * dense_rank() OVER (PARTITION BY sid, trial ORDER BY l_orderkey, l_suppkey)
-                     + l_linenumber AS BIGINT) AS packet FROM b),
+k AS (SELECT *, row_number() OVER (PARTITION BY sid, trial ORDER BY {", ".join(LUO_ORDER)}) - 1 AS place FROM b),
+r AS (SELECT *, CAST(CASE WHEN sid % 8 = 5 AND trial = 2 THEN place // 3 ELSE 3 * place + l_linenumber % 3 END AS BIGINT) AS packet FROM k),
 bad AS (SELECT DISTINCT sid, trial FROM r GROUP BY sid, trial, packet, loc HAVING count(*) > 1),
 ok AS (SELECT * FROM r WHERE NOT EXISTS (
          SELECT 1 FROM bad WHERE bad.sid = r.sid AND bad.trial = r.trial)),
