@@ -15,10 +15,10 @@ def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
     Each round lifts the links to components, hooks every component to its
     smallest neighbour (below itself, so no cycle can arise) and follows the
     hooks to their ends. Only tables are passed on; nothing is collected but
-    row counts, and a link table's hot nodes are pre-aggregated by ``min``.
+    whether a table is empty, and a link table's hot nodes are pre-aggregated by ``min``.
     """
     named = labels
-    while True:
+    while not links.isEmpty():
         left = named.select(F.col("node").alias("u"), F.col("comp").alias("cu"))
         right = named.select(F.col("node").alias("v"), F.col("comp").alias("cv"))
         lifted = links.join(left, "u").join(right, "v").where("cu <> cv").select("u", "v", "cu", "cv")
@@ -36,3 +36,4 @@ def contract(labels: DataFrame, links: DataFrame) -> DataFrame:
         renamed = hooks.select(F.col("cu").alias("comp"), "to")
         named = stored(named.join(renamed, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "components")
         links = links.select("u", "v")
+    return named

@@ -12,13 +12,14 @@ sets. At similarity 0.75 all bands of a pair differ with probability 1e-8, and
 the estimate drops it with less than 1e-8.
 
 Texts of equal shingle sets are one class, and only its smallest id goes on.
-Within a band's group of classes, pairs are not all formed: each is compared
-with the smallest one; then, in rounds, those outside the component of the
-group's largest part are compared with the members of other components, at most
-about ``PER_ROUND`` of them to a member at a time, until no two members of
-different components are left uncompared. So the components are those of all
-links between candidates, and the work follows the size of a group where its
-members belong together.
+Within a band's group of classes, each is first compared with the smallest one.
+Of the groups that still hold several components, those of up to
+``SMALL_GROUP`` members give their remaining pairs. Larger ones that share
+their largest component are put together as a family: its members outside that
+component are compared with all its members, by an inverted list of their
+shingles, in blocks of bounded size; a block returns no more links than it has
+rows. So the components are those of all links between candidates, while the
+rows that are passed on follow the size of a group and not its square.
 
 Defined cases: null, empty and blank texts have the empty set and are linked
 with nothing; fewer words than a shingle form one shingle; rows of one id are
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +50,13 @@ MANTISSA = 10
 ROWS = 4
 BANDS = BUCKETS // ROWS
 SIGMAS = 6.0
-PER_ROUND = 64
+#: Members of a band's group up to which its pairs are formed.
+SMALL_GROUP = 16
+#: A block of a family holds about so many members, and so many shingles.
+BLOCK_MEMBERS = 512
+BLOCK_SHINGLES = 1 << 20
+#: Ids (8 bytes each) that are broadcast instead of shuffling the texts.
+BROADCAST_IDS = 1_000_000
 
 _BOUNDS = np.array([-(-(i << 64) // BUCKETS) for i in range(BUCKETS)], np.uint64)
 #: The order in which an empty bucket looks for a register, by bucket.
@@ -98,31 +106,53 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return (equal - chance * (used - equal)) / n, n
 
 
-def sketch_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n_shingles, set_key, shingles, sketch, bands)`` of every row."""
+def _id_lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    flat = np.concatenate(arrays) if arrays else np.empty(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) for x in arrays]), pa.int32()), pa.array(flat.view(np.int64), pa.int64()))
+
+
+def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts in parts of a bounded number of bytes."""
+    for batch in batches:
+        sizes = [n or 0 for n in pc.binary_length(batch.column(1)).to_pylist()]
+        for a, b in by_bytes(sizes, BATCH_BYTES):
+            yield batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)
+
+
+def sketch_documents(docs: DataFrame) -> DataFrame:
+    """``(node, n_shingles, set_key, sketch, bands)`` of every ``(node, text)``."""
     schema = T.StructType([
-        T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()),
-        T.StructField("shingles", T.ArrayType(T.LongType(), False)), T.StructField("sketch", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType(), False))])
+        docs.schema["node"], T.StructField("n_shingles", T.LongType()), T.StructField("set_key", T.BinaryType()),
+        T.StructField("sketch", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType(), False))])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            sizes = [n or 0 for n in pa.compute.binary_length(texts).to_pylist()]
-            for a, b in by_bytes(sizes, BATCH_BYTES):
-                sets = shingle_sets(texts.slice(a, b - a), SHINGLE_WORDS)
-                sketches = [registers(s) if len(s) else None for s in sets]
-                lists = lambda arrays: pa.ListArray.from_arrays(
-                    pa.array(np.cumsum([0] + [len(x) for x in arrays]), pa.int32()),
-                    pa.array((np.concatenate(arrays) if arrays else np.empty(0, np.uint64)).view(np.int64), pa.int64()))
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()), lists(sets),
-                    pa.array([None if s is None else s.tobytes() for s in sketches], pa.binary()),
-                    lists([np.empty(0, np.uint64) if s is None else band_keys(s) for s in sketches])], schema.names)
+        for ids, texts in _by_size(batches):
+            sets = shingle_sets(texts, SHINGLE_WORDS)
+            sketches = [registers(s) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([
+                ids, pa.array([len(s) for s in sets], pa.int64()), pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
+                pa.array([None if s is None else s.tobytes() for s in sketches], pa.binary()),
+                _id_lists([np.empty(0, np.uint64) if s is None else band_keys(s) for s in sketches])], schema.names)
+
+    return docs.select("node", "text").mapInArrow(sketch, schema)
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(node, shingles)`` of those ``(node, text)`` whose node is ``wanted``.
+    A list of up to ``BROADCAST_IDS`` ids, counted first, is sent to the texts;
+    a longer one is joined."""
+    wanted = stored(wanted, "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in _by_size(batches):
+            yield pa.RecordBatch.from_arrays([ids, _id_lists(shingle_sets(texts, SHINGLE_WORDS))], ["node", "shingles"])
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(sketch, schema)
+    schema = T.StructType([docs.schema["node"], T.StructField("shingles", T.ArrayType(T.LongType(), False))])
+    return stored(docs.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(sets, schema), "sets")
 
 
 def _likely(u: Column, v: Column, n_u: Column, n_v: Column, threshold: float) -> Column:
@@ -137,25 +167,29 @@ def _likely(u: Column, v: Column, n_u: Column, n_v: Column, threshold: float) ->
     return likely(u, v, n_u, n_v)
 
 
-def confirm(pairs: DataFrame, nodes: DataFrame, pct: int) -> DataFrame:
+def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, pct: int) -> DataFrame:
     """The ``(u, v)`` of ``pairs`` whose sets have the similarity, first by the
-    estimate from sketches, then on the full sets in ``nodes``."""
-    side = lambda name, *cols: nodes.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
-    near = (pairs.join(side("u", "sketch", "n_shingles"), "u").join(side("v", "sketch", "n_shingles"), "v")
+    estimate from the sketches in ``nodes``, then on the full sets of the texts."""
+    side = lambda df, name, *cols: df.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
+    near = (pairs.join(side(nodes, "u", "sketch", "n_shingles"), "u").join(side(nodes, "v", "sketch", "n_shingles"), "v")
             .where("100 * least(n_shingles_u, n_shingles_v) >= %d * greatest(n_shingles_u, n_shingles_v)" % pct)
             .where(_likely(F.col("sketch_u"), F.col("sketch_v"), F.col("n_shingles_u"), F.col("n_shingles_v"), pct / 100))
-            .select("u", "v"))
+            .select("u", "v").distinct())
+    near = stored(near, "candidates")
+    if near.isEmpty():
+        return near
+    sets = full_sets(docs, near.select(F.col("u").alias("node")).union(near.select("v")).distinct())
     both = F.size(F.array_intersect("shingles_u", "shingles_v"))
     whole = F.size("shingles_u") + F.size("shingles_v") - F.col("__both")
-    return (near.join(side("u", "shingles"), "u").join(side("v", "shingles"), "v").withColumn("__both", both)
-            .where(100 * F.col("__both") >= pct * whole).select("u", "v"))
+    return stored(near.join(side(sets, "u", "shingles"), "u").join(side(sets, "v", "shingles"), "v").withColumn("__both", both)
+                  .where(100 * F.col("__both") >= pct * whole).select("u", "v"), "links")
 
 
 def _ordered(u: str, v: str) -> list[Column]:
     return [F.least(u, v).alias("u"), F.greatest(u, v).alias("v")]
 
 
-def link_components(sketched: DataFrame, nodes: DataFrame, pct: int) -> DataFrame:
+def link_components(sketched: DataFrame, nodes: DataFrame, docs: DataFrame, pct: int) -> DataFrame:
     """``(node, comp)`` of every node that shares a band with another one."""
     bands = sketched.select("node", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("key", "hub")
@@ -164,30 +198,86 @@ def link_components(sketched: DataFrame, nodes: DataFrame, pct: int) -> DataFram
     labels = nodes.select("node", F.col("node").alias("comp")).distinct()
 
     first = groups.where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    labels = contract(labels, stored(confirm(first, nodes, pct), "links"))
-
-    # groups that still hold several components; their largest part stands still
-    parts = groups.select("key", "node").join(labels, "node").groupBy("key", "comp").agg(F.count("*").alias("n"), F.min("node").alias("anchor"))
-    opened = (parts.groupBy("key").agg(F.sum("n").alias("members"), F.count("*").alias("parts"), F.max(F.struct("n", "anchor"))["anchor"].alias("anchor"))
-              .where("parts > 1").withColumn("turns", F.ceil(F.col("members") / PER_ROUND).cast("long")).select("key", "anchor", "turns"))
-    left = stored(groups.select("key", "node").join(opened, "key"), "open")
-    turns = left.agg(F.max("turns")).first()[0] or 0
-    for turn in range(turns):
-        named = left.where(F.col("turns") > turn).join(labels, "node")
-        still = labels.select(F.col("node").alias("anchor"), F.col("comp").alias("anchor_comp"))
-        movers = (named.join(still, "anchor").where("comp <> anchor_comp")
-                  .where(F.pmod(F.xxhash64("node"), "turns") == turn)
-                  .select("key", F.col("node").alias("mover"), F.col("comp").alias("mover_comp")))
-        pairs = (named.join(movers, "key").where("comp <> mover_comp").select(*_ordered("node", "mover")).distinct())
-        labels = contract(labels, stored(confirm(pairs, nodes, pct), "links"))
-    return labels
+    labels = contract(labels, confirm(first, nodes, docs, pct))
+
+    # groups that still hold several components
+    named = groups.select("key", "node").join(labels, "node")
+    parts = named.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    opened = (parts.groupBy("key").agg(F.sum("n").alias("members"), F.count("*").alias("parts"), F.max(F.struct("n", "comp"))["comp"].alias("family"))
+              .where("parts > 1").select("key", "members", "family"))
+    left = stored(named.join(opened, "key").select("key", "node", "comp", "members", "family"), "open")
+    small = left.where(F.col("members") <= SMALL_GROUP)
+    movers = small.where("comp <> family").select("key", F.col("node").alias("mover"), F.col("comp").alias("mover_comp"))
+    pairs = small.join(movers, "key").where("comp <> mover_comp").select(*_ordered("node", "mover")).distinct()
+    large = left.where(F.col("members") > SMALL_GROUP).select("family", "node", "comp").distinct()
+    return contract(labels, confirm(pairs, nodes, docs, pct).union(family_links(large, nodes, docs, pct)))
+
+
+def linking_pairs(movers: list[np.ndarray], members: list[np.ndarray], pct: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For every mover the members whose sets have the similarity."""
+    sizes = np.array([len(m) for m in members], np.int64)
+    owner = np.repeat(np.arange(len(members)), sizes)
+    flat = np.concatenate(members)
+    order = np.argsort(flat, kind="stable")
+    owner, (distinct, begin, count) = owner[order], np.unique(flat[order], return_index=True, return_counts=True)
+    for i, own in enumerate(movers):
+        at = np.searchsorted(distinct, own)
+        at = at[(at < len(distinct)) & (distinct[np.minimum(at, len(distinct) - 1)] == own)]
+        lengths = count[at]
+        starts = np.repeat(begin[at] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) if len(at) else np.empty(0, np.int64)
+        both = np.bincount(owner[starts + np.arange(len(starts))], minlength=len(members))
+        yield i, np.flatnonzero((both > 0) & (100 * both >= pct * (len(own) + sizes - both)))
+
+
+def family_links(large: DataFrame, nodes: DataFrame, docs: DataFrame, pct: int) -> DataFrame:
+    """Links ``(u, v)`` that join the components ``comp`` of ``(family, node,
+    comp)`` wherever a member outside the component ``family`` has the similarity
+    with any other member."""
+    large = stored(large, "families")
+    node_type = large.schema["node"].dataType
+    links = T.StructType([T.StructField("u", node_type), T.StructField("v", node_type)])
+    if large.isEmpty():
+        return docs.sparkSession.createDataFrame([], links)
+    sets = full_sets(docs, large.select("node").distinct())
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_MEMBERS, F.sum("n_shingles") / BLOCK_SHINGLES, F.lit(1.0))).cast("int")
+    sizes = large.join(nodes.select("node", "n_shingles"), "node").groupBy("family").agg(blocks.alias("blocks"))
+    dealt = (large.join(sizes, "family").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    member = dealt.select("family", "node", "comp", F.col("other").alias("a"), F.col("own").alias("b"), F.lit(False).alias("mover"))
+    mover = dealt.where("comp <> family").select("family", "node", "comp", F.col("own").alias("a"), F.col("other").alias("b"), F.lit(True).alias("mover"))
+
+    def compare(rows: pa.Table) -> pa.Table:
+        sides = [rows.filter(pc.equal(rows["mover"], flag)).sort_by("node") for flag in (True, False)]
+        ids = [side["node"].to_pylist() for side in sides]
+        comps = [side["comp"].to_pylist() for side in sides]
+        lists = [[x.values.to_numpy() for x in side["shingles"]] for side in sides]
+        parent: dict = {}
+
+        def root(x):
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
+        found = []
+        for i, linked in linking_pairs(*lists, pct) if ids[0] and ids[1] else ():
+            for j in linked.tolist():
+                x, y = root(comps[0][i]), root(comps[1][j])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    found.append((ids[0][i], ids[1][j]))
+        return pa.table({"u": pa.array([f[0] for f in found], rows.schema.field("node").type), "v": pa.array([f[1] for f in found], rows.schema.field("node").type)})
+
+    rows = member.union(mover).join(sets, "node").select("family", "a", "b", "node", "comp", "mover", "shingles")
+    return stored(rows.groupBy("family", "a", "b").applyInArrow(compare, links), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pct: int = THRESHOLD_PCT) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` for every row of ``docs``."""
     if pct < THRESHOLD_PCT:
         raise ValueError(f"the bands are laid out for a similarity of {THRESHOLD_PCT} % or more")
-    sketched = stored(sketch_documents(docs, id_col, text_col).withColumnRenamed(id_col, "node"), "sketches")
+    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text"))
+    sketched = stored(sketch_documents(texts), "sketches")
     usable = sketched.where("node is not null and n_shingles > 0")
     # classes: texts of one set, and rows of one id
     classes = (usable.groupBy("set_key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
@@ -195,7 +285,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = stored(usable.select("node", "set_key").join(classes, "set_key", "left")
                      .select("node", F.coalesce("first", "node").alias("first")).distinct(), "classes")
     leads = usable.join(classes, "set_key", "left").where("first is null or first = node").drop("first", "set_key")
-    linked = link_components(leads.select("node", "bands"), leads.select("node", "n_shingles", "sketch", "shingles"), pct)
+    linked = link_components(leads.select("node", "bands"), leads.select("node", "n_shingles", "sketch"), texts, pct)
     # an id with several texts belongs to several classes: those are one
     ties = stored(members.groupBy("node").agg(F.min("first").alias("u"), F.max("first").alias("v")).where("u < v").select("node"), "ties")
     if not ties.isEmpty():

@@ -99,7 +99,8 @@ def edited(text, rng, n):
     return " ".join(words)
 
 
-def test_components_equal_comparing_all_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("limits", [{}, {"SMALL_GROUP": 2, "BLOCK_MEMBERS": 3}])
+def test_components_equal_comparing_all_pairs(spark, monkeypatch, limits):
     rng = random.Random(8)
     rows = list(awkward())
     for k in range(12):  # families around the threshold, chains of edits, short texts
@@ -109,7 +110,8 @@ def test_components_equal_comparing_all_pairs(spark, monkeypatch):
             if m % 2:
                 text = rows[-1][1]
     rows += [(50_000 + i, "common words at the front of a text " + prose(900 + i, 40)) for i in range(30)]
-    monkeypatch.setattr(near_dedup, "PER_ROUND", 2)  # several rounds
+    for name, value in limits.items():
+        monkeypatch.setattr(near_dedup, name, value)
     docs = frame(spark, rows)
     got = near_dedup.near_duplicates(docs).collect()
     want = grouped(rows)
@@ -124,6 +126,14 @@ def test_components_equal_comparing_all_pairs(spark, monkeypatch):
     assert collections.Counter(r.doc_id for r in kept.collect()) == collections.Counter(i for i, _ in rows if i is None or want[i] == i)
 
 
+def test_inverted_lists_find_the_linking_members():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(1, 40)).astype(np.int64)) for _ in range(60)]
+    for i, linked in near_dedup.linking_pairs(sets[:25], sets, 60):
+        want = [j for j, s in enumerate(sets) if 100 * len(np.intersect1d(sets[i], s)) >= 60 * len(np.union1d(sets[i], s))]
+        assert linked.tolist() == want
+
+
 def test_large_sets_of_ids_are_joined_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BROADCAST_IDS", 0)
     text = prose(5, 80)
