@@ -257,5 +257,8 @@ UNION ALL SELECT 'beach', 'linearity', sid, CASE WHEN linear THEN 'pass' ELSE 'f
   'points=' || CAST(n_points AS VARCHAR) || ' negative=' || CAST(has_negative AS VARCHAR)
   || ' out_of_tolerance=' || CAST(out_of_tolerance AS VARCHAR) FROM l
 UNION ALL SELECT 'beach', 'nulls', column_name, 'warn',
-  CAST(null_count AS VARCHAR) || '/' || CAST(total_rows AS VARCHAR) FROM n"""
+  CAST(null_count AS VARCHAR) || '/' || CAST(total_rows AS VARCHAR) FROM n
+UNION ALL SELECT 'beach', 'null_example', sid || '/' || CAST(example_no AS VARCHAR) || '/' || CAST(ctx_offset AS VARCHAR),
+  CASE WHEN null_columns <> '' THEN 'warn' ELSE 'info' END, CAST(time_ms AS VARCHAR) || ': ' || null_columns
+  FROM ({sql["null_context"]})"""
     return sql

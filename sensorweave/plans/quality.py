@@ -146,9 +146,11 @@ def null_examples(df: DataFrame, keys: Sequence[str], order: str, max_examples:
 # ---------------------------------------------------------------- combined
 
 def quality_report(df: DataFrame, dataset: str, keys: Sequence[str], fs: float | None = None,
-                   t: str = "time_ms", tolerance: float = 1.0) -> DataFrame:
+                   t: str = "time_ms", tolerance: float = 1.0, grid_step: int | None = None) -> DataFrame:
     """All checks for one harmonised table:
-    ``(dataset, check, key, status, detail)``. ``fs`` defaults to the
+    ``(dataset, check, key, status, detail)``, the first incomplete rows of
+    every recording with the rows around them included (``grid_step`` as in
+    :func:`null_examples`). ``fs`` defaults to the
     dataset's configured sampling rate (unknown datasets raise)."""
     if fs is None:
         if dataset not in SAMPLING_RATE_HZ:
@@ -173,6 +175,12 @@ def quality_report(df: DataFrame, dataset: str, keys: Sequence[str], fs: float |
         F.concat(F.lit("points="), F.col("n_points").cast("string"),
                  F.lit(" negative="), F.col("has_negative").cast("string"),
                  F.lit(" out_of_tolerance="), F.col("out_of_tolerance").cast("string"))))
+    examples = null_examples(df, keys, t, grid_step=grid_step)
+    place = F.concat_ws("/", *[F.col(k).cast("string") for k in keys], F.col("example_no").cast("string"), F.col("ctx_offset").cast("string"))
+    parts.append(examples.select(
+        F.lit(dataset), F.lit("null_example"), place,
+        F.when(F.col("null_columns") != "", F.lit("warn")).otherwise(F.lit("info")),
+        F.concat(F.col(t).cast("string"), F.lit(": "), F.col("null_columns"))))
     nulls = null_profile(df)
     parts.append(nulls.select(
         F.lit(dataset), F.lit("nulls"), F.col("column_name"), F.lit("warn"),

@@ -95,13 +95,13 @@ def widen_sensors(spark, sf_dir):
 
 def sample_number(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("user_id", "event_id")
-    out = timeline.sample_number(ev, ["user_id"], ["event_id"], "sample_no", width=seq.GLOBAL)
+    out = timeline.sample_number(ev, ["user_id"], ["event_id"], "sample_no")
     return out.withColumn("time_ms", timegrid.ms_from_step(F.col("sample_no"), catalog.GRID_STEP_MS["mhealth"]))
 
 
 def time_from_rate(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("user_id", "event_id")
-    out = timeline.sample_number(ev, ["user_id"], ["event_id"], "sample_no", width=seq.GLOBAL)
+    out = timeline.sample_number(ev, ["user_id"], ["event_id"], "sample_no")
     return out.withColumn("time_ms", timegrid.ms_from_rate(F.col("sample_no"), catalog.SAMPLING_RATE_HZ["bruno"]))
 
 
@@ -143,7 +143,7 @@ def label_ffill(spark, sf_dir):
     code = F.floor(F.col("value")).cast("int")
     d = ev.select("user_id", "event_id", code.alias("code"),
                   labels.map_label(code, catalog.MHEALTH_SURFACES, labels.NULL).alias("surface"))
-    return timeline.forward_fill(d, ["user_id"], ["event_id"], "surface", width=seq.GLOBAL)
+    return timeline.forward_fill(d, ["user_id"], ["event_id"], "surface")
 
 
 def surrogate_subject_id(spark, sf_dir):
@@ -346,7 +346,7 @@ def linearity_harmonised(spark, sf_dir):
 def quality_report(spark, sf_dir):
     """Q6: every check over the harmonised table in one long report."""
     h = _stored_harmonised_events(spark, sf_dir)
-    return quality.quality_report(h, "beach", ["sid"], fs=1000.0 / (HOUR_US // 1000))
+    return quality.quality_report(h, "beach", ["sid"], fs=1000.0 / (HOUR_US // 1000), grid_step=HOUR_US // 1000)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -20,7 +20,7 @@ def _data(seed=7, recs=4, n=120):
     return out
 
 
-@pytest.mark.parametrize("width", [3.0, 50.0, None, "global"])
+@pytest.mark.parametrize("width", [3.0, 50.0, None])
 def test_index_shift_ffill_match_brute_force(spark, width):
     data = _data()
     df = spark.createDataFrame(data, "rec int, t long, v int")
@@ -114,8 +114,7 @@ def test_segments_bound_a_dominant_recording(spark):
     big = spark.range(0, 190_000).select(F.lit(0).alias("rec"), (F.col("id") * 3).alias("t"))
     small = spark.range(0, 10_000).select((F.col("id") % 50 + 1).alias("rec"), F.col("id").alias("t"))
     df = big.unionByName(small)
-    for kwargs, bound in [({"width": 3.0 * 1000}, 1000), ({"target_rows": 2000}, 2 * 2000),
-                          ({"width": "global", "target_rows": 2000}, 2 * 2000)]:
+    for kwargs, bound in [({"width": 3.0 * 1000}, 1000), ({"target_rows": 2000}, 2 * 2000)]:
         seg = seq.with_segments(df, ["rec"], "t", **kwargs)
         sizes = seg.groupBy("rec", seq.SEG).count()
         assert sizes.agg(F.max("count")).first()[0] <= bound, kwargs
