@@ -47,8 +47,17 @@ def round_half_even(u: Column, step: int) -> Column:
     return (q + F.when(up, 1).otherwise(0)) * F.lit(step)
 
 
-def seconds_to_ms(seconds: Column) -> Column:
-    """Seconds (float) to whole milliseconds, truncating like ``astype(int)``."""
+def seconds_to_ms(seconds: Column, mode: str = "truncate") -> Column:
+    """Seconds (float) to whole milliseconds, truncating like ``astype(int)``.
+
+    The product of a float can fall just below a whole millisecond (2.009 s
+    gives 2008 or 2009 by its rounding error); ``mode="exact"`` goes through
+    the decimal value instead, to the microsecond.
+    """
+    if mode == "exact":
+        return (seconds.cast("decimal(18,6)") * F.lit(1000)).cast("long")
+    if mode != "truncate":
+        raise ValueError(f"unknown mode {mode!r}")
     return (seconds * F.lit(1000.0)).cast("long")
 
 

@@ -175,19 +175,20 @@ def harmonise_bruno(spark: SparkSession, root: str, activity_pattern: str | None
 # ---------------------------------------------------------------- E3 karas
 
 def harmonise_karas(spark: SparkSession, root: str, subject_pattern: str | None = None,
-                    columns: list[str] | None = None) -> Harmonised:
+                    columns: list[str] | None = None, time_mode: str = "truncate") -> Harmonised:
     """``**/<sid>.csv``: headed CSV, already wide; ``activity`` code, ``time_s``
     seconds and accelerations in g under any names. No grid (as published).
     ``subject_pattern`` (regex, first group, on the path) replaces the file
     stem as subject id; ``columns`` fixes the header names to output
-    (default: every name found in the headers)."""
+    (default: every name found in the headers); ``time_mode`` is that of
+    :func:`timegrid.seconds_to_ms`."""
     scan = text.read_headed(spark, root, columns=columns, glob="*.csv", recursive=True,
                             strip=False, skip_initial_space=False)
     rows = scan.rows
     accel = [c for c in rows.columns if c not in ("path", "name", "line_no", "activity", "time_s")]
     rows = text.as_double(rows, ["time_s", *accel])
     out = rows.select(
-        timegrid.seconds_to_ms(F.col("time_s")).alias("time_ms"),
+        timegrid.seconds_to_ms(F.col("time_s"), time_mode).alias("time_ms"),
         (paths.file_stem(F.col("path")) if subject_pattern is None
          else F.regexp_extract(F.col("path"), subject_pattern, 1)).alias("sid"),
         labels.map_label(F.col("activity"), catalog.KARAS_SURFACES, labels.NULL).alias("surface"),

@@ -1,6 +1,7 @@
 import math
 from pathlib import PurePath
 
+import pytest
 from pyspark.sql import functions as F
 
 from sensorweave import catalog
@@ -118,3 +119,28 @@ def test_name_rules_fixture(spark):
     got = [tuple(r) for r in df.select("n", names.location_of(F.col("n")), names.metric_of(F.col("n"))).collect()]
     assert got == fixture
     assert [(n, names.location_of_name(n), names.metric_of_name(n)) for n, _, _ in fixture] == fixture
+
+
+def test_exact_seconds(spark):
+    df = spark.createDataFrame([(2.009,), (0.29,), (-0.29,), (None,), (1e-6,), (12345.678901,)], "s double")
+    got = [r.m for r in df.select(timegrid.seconds_to_ms(df.s, "exact").alias("m")).collect()]
+    assert got == [2009, 290, -290, None, 0, 12345678]
+    assert df.select(timegrid.seconds_to_ms(df.s).alias("m")).collect()[1].m == int(0.29 * 1000)
+
+
+def test_error_policy_and_whole_number_text(spark):
+    df = spark.createDataFrame([("1.0",), ("2",), (None,), ("1.5",), ("x",)], "c string")
+    mapping = {1: "flat", 2: "stairs"}
+    assert [r.v for r in df.select(labels.map_label(df.c, mapping).alias("v")).collect()] == ["flat", "stairs", None, None, None]
+    known = spark.createDataFrame([("1.0",), ("2",), (None,)], "c string")
+    known = known.select(labels.map_label(known.c, mapping, labels.ERROR).alias("v"))
+    assert [r.v for r in known.collect()] == ["flat", "stairs", None]
+    with pytest.raises(Exception, match="no label for code"):
+        df.select(labels.map_label(df.c, mapping, labels.ERROR)).collect()
+
+
+def test_first_policy_takes_the_earliest_sample(spark):
+    from sensorweave.operators import align
+    df = spark.createDataFrame([(1, 0, "a", 5.0, 2), (1, 0, "a", 9.0, 1), (1, 0, "b", 3.0, 9), (1, 1, "c", 1.0, 0)], "rec int, t int, s string, x double, n int")
+    rows = align.widen(df, ["rec"], "t", "s", ["a", "b"], ["x"], dedupe="first", order="n").collect()
+    assert [tuple(r) for r in rows] == [(1, 0, 9.0, 3.0)]
