@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorweave.session import checkpoint_dir
+from sensorweave.session import scratch_path
 
 #: Text bytes an Arrow function holds decoded at a time.
 BATCH_BYTES = 4 << 20
@@ -23,7 +22,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back:
     a cut lineage whose files survive lost executors."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -35,11 +34,6 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def pad_partitions(df: DataFrame, least: int) -> DataFrame:
-    """At least ``least`` partitions, for frames of few rows."""
-    return df.repartition(least) if df.rdd.getNumPartitions() < least else df
-
-
 def by_bytes(sizes: Iterable[int], limit: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive ranges ``(start, end)`` whose sizes add up to about ``limit``;
     one larger item is a range of its own."""
