@@ -49,9 +49,14 @@ class PieceLattice:
         """``pieces``: text, score and kind (1 normal, 6 byte) by id."""
         self.n = n
         normal = [(p, s, i) for i, (p, s, kind) in enumerate(pieces) if kind == _NORMAL]
-        #: Pieces with score and id; the beginnings of pieces that are none have ().
-        self.table: dict[str, tuple] = {p[:k]: () for p, _, _ in normal for k in range(1, len(p))}
-        self.table.update({p: (s, np.array([i], "<u4").tobytes()) for p, s, i in normal})
+        #: Tree of the pieces by character: ``[children, score, ids]``; where no piece ends the score is None.
+        self.tree: dict[str, list] = {}
+        for p, score, i in normal:
+            branch = self.tree
+            for char in p[:-1]:
+                branch = branch.setdefault(char, [{}, None, b""])[0]
+            branch.setdefault(p[-1], [{}, None, b""])[1:] = [score, np.array([i], "<u4").tobytes()]
+        self.longest = max((len(p) for p, _, _ in normal), default=1)
         self.neighbours = {p[k : k + 2] for p, _, _ in normal for k in range(len(p) - 1)}
         self.bridged = any(p[1] == SPACE_MARK and p[0] != SPACE_MARK for p in self.neighbours)
         self.unknown = min((s for _, s, _ in normal if s > -1e8), default=0.0) - UNKNOWN_LOSS
@@ -76,25 +81,28 @@ class PieceLattice:
     def _lattice(self, text: str) -> tuple[list[tuple[int, int, float, bytes]], list[float], list[int]]:
         """Edges ``(start, end, score, ids)`` by start, the best score up to
         every place, and where the best last edge to it starts."""
-        size, look = len(text), self.table.get
+        size, tree, longest = len(text), self.tree, self.longest
         edges: list[tuple[int, int, float, bytes]] = []
         add = edges.append
         best, begin = [0.0] + [float("-inf")] * size, [0] * (size + 1)
         for i in range(size):
-            here = best[i]
-            if not look(text[i]):
+            here, branch, j = best[i], tree, i
+            first = tree.get(text[i])
+            if first is None or first[1] is None:
                 add((i, i + 1, self.unknown, self._spelled(text[i])))
                 if here + self.unknown > best[i + 1]:
                     best[i + 1], begin[i + 1] = here + self.unknown, i
-            for j in range(i + 1, size + 1):
-                piece = look(text[i:j])
-                if piece:
-                    add((i, j, *piece))
-                    value = here + piece[0]
+            for char in text[i : i + longest]:
+                node = branch.get(char)
+                if node is None:  # no piece begins like this
+                    break
+                j += 1
+                branch, score, ids = node
+                if score is not None:
+                    add((i, j, score, ids))
+                    value = here + score
                     if value > best[j]:
                         best[j], begin[j] = value, i
-                elif piece is None:  # no piece begins like this
-                    break
         return edges, best, begin
 
     def best_and_loss(self, text: str) -> tuple[bytes, float, float]:

@@ -204,15 +204,21 @@ def test_nbest_equals_trying_all_segmentations():
     rng = random.Random(7)
     parts = ["a", "b", "the ", "ing", " ", "é", ".", "漢", "😀", "T", ",", "x\n", "1"]
 
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    table = {library.id_to_piece(i): (library.get_score(i), np.array([i], "<u4").tobytes())
+             for i in range(library.get_piece_size()) if not (library.is_control(i) or library.is_unknown(i) or library.is_byte(i))}
+
     def every(s, i=0):
         if i == len(s):
             yield 0.0, b""
             return
-        if not model.table.get(s[i]):
+        if s[i] not in table:
             for score, ids in every(s, i + 1):
                 yield model.unknown + score, model._spelled(s[i]) + ids
         for j in range(i + 1, len(s) + 1):
-            if edge := model.table.get(s[i:j]):
+            if edge := table.get(s[i:j]):
                 for score, ids in every(s, j):
                     yield edge[0] + score, edge[1] + ids
 
