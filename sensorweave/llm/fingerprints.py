@@ -157,7 +157,7 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sent = sent.otherwise(F.array(F.struct(F.col("range").alias("to"), F.lit(False).alias("guest"))))
     rows = (rows.select("id", "order", F.xxhash64("text").alias("tie"), shrink(F.col("text")).alias("packed"), F.explode(sent).alias("sent"))
             .select("id", "order", "tie", "packed", "sent.*"))
-    dealt = rows.repartition(n, "to").sortWithinPartitions("to", "guest", F.desc("order"), "tie")
+    dealt = rows.repartitionById(n, F.col("to").cast("int")).sortWithinPartitions("to", "guest", F.desc("order"), "tie")
 
     names = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [T.LongType(), T.StringType(), T.StringType(), T.StringType(), T.DoubleType(), T.DoubleType()]
