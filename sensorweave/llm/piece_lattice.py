@@ -47,16 +47,15 @@ Path = tuple[float, bytes]  # score, ids as little-endian unsigned 32-bit number
 class PieceLattice:
     def __init__(self, pieces: list[tuple[str, float, int]], n: int = 3):
         """``pieces``: text, score and kind (1 normal, 6 byte) by id."""
+        import ahocorasick
+
         self.n = n
         normal = [(p, s, i) for i, (p, s, kind) in enumerate(pieces) if kind == _NORMAL]
-        #: Tree of the pieces by character: ``[children, score, ids]``; where no piece ends the score is None.
-        self.tree: dict[str, list] = {}
+        self.machine = ahocorasick.Automaton()  # finds every piece at every place in one pass
         for p, score, i in normal:
-            branch = self.tree
-            for char in p[:-1]:
-                branch = branch.setdefault(char, [{}, None, b""])[0]
-            branch.setdefault(p[-1], [{}, None, b""])[1:] = [score, np.array([i], "<u4").tobytes()]
-        self.longest = max((len(p) for p, _, _ in normal), default=1)
+            self.machine.add_word(p, (len(p), score, np.array([i], "<u4").tobytes()))
+        self.machine.make_automaton()
+        self.single = {p for p, _, _ in normal if len(p) == 1}
         self.neighbours = {p[k : k + 2] for p, _, _ in normal for k in range(len(p) - 1)}
         self.bridged = any(p[1] == SPACE_MARK and p[0] != SPACE_MARK for p in self.neighbours)
         self.unknown = min((s for _, s, _ in normal if s > -1e8), default=0.0) - UNKNOWN_LOSS
@@ -79,30 +78,18 @@ class PieceLattice:
         return np.array([self.byte_ids.get(b, self.unk_id) for b in raw] if self.byte_ids else [self.unk_id], "<u4").tobytes()
 
     def _lattice(self, text: str) -> tuple[list[tuple[int, int, float, bytes]], list[float], list[int]]:
-        """Edges ``(start, end, score, ids)`` by start, the best score up to
+        """Edges ``(start, end, score, ids)`` by end, the best score up to
         every place, and where the best last edge to it starts."""
-        size, tree, longest = len(text), self.tree, self.longest
-        edges: list[tuple[int, int, float, bytes]] = []
-        add = edges.append
+        size = len(text)
+        edges = [(last + 1 - length, last + 1, score, ids) for last, (length, score, ids) in self.machine.iter(text)]
+        if not self.single.issuperset(text):
+            edges += [(i, i + 1, self.unknown, self._spelled(c)) for i, c in enumerate(text) if c not in self.single]
+            edges.sort(key=lambda e: e[1])
         best, begin = [0.0] + [float("-inf")] * size, [0] * (size + 1)
-        for i in range(size):
-            here, branch, j = best[i], tree, i
-            first = tree.get(text[i])
-            if first is None or first[1] is None:
-                add((i, i + 1, self.unknown, self._spelled(text[i])))
-                if here + self.unknown > best[i + 1]:
-                    best[i + 1], begin[i + 1] = here + self.unknown, i
-            for char in text[i : i + longest]:
-                node = branch.get(char)
-                if node is None:  # no piece begins like this
-                    break
-                j += 1
-                branch, score, ids = node
-                if score is not None:
-                    add((i, j, score, ids))
-                    value = here + score
-                    if value > best[j]:
-                        best[j], begin[j] = value, i
+        for i, j, score, _ in edges:
+            value = best[i] + score
+            if value > best[j]:
+                best[j], begin[j] = value, i
         return edges, best, begin
 
     def best_and_loss(self, text: str) -> tuple[bytes, float, float]:
@@ -116,7 +103,7 @@ class PieceLattice:
             on_path[begin[at]] = at
             at = begin[at]
         after, second, ids = [float("-inf")] * size + [0.0], float("-inf"), []
-        for i, j, score, piece in reversed(edges):
+        for i, j, score, piece in reversed(edges):  # what starts at j ends later, so after[j] is known
             value = score + after[j]
             if value > after[i]:
                 after[i] = value
