@@ -38,7 +38,7 @@ from sensorweave.llm.common import tokenizer_path
 SPACE_MARK = "▁"
 UNKNOWN_LOSS = 10.0
 #: Segments a worker remembers; the table is emptied when full.
-CACHED_SEGMENTS = 500_000
+CACHED_SEGMENTS = 1_000_000
 _NORMAL, _BYTE = 1, 6
 
 Path = tuple[float, bytes]  # score, ids as little-endian unsigned 32-bit numbers
