@@ -45,11 +45,10 @@ def coerce_numeric(text: Column) -> Column:
     a missing value has one representation.
     """
     as_text = F.trim(text.cast("string"))
-    value = as_text.try_cast("double")
-    last = F.lower(F.right(as_text, F.lit(1)))
-    typed = last.isin("d", "f") & ~F.lower(as_text).endswith("inf")
-    hexadecimal = F.contains(F.lower(as_text), F.lit("x"))
-    return F.nanvl(F.when(~typed & ~hexadecimal, value), F.lit(None).cast("double"))
+    typed = F.right(as_text, F.lit(1)).isin("d", "f", "D", "F")
+    hexadecimal = F.contains(as_text, F.lit("x")) | F.contains(as_text, F.lit("X"))
+    plain = F.when(typed, F.lower(as_text).endswith("inf")).otherwise(~hexadecimal)
+    return F.nanvl(F.when(plain, as_text.try_cast("double")), F.lit(None).cast("double"))
 
 
 def nan_to_null(value: Column) -> Column:
