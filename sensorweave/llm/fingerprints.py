@@ -5,8 +5,13 @@ weight grows with the logarithm of its count. Every term's ``BITS``-bit hash
 votes with its weight for or against each bit. ``block_keys`` cuts fingerprints
 into blocks: where two differ in at most ``radius`` bits, at least
 ``blocks - radius`` blocks agree, so one of the tables that are keyed by that
-many blocks holds both; ``neighbours`` joins on these keys and checks the
-distance, which finds every pair within the radius.
+many blocks holds both. A radius of ``blocks`` bits or more leaves no block that
+must agree; then ``block_values`` keys a table by each block, and ``probes``
+looks in it for all values that differ in the few bits of ``allowed``: the
+allowances and one more for each block add up to ``radius + 1``, so some block of
+any two within the radius keeps to its own. ``neighbours`` joins on these keys
+and checks the distance, which finds every pair within the radius;
+``neighbour_ids`` names the rows.
 
 ``edited_pairs`` sets each document beside the next one by descending id. Ids
 are cut into ranges at quantiles; the first document of a range is sent to the
@@ -39,6 +44,12 @@ from sensorweave.session import shuffle_partitions
 
 BITS = 128
 PAIR_WEIGHT = 1.0
+#: Bits that near copies may differ in: words changed at random, 1 or 2 in a
+#: hundred, flip 7 to 9 (median) and rarely more than 14; other texts nearly
+#: always differ in more than 40. Five blocks may then differ in two bits each.
+RADIUS = 14
+BLOCKS = 5
+_NUMBER_AT = 56
 _VOTES_AT_ONCE = 1 << 15
 _BLOCK_BYTES = 1 << 20
 _SALTS = np.random.default_rng(7).integers(0, 1 << 64, BITS // 64, np.uint64)
@@ -101,16 +112,105 @@ def distance(a: Column, b: Column) -> Column:
     return sum((F.bit_count(word(a, i).bitwiseXOR(word(b, i))) for i in range(BITS // 32)), F.lit(0))
 
 
+def _bounds(blocks: int) -> list[tuple[int, int]]:
+    """First bit of each block and the one after its last, from the left."""
+    cuts = [round(i * BITS / blocks) for i in range(blocks + 1)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def allowed(radius: int, blocks: int) -> list[int]:
+    """Bits that may differ in each block: of two fingerprints within the
+    radius, at least one block differs in no more."""
+    return [(radius + 1) // blocks - 1 + (i < (radius + 1) % blocks) for i in range(blocks)]
+
+
+def block_values(high: Column, low: Column, blocks: int) -> list[Column]:
+    """Number of each block (in the top bits) and its bits, of the halves of a
+    fingerprint."""
+    if blocks < 3:
+        raise ValueError("a block and its number must fit 64 bits")
+    ones = lambda n: F.lit((1 << n) - 1)
+    values = []
+    for i, (a, b) in enumerate(_bounds(blocks)):
+        left, right = max(0, min(b, 64) - a), max(0, b - max(a, 64))  # bits of the block in either half
+        value = F.lit(i << _NUMBER_AT)
+        if left:
+            value = value.bitwiseOR(F.shiftleft(F.shiftrightunsigned(high, 64 - min(b, 64)).bitwiseAND(ones(left)), right))
+        if right:
+            value = value.bitwiseOR(F.shiftrightunsigned(low, BITS - b).bitwiseAND(ones(right)))
+        values.append(value)
+    return values
+
+
+def probes(high: Column, low: Column, radius: int, blocks: int) -> Column:
+    """All values of a block that differ from its own in the allowed bits."""
+
+    def flipped(value: Column, size: int, most: int) -> Column:
+        masks = [sum(1 << bit for bit in bits) for n in range(most + 1) for bits in combinations(range(size), n)]
+        return F.transform(F.expr(f"array({','.join(f'{m}L' for m in masks)})"), lambda m: value.bitwiseXOR(m))
+
+    return F.concat(*[flipped(value, b - a, most) for value, (a, b), most in zip(block_values(high, low, blocks), _bounds(blocks), allowed(radius, blocks))])
+
+
+def _probed(index: DataFrame, queries: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """``neighbours`` by probing; a pair is formed only by the first of its
+    blocks that keeps to its allowance, so none comes twice."""
+    n = shuffle_partitions(index.sparkSession)
+    half = lambda i: F.conv(F.substring("fingerprint", 16 * i + 1, 16), 16, -10).cast("long")
+    # a given number of partitions: few queries become many probes
+    halves = lambda df, h, l: df.select("fingerprint").where("fingerprint is not null").repartition(n, "fingerprint").distinct().select(half(0).alias(h), half(1).alias(l))
+    asked = halves(queries, "qh", "ql").select("qh", "ql", F.explode(probes(F.col("qh"), F.col("ql"), radius, blocks)).alias("probe"))
+    held = halves(index, "fh", "fl").select("fh", "fl", F.explode(F.array(*block_values(F.col("fh"), F.col("fl"), blocks))).alias("key"))
+    high, low = F.col("qh").bitwiseXOR(F.col("fh")), F.col("ql").bitwiseXOR(F.col("fl"))
+    apart = (F.bit_count(high) + F.bit_count(low)).cast("int")
+    first = F.lit(None).cast("long")
+    for i, (part, most) in reversed(list(enumerate(zip(block_values(high, low, blocks), allowed(radius, blocks))))):
+        bits = F.bit_count(part.bitwiseAND(F.lit((1 << _NUMBER_AT) - 1)))
+        first = F.when(bits <= most, F.lit(i).cast("long")).otherwise(first)
+    # the size that is planned with is that before the probes: no broadcast of them
+    near = asked.hint("merge").join(held, (F.col("probe") == F.col("key")) & (apart <= radius) & (first == F.shiftrightunsigned("key", _NUMBER_AT)))
+    text = lambda h, l: F.lower(F.concat(F.lpad(F.hex(h), 16, "0"), F.lpad(F.hex(l), 16, "0")))
+    return near.select(text("qh", "ql").alias("query"), text("fh", "fl").alias("fingerprint"), apart.alias("distance"))
+
+
 def neighbours(index: DataFrame, queries: DataFrame, radius: int = 3, blocks: int = 4) -> DataFrame:
     """``(query, fingerprint, distance)``: for every fingerprint among
     ``queries``, the fingerprints of ``index`` within the radius (itself
     included where it is one of them). Both hold a ``fingerprint`` column;
     equal ones are compared once, however many rows share them."""
+    if radius >= blocks:
+        return _probed(index, queries, radius, blocks)
     keyed = lambda df, name: df.select(F.col("fingerprint").alias(name)).distinct().withColumn("key", F.explode(block_keys(F.col(name), radius, blocks)))
     near = keyed(queries, "query").join(keyed(index, "fingerprint"), "key")
     return near.withColumn("distance", distance(F.col("query"), F.col("fingerprint"))).where(F.col("distance") <= radius).drop("key").distinct()
 
 
+def near_lists(marked: DataFrame, asked: Column, radius: int = RADIUS, blocks: int = BLOCKS, id_col: str = "doc_id") -> DataFrame:
+    """``marked`` (rows of ids and fingerprints) with ``n_near`` and ``near``
+    beside the rows for which ``asked`` holds, null beside the others: the number
+    of other rows within the radius, and every distinct fingerprint within it
+    (the row's own first) with its distance, its smallest id and the number of
+    its rows. All ids of a listed fingerprint are the rows of the table that hold
+    it, so copies are never paired with copies."""
+    asked = F.coalesce(asked, F.lit(False))
+    groups = marked.groupBy("fingerprint").agg(F.min(id_col).alias("first_id"), F.count("*").alias("n"))
+    pairs = neighbours(marked, marked.where(asked).select("fingerprint"), radius, blocks).join(groups, "fingerprint")
+    entry = F.struct("distance", "fingerprint", "first_id", "n")
+    lists = pairs.groupBy("query").agg((F.sum("n") - 1).alias("n_near"), F.sort_array(F.collect_list(entry)).alias("near"))
+    found = marked.where(asked).join(lists, F.col("fingerprint") == F.col("query")).drop("query")
+    kinds = {f.name: f.dataType for f in lists.schema}
+    rest = marked.where(~asked).withColumns({c: F.lit(None).cast(kinds[c]) for c in ("n_near", "near")})
+    return rest.unionByName(found)
+
+
+def neighbour_ids(listed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``(id, near_id, distance)``: the lists of ``near_lists`` by the ids of all
+    rows within the radius, without the row's own id."""
+    entries = listed.where("near is not null").select(id_col, F.explode("near").alias("entry")).select(id_col, "entry.fingerprint", "entry.distance")
+    members = listed.select("fingerprint", F.col(id_col).alias("near_id"))
+    return entries.join(members, "fingerprint").where(~F.col("near_id").eqNullSafe(F.col(id_col))).select(id_col, "near_id", "distance")
+
+
 def _range_of(order: Column, bounds: list[int]) -> Column:
     """Number of bounds below ``order``, by two steps over about sqrt(n) bounds."""
     if not bounds:

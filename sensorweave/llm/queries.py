@@ -53,15 +53,11 @@ def op6_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text; for ids divisible by 50
-    also the number of other rows within 3 bits, found in the block tables."""
+    also the other rows within ``fingerprints.RADIUS`` bits: their number, and
+    their fingerprints with distance, smallest doc_id and number of rows."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = stored(fingerprints.edited_pairs(docs), "fingerprints")
-    asked = marked.where("doc_id % 50 = 0").select("fingerprint")
-    sizes = marked.groupBy("fingerprint").agg(F.count("*").alias("n"))
-    near = fingerprints.neighbours(marked, asked, radius=3, blocks=4).join(sizes, "fingerprint").groupBy("query").agg(F.sum("n").alias("n"))
-    found = marked.where("doc_id % 50 = 0").select("doc_id", F.col("fingerprint").alias("query")).join(near, "query")
-    found = found.groupBy("doc_id").agg((F.max("n") - 1).alias("n_near"))
-    return marked.join(found, "doc_id", "left")
+    return fingerprints.near_lists(marked, F.col("doc_id") % 50 == 0)
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

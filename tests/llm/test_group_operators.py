@@ -249,6 +249,53 @@ def test_block_tables_find_all_within_the_radius(spark):
         assert got == {(a, b, near(a, b)) for a in asked for b in hexes if near(a, b) <= radius}
 
 
+def test_probes_find_all_within_a_radius_of_more_bits_than_blocks(spark):
+    rng = np.random.default_rng(12)
+    rows = [np.zeros(16, np.uint8), np.full(16, 255, np.uint8)]
+    for b in rng.integers(0, 256, (30, 16), np.uint8):
+        for flips in (0, 1, 5, 7, 9, 13, 14, 15, 20):
+            bits = np.unpackbits(b)
+            bits[rng.choice(128, flips, replace=False)] ^= 1
+            rows.append(np.packbits(bits))
+    hexes = sorted({r.tobytes().hex() for r in rows})
+    frame_ = spark.createDataFrame([(h,) for h in [*hexes, hexes[0]]], "fingerprint string")
+    near = lambda a, b: bin(int(a, 16) ^ int(b, 16)).count("1")
+    for radius, blocks in ((14, 5), (13, 5), (7, 4), (6, 6)):
+        got = sorted(tuple(r) for r in fingerprints.neighbours(frame_, frame_.limit(60), radius, blocks).collect())
+        asked = {r.fingerprint for r in frame_.limit(60).collect()}
+        assert got == sorted((a, b, near(a, b)) for a in asked for b in hexes if near(a, b) <= radius)
+
+
+def test_registered_near_search_names_edited_copies(spark, tmp_path):
+    from sensorweave.llm import queries
+
+    rng = random.Random(21)
+    vocabulary = [f"word{i}" for i in range(3000)]
+    texts, edits = {}, {}
+    for k in range(1, 41):
+        words = [rng.choice(vocabulary) for _ in range(200)]
+        texts[50 * k] = " ".join(words)
+        for at in rng.sample(range(200), 3):
+            words[at] = rng.choice(vocabulary)
+        texts[50 * k + 7] = " ".join(words)
+        edits[50 * k] = 50 * k + 7
+    texts |= {5001: texts[50], 5002: texts[57], 5050: texts[50]}  # copies of a text and of its edit
+    frame(spark, list(texts.items())).write.parquet(f"{tmp_path}/documents.parquet")
+    result = queries.op7_fingerprints(spark, str(tmp_path)).cache()
+    prints = {i: p[0] for i, p in zip(texts, np.split(fingerprints.simhashes(list(texts.values())), len(texts)))}
+    far = lambda a, b: int(np.bitwise_count(prints[a] ^ prints[b]).sum())
+    expected = {(a, b, far(a, b)) for a in texts for b in texts if a % 50 == 0 and a != b and far(a, b) <= fingerprints.RADIUS}
+    assert {tuple(r) for r in fingerprints.neighbour_ids(result).collect()} == expected
+    assert sum((a, b) in {e[:2] for e in expected} for a, b in edits.items()) >= 36
+    rows_ = {r.doc_id: r for r in result.collect()}
+    assert len(rows_) == len(texts)
+    for i, r in rows_.items():
+        assert (r.near is None) == (r.n_near is None) == (i % 50 != 0)
+        if r.near:
+            assert r.n_near == sum(e[0] == i for e in expected) == sum(e.n for e in r.near) - 1
+            assert all(e.first_id == min(j for j in texts if prints[j].tobytes().hex() == e.fingerprint) for e in r.near)
+
+
 def test_long_range_lists_are_looked_up_in_two_steps(spark):
     bounds = sorted(random.Random(3).sample(range(1000), 37))
     df = spark.range(1000).select("id", fingerprints._range_of(F.col("id"), bounds).alias("r"))
