@@ -8,7 +8,10 @@ phone find what the patterns in ``BASE_KINDS`` find, and no more. The other
 kinds are added by cue: ``account`` (an identifier after an account word;
 IBANs and social security numbers must validate), ``contact`` (the address
 after a contact scheme), ``secret`` (a value assigned to a credential word) and
-``url`` (only where it carries credentials). Positions count code points, ends
+``url`` (only where it carries credentials). A cue begins a word or follows
+``_`` or ``-`` (``access_token``). Values run to their delimiter, however long
+they are; what a parser has run over is not run over again, so the time stays in
+proportion to the text. Positions count code points, ends
 are exclusive.
 
 Defined cases: null and empty texts have no spans (a null text stays null when
@@ -39,16 +42,19 @@ CUES = {
 }
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_WORD = _LOCAL - frozenset(".%+")
+_WORD = _LOCAL - frozenset("._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGITS = re.compile(r"[0-9]+")
 _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_ACCOUNT = re.compile(r"(?i:\x20{0,2}(?:number|no|nr|id)?\.?)\x20{0,2}[:=#]\x20{0,2}([A-Za-z0-9](?:[\x20-]?[A-Za-z0-9]){3,33})")
-_SECRET = re.compile(r"\x20{0,2}[:=]\x20{0,2}(?:\"([^\"\s]{8,512})\"|'([^'\s]{8,512})'|([A-Za-z0-9_./+=-]{8,512}))")
-_CONTACT = re.compile(r"[^\s<>\"'()\[\]{},;?]{3,254}")
-_CREDENTIALS = re.compile(r"://[^\s/@:<>\"']{1,128}:[^\s/@<>\"']{1,128}@[A-Za-z0-9.-]+[^\s<>\"']*")
+_ACCOUNT = re.compile(r"(?i:\x20{0,2}(?:number|no|nr|id)?\.?)\x20{0,2}[:=#]\x20{0,2}([A-Za-z0-9](?:[\x20-]?[A-Za-z0-9]){3,}+)")
+_ASSIGNED = re.compile(r"\x20{0,2}[:=]\x20{0,2}")
+_SECRET = re.compile(r"\"([^\"\s]{8,}+)\"|'([^'\s]{8,}+)'|([A-Za-z0-9_./+=-]{8,}+)")
+_CONTACT = re.compile(r"[^\s<>\"'()\[\]{},;?]{3,}+")
+_CREDENTIALS = re.compile(r"://[^\s/@:<>\"']++:[^\s/@<>\"']++@[A-Za-z0-9.-]++[^\s<>\"']*+")
+#: Characters of the longest IBAN, with a separator after each.
+_IBAN_SIZE = 68
 
 Span = tuple[str, int, int]
 
@@ -100,7 +106,7 @@ def _account(text: str, cue: str, end: int) -> tuple[int, int] | None:
     start, stop = found.span(1)
     value = found[1]
     if cue == "iban":
-        for stop in range(stop, start + 14, -1):  # the longest part that checks out
+        for stop in range(min(stop, start + _IBAN_SIZE), start + 14, -1):  # the longest part that checks out
             if text[stop - 1].isalnum() and iban(text[start:stop]):
                 return start, stop
         return None
@@ -149,24 +155,26 @@ def find_spans(text: str | None) -> list[Span]:
                 if 8 <= sum(c.isdigit() for c in m[0]) <= 15:
                     found["phone"].append(m.span())
         elif kind == "url":
-            if m := _CREDENTIALS.match(text, at):
+            if at > floor["url"] and (m := _CREDENTIALS.match(text, at)):
                 start = at
-                while start > floor["url"] and at - start < 16 and text[start - 1] in _LOCAL:
+                while start > floor["url"] and text[start - 1] in _LOCAL:
                     start -= 1
                 if start < at:
                     take("url", start, m.start() + len(m[0].rstrip(".,;:!?)")))
-        elif at and text[at - 1] in _WORD:  # a cue begins a word
+        elif at and text[at - 1] in _WORD:  # a cue begins a word or a part of a name
             continue
         elif kind == "account":
             if span := _account(text, text[at : last + 1].lower(), last + 1):
                 take("account", *span)
         elif kind == "secret":
-            if m := _SECRET.match(text, last + 1):
+            if (m := _ASSIGNED.match(text, last + 1)) and m.end() >= floor["secret"] - 1 and (m := _SECRET.match(text, m.end())):
                 take("secret", *m.span(m.lastindex))
-        elif kind == "contact" and (m := _CONTACT.match(text, last + 1)):
+        elif kind == "contact" and last + 1 >= floor["contact"] and (m := _CONTACT.match(text, last + 1)):
             value = m[0].rstrip(".:!")
             if "@" in value[1:-1] or sum(c.isdigit() for c in value) >= 7:
                 take("contact", m.start(), m.start() + len(value))
+            else:  # nor is a later part of it an address
+                floor["contact"] = m.end()
     return [(kind, start, end) for kind in KINDS for start, end in found[kind]]
 
 

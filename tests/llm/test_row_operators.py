@@ -4,6 +4,7 @@ import collections
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -99,6 +100,33 @@ def test_redaction_keeps_rows_and_other_columns(spark):
     assert pii.find_spans("0" * 6000 + ".1.2.3")[0][0] == "ip"
 
 
+def test_long_personal_data_is_found_whole():
+    for n in (600, 5000):
+        value = ("aB3_./+=-x" * n)[:n]
+        user, number = "u" * n, "12" * (n // 2)
+        for text, kind, found in [
+            (f"token={value} z", "secret", value), (f'token = "{value}" z', "secret", value), (f"password: '{value}' z", "secret", value),
+            (f"mailto:{user}@host.org, z", "contact", f"{user}@host.org"), (f"see https://{user}:{user}@host.org/x z", "url", f"https://{user}:{user}@host.org/x"),
+            (f"account: {number} z", "account", number),
+        ]:
+            spans = [s for s in pii.find_spans(text) if s[0] == kind]
+            assert [text[a:b] for _, a, b in spans] == [found]
+            assert found not in pii.redact_text(text, spans) and value[-88:] not in pii.redact_text(text, spans)
+
+
+@pytest.mark.parametrize("cue", ["access_token=", "client_secret=", "DB_PASSWORD=", "x-api-key: ", "refresh_token = ", "token="])
+def test_cues_at_the_end_of_a_name(cue):
+    text = f"set {cue}04dbebab91ab85687d33 now"
+    assert [(k, text[a:b]) for k, a, b in pii.find_spans(text)] == [("secret", "04dbebab91ab85687d33")]
+
+
+def test_runs_of_cues_take_time_in_proportion():
+    started = time.process_time()
+    for part in ("token=", "mailto:", "mailto:@", "http://u:p@h/", "tel:x-", "a_token='", 'secret="', "account=1", "iban=DE1"):
+        pii.find_spans(part * 100_000)
+    assert time.process_time() - started < 60
+
+
 # quality
 
 def counted(text):
