@@ -5,7 +5,8 @@ padded with a space), scaled to length 1. Document frequencies count every
 training document. Of each language, up to ``SAMPLE_PER_LANG`` training
 documents (those of the smallest hashed ids) are clustered by cosine into
 ``CLUSTERS`` centroids, language by language in tasks of their own; the centroids
-are all that the driver gets. A text takes the language of the centroid of the
+are all that the driver gets. Those of more than ``LANGUAGES_AT_ONCE`` languages
+stay in a table and are fetched and scored in blocks of about so many. A text takes the language of the centroid of the
 largest cosine; it is ``rejected`` where its distance is beyond that of the
 centroid's own training documents by more than ``SLACK``.
 
@@ -26,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorweave.llm.common import stored
+
 DIMENSIONS = 1 << 14
 MAX_N = 3
 CLUSTERS = 3
 #: Training documents that a language's centroids are fitted on, at most.
 SAMPLE_PER_LANG = 256
-#: Languages that are learned, at most (the most frequent ones).
-MAX_LANGUAGES = 512
+#: Languages whose centroids the driver and a worker hold at a time, about.
+LANGUAGES_AT_ONCE = 512
 SLACK = 0.1
 UNKNOWN = "und"
 _CHUNK = 1 << 20
@@ -117,6 +120,22 @@ class Centroids:
         return self.languages[best], score, bool(1 - score > self.radius[best] + SLACK)
 
 
+class StoredCentroids:
+    """A fitted model of many languages: ``(block, lang, radius, centroid)``."""
+
+    def __init__(self, table: DataFrame, blocks: int, idf: np.ndarray):
+        self.table, self.blocks, self.idf = table, blocks, idf
+
+    def block(self, number: int) -> Centroids:
+        return _fetched(self.table.where(F.col("block") == number), self.idf)
+
+
+def _fetched(table: DataFrame, idf: np.ndarray) -> Centroids:
+    found = sorted(table.select("lang", "radius", "centroid").collect(), key=lambda r: (r["lang"], bytes(r["centroid"])))
+    return Centroids([r["lang"] for r in found], np.stack([np.frombuffer(r["centroid"], np.float32) for r in found]) if found
+                     else np.zeros((0, DIMENSIONS)), np.array([r["radius"] for r in found]), idf)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
@@ -151,18 +170,24 @@ def _document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     return df, total
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Centroids:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Centroids | StoredCentroids:
     """Centroids of every language among the training rows of ``docs``."""
     rows = training_rows(docs, id_col, text_col, lang_col)
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    df, total = _document_frequencies(rows) if sizes else (np.zeros(DIMENSIONS), 0)
+    counted = stored(rows.groupBy("lang").count(), "languages")
+    languages = counted.count()
+    df, total = _document_frequencies(rows) if languages else (np.zeros(DIMENSIONS), 0)
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
-    if not sizes or not total:
+    if not languages or not total:
         return Centroids([], np.zeros((0, DIMENSIONS)), np.zeros(0), idf)
     # a share of each language by hashed id that gives about the sample, then the smallest of these
-    share = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, min(1.0, 1.5 * SAMPLE_PER_LANG / n))])
     spot = F.pmod(F.xxhash64("id"), F.lit(1 << 30)).cast("long")
-    picked = rows.withColumn("spot", spot).where(F.col("spot") < F.coalesce(share[F.col("lang")], F.lit(0.0)) * (1 << 30))
+    spotted = rows.withColumn("spot", spot)
+    if languages <= LANGUAGES_AT_ONCE:
+        share = F.create_map(*[F.lit(x) for lang, n in counted.collect() for x in (lang, min(1.0, 1.5 * SAMPLE_PER_LANG / n))])
+        picked = spotted.where(F.col("spot") < F.coalesce(share[F.col("lang")], F.lit(0.0)) * (1 << 30))
+    else:
+        shares = counted.select("lang", F.least(F.lit(1.0), F.lit(1.5 * SAMPLE_PER_LANG) / F.col("count")).alias("share"))
+        picked = spotted.join(shares, "lang").where(F.col("spot") < F.col("share") * (1 << 30))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,15 +211,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     kinds = "lang string, spot long, gram array<int>, n array<int>"
     found = (picked.select("lang", "spot", "text").mapInArrow(grams, kinds).groupBy("lang")
-             .applyInArrow(centre, "lang string, radius double, centroid binary").collect())
-    found.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
-    return Centroids([r["lang"] for r in found], np.stack([np.frombuffer(r["centroid"], np.float32) for r in found]) if found
-                     else np.zeros((0, DIMENSIONS)), np.array([r["radius"] for r in found]), idf)
+             .applyInArrow(centre, "lang string, radius double, centroid binary"))
+    if languages <= LANGUAGES_AT_ONCE:
+        return _fetched(found, idf)
+    blocks = -(-languages // LANGUAGES_AT_ONCE)
+    block = F.pmod(F.xxhash64("lang"), F.lit(blocks)).cast("int").alias("block")
+    return StoredCentroids(stored(found.select(block, "lang", "radius", "centroid"), "centroids"), blocks, idf)
 
 
-def predict(docs: DataFrame, model: Centroids, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, held_out, lang_pred, score, rejected)`` for every row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x CLUSTERS x DIMENSIONS, both bounded
+def _guessed(text: Column, shared) -> Column:
+    """Guess of the broadcast model ``shared`` for a text."""
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
     @F.arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
@@ -203,5 +229,31 @@ def predict(docs: DataFrame, model: Centroids, id_col: str = "doc_id", text_col:
             rows = [shared.value.predict(t.as_py()) for t in texts]
             yield pa.array([{"lang_pred": a, "score": b, "rejected": c} for a, b, c in rows], kind)
 
-    return (docs.select(F.col(id_col), held_out(id_col).alias("held_out"), guess(F.col(text_col).cast("string")).alias("guess"))
-            .select(id_col, "held_out", "guess.lang_pred", "guess.score", "guess.rejected"))
+    return guess(text)
+
+
+def _guessed_by_block(rows: DataFrame, model: StoredCentroids) -> DataFrame:
+    """``rows`` with the best guess over all blocks, one block at a time."""
+    rows = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    parts = []
+    for number in range(model.blocks):
+        held = model.block(number)
+        if held.languages:
+            shared = rows.sparkSession.sparkContext.broadcast(held)
+            parts.append(stored(rows.select("__row", _guessed(F.col("text"), shared).alias("guess")), "guesses"))
+            shared.destroy()
+    every = functools.reduce(DataFrame.unionByName, parts)
+    # the largest score, then the language that sorts first; a text without a letter is und in every block
+    best = every.groupBy("__row").agg(F.min_by("guess", F.struct(-F.col("guess.score"), F.col("guess.lang_pred"))).alias("guess"))
+    return rows.drop("text").join(best, "__row").drop("__row")
+
+
+def predict(docs: DataFrame, model: Centroids | StoredCentroids, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, held_out, lang_pred, score, rejected)`` for every row of ``docs``."""
+    rows = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    if isinstance(model, StoredCentroids):
+        found = _guessed_by_block(rows, model)
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x CLUSTERS x DIMENSIONS, both bounded
+        found = rows.select(id_col, "held_out", _guessed(F.col("text"), shared).alias("guess"))
+    return found.select(id_col, "held_out", "guess.lang_pred", "guess.score", "guess.rejected")

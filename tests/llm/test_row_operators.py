@@ -217,6 +217,23 @@ def test_languages_are_told_apart_on_held_out_rows(spark):
     assert {r.lang_pred for r in language.predict(docs, language.fit(unlearned)).collect()} == {"und"}
 
 
+def test_every_language_is_learned_however_many_there_are(spark, monkeypatch):
+    rng = random.Random(16)
+    rows = [(i, " ".join("".join(rng.choice("abcdefghijklmnop"[2 * k : 2 * k + 3]) for _ in range(4)) for _ in range(30)), f"l{k}")
+            for i, k in enumerate(rng.choices(range(7), range(1, 8), k=300))]
+    rows += [(900, None, "l1"), (901, "12 !", "l1"), (None, "abca", "l1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = docs.drop("lang")
+    at_once = language.fit(docs)
+    whole = sorted(map(tuple, language.predict(texts, at_once).collect()), key=str)
+    monkeypatch.setattr(language, "LANGUAGES_AT_ONCE", 2)
+    model = language.fit(docs)
+    assert isinstance(model, language.StoredCentroids) and model.blocks == 4
+    blocks = sorted(map(tuple, language.predict(texts, model).collect()), key=str)
+    assert [r[:3] + r[4:] for r in blocks] == [r[:3] + r[4:] for r in whole] and np.allclose([r[3] for r in blocks], [r[3] for r in whole])
+    assert {r[2] for r in blocks} == {"und", *(f"l{k}" for k in range(7))}
+
+
 def test_a_text_far_from_all_centroids_is_rejected():
     grams = [language.ngram_counts(t) for t in ("aaa aab aba", "zzz zzy zyz")]
     idf = np.ones(language.DIMENSIONS, np.float32)
