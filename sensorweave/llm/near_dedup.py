@@ -25,7 +25,9 @@ Defined cases: null, empty and blank texts have the empty set and are linked
 with nothing; fewer words than a shingle form one shingle; rows of one id are
 one document, linked as soon as one of its texts is; a row with a null id is
 linked with nothing, has a null component and is kept; ties go to the smaller
-id; an empty table gives an empty result; other columns are not read.
+id; an empty table gives an empty result; other columns are not read. ``keep_one``
+also keeps repeated rows (one id and text) once, and rows without an id once for
+each shingle set.
 """
 
 from __future__ import annotations
@@ -300,7 +302,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.coalesce(F.col("node") == F.coalesce("component_id", "node"), F.lit(True)).alias("kept")))
 
 
+def set_keys(texts: Column) -> Column:
+    """The key of a text's shingle set; null where it is empty."""
+
+    @F.arrow_udf("binary")
+    def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import hashlib
+
+        for batch in batches:
+            sizes = [n or 0 for n in pc.binary_length(batch).to_pylist()]
+            yield pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for a, b in by_bytes(sizes, BATCH_BYTES)
+                            for s in shingle_sets(batch.slice(a, b - a), SHINGLE_WORDS)], pa.binary())
+
+    return keys(texts)
+
+
+def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each id and text, and of the rows without an id
+    one of each shingle set (those of the empty set all stay)."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = lambda rows, *keys: rows.groupBy(*keys).agg(F.min_by(row, F.to_json(row)).alias("__row")).select("__row.*")
+    text = F.col(text_col).cast("string")
+    hashed = docs.withColumn("__hash", F.xxhash64(text))
+    repeated = stored(hashed.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id"), F.col("__hash").alias("__of")).agg(F.count("*").alias("__n"))
+                      .where("__n > 1").select("__id", "__of"), "repeated")
+    out = docs
+    if not repeated.isEmpty():
+        same = (F.col(id_col) == F.col("__id")) & (F.col("__hash") == F.col("__of"))
+        out = hashed.join(repeated, same, "left_anti").drop("__hash").unionByName(
+            least(hashed.join(repeated, same, "left_semi").drop("__hash"), F.col(id_col), text))
+    if not docs.where(F.col(id_col).isNull()).isEmpty():
+        nameless = docs.where(F.col(id_col).isNull()).withColumn("__set", set_keys(text))
+        out = (out.where(F.col(id_col).isNotNull()).unionByName(nameless.where("__set is null").drop("__set"))
+               .unionByName(least(nameless.where("__set is not null"), "__set")))
+    return out
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pct: int = THRESHOLD_PCT) -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their group."""
+    """The rows of ``docs`` that are the smallest id of their group, each id and
+    text once, and one of the rows without an id of each shingle set."""
     gone = near_duplicates(docs, id_col, text_col, pct).where("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    return drop_repeated(docs, id_col, text_col).join(gone, F.col(id_col) == F.col("__gone"), "left_anti")

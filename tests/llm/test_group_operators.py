@@ -134,6 +134,18 @@ def test_inverted_lists_find_the_linking_members():
         assert linked.tolist() == want
 
 
+def test_repeated_rows_and_copies_without_an_id_are_kept_once(spark):
+    a, b, c = (prose(300 + i, 60) for i in range(3))
+    rows = [(1, a), (1, a), (2, b), (2, c), (2, c), (3, None), (3, None), (4, ""), (4, ""), (5, a), (5, a),
+            (None, a), (None, a), (None, a.upper().replace("É", "é")), (None, "  " + a), (None, "one two"), (None, ""), (None, ""), (None, None)]
+    kept = near_dedup.keep_one(frame(spark, rows))
+    got = collections.Counter((r.doc_id, r.text if r.doc_id is not None else tuple(sorted(shingle_set(r.text)))) for r in kept.collect())
+    nameless = lambda t: (None, tuple(sorted(shingle_set(t))))
+    want = {(1, a): 1, (2, b): 1, (2, c): 1, (3, None): 1, (4, ""): 1, nameless(""): 3} | {nameless(t): 1 for i, t in rows if i is None and shingle_set(t)}
+    assert got == want and kept.columns == frame(spark, []).columns
+    assert near_dedup.keep_one(frame(spark, [])).count() == 0
+
+
 def test_large_sets_of_ids_are_joined_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BROADCAST_IDS", 0)
     text = prose(5, 80)
