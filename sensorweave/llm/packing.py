@@ -18,6 +18,8 @@ table gives no rows; other columns of the input are not read.
 from __future__ import annotations
 
 import functools
+import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -29,77 +31,158 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.llm.common import BATCH_BYTES, by_bytes, stored, tokenizer_path
+from sensorweave.llm.common import by_bytes, stored, tokenizer_path
 
 CAPACITY = 4096
 END_ID = 1
 #: Pieces packed together; the state of a group is this many small rows.
 GROUP_PIECES = 32_768
-#: Words a worker remembers the ids of; the table is emptied when full.
-CACHED_WORDS = 1_000_000
+#: About the bytes of the table in which a worker remembers words and parts (emptied when
+#: full), what an entry takes besides its characters, and the longest part it keeps.
+CACHE_BYTES = 200 << 20
+ENTRY_BYTES = 160
+LONGEST_KEPT = 64
+#: Words whose ids are gathered at a time, and text bytes of an Arrow batch.
+GATHERED_WORDS = 1 << 20
+PACK_BATCH_BYTES = 8 << 20
 
 
 class WordEncoder:
-    """Ids of texts for a tokenizer that drops white space and lower-cases:
-    the ids of a text are those of its white-space separated words, so each
-    word is encoded once and remembered. Only ASCII white space separates; a
-    new word's closing ``.`` or ``,`` after a letter is looked up apart (the
-    tokenizer's pattern cuts there too); texts with a special token's string
-    are encoded whole."""
+    """Ids of texts for a tokenizer that drops white space and lower-cases: the
+    ids of a text are those of its white-space separated words. The words of a
+    batch are told apart by Arrow, each different word is encoded once, and the
+    ids of the texts are gathered by index.
+
+    Words of printable ASCII and Latin-1 letters are cut into letter runs,
+    digits and other runs as the tokenizer's pattern cuts them, and every part
+    goes straight to its merges; other words pass the whole tokenizer. Words and
+    parts are remembered up to ``CACHE_BYTES``, but none longer than
+    ``LONGEST_KEPT``. Texts with a special token's string are encoded whole."""
+
+    #: What the fast path takes, and its parts (the tokenizer's own pattern on these characters).
+    PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+    LETTERS = "a-zß-öø-ÿ"
+    PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^0-9{LETTERS}]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[bytes, bytes] = {}
-        self.by_word = self._drops_spaces()
+        self.known: dict[str, bytes] = {}
+        self.held = 0
+        # byte-level alphabet: a printable byte stands for itself, the others for characters from 256 on
+        shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        hidden = [i for i in range(256) if i not in shown]
+        self.bytes_as = {i: chr(256 + k) for k, i in enumerate(hidden) if i != 0x20}  # blanks stay between parts
+        self.by_word = self._agrees(lambda text: b"".join(map(self._whole, text.lower().split())))
+        self.by_part = self.by_word and self._merges_alone() and self._agrees(lambda text: b"".join(self._words(text.lower().split())))
+        self.known.clear()
+
+    def _merges_alone(self) -> bool:
+        """Prepare a tokenizer of the merges alone, for parts separated by
+        blanks; the vocabulary tells which ids end a part."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not mark:
+            return False
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        self.by_part = True
+        return True
 
-    def _drops_spaces(self) -> bool:
-        """Whether words may be encoded apart (tried on the cases that matter)."""
-        probes = ["Ab, Cd. éa", "x,y a.b ... c", "a 1 22 b's  ß!? (c), d"]
-        return all(self._whole(p) == b"".join(self._whole(part.decode()) for w in self._split(p) for part in self._parts(w)) for p in probes)
+    def _agrees(self, way) -> bool:
+        """Whether a way of encoding gives the tokenizer's ids on the cases that matter."""
+        words = sorted(w.replace("</w>", "") for w in self.tokenizer.get_vocab())[::20]
+        probes = ["Ab, Cd. éa", "x,y a.b ... c", "a 1 22 b's  ß!? (c), d", "ÈA ÀÖØÞ öø ÿ don't I'LL 'dx' a'b", "".join(map(chr, range(0x21, 0x7F))),
+                  " ".join(w for w in words if self.PLAIN.fullmatch(w) and w not in self.special)]
+        return all(self._whole(p) == way(p) for p in probes)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    @staticmethod
-    def _split(text: str) -> list[bytes]:
-        return text.encode().lower().split()
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts, from the merges alone: the last id of each part ends it."""
+        out = {}
+        for i in range(0, len(parts), 500):
+            block = parts[i : i + 500]
+            line = " ".join(block)
+            if not line.isascii():
+                line = line.encode().decode("latin-1").translate(self.bytes_as)
+            ids = np.array(self.merges.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            raw, a = ids.tobytes(), 0
+            for part, b in zip(block, (4 * np.flatnonzero(self.ends[ids]) + 4).tolist(), strict=True):
+                out[part] = raw[a:b]
+                a = b
+        return out
+
+    def _remember(self, entries: dict[str, bytes]) -> None:
+        if self.held > CACHE_BYTES:
+            self.known.clear()
+            self.held = 0
+        if max(map(len, entries), default=0) > LONGEST_KEPT:
+            entries = {w: ids for w, ids in entries.items() if len(w) <= LONGEST_KEPT}
+        self.known.update(entries)
+        self.held += ENTRY_BYTES * len(entries) + 2 * sum(map(len, entries)) + sum(map(len, entries.values()))
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of different words (ASCII letters in lower case)."""
+        known = self.known
+        new, cut = {}, {}
+        for word in words:
+            if word not in known:
+                if not word:
+                    new[word] = b""
+                elif not self.by_part:
+                    new[word] = self._whole(word)
+                elif word.isascii() and word.isalpha():
+                    cut[word] = (word,)
+                elif self.PLAIN.fullmatch(word):
+                    cut[word] = self.PARTS.findall(word.lower())
+                else:
+                    new[word] = self._whole(word)
+        parts = set(itertools.chain.from_iterable(cut.values()))
+        ids_of = self._learn([p for p in parts if p not in known])
+        ids_of |= {p: known[p] for p in parts if p not in ids_of}
+        new |= {word: ids_of[some[0]] if len(some) == 1 else b"".join([ids_of[p] for p in some]) for word, some in cut.items()}
+        out = [known[w] if w in known else new[w] for w in words]
+        self._remember(ids_of | new)
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty), one after the other, and the n + 1
+        offsets of the texts in them."""
+        texts = texts.fill_null("")
+        if not self.by_word:
+            return self._joined([self._whole(t) for t in texts.to_pylist()])
+        whole = np.zeros(len(texts), bool)
+        for mark in self.special:
+            for form in (texts, pc.utf8_lower(texts)):
+                whole |= pc.match_substring(form, mark).to_numpy(zero_copy_only=False)
+        if whole.any():
+            ids, at = self.encode(pc.if_else(pa.array(whole), "", texts))
+            rows = [self._whole(texts[i].as_py()) if whole[i] else ids[at[i] : at[i + 1]].tobytes() for i in range(len(texts))]
+            return self._joined(rows)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts).cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        by_word = self._words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        index = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, by_word), np.int64, len(by_word))[index] // 4)])
+        ids = np.empty(ends[-1], "<u4")
+        for a in range(0, len(index), GATHERED_WORDS):  # bounds the list that a long text needs
+            b = min(a + GATHERED_WORDS, len(index))
+            ids[ends[a] : ends[b]] = np.frombuffer(b"".join(map(by_word.__getitem__, index[a:b].tolist())), "<u4")
+        return ids, ends[split.offsets.to_numpy()]
 
     @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, bytes]:
-        """A word without and with only its closing marks."""
-        stem = word.rstrip(b".,")
-        return (stem, word[len(stem):]) if stem and 97 <= stem[-1] <= 122 else (word, b"")
-
-    def _learn(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 2000):
-            texts = [w.decode() for w in words[i : i + 2000]]
-            coded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4")
-            begins = np.array(coded.offsets, np.int64).reshape(-1, 2)[:, 0]
-            cuts = np.searchsorted(begins, np.cumsum([0] + [len(t) + 1 for t in texts])).tolist()
-            for word, a, b in zip(words[i : i + 2000], cuts, cuts[1:]):
-                self.words[word] = ids[a:b].tobytes()
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of every text as little-endian unsigned 32-bit numbers."""
-        split: list[list[bytes] | None] = [
-            None if not self.by_word or any(s in (t or "") or s in (t or "").lower() for s in self.special)
-            else self._split(t or "") for t in texts]
-        new = list(set().union(*(s for s in split if s)) - self.words.keys())
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words.clear()
-            new = list(set().union(*(s for s in split if s)))
-        known = self.words
-        parts = [self._parts(w) for w in new]
-        self._learn(list({p for pair in parts for p in pair if p} - known.keys()))
-        for word, (stem, tail) in zip(new, parts):
-            if tail:
-                known[word] = known[stem] + known[tail]
-        for text, words in zip(texts, split):
-            yield self._whole(text or "") if words is None else b"".join([known[w] for w in words])
+    def _joined(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        offsets = np.zeros(len(rows) + 1, np.int64)
+        np.cumsum([len(r) // 4 for r in rows], out=offsets[1:])
+        return np.frombuffer(b"".join(rows), "<u4"), offsets
 
 
 @functools.lru_cache(maxsize=2)
@@ -112,7 +195,7 @@ def tokenize_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Pieces ``(id, piece, start, length, ids_crc32, deal[, ids])`` of every
     row's ids followed by ``end_id``; ``deal`` is a number to deal groups by."""
     path = model or tokenizer_path("word_bpe_49k.json")
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
     id_type = docs.schema[id_col].dataType
     fields = [T.StructField(id_col, id_type), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
               T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("deal", T.LongType())]
@@ -124,17 +207,18 @@ def tokenize_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
-            for a, b in by_bytes(sizes, BATCH_BYTES):
-                at, out = [], []
-                for i, coded in enumerate(encoder.encode(texts.slice(a, b - a).to_pylist()), a):
-                    coded, row = coded + end, row + 1
-                    for k, start in enumerate(range(0, len(coded), 4 * capacity)):
-                        part = coded[start : start + 4 * capacity]
-                        at.append(i)
-                        out.append((k, start // 4, len(part) // 4, zlib.crc32(part), zlib.crc32(b"%d:%d:%d" % (task, row, k)), part))
+            for a, b in by_bytes(sizes, PACK_BATCH_BYTES):
+                coded, at = encoder.encode(texts.slice(a, b - a))
+                rows, out = [], []
+                for i in range(b - a):
+                    own, row = np.append(coded[at[i] : at[i + 1]], end).astype("<u4"), row + 1
+                    for k, start in enumerate(range(0, len(own), capacity)):
+                        part = own[start : start + capacity].tobytes()
+                        rows.append(a + i)
+                        out.append((k, start, len(part) // 4, zlib.crc32(part), zlib.crc32(b"%d:%d:%d" % (task, row, k)), part if with_ids else None))
                 kinds = [pa.int32(), *[pa.int64()] * 4, pa.binary()]
                 columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), *columns][: len(fields)], [f.name for f in fields])
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), *columns][: len(fields)], [f.name for f in fields])
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(cut, T.StructType(fields))
 
