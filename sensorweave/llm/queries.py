@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.llm import fingerprints, language, line_dedup, near_dedup, packing, pii, piece_lattice, quality_rules, sharding, token_counts
+from sensorweave.llm import (byte_bpe, fill_in_middle, fingerprints, language, line_dedup, near_dedup, packing, pii, piece_lattice, quality_rules, sharding,
+                             token_counts, vector_codes)
 from sensorweave.llm.common import read_table, stored
 
 #: Shards of the registered sharding query.
@@ -80,6 +81,31 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "lang", F.octet_length("text").cast("long").alias("n_bytes"), "slot", "shard")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of all usable vectors, errors by label, and a digest of the codebooks."""
+    rows, books = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def _sha256(column) -> Column:
+    return F.sha2(column.cast("binary"), 256)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every text is cut, digests of the rearranged text and of the one rebuilt from it."""
+    done = fill_in_middle.rearrange(read_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", _sha256(F.col("output")).alias("output_sha256"),
+                       _sha256(fill_in_middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every text's ids, and a digest of the bytes they decode to."""
+    coded = byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _sha256(ids).alias("ids_sha256"),
+                        _sha256(byte_bpe.decoded(F.col("ids"))).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
@@ -91,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -133,5 +162,52 @@ y AS (SELECT a.doc_id, string_agg(a.line, chr(10) ORDER BY a.line_no) AS text FR
 SELECT t.doc_id, CAST(len(t.lines) AS BIGINT) AS n_lines, coalesce(q.gone, 0) AS n_deleted, coalesce(q.runs, '') AS deleted_runs, coalesce(y.text, '') AS text
 FROM t LEFT JOIN q ON q.doc_id = t.doc_id LEFT JOIN y ON y.doc_id = t.doc_id"""
 
+
+def _vector_codes_sql() -> str:
+    """Rounds of comparing every part with every entry, one after the other."""
+    rounds = []
+    for i in range(vector_codes.ROUNDS + 1):
+        rounds.append(f"""a{i} AS MATERIALIZED (
+  SELECT rid, k, min_by(e, d * 1024 + e) AS e, min(d) AS d FROM (
+    SELECT p.rid, p.k, c.e, list_sum(list_transform(range(1, len(p.x) + 1), lambda j: (p.x[j] - c.x[j]) * (p.x[j] - c.x[j]))) AS d
+    FROM p JOIN c{i} c ON c.k = p.k) GROUP BY rid, k)""")
+        if i < vector_codes.ROUNDS:
+            rounds.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.k, c.e, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT k, e, list(CAST(floor(s::DOUBLE / n) AS BIGINT) ORDER BY j) AS x FROM (
+      SELECT a.k, a.e, j, sum(p.x[j]) AS s, count(*) AS n FROM a{i} a JOIN p ON p.rid = a.rid AND p.k = a.k, range(1, (SELECT max(len(x)) FROM p) + 1) t(j)
+      GROUP BY a.k, a.e, j) GROUP BY k, e) m ON m.k = c.k AND m.e = c.e)""")
+    last, parts = vector_codes.ROUNDS, vector_codes.PARTS
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label, len(embedding) // {parts} AS w,
+         list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE}::DOUBLE * x) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT rid, k, x[k * w + 1 : (k + 1) * w] AS x FROM v, range({parts}) t(k)),
+c0 AS MATERIALIZED (SELECT k, rid - 1 AS e, x FROM p WHERE rid <= {vector_codes.ENTRIES}),
+{", ".join(rounds)},
+h AS (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY k, e, j)) AS digest FROM (
+        SELECT k, e, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM c{last})),
+r AS (SELECT rid, string_agg(printf('%02x', e), '' ORDER BY k) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{last} GROUP BY rid)
+SELECT v.vec_id, r.code, r.error, CAST(sum(r.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error, h.digest AS codebooks_sha256
+FROM v JOIN r ON r.rid = v.rid, h"""
+
+
+#: Units are taken one after the other; their lengths up to a cut are added up.
+_FILL_IN_MIDDLE = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units,
+             CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t),
+c AS (SELECT *, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS lo, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS hi FROM u),
+f AS (SELECT *, array_to_string(units[1:lo], '') AS p, array_to_string(units[lo + 1:hi], '') AS m, array_to_string(units[hi + 1:], '') AS s,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, CAST(len(units) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM f"""
+
 #: The others need a tokenizer, a learned model, positions of matches or turn-taking.
-ORACLE: dict[str, str] = {"op5_near_dedup": _NEAR_DEDUP, "op8_line_dedup": _LINE_DEDUP}
+ORACLE: dict[str, str] = {"op5_near_dedup": _NEAR_DEDUP, "op8_line_dedup": _LINE_DEDUP, "op11_vector_codes": _vector_codes_sql(),
+                          "op12_fill_in_middle": _FILL_IN_MIDDLE}
