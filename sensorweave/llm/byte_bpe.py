@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import functools
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,16 +35,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.llm.common import BATCH_BYTES, by_bytes, tokenizer_path
+from sensorweave.llm.common import by_bytes, tokenizer_path
 
 #: The letter of byte 0; those of the others follow.
 LETTERS = 0x100
 UNKNOWN = "<unknown>"  # no piece: its signs are not among the letters
 #: Pre-tokens a worker remembers (the table is emptied when full), none longer than this many characters.
-KEPT_PRETOKENS = 400_000
+KEPT_PRETOKENS = 300_000
 LONGEST_KEPT = 32
+#: Text bytes that are held split at a time.
+SPLIT_BYTES = 1 << 20
 
-_AS_LETTERS = {b: chr(LETTERS + b) for b in range(256)}
+#: A byte that no UTF-8 text holds; it keeps pre-tokens apart.
+NO_BYTE = b"\xff"
 
 
 def pattern_of_tokenizer() -> str:
@@ -63,7 +67,7 @@ def read_ranks(path: str) -> list[bytes]:
 
 
 def as_letters(raw: bytes) -> str:
-    return raw.decode("latin-1").translate(_AS_LETTERS)
+    return (np.frombuffer(raw, np.uint8).astype("<u2") + LETTERS).tobytes().decode("utf-16-le")
 
 
 def as_bytes(letters: str) -> bytes:
@@ -139,9 +143,11 @@ class Coder:
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         raw = [w.encode() for w in words]
-        alone = [self.rank.get(r) for r in raw]
-        merged = iter(self.model.encode([as_letters(r) for r, i in zip(raw, alone) if i is None], num_threads=1))
-        return {w: np.array(next(merged) if i is None else [i], "<i4").tobytes() for w, i in zip(words, alone)}
+        alone = list(map(self.rank.get, raw))
+        merge = [r for r, i in zip(raw, alone) if i is None]
+        spelled = as_letters(NO_BYTE.join(merge)).split(as_letters(NO_BYTE)) if merge else []
+        merged = iter(self.model.encode(spelled, num_threads=1))
+        return {w: array("i", next(merged) if i is None else (i,)).tobytes() for w, i in zip(words, alone)}
 
     def encode(self, split: list[list[str]]) -> Iterator[bytes]:
         """Ids of texts, given their pre-tokens, as little-endian 32-bit numbers."""
@@ -171,21 +177,27 @@ def splitter(pattern: str, newer: str) -> Splitter:
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None,
-                     pattern: str | None = None) -> DataFrame:
-    """``(id, ids)``: the ids of every row's text."""
+                     pattern: str | None = None, decode: bool = False) -> DataFrame:
+    """``(id, ids[, decoded])``: the ids of every row's text and, with
+    ``decode``, the bytes that these ids decode to."""
     path, pattern, newer = ranks or tokenizer_path("byte_bpe_multi_50k.tiktoken"), pattern or pattern_of_tokenizer(), newer_characters()
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if decode:
+        schema = schema.add("decoded", T.BinaryType())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, cut = coder(path), splitter(pattern, newer)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
-            for a, b in by_bytes(sizes, BATCH_BYTES):
+            for a, b in by_bytes(sizes, SPLIT_BYTES):
                 coded = list(own.encode([cut.split(t) if t else [] for t in texts.slice(a, b - a).to_pylist()]))
                 offsets = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")))
-                yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), ids], [id_col, "ids"])
+                columns = [keys.slice(a, b - a), ids]
+                if decode:
+                    columns.append(pa.array([own.decode(np.frombuffer(c, "<i4").tolist()) for c in coded], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(encode, schema)
 

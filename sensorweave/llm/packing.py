@@ -42,8 +42,7 @@ GROUP_PIECES = 32_768
 CACHE_BYTES = 200 << 20
 ENTRY_BYTES = 160
 LONGEST_KEPT = 64
-#: Words whose ids are gathered at a time, and text bytes of an Arrow batch.
-GATHERED_WORDS = 1 << 20
+#: Text bytes of an Arrow batch: the larger, the fewer words are looked up.
 PACK_BATCH_BYTES = 8 << 20
 
 
@@ -74,7 +73,9 @@ class WordEncoder:
         # byte-level alphabet: a printable byte stands for itself, the others for characters from 256 on
         shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         hidden = [i for i in range(256) if i not in shown]
-        self.bytes_as = {i: chr(256 + k) for k, i in enumerate(hidden) if i != 0x20}  # blanks stay between parts
+        self.letter_of = np.arange(256, dtype="<u2")
+        self.letter_of[hidden] = np.arange(256, 256 + len(hidden))
+        self.letter_of[0x20] = 0x20  # blanks stay between parts
         self.by_word = self._agrees(lambda text: b"".join(map(self._whole, text.lower().split())))
         self.by_part = self.by_word and self._merges_alone() and self._agrees(lambda text: b"".join(self._words(text.lower().split())))
         self.known.clear()
@@ -112,7 +113,7 @@ class WordEncoder:
             block = parts[i : i + 500]
             line = " ".join(block)
             if not line.isascii():
-                line = line.encode().decode("latin-1").translate(self.bytes_as)
+                line = self.letter_of[np.frombuffer(line.encode(), np.uint8)].tobytes().decode("utf-16-le")
             ids = np.array(self.merges.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
             raw, a = ids.tobytes(), 0
             for part, b in zip(block, (4 * np.flatnonzero(self.ends[ids]) + 4).tolist(), strict=True):
@@ -132,25 +133,28 @@ class WordEncoder:
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of different words (ASCII letters in lower case)."""
         known = self.known
-        new, cut = {}, {}
-        for word in words:
-            if word not in known:
-                if not word:
-                    new[word] = b""
-                elif not self.by_part:
-                    new[word] = self._whole(word)
-                elif word.isascii() and word.isalpha():
-                    cut[word] = (word,)
-                elif self.PLAIN.fullmatch(word):
-                    cut[word] = self.PARTS.findall(word.lower())
-                else:
-                    new[word] = self._whole(word)
-        parts = set(itertools.chain.from_iterable(cut.values()))
-        ids_of = self._learn([p for p in parts if p not in known])
-        ids_of |= {p: known[p] for p in parts if p not in ids_of}
-        new |= {word: ids_of[some[0]] if len(some) == 1 else b"".join([ids_of[p] for p in some]) for word, some in cut.items()}
-        out = [known[w] if w in known else new[w] for w in words]
-        self._remember(ids_of | new)
+        out: list[bytes | None] = list(map(known.get, words))
+        letters, cut, other = [], [], []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            word = words[i]
+            if self.by_part and word.isascii() and word.isalpha():
+                letters.append(i)
+            elif self.by_part and self.PLAIN.fullmatch(word):
+                cut.append((i, self.PARTS.findall(word.lower())))
+            else:
+                other.append(i)
+        parts = {words[i] for i in letters}
+        parts.update(p for _, some in cut for p in some if p not in known)
+        new = self._learn(list(parts))
+        for i in letters:
+            out[i] = new[words[i]]
+        for i, some in cut:
+            out[i] = b"".join([new[p] if p in new else known[p] for p in some])
+        for i in other:
+            out[i] = self._whole(words[i]) if words[i] else b""
+        new.update((words[i], out[i]) for i, _ in cut)
+        new.update((words[i], out[i]) for i in other)
+        self._remember(new)
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -169,13 +173,10 @@ class WordEncoder:
             return self._joined(rows)
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts).cast(pa.large_string()))
         coded = split.flatten().dictionary_encode()
-        by_word = self._words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        index = coded.indices.to_numpy()
-        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, by_word), np.int64, len(by_word))[index] // 4)])
-        ids = np.empty(ends[-1], "<u4")
-        for a in range(0, len(index), GATHERED_WORDS):  # bounds the list that a long text needs
-            b = min(a + GATHERED_WORDS, len(index))
-            ids[ends[a] : ends[b]] = np.frombuffer(b"".join(map(by_word.__getitem__, index[a:b].tolist())), "<u4")
+        by_word = pa.array(self._words(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        taken = by_word.take(coded.indices)  # its data are the ids of all texts
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] // 4
+        ids = np.frombuffer(taken.buffers()[2] or b"", "<u4")[: ends[-1]]
         return ids, ends[split.offsets.to_numpy()]
 
     @staticmethod

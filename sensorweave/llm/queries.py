@@ -100,10 +100,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of every text's ids, and a digest of the bytes they decode to."""
-    coded = byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"))
+    coded = byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"), decode=True)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _sha256(ids).alias("ids_sha256"),
-                        _sha256(byte_bpe.decoded(F.col("ids"))).alias("decoded_sha256"))
+                        _sha256(F.col("decoded")).alias("decoded_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -223,7 +223,9 @@ def test_rows_are_encoded_whole_and_decode_to_themselves(spark, library):
     rows = got.select("doc_id", "ids", byte_bpe.decoded(F.col("ids")).alias("raw")).collect()
     want = [(i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t in awkward()]
     assert sorted(((r.doc_id, list(r.ids), bytes(r.raw)) for r in rows), key=str) == sorted(want, key=str)
-    assert byte_bpe.encode_documents(frame(spark, [])).count() == 0
+    both = byte_bpe.encode_documents(frame(spark, awkward()), decode=True).collect()
+    assert sorted(((r.doc_id, list(r.ids), bytes(r.decoded)) for r in both), key=str) == sorted(want, key=str)
+    assert byte_bpe.encode_documents(frame(spark, []), decode=True).count() == 0
     nulls = spark.createDataFrame([(None,), ([],)], "ids array<int>").select(byte_bpe.decoded(F.col("ids")).alias("raw")).collect()
     assert [r.raw for r in nulls] == [None, b""]
 
@@ -240,7 +242,6 @@ def test_words_are_forgotten_by_bytes_and_ids_stay_equal(monkeypatch):
     want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
     for limit in (0, 20_000, 1 << 30):
         monkeypatch.setattr(packing, "CACHE_BYTES", limit)
-        monkeypatch.setattr(packing, "GATHERED_WORDS", 100)
         encoder = packing.WordEncoder(path)
         assert encoder.by_word and encoder.by_part
         for i in range(0, len(texts), 500):
