@@ -58,7 +58,7 @@ def test_bruno(spark, tmpdir_path):
     walk_m2 = sorted(by_trial[3], key=lambda r: r.time_ms)
     assert [r.time_ms for r in walk_m2] == [0, 31] and walk_m2[0].surface == "flat"
     reasons = sorted(r.reason for r in h.rejects.collect())
-    assert reasons == ["file name has fewer than 9 parts", "more than 3 fields"]
+    assert reasons == ["empty file", "file name has fewer than 9 parts", "more than 3 fields"]
 
 
 def test_karas(spark, tmpdir_path):
@@ -250,7 +250,8 @@ def test_asking_for_subjects_opens_only_their_files(spark, tmpdir_path):
                             where=lambda p: p.contains("/luo/3/"))
     assert [r.path.split("/")[-2] for r in scan.files.collect()] == ["3"]
     # the rule on the path is part of the scan itself, which lists files by it
-    plan = scan.rows._jdf.queryExecution().executedPlan().toString()
+    lines = text.scan_lines(spark, root, glob="*.csv", where=lambda p: p.contains("/luo/3/"))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
     assert "/luo/3/" in plan[plan.index("FileScan text"):]
     h = recordings.harmonise_luo(spark, root, sids=[3])
     assert {r.sid for r in h.data.collect()} == {3} and h.rejects.count() == 0
