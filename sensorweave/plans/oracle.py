@@ -209,7 +209,7 @@ SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nationkey, s_acctbal AS
        CAST(NULL AS VARCHAR) AS mktsegment FROM supplier"""
     sql["missing_subjects"] = """
 SELECT c_custkey, c_name FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)"""
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')"""
     sql["missing_recordings"] = """
 SELECT o_orderkey, o_custkey FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"""

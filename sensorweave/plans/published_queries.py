@@ -23,6 +23,9 @@ from sensorweave.session import scratch_path, shuffle_partitions
 from sensorweave.sources import sinks
 
 
+SINK_FOLDERS = 16
+
+
 def _publish(lines: DataFrame, head: str | None, tag: str) -> str:
     """Write ``(name, at, value)`` as one text file per ``name`` (a path below
     the returned root), lines in the order of ``at`` after ``head``. The part
@@ -221,9 +224,10 @@ def parse_underscored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The harmonised events through the partitioned, sorted sink and back."""
+    """The harmonised events through the sorted sink, in a fixed number
+    of folders however many subjects there are, and back."""
     out = scratch_path(spark, "sink-parquet")
-    sinks.write_parquet(_harmonised_events(spark, sf_dir), out)
+    sinks.write_parquet(_harmonised_events(spark, sf_dir), out, buckets=SINK_FOLDERS)
     return sinks.read_output(spark, out)
 
 

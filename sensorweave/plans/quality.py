@@ -6,20 +6,23 @@
 * :func:`null_profile` counts missing cells per column in one aggregation.
 * :func:`null_examples` returns the first few incomplete rows of every
   recording with the rows around them.
-* :func:`quality_report` stacks all of them in one long table.
+* :func:`quality_report` stacks all of them in one long table;
+  :func:`quality_report_all` does so for any number of datasets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from sensorweave.catalog import METADATA_COLUMNS, SAMPLING_RATE_HZ
 from sensorweave.functions.names import location_of_name, metric_of_name
 from sensorweave.operators import sequence as seq
+from sensorweave.sources.sinks import read_output
 
 
 def _missing(df: DataFrame, c: str) -> Column:
@@ -124,6 +127,12 @@ def null_examples(df: DataFrame, keys: Sequence[str], order: str, max_examples:
     keys = list(keys)
     data_cols = [c for c in df.columns if c not in keys]
     rows = df.withColumn("null_columns", null_columns(df, data_cols))
+    return _examples(rows, keys, data_cols, order, max_examples, context, width, grid_step)
+
+
+def _examples(rows: DataFrame, keys: list[str], data_cols: list[str], order: str, max_examples: int, context: int,
+              width: float | None = None, grid_step: int | None = None) -> DataFrame:
+    """:func:`null_examples` of rows that have their ``null_columns``."""
     if grid_step is not None:
         rows = rows.withColumn("_pos", F.floor(F.col(order) / F.lit(grid_step)).cast("long"))
     else:
@@ -190,3 +199,56 @@ def quality_report(df: DataFrame, dataset: str, keys: Sequence[str], fs: float |
     for p in parts[1:]:
         out = out.union(p.toDF(*out.columns))
     return out
+
+
+# ---------------------------------------------------------------- all datasets
+
+def quality_report_all(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], fs: Mapping[str, float] | None = None,
+                       t: str = "time_ms", tolerance: float = 1.0, max_examples: int = 3, context: int = 2) -> DataFrame:
+    """All checks over all datasets, as :func:`quality_report` gives them for one.
+
+    ``tables`` has each dataset's harmonised table and recording keys by name;
+    sampling rates come from the configuration unless ``fs`` names them. The
+    tables may have any columns: what a check needs of them (a recording's key
+    as text, its time, which cells are missing) goes into one stream of all
+    datasets, and every check is one plan over that stream, however many
+    datasets there are. Missing cells are counted where they are read, so no
+    row is multiplied by its columns."""
+    rates = {**SAMPLING_RATE_HZ, **(fs or {})}
+    if unknown := sorted(set(tables) - set(rates)):
+        raise ValueError(f"no sampling rate configured for datasets {unknown}")
+    first = next(iter(tables.values()))[0]
+    names, streams, counts = [], [], []
+    for dataset, (df, keys) in tables.items():
+        sensors = _sensor_names(df)
+        names += [(dataset, "column", f.name, f.dataType.simpleString()) for f in df.schema.fields]
+        names += [(dataset, "location", v, None) for v in sorted({location_of_name(c) for c in sensors})]
+        names += [(dataset, "metric", v, None) for v in sorted({metric_of_name(c) for c in sensors})]
+        key = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+        streams.append(df.select(F.lit(dataset).alias("dataset"), key.alias("recording"), F.col(t).cast("long").alias(t), F.lit(float(rates[dataset])).alias("fs"),
+                                 null_columns(df, [c for c in df.columns if c not in keys]).alias("null_columns")))
+        counts.append(null_profile(df).select(F.lit(dataset).alias("dataset"), "column_name", "null_count", "total_rows"))
+    stream = reduce(DataFrame.unionByName, streams)
+    of = ["dataset", "recording"]
+    report = first.sparkSession.createDataFrame(names, "dataset string, check string, key string, detail string")
+    report = report.select("dataset", "check", "key", F.lit("info").alias("status"), "detail")
+    steps = linearity(stream, of, t, F.col("fs"), tolerance)
+    report = report.union(steps.select(
+        "dataset", F.lit("linearity"), "recording", F.when(F.col("linear"), F.lit("pass")).otherwise(F.lit("fail")),
+        F.concat(F.lit("points="), F.col("n_points").cast("string"), F.lit(" negative="), F.col("has_negative").cast("string"),
+                 F.lit(" out_of_tolerance="), F.col("out_of_tolerance").cast("string"))))
+    report = report.union(reduce(DataFrame.unionByName, counts).select(
+        "dataset", F.lit("nulls"), "column_name", F.lit("warn"), F.concat_ws("/", F.col("null_count").cast("string"), F.col("total_rows").cast("string"))))
+    found = _examples(stream.select(*of, t, "null_columns"), of, [t], t, max_examples, context)
+    return report.union(found.select(
+        "dataset", F.lit("null_example"), F.concat_ws("/", "recording", F.col("example_no").cast("string"), F.col("ctx_offset").cast("string")),
+        F.when(F.col("null_columns") != "", F.lit("warn")).otherwise(F.lit("info")), F.concat(F.col(t).cast("string"), F.lit(": "), F.col("null_columns"))))
+
+
+def stored_datasets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The outputs below ``root`` by the name of their folder."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    names = sorted(f.getPath().getName() for f in found if f.isDirectory())
+    return {n: read_output(spark, f"{root.rstrip('/')}/{n}") for n in names if not n.startswith(("_", "."))}

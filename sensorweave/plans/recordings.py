@@ -20,7 +20,7 @@ from sensorweave.functions.columns import names_containing
 from sensorweave.operators import align, sequence as seq, timeline
 from sensorweave.plans.harmonise import harmonise_long
 from sensorweave.session import materialize
-from sensorweave.sources import files, text
+from sensorweave.sources import files, sinks, text
 
 
 @dataclass
@@ -288,11 +288,12 @@ def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,
 
 
 def append_luo_subjects(spark: SparkSession, root: str, sids: list[int], target: str,
-                        fmt: str = "parquet") -> DataFrame:
+                        fmt: str = "parquet", replace: bool = False) -> DataFrame:
     """Harmonise only ``sids`` and append them to an existing luo output,
-    matching its columns (missing -> null, extra dropped)."""
-    from sensorweave.sources.sinks import append_aligned
-    return append_aligned(harmonise_luo(spark, root, sids=sids).data, target, fmt)
+    matching its columns (missing -> null, extra dropped). With ``replace`` the
+    subjects' earlier rows go, so the append may be repeated."""
+    add = sinks.replace_subjects if replace else sinks.append_aligned
+    return add(harmonise_luo(spark, root, sids=sids).data, target, fmt)
 
 
 # ---------------------------------------------------------------- reports and dispatch

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = ["customer", "supplier", "part", "orders", "lineitem", "events", "pages", "conversations",
-          "documents", "labels"]
+          "documents", "labels", "embeddings", "benchmark"]
 
 
 def test_entry_smoke(spark):
