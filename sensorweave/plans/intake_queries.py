@@ -1,5 +1,6 @@
 """Registered queries over messy intake: broken files, records over several
-lines, repeated batches, and the checks of several datasets at once.
+lines, sensor folders, repeated batches, changed files, and the checks of several
+datasets at once.
 
 ``conversations`` is written as text or as an output in parts; the readers and
 sinks then have to give back exactly what the SQL computes from the table.
@@ -12,11 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorweave.plans import quality
+from sensorweave.plans import quality, recordings
 from sensorweave.plans.oracle import _beach
-from sensorweave.plans.queries import HOUR_US, _harmonised_events, table
+from sensorweave.plans.queries import AVG_DECIMALS, EVENT_SENSORS, HOUR_US, _harmonised_events, table
 from sensorweave.session import scratch_path, shuffle_partitions
-from sensorweave.sources import sinks, text
+from sensorweave.sources import files, sinks, text
 
 #: Conversations that share a file or a subject.
 GROUP = 16
@@ -175,8 +176,80 @@ UNION ALL SELECT x.dataset, 'null_example', x.recording || '/' || CAST(x.no AS V
   FROM x JOIN p ON p.dataset = x.dataset AND p.recording = x.recording AND p.pos = x.pos)"""
 
 
+def _folders_of_events(spark: SparkSession, sf_dir: str) -> str:
+    """``events`` as sensor folders of subjects of ten users; every third subject
+    lacks one sensor, and the value's column is spelled in two ways."""
+    ev = table(spark, sf_dir, "events").select(F.format_string("%03d", (F.col("user_id") / 10).cast("long")).alias("sid"), F.col("event_type").alias("sensor"),
+                                               F.col("ts").alias("datetime"), F.col("value").alias("x"), (F.col("user_id") / 10).cast("long").alias("s"))
+    ev = ev.where(~((F.col("sensor") == "view") & (F.col("s") % 3 == 0)))
+    root = scratch_path(spark, "raw-folders")
+    for rows in (ev.where(F.col("s") % 2 == 0), ev.where(F.col("s") % 2 != 0).withColumnsRenamed({"x": " X", "datetime": "DateTime"}).withColumn("battery", F.lit(1))):
+        rows.drop("s").repartition(shuffle_partitions(spark), "sid", "sensor").write.mode("append").partitionBy("sid", "sensor").parquet(root)
+    return root
+
+
+def beach_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor folders read as one long table and harmonised (hour grid)."""
+    h = recordings.harmonise_beach_folders(spark, _folders_of_events(spark, sf_dir), sensors=EVENT_SENSORS, values=["x"], step_us=HOUR_US)
+    return h.data.withColumns({f"{s}_acc_x": F.round(f"{s}_acc_x", AVG_DECIMALS) for s in EVENT_SENSORS})
+
+
+def absent_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sensors that a subject's folder lacks, for the subjects of a table."""
+    wanted = table(spark, sf_dir, "events").select(F.format_string("%03d", (F.col("user_id") / 10).cast("long")).alias("sid")).where(F.col("user_id") % 4 != 1)
+    return text.read_sensor_folders(spark, _folders_of_events(spark, sf_dir), [*EVENT_SENSORS, "spare"], wanted, ["x"])[1]
+
+
+def _beach_folders_sql() -> str:
+    sid = "lpad(CAST(user_id // 10 AS VARCHAR), 3, '0') AS sid"
+    return (_beach(rounded=True).replace("CAST(user_id AS VARCHAR) AS sid", sid)
+            .replace("WHERE ts IS NOT NULL", "WHERE ts IS NOT NULL AND NOT (event_type = 'view' AND (user_id // 10) % 3 = 0)"))
+
+
+_ABSENT = f"""
+WITH e AS (SELECT user_id // 10 AS s, event_type AS sensor FROM events WHERE NOT (event_type = 'view' AND (user_id // 10) % 3 = 0)),
+w AS (SELECT DISTINCT user_id // 10 AS s FROM events WHERE user_id % 4 <> 1 AND user_id // 10 IN (SELECT s FROM e))
+SELECT lpad(CAST(w.s AS VARCHAR), 3, '0') AS sid, n.sensor FROM w, (VALUES {", ".join(f"('{s}')" for s in [*EVENT_SENSORS, "spare"])}) n(sensor)
+WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.s = w.s AND e.sensor = n.sensor)"""
+
+
+def changed_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of ``conversations`` in two deliveries, the second with new
+    files, a changed one and a removed one; what the manifest says of each group's
+    file, and the rows of the new and changed files, which alone are read."""
+    lines = table(spark, sf_dir, "conversations").select(_group().alias("g"), F.concat_ws(",", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("value"))
+    root = scratch_path(spark, "raw-deliveries")
+    write = lambda rows, to: rows.repartition(shuffle_partitions(spark), "g").write.mode("append").partitionBy("g").text(to)
+    write(lines.where(F.col("g") % 3 != 2), root)
+    before = files.write_manifest(files.file_listing(spark, root), scratch_path(spark, "manifest"))
+    write(lines.where(F.col("g") % 3 == 2), root)
+    jvm = spark.sparkContext._jvm
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(at(f"{root}/g=3"), True)
+    again = scratch_path(spark, "raw-again")
+    write(lines.where(F.col("g") == 1).withColumn("value", F.concat("value", F.lit(",again"))), again)
+    if fs.exists(at(f"{again}/g=1")):
+        (old,), (new,) = ([f.getPath() for f in fs.listStatus(at(f"{p}/g=1")) if f.getPath().getName().startswith("part-")] for p in (root, again))
+        fs.delete(old, False)
+        fs.rename(new, old)
+    changes = files.changed_files(files.file_listing(spark, root), before)
+    folder = F.regexp_extract("path", "/g=([0-9]+)/", 1).cast("long").alias("g")
+    read = text.read_headerless(spark, files.paths_to_read(changes), 3, pattern=",").rows
+    counts = read.groupBy(folder).agg(F.count("*").alias("n_rows"), F.count("f2").alias("n_again"))
+    return changes.select(folder, "status").join(counts, "g", "left")
+
+
+_CHANGED = f"""
+WITH c AS (SELECT conv_id // {GROUP} AS g, count(*) AS n FROM conversations GROUP BY conv_id // {GROUP}),
+s AS (SELECT g, n, CASE WHEN g = 1 THEN 'changed' WHEN g = 3 THEN 'removed' WHEN g % 3 = 2 THEN 'new' ELSE 'same' END AS status FROM c)
+SELECT g, status, CASE WHEN status IN ('new', 'changed') THEN n END AS n_rows,
+       CASE status WHEN 'new' THEN 0 WHEN 'changed' THEN n END AS n_again FROM s"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "broken_files": broken_files, "quoted_records": quoted_records, "append_twice_parquet": _append_twice("parquet"), "append_twice_csv": _append_twice("csv"),
-    "quality_all": quality_all,
+    "quality_all": quality_all, "beach_folders": beach_folders, "absent_sensors": absent_sensors, "changed_since": changed_since,
 }
-ORACLE: dict[str, str] = {"broken_files": _BROKEN, "quoted_records": _QUOTED, "append_twice_parquet": _APPEND, "append_twice_csv": _APPEND, "quality_all": _quality_sql()}
+ORACLE: dict[str, str] = {"broken_files": _BROKEN, "quoted_records": _QUOTED, "append_twice_parquet": _APPEND, "append_twice_csv": _APPEND, "quality_all": _quality_sql(),
+                          "beach_folders": _beach_folders_sql(), "absent_sensors": _ABSENT, "changed_since": _CHANGED}

@@ -9,6 +9,7 @@ with each other.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -198,17 +199,30 @@ def harmonise_karas(spark: SparkSession, root: str, subject_pattern: str | None
 
 # ---------------------------------------------------------------- E2 beach
 
-def harmonise_beach(long: DataFrame) -> Harmonised:
+def harmonise_beach(long: DataFrame, sensors: Sequence[str] = catalog.BEACH_SENSORS, values: Sequence[str] = ("x", "y", "z"),
+                    step_us: int = catalog.GRID_STEP_MS["beach"] * 1000) -> Harmonised:
     """Long readings ``(sid, sensor, datetime, x, y, z)`` (the per-subject
     sensor frames re-aimed as one table): 10 ms grid, mean per slot, eight
     sensors aligned, every slot present, g -> m/s^2, surface 'flat'."""
     long = long.toDF(*[c.strip().lower() for c in long.columns])
     data = harmonise_long(long, sid="sid", sensor="sensor", ts="datetime",
-                          sensors=catalog.BEACH_SENSORS, values=["x", "y", "z"],
-                          step_us=catalog.GRID_STEP_MS["beach"] * 1000, metric="acc", surface="flat")
+                          sensors=list(sensors), values=list(values),
+                          step_us=step_us, metric="acc", surface="flat")
     return Harmonised(data, _rejects(long.sparkSession))
 
 
+def harmonise_beach_folders(spark: SparkSession, root: str, subjects: Sequence[str] | DataFrame | None = None,
+                            sensors: Sequence[str] = catalog.BEACH_SENSORS, values: Sequence[str] = ("x", "y", "z"),
+                            step_us: int = catalog.GRID_STEP_MS["beach"] * 1000) -> Harmonised:
+    """:func:`harmonise_beach` of per-subject sensor folders
+    (:func:`text.read_sensor_folders`); an absent sensor is a reject of its
+    folder, and its columns are null."""
+    long, absent = text.read_sensor_folders(spark, root, sensors, subjects, values)
+    folder = F.concat(F.lit(root.rstrip("/") + "/sid="), F.col("sid"), F.lit("/sensor="), F.col("sensor"))
+    rejects = absent.select(folder.alias("path"), F.lit(None).cast("long").alias("line_no"), F.lit("absent sensor").alias("reason"))
+    return Harmonised(harmonise_beach(long, sensors, values, step_us).data, rejects)
+
+
 # ---------------------------------------------------------------- E1 luo
 
 def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,

@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorweave.functions import paths, units
 from sensorweave.session import materialize
@@ -72,7 +73,7 @@ def _path_rule(path: Column, skip_parent_suffix: str | None, skip_names: Sequenc
     return rule & name.endswith(require_suffix) if require_suffix else rule
 
 
-def list_files(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True,
+def list_files(spark: SparkSession, root: str | Sequence[str], glob: str | None = None, recursive: bool = True,
                skip_parent_suffix: str | None = None, skip_names: Sequence[str] = (),
                require_suffix: str | None = None) -> DataFrame:
     """``(path)`` of the matching files; no file is opened."""
@@ -81,7 +82,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None, recursiv
     return found.select(path).where(_path_rule(F.col("path"), skip_parent_suffix, skip_names, require_suffix))
 
 
-def scan_lines(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True,
+def scan_lines(spark: SparkSession, root: str | Sequence[str], glob: str | None = None, recursive: bool = True,
                skip_parent_suffix: str | None = None, skip_names: Sequence[str] = (),
                require_suffix: str | None = None, where: Callable[[Column], Column] | None = None,
                blank: bool = False, tolerant: bool = False) -> DataFrame:
@@ -93,7 +94,8 @@ def scan_lines(spark: SparkSession, root: str, glob: str | None = None, recursiv
     ``skip_names`` drops names compared lower-cased; ``require_suffix`` keeps
     only names ending with it (case-sensitive); ``where`` is any further rule
     on the path. All are rules on the file path alone, which the scan applies
-    to its file list before it opens a file. A file that can't be read ends the
+    to its file list before it opens a file. ``root`` may also be a list of
+    files (the changed ones). A file that can't be read ends the
     scan unless ``tolerant``, which leaves out the rest of that file.
     """
     df = _reader(spark, glob, recursive, tolerant).text(root)
@@ -121,7 +123,7 @@ class _Lines:
 KEY = ["_task", "_file", "_block"]
 
 
-def _write_scan(spark: SparkSession, root: str, prepare: Callable[[DataFrame], DataFrame], blank: bool = False, **scan) -> _Lines:
+def _write_scan(spark: SparkSession, root: str | Sequence[str], prepare: Callable[[DataFrame], DataFrame], blank: bool = False, **scan) -> _Lines:
     """Write the lines of one scan, with what ``prepare`` adds to them. A scan
     task reads whole splits one after another, so the ids of a split's lines run
     on without a gap.
@@ -142,7 +144,7 @@ def _write_scan(spark: SparkSession, root: str, prepare: Callable[[DataFrame], D
     return _Lines(materialize(lines(True), "lines"), materialize(_broken_files(spark, root, **scan), "broken"))
 
 
-def _broken_files(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True,
+def _broken_files(spark: SparkSession, root: str | Sequence[str], glob: str | None = None, recursive: bool = True,
                   where: Callable[[Column], Column] | None = None, **rules) -> DataFrame:
     """Files that can't be read to their end. A plain file is broken when the
     bytes of its lines, with two more for each line's end, don't make up its
@@ -241,7 +243,7 @@ def _place(rows: DataFrame, splits: DataFrame, out: str = "line_no") -> DataFram
     return direct.where(F.col("_clean")).unionByName(mixed)
 
 
-def _file_rejects(spark: SparkSession, root: str, splits: DataFrame, lines: _Lines, header: bool,
+def _file_rejects(spark: SparkSession, root: str | Sequence[str], splits: DataFrame, lines: _Lines, header: bool,
                   where: Callable[[Column], Column] | None = None, **look) -> DataFrame:
     """Whole files that are set aside, from the file listing and what the scan
     really gave."""
@@ -293,7 +295,7 @@ def _fields(tok: Column, names: Sequence[str]) -> list[Column]:
     return [F.get(tok, F.lit(i)).alias(n) for i, n in enumerate(names)]
 
 
-def _fixed(spark: SparkSession, root: str, tokens: Callable[[Column], Column], names: Sequence[str], header: bool,
+def _fixed(spark: SparkSession, root: str | Sequence[str], tokens: Callable[[Column], Column], names: Sequence[str], header: bool,
            prepare: Callable[[DataFrame], DataFrame] = lambda lines: lines, **scan) -> Scan:
     """Lines whose ``tokens`` are bound by position to ``names``. A line with
     more fields is set aside and takes no place; a shorter one is padded."""
@@ -313,7 +315,7 @@ def _fixed(spark: SparkSession, root: str, tokens: Callable[[Column], Column], n
 
 # ------------------------------------------------------------------ S3
 
-def read_headerless(spark: SparkSession, root: str, width: int, pattern: str = r"\s+|,",
+def read_headerless(spark: SparkSession, root: str | Sequence[str], width: int, pattern: str = r"\s+|,",
                     **scan) -> Scan:
     """Headerless lines split on ``pattern`` into ``f0..f{width-1}`` (text).
 
@@ -325,7 +327,7 @@ def read_headerless(spark: SparkSession, root: str, width: int, pattern: str = r
 
 # ------------------------------------------------------------------ S4
 
-def read_commented(spark: SparkSession, root: str, names: Sequence[str], pattern: str = r"\s+",
+def read_commented(spark: SparkSession, root: str | Sequence[str], names: Sequence[str], pattern: str = r"\s+",
                    comment: str = "#", **scan) -> Scan:
     """Whitespace-separated lines with comments and one header row.
 
@@ -342,7 +344,7 @@ def read_commented(spark: SparkSession, root: str, names: Sequence[str], pattern
 
 # ------------------------------------------------------------------ S5
 
-def read_delimited(spark: SparkSession, root: str, names: Sequence[str], sep: str = "\t",
+def read_delimited(spark: SparkSession, root: str | Sequence[str], names: Sequence[str], sep: str = "\t",
                    **scan) -> Scan:
     """Headerless delimited lines with fixed ``names`` (text fields)."""
     return _fixed(spark, root, lambda line: F.split(line, re.escape(sep), -1), list(names), False, **scan)
@@ -401,7 +403,7 @@ def _mark_records(lines: DataFrame) -> DataFrame:
     return rows.withColumn("_after", F.when(F.col("_before") == 0, F.col("_out")).otherwise(F.col("_in"))).drop("_changes", "_const", "_start")
 
 
-def read_headed(spark: SparkSession, root: str, columns: Sequence[str] | None = None,
+def read_headed(spark: SparkSession, root: str | Sequence[str], columns: Sequence[str] | None = None,
                 sep: str = ",", strip: bool = True, skip_initial_space: bool = True,
                 max_record_lines: int = MAX_RECORD_LINES, **scan) -> Scan:
     """Headed delimited files whose headers may differ in order and presence.
@@ -494,3 +496,39 @@ def read_long(spark: SparkSession, path: str, fmt: str = "parquet", **options) -
     per-subject sensor frames), names stripped and lower-cased."""
     df = spark.read.format(fmt).options(**options).load(path)
     return df.toDF(*[c.strip().lower() for c in df.columns])
+
+
+def read_sensor_folders(spark: SparkSession, root: str, sensors: Sequence[str], subjects: Sequence[str] | DataFrame | None = None,
+                        values: Sequence[str] = ("x", "y", "z")) -> tuple[DataFrame, DataFrame]:
+    """Per-subject sensor files below ``root/sid=<id>/sensor=<name>/`` (Parquet)
+    as one long table ``(sid, sensor, datetime, values...)``, and the absent
+    sensors ``(sid, sensor)`` of the subjects that have a folder.
+
+    Ids are text, as the folders spell them. Files may lack columns or have
+    others beside: their schemas are merged, names are compared stripped and
+    lower-cased, and a value that no file has is null. ``subjects`` restricts
+    the read before a file is opened: a list to the folders named in it, a table
+    (with ``sid``) through a join by which Spark prunes folders at run time."""
+    named = spark.read.option("mergeSchema", "true").parquet(root).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name in ("sid", "sensor") else f for f in named.fields]
+    rows = spark.read.schema(T.StructType(fields)).parquet(root)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    path = paths.decoded_path(F.col("_metadata.file_path"))
+    found = listed.select(*[F.regexp_extract(path, f"/{k}=([^/]*)/", 1).alias(k) for k in ("sid", "sensor")]).distinct()
+    if isinstance(subjects, DataFrame):
+        # a comparison on the wanted side is what makes Spark prune by it
+        wanted = subjects.select(F.col("sid").cast("string").alias("sid")).where(F.col("sid") > "").distinct()
+        rows, found = rows.join(wanted, "sid", "left_semi"), found.join(wanted, "sid", "left_semi")
+    elif subjects is not None:
+        texts = [str(s) for s in subjects]
+        rows, found = rows.where(F.col("sid").isin(texts)), found.where(F.col("sid").isin(texts))
+    expected = found.select("sid").distinct().withColumn("sensor", F.explode(F.array(*[F.lit(s) for s in sensors])))
+    absent = expected.join(found, ["sid", "sensor"], "left_anti")
+    # several spellings of a column in different files are one column
+    spelled: dict[str, list[str]] = {}
+    for name in rows.columns:
+        spelled.setdefault(name.strip().lower(), []).append(name)
+    wanted_columns = ["sid", "sensor", "datetime", *values]
+    long = rows.select(*[F.coalesce(*[F.col(f"`{c}`") for c in spelled[n]]).alias(n) if n in spelled else F.lit(None).cast("double").alias(n)
+                         for n in wanted_columns])
+    return long.where(F.col("sensor").isin(list(sensors))), absent

@@ -1,12 +1,13 @@
 """Repeatable appends, outputs in a fixed number of folders, and the joint report."""
 
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from sensorweave.plans import quality, recordings
-from sensorweave.sources import sinks
+from sensorweave.sources import files, sinks, text
 from tests import raw_layouts
 
 
@@ -92,3 +93,51 @@ def test_datasets_are_found_by_folder(spark, tmpdir_path):
         sinks.write_parquet(_table(spark, ["1"]), os.path.join(tmpdir_path, "all", name))
     found = quality.stored_datasets(spark, os.path.join(tmpdir_path, "all"))
     assert sorted(found) == ["beach", "luo"] and found["luo"].columns == ["sid", "time_ms", "x"]
+
+
+def _sensor_file(spark, root, sid, sensor, columns, rows):
+    spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(f"{root}/sid={sid}/sensor={sensor}")
+
+
+def test_sensor_folders(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "folders")
+    _sensor_file(spark, root, "01", "left_wrist", "datetime timestamp_ntz, x double, y double", [(datetime(2020, 1, 1), 1.0, 2.0)])
+    _sensor_file(spark, root, "1", "left_wrist", "` DateTime` timestamp_ntz, X double, z double, battery int", [(datetime(2020, 1, 1), 3.0, 4.0, 9)])
+    _sensor_file(spark, root, "1", "forehead", "datetime timestamp_ntz, x double", [(datetime(2020, 1, 1), 7.0)])
+    _sensor_file(spark, root, "7", "right_foot", "datetime timestamp_ntz, x double", [(datetime(2020, 1, 1), 5.0)])
+    wanted = ["left_wrist", "right_foot"]
+    long, absent = text.read_sensor_folders(spark, root, wanted)
+    assert long.columns == ["sid", "sensor", "datetime", "x", "y", "z"]
+    assert sorted((r.sid, r.sensor, r.x, r.y, r.z) for r in long.collect()) == [
+        ("01", "left_wrist", 1.0, 2.0, None), ("1", "left_wrist", 3.0, None, 4.0), ("7", "right_foot", 5.0, None, None)]
+    assert sorted(map(tuple, absent.collect())) == [("01", "right_foot"), ("1", "right_foot"), ("7", "left_wrist")]
+    table = spark.createDataFrame([("1",), ("99",)], "sid string")
+    for subjects in (["1", "99"], table):
+        some, gone = text.read_sensor_folders(spark, root, wanted, subjects)
+        assert [r.sid for r in some.collect()] == ["1"] and list(map(tuple, gone.collect())) == [("1", "right_foot")]
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert ("dynamicpruning" if subjects is table else "PartitionFilters: [sid") in plan
+    h = recordings.harmonise_beach_folders(spark, root, ["01"])
+    assert [(r.sid, r.time_ms) for r in h.data.collect()] == [("01", 0)] and h.rejects.count() == 7
+
+
+def test_only_new_and_changed_files_are_read(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "in")
+
+    def put(name, body):
+        os.makedirs(os.path.join(root, os.path.dirname(name)), exist_ok=True)
+        with open(os.path.join(root, name), "w") as out:
+            out.write(body)
+
+    for name in ("a b/1.csv", "2.csv", "3.csv", "4.csv"):
+        put(name, "x\n1\n")
+    first = files.write_manifest(files.file_listing(spark, root, "*.csv"), os.path.join(tmpdir_path, "manifest-1"))
+    put("2.csv", "x\n1\n2\n")
+    put("5+.csv", "x\n9\n")
+    os.remove(os.path.join(root, "3.csv"))
+    changes = files.changed_files(files.file_listing(spark, root, "*.csv"), first)
+    assert {os.path.basename(r.path): r.status for r in changes.collect()} == {"1.csv": "same", "2.csv": "changed", "3.csv": "removed", "4.csv": "same", "5+.csv": "new"}
+    scan = text.read_headed(spark, files.paths_to_read(changes))
+    assert sorted((r["name"], r.x) for r in scan.rows.collect()) == [("2.csv", "1"), ("2.csv", "2"), ("5+.csv", "9")]
+    assert sorted(os.path.basename(r.path) for r in scan.files.collect()) == ["2.csv", "5+.csv"] and scan.rejects.count() == 0
+    assert files.paths_to_read(files.changed_files(first, first)) == []
