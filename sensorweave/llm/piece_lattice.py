@@ -37,8 +37,11 @@ from sensorweave.llm.common import tokenizer_path
 
 SPACE_MARK = "▁"
 UNKNOWN_LOSS = 10.0
-#: Segments a worker remembers; the table is emptied when full.
-CACHED_SEGMENTS = 1_000_000
+#: About the bytes of the table in which a worker remembers segments (emptied when full),
+#: what an entry takes besides its characters, and the longest segment it keeps.
+CACHE_BYTES = 300 << 20
+ENTRY_BYTES = 280
+LONGEST_KEPT = 64
 _NORMAL, _BYTE = 1, 6
 
 Path = tuple[float, bytes]  # score, ids as little-endian unsigned 32-bit numbers
@@ -63,6 +66,7 @@ class PieceLattice:
         self.raw = [bytes([int(p[3:5], 16)]) if kind == _BYTE else p.encode() if kind == _NORMAL else b"" for p, _, kind in pieces]
         self.unk_id = next((i for i, (_, _, kind) in enumerate(pieces) if kind == 2), 0)
         self.segments: dict[str, tuple[bytes, float, float]] = {}
+        self.held = 0
 
     @classmethod
     def load(cls, path: str, n: int = 3) -> PieceLattice:
@@ -167,9 +171,14 @@ class PieceLattice:
         for part in parts:
             entry = known.get(part)
             if entry is None:
-                entry = known[part] = self.best_and_loss(part)
+                entry = self._keep(part, self.best_and_loss(part))
             ids, total, loss = ids + entry[0], total + entry[1], min(loss, entry[2])
-        entry = known[word] = (ids, total, loss)
+        return self._keep(word, (ids, total, loss))
+
+    def _keep(self, part: str, entry: tuple[bytes, float, float]) -> tuple[bytes, float, float]:
+        if len(part) <= LONGEST_KEPT and part not in self.segments:
+            self.segments[part] = entry
+            self.held += ENTRY_BYTES + 2 * len(part) + len(entry[0])
         return entry
 
     def nbest(self, text: str | None) -> list[Path]:
@@ -180,8 +189,9 @@ class PieceLattice:
         for segment in segments:
             entry = known.get(segment)
             if entry is None:
-                if len(known) >= CACHED_SEGMENTS:
+                if self.held > CACHE_BYTES:
                     known.clear()
+                    self.held = 0
                 entry = self._learn(segment)
             found.append(entry)
         first = [e[0] for e in found]
