@@ -6,10 +6,13 @@ expands the span to both sides and validates it. Spans of one kind don't
 overlap and are taken from the left, so the parsers for e-mail, ip, card and
 phone find what the patterns in ``BASE_KINDS`` find, and no more. The other
 kinds are added by cue: ``account`` (an identifier after an account word;
-IBANs and social security numbers must validate), ``contact`` (the address
-after a contact scheme), ``secret`` (a value assigned to a credential word) and
-``url`` (only where it carries credentials). A cue begins a word or follows
-``_`` or ``-`` (``access_token``). Values run to their delimiter, however long
+IBANs and social security numbers must validate; after mere blanks or "is" only
+long numbers count), ``contact`` (the address after a contact scheme),
+``secret`` (a value assigned to a name with a credential word in it, what follows
+``Bearer``, tokens of well-known form, and private key blocks) and ``url`` (only
+where it carries credentials). A cue begins a word, follows ``_`` or ``-``
+(``access_token``), or is a capitalised part of a name (``accessToken``); case
+does not matter otherwise. Values run to their delimiter, however long
 they are; what a parser has run over is not run over again, so the time stays in
 proportion to the text. Positions count code points, ends
 are exclusive.
@@ -17,7 +20,7 @@ are exclusive.
 Defined cases: null and empty texts have no spans (a null text stays null when
 redacted); failing candidates are dropped without another try; overlapping spans
 are redacted as one under the first one's kind; repeated rows and null ids are
-handled row by row; other columns pass through.
+handled row by row; an empty table gives no rows; other columns pass through.
 """
 
 from __future__ import annotations
@@ -34,11 +37,21 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("account", "contact", "secret", "url")
 KINDS = BASE_KINDS + ADDED_KINDS
 
-#: Words that announce an identifier, by the kind of what follows.
+#: Words that announce an identifier, by the kind of what follows; compared without regard to case.
 CUES = {
     "account": ("iban", "account", "acct", "ssn", "passport", "konto", "cuenta", "compte"),
     "contact": ("mailto:", "tel:", "sip:"),
-    "secret": ("token", "secret", "password", "passwd", "api_key", "apikey", "api-key"),
+    "secret": ("token", "secret", "password", "passwd", "passphrase", "pwd", "api_key", "apikey", "api-key", "access_key", "accesskey", "private_key", "privatekey"),
+    "bearer": ("bearer",),
+    "block": ("-----begin ",),
+}
+
+#: How well-known kinds of tokens begin, and what follows.
+TOKENS = {
+    "ghp_": r"[A-Za-z0-9]{30,}+", "gho_": r"[A-Za-z0-9]{30,}+", "ghu_": r"[A-Za-z0-9]{30,}+", "ghs_": r"[A-Za-z0-9]{30,}+", "ghr_": r"[A-Za-z0-9]{30,}+",
+    "github_pat_": r"[A-Za-z0-9_]{30,}+", "glpat-": r"[A-Za-z0-9_-]{20,}+", "AKIA": r"[A-Z0-9]{16}(?![A-Za-z0-9])", "ASIA": r"[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "AIza": r"[A-Za-z0-9_-]{35}", "xoxb-": r"[A-Za-z0-9-]{20,}+", "xoxp-": r"[A-Za-z0-9-]{20,}+", "sk_live_": r"[A-Za-z0-9]{16,}+",
+    "eyJ": r"[A-Za-z0-9_-]{6,}+\.[A-Za-z0-9_-]{6,}+(?:\.[A-Za-z0-9_-]++)?",
 }
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -49,8 +62,14 @@ _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ACCOUNT = re.compile(r"(?i:\x20{0,2}(?:number|no|nr|id)?\.?)\x20{0,2}[:=#]\x20{0,2}([A-Za-z0-9](?:[\x20-]?[A-Za-z0-9]){3,}+)")
-_ASSIGNED = re.compile(r"\x20{0,2}[:=]\x20{0,2}")
-_SECRET = re.compile(r"\"([^\"\s]{8,}+)\"|'([^'\s]{8,}+)'|([A-Za-z0-9_./+=-]{8,}+)")
+#: After an account word, with nothing but blanks or "is": digits, or what may be an IBAN.
+_STATED = re.compile(r"(?i:\x20{0,2}(number|no|nr|id)?\.?)\x20{1,2}(?:((?i:is))\x20{1,2})?([0-9](?:[\x20-]?[0-9])*+|[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[A-Za-z0-9]){11,64})")
+#: The rest of a name after its cue (a part begins with a separator or, after a small letter, a capital), and the sign that assigns.
+_TAIL = {True: re.compile(r"[0-9]*+(?:[_-][A-Za-z0-9]++|[A-Z][a-z0-9]*+)*+"), False: re.compile(r"[0-9]*+(?:[_-][A-Za-z0-9]++)*+")}
+_ASSIGNED = re.compile(r"[\"'\]]{0,2}\x20{0,2}(?:=>|:=|[:=])\x20{0,2}")
+_SECRET = re.compile(r"\"([^\"\s]{8,}+)\"|'([^'\s]{8,}+)'|([^\s\"']{8,}+)")
+_BEARER = re.compile(r"\x20{1,2}([A-Za-z0-9._~+/=-]{16,}+)")
+_KEY_BLOCK = re.compile(r"(?:[A-Z0-9]++\x20){0,4}?PRIVATE\x20KEY(?:\x20BLOCK)?-----")
 _CONTACT = re.compile(r"[^\s<>\"'()\[\]{},;?]{3,}+")
 _CREDENTIALS = re.compile(r"://[^\s/@:<>\"']++:[^\s/@<>\"']++@[A-Za-z0-9.-]++[^\s<>\"']*+")
 #: Characters of the longest IBAN, with a separator after each.
@@ -85,12 +104,22 @@ def anchors():
         machine.add_word(sign, (kind, len(sign)))
     for kind, words in CUES.items():
         for word in words:
-            for form in {word, word.capitalize(), word.upper()}:
-                machine.add_word(form, (kind, len(form)))
+            machine.add_word(word, (kind, len(word)))
+    for prefix in TOKENS:
+        machine.add_word(prefix.lower(), ("prefix", len(prefix)))
     machine.make_automaton()
     return machine
 
 
+_PREFIXED = {prefix: re.compile(rest) for prefix, rest in TOKENS.items()}
+
+
+def _lowered(text: str) -> str:
+    """``text`` in lower case, at the same places."""
+    lower = text.lower()
+    return lower if len(lower) == len(text) else "".join(c if len(low := c.lower()) != 1 else low for c in text)
+
+
 def _email(text: str, at: int, floor: int) -> tuple[int, int] | None:
     start = at
     while start > floor and text[start - 1] in _LOCAL:
@@ -102,7 +131,7 @@ def _email(text: str, at: int, floor: int) -> tuple[int, int] | None:
 def _account(text: str, cue: str, end: int) -> tuple[int, int] | None:
     found = _ACCOUNT.match(text, end)
     if not found:
-        return None
+        return _stated_account(text, cue, end)
     start, stop = found.span(1)
     value = found[1]
     if cue == "iban":
@@ -111,27 +140,44 @@ def _account(text: str, cue: str, end: int) -> tuple[int, int] | None:
                 return start, stop
         return None
     word = re.match(r"[A-Za-z0-9-]+(?:\x20[0-9]+)*", value)[0]  # words after the number don't belong to it
-    if cue == "ssn":
-        number = re.fullmatch(r"([0-9]{3})[\x20-]?([0-9]{2})[\x20-]?([0-9]{4})", word)
-        good = number and number[1] not in ("000", "666") and number[1] < "900" and number[2] != "00" and number[3] != "0000"
-    else:
-        good = sum(c.isdigit() for c in word) >= 4
+    good = _ssn(word) if cue == "ssn" else sum(c.isdigit() for c in word) >= 4
     return (start, start + len(word)) if good else None
 
 
+def _ssn(value: str) -> bool:
+    number = re.fullmatch(r"([0-9]{3})[\x20-]?([0-9]{2})[\x20-]?([0-9]{4})", value)
+    return bool(number) and number[1] not in ("000", "666") and number[1] < "900" and number[2] != "00" and number[3] != "0000"
+
+
+def _stated_account(text: str, cue: str, end: int) -> tuple[int, int] | None:
+    """A number after blanks or "is": one that validates, or long enough."""
+    found = _STATED.match(text, end)
+    if not found:
+        return None
+    start, stop = found.span(3)
+    if cue == "iban" or not found[3][0].isdigit():
+        return next(((start, e) for e in range(stop, start + 14, -1) if text[e - 1].isalnum() and iban(text[start:e])), None)
+    if cue == "ssn":
+        return (start, stop) if _ssn(found[3]) else None
+    digits = found[3].replace(" ", "").replace("-", "")
+    named = found[1] or found[2]
+    return (start, stop) if len(digits) >= 6 and named or len(digits) >= 8 and digits == found[3] else None
+
+
 def find_spans(text: str | None) -> list[Span]:
     """All spans of a text, by kind as listed in ``KINDS``, then start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     if not text:
         return []
-    floor = dict.fromkeys((*KINDS, "digits"), 0)  # where each kind's search has come to
+    floor = dict.fromkeys((*KINDS, "block"), 0)  # where each kind's search has come to
 
     def take(kind: str, start: int, end: int) -> None:
         if start >= floor[kind]:
             found[kind].append((start, end))
             floor[kind] = end
 
-    for last, (kind, length) in anchors().iter(text):
+    name = 0  # where the last name with a cue ends
+    for last, (kind, length) in anchors().iter(_lowered(text)):
         at = last - length + 1
         if kind == "digit":
             if at >= floor["ip"]:
@@ -161,14 +207,36 @@ def find_spans(text: str | None) -> list[Span]:
                     start -= 1
                 if start < at:
                     take("url", start, m.start() + len(m[0].rstrip(".,;:!?)")))
-        elif at and text[at - 1] in _WORD:  # a cue begins a word or a part of a name
-            continue
+        elif kind == "block":
+            if at >= floor["secret"] and at >= floor["block"] and (m := _KEY_BLOCK.match(text, last + 1)):
+                stop = text.find("-----END ", m.end())
+                floor["block"] = len(text) if stop < 0 else 0  # no later block has an end either
+                line = text.find("-----", stop + 9) if stop >= 0 else -1
+                if line >= 0:
+                    take("secret", at, line + 5)
+        elif at and text[at - 1] in _WORD and not (kind == "secret" and text[at].isupper() and text[at - 1].islower()):
+            continue  # a cue begins a word or a part of a name
+        elif kind == "prefix":
+            rest = _PREFIXED.get(text[at : last + 1])
+            if rest and at >= floor["secret"] and (m := rest.match(text, last + 1)):
+                take("secret", at, m.end())
+        elif kind == "bearer":
+            if at >= floor["secret"] and (m := _BEARER.match(text, last + 1)):
+                floor["secret"] = m.start(1)
+                if any(c.isdigit() for c in m[1]):
+                    take("secret", *m.span(1))
         elif kind == "account":
             if span := _account(text, text[at : last + 1].lower(), last + 1):
                 take("account", *span)
         elif kind == "secret":
-            if (m := _ASSIGNED.match(text, last + 1)) and m.end() >= floor["secret"] - 1 and (m := _SECRET.match(text, m.end())):
-                take("secret", *m.span(m.lastindex))
+            # cues inside a name share its end, so that no name is walked twice
+            name = name if last < name else _TAIL[text[last].islower()].match(text, last + 1).end()
+            if (m := _ASSIGNED.match(text, name)) and m.end() >= floor["secret"] - 1 and (m := _SECRET.match(text, m.end())):
+                start, stop = m.span(m.lastindex)
+                if m.lastindex == 3:  # marks that close what the value stands in
+                    stop = start + len(m[3].rstrip(".,;:!?)]}>"))
+                if stop - start >= 8:
+                    take("secret", start, stop)
         elif kind == "contact" and last + 1 >= floor["contact"] and (m := _CONTACT.match(text, last + 1)):
             value = m[0].rstrip(".:!")
             if "@" in value[1:-1] or sum(c.isdigit() for c in value) >= 7:

@@ -20,12 +20,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of the base kinds, digest of the base spans, and all spans."""
+    """Counts of the base kinds, digest of the base spans, all spans, and counts of the added kinds."""
     found = pii.find_pii(read_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *[count(k) for k in pii.BASE_KINDS],
-                        F.sha2(pii.digest(base).cast("binary"), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"))
+                        F.sha2(pii.digest(base).cast("binary"), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"),
+                        *[count(k) for k in pii.ADDED_KINDS])
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
