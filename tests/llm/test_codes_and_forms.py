@@ -211,6 +211,13 @@ def test_ids_equal_the_library_on_mixed_texts(library, monkeypatch):
     assert len(coder.known) < 5000 and max(map(len, coder.known), default=0) <= byte_bpe.LONGEST_KEPT
 
 
+def test_latin_texts_split_alike_in_both_engines():
+    splitter, rng = byte_bpe.Splitter(public_tokenizers.PATTERN), random.Random(8)
+    for _ in range(3000):
+        text = "".join(chr(rng.choice([rng.randrange(256), 32, 10, 39, 115, 233])) for _ in range(rng.randint(0, 40)))
+        assert splitter.latin.findall(text) == splitter.plain.findall(text)
+
+
 def test_the_piece_model_is_the_vocabulary():
     tokens = byte_bpe.read_ranks(RANKS)
     coder = byte_bpe.Coder(RANKS)
