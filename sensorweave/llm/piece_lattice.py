@@ -1,6 +1,8 @@
 """N-best segmentation of texts into the pieces of a SentencePiece model, and back.
 
-A segmentation's score is the sum of its pieces' scores in the model. Within a
+A segmentation's score is the sum of its pieces' scores in the model. Those of a
+merge model are negative merge ranks, not log-probabilities: its best
+segmentation by this sum is not the encoding that merging gives. Within a
 segment the lattice of all pieces is searched from its end: the forward Viterbi
 score of a place is exactly the best that can still be reached from there, so
 A-star returns complete segmentations in descending order of their scores.
@@ -16,9 +18,11 @@ does it. A character without a piece of its own is spelled in byte pieces, at
 ``UNKNOWN_LOSS`` below the lowest score.
 
 Defined cases: null and empty texts have the empty segmentation (score 0); of
-segmentations with equal scores the order is fixed, whichever comes first; decoding gives back every text, except that a space mark in a text
-comes back as a space; repeated rows and null ids are handled row by row; other
-columns are not read.
+segmentations with equal scores the order is fixed, whichever comes first;
+decoding gives back every text, except that a space mark in a text comes back as
+a space; a text without blanks is one segment, searched whole; repeated rows and
+null ids are handled row by row; an empty table gives no rows; other columns are
+not read.
 """
 
 from __future__ import annotations

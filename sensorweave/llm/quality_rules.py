@@ -12,7 +12,8 @@ base rule; a null statistic meets no condition, so the default verdict holds;
 labels that are null or contradict each other are not learned from, and with
 no usable label (or one class only) the list is empty and keeps what passes
 the base rule; repeated rows are judged row by row; columns of the input pass
-through, and clashing statistic names in it are replaced.
+through, and clashing statistic names in it are replaced; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -165,7 +166,7 @@ def cover(rows: list[dict], features: Sequence[str] = FEATURES, keep: bool = Fal
           min_precision: float = 0.95, max_conditions: int = 4, max_rules: int = 32) -> DecisionList:
     """Sequential covering: grow a conjunction on two thirds of the rows, drop
     its last conditions while that does not hurt on the other third, take it if
-    it is precise on both, remove the rows it covers, and begin again."""
+    it is precise on all of them together, remove the rows it covers, and begin again."""
     rules: list[Rule] = []
     left = list(rows)
     while len(rules) < max_rules:

@@ -10,7 +10,9 @@ of ``hash(key) mod size``. Adding or removing a shard moves few other rows.
 Defined cases: a null key is replaced by the row's other key columns, or, when
 all are null, by ``fallback`` columns, so that rows without an id spread over
 the shards; equal keys (repeated rows) always share a shard; other columns pass
-through, and a clashing ``slot`` or ``shard`` column is replaced.
+through, and a clashing ``slot`` or ``shard`` column is replaced; a key is
+hashed whole, however long; no ties arise, as a slot has one shard; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ normalises text), texts are encoded in one go.
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); a text without
 any safe boundary is encoded whole, however long; repeated rows and null ids
-are counted row by row; other columns of the input are not read.
+are counted row by row; other columns of the input are not read, so none can
+clash; an empty table gives no rows.
 """
 
 from __future__ import annotations
