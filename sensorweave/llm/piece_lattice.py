@@ -1,17 +1,24 @@
-"""N-best segmentation of texts into the pieces of a SentencePiece model, and back.
-
-A segmentation's score is the sum of its pieces' scores in the model. Those of a
-merge model are negative merge ranks, not log-probabilities: its best
-segmentation by this sum is not the encoding that merging gives. Within a
-segment the lattice of all pieces is searched from its end: the forward Viterbi
-score of a place is exactly the best that can still be reached from there, so
-A-star returns complete segmentations in descending order of their scores.
+"""Encoding of texts by a SentencePiece model, their n-best segmentations, and back.
+
+The encoding is the library's own, and beside it stand the n best segmentations
+of the piece lattice. A segmentation's score is the sum of its pieces' scores. In
+a merge model these are negative merge ranks, whose sum prefers few and early
+pieces, so the lattice takes log-probabilities from them by the law of Zipf and
+Mandelbrot: a piece of rank r has a probability in proportion to 1 / (r +
+``RANK_SHIFT``) (``scores="model"`` takes the model's scores as they are, right
+for a unigram model). A merge model's encoding need not be the best segmentation
+by any such sum. Within a segment the lattice of all pieces is searched from its
+end: the forward Viterbi score of a place is exactly the best that can still be
+reached from there, so A-star returns complete segmentations in descending order
+of their scores.
 
 A text falls apart between two neighbouring characters that no piece holds side
-by side: no edge of the lattice reaches over such a place. Segments are searched
-once per worker and remembered; a text's best segmentations are then merged
-from those of its segments, of which only the few with the smallest losses can
-take part. So whole texts are segmented exactly, however long they are.
+by side: neither an edge of the lattice nor a merge reaches over such a place.
+Words with their encoding and the best two scores of their lattice (one forward
+pass) are remembered by each worker; a text's encoding is that of its words, and
+its best segmentations are merged from those of its words, of which only the
+few with the smallest losses can take part. So whole texts are segmented exactly,
+however long they are.
 
 The text gets one space in front and spaces become the space mark, as the model
 does it. A character without a piece of its own is spelled in byte pieces, at
@@ -20,7 +27,8 @@ does it. A character without a piece of its own is spelled in byte pieces, at
 Defined cases: null and empty texts have the empty segmentation (score 0); of
 segmentations with equal scores the order is fixed, whichever comes first;
 decoding gives back every text, except that a space mark in a text comes back as
-a space; a text without blanks is one segment, searched whole; repeated rows and
+a space; a text without blanks is one segment: its lattice falls apart only between
+characters that no piece holds side by side, and is held whole; repeated rows and
 null ids are handled row by row; an empty table gives no rows; other columns are
 not read.
 """
@@ -29,8 +37,10 @@ from __future__ import annotations
 
 import functools
 import heapq
+import math
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +51,11 @@ from sensorweave.llm.common import tokenizer_path
 
 SPACE_MARK = "▁"
 UNKNOWN_LOSS = 10.0
+#: Added to merge ranks before they are turned into probabilities.
+RANK_SHIFT = 100.0
+#: Sums of such parts are exact, so that equal segmentations tie whatever their order
+#: and the search does not wander among them.
+SCORE_GRAIN = 2.0**-24
 #: About the bytes of the table in which a worker remembers segments (emptied when full),
 #: what an entry takes besides its characters, and the longest segment it keeps.
 CACHE_BYTES = 300 << 20
@@ -49,14 +64,27 @@ LONGEST_KEPT = 64
 _NORMAL, _BYTE = 1, 6
 
 Path = tuple[float, bytes]  # score, ids as little-endian unsigned 32-bit numbers
+Piece = tuple[str, float, int]  # text, score, kind
+Word = tuple[bytes, float, float, bytes]  # best ids, their score, by how much the second best is lower, encoding
+
+
+def log_probabilities(pieces: list[Piece]) -> list[Piece]:
+    """``pieces`` of a merge model, whose scores are negative ranks, with
+    log-probabilities that add up to 1 over the normal ones, in whole parts of
+    ``SCORE_GRAIN``."""
+    total = math.log(sum(1 / (RANK_SHIFT - score) for _, score, kind in pieces if kind == _NORMAL))
+    return [(p, -round((math.log(RANK_SHIFT - score) + total) / SCORE_GRAIN) * SCORE_GRAIN if kind == _NORMAL else score, kind) for p, score, kind in pieces]
 
 
 class PieceLattice:
-    def __init__(self, pieces: list[tuple[str, float, int]], n: int = 3):
-        """``pieces``: text, score and kind (1 normal, 6 byte) by id."""
+    def __init__(self, pieces: list[Piece], n: int = 3, library: Callable[[list[str]], list[list[int]]] | None = None):
+        """``pieces``: text, score and kind (1 normal, 6 byte) by id;
+        ``library`` encodes a list of texts (absent: the best segmentation stands for it)."""
         import ahocorasick
 
         self.n = n
+        self.library = library
+        self.mark_id = next((i for i, (p, _, _) in enumerate(pieces) if p == SPACE_MARK), None)
         normal = [(p, s, i) for i, (p, s, kind) in enumerate(pieces) if kind == _NORMAL]
         self.machine = ahocorasick.Automaton()  # finds every piece at every place in one pass
         for p, score, i in normal:
@@ -69,17 +97,26 @@ class PieceLattice:
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == _BYTE}
         self.raw = [bytes([int(p[3:5], 16)]) if kind == _BYTE else p.encode() if kind == _NORMAL else b"" for p, _, kind in pieces]
         self.unk_id = next((i for i, (_, _, kind) in enumerate(pieces) if kind == 2), 0)
-        self.segments: dict[str, tuple[bytes, float, float]] = {}
+        self.segments: dict[str, Word] = {}
+        self.parts: dict[str, tuple[bytes, float, float]] = {}
         self.held = 0
 
     @classmethod
-    def load(cls, path: str, n: int = 3) -> PieceLattice:
-        from sentencepiece import sentencepiece_model_pb2
+    def load(cls, path: str, n: int = 3, scores: str = "auto") -> PieceLattice:
+        """``scores``: ``zipf``, ``model`` or ``auto`` (zipf for a merge model)."""
+        from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
+        if scores not in ("auto", "zipf", "model"):
+            raise ValueError(f"no such scores: {scores}")
         proto = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as f:
             proto.ParseFromString(f.read())
-        return cls([(p.piece, p.score, p.type) for p in proto.pieces], n)
+        pieces = [(p.piece, p.score, p.type) for p in proto.pieces]
+        merges = proto.trainer_spec.model_type == proto.trainer_spec.BPE
+        if scores == "zipf" or (scores == "auto" and merges):
+            pieces = log_probabilities(pieces)
+        processor = SentencePieceProcessor(model_proto=proto.SerializeToString())
+        return cls(pieces, n, lambda texts: processor.encode(texts, num_threads=1))
 
     def _spelled(self, char: str) -> bytes:
         raw = char.encode("utf-8", "surrogatepass")
@@ -102,25 +139,37 @@ class PieceLattice:
 
     def best_and_loss(self, text: str) -> tuple[bytes, float, float]:
         """Ids and score of a segment's best segmentation, and by how much the
-        second best is lower (infinite: there is none): the best one that uses
-        some edge off the best path, by the scores to its start and from its end."""
-        edges, best, begin = self._lattice(text)
-        size = len(text)
-        on_path, at = {}, size
+        second best is lower (infinite: there is none), by the two best scores
+        up to every place."""
+        size, none = len(text), float("-inf")
+        found = self.machine.iter(text)
+        if not self.single.issuperset(text):
+            found = [(j - 1, (j - i, score, ids)) for i, j, score, ids in self._lattice(text)[0]]
+        best, second = [0.0] + [none] * size, [none] * (size + 1)
+        back: list = [None] * (size + 1)
+        for last, edge in found:
+            j = last + 1
+            i = j - edge[0]
+            value = best[i] + edge[1]
+            if value > best[j]:
+                other = second[i] + edge[1]
+                second[j] = best[j] if best[j] > other else other
+                best[j], back[j] = value, edge
+            elif value > second[j]:
+                second[j] = value
+        ids, at = [], size
         while at:
-            on_path[begin[at]] = at
-            at = begin[at]
-        after, second, ids = [float("-inf")] * size + [0.0], float("-inf"), []
-        for i, j, score, piece in reversed(edges):  # what starts at j ends later, so after[j] is known
-            value = score + after[j]
-            if value > after[i]:
-                after[i] = value
-            if on_path.get(i) == j:
-                ids.append(piece)
-            elif best[i] + value > second:
-                second = best[i] + value
+            ids.append(back[at][2])
+            at -= back[at][0]
         ids.reverse()
-        return b"".join(ids), best[size], best[size] - second
+        return b"".join(ids), best[size], best[size] - second[size]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The library's ids of segments of ``split``: it sets a mark before a
+        text itself, so theirs is left out."""
+        lone = np.array([self.unk_id if self.mark_id is None else self.mark_id], "<u4").tobytes()
+        found = self.library([w[1:].replace(SPACE_MARK, " ") for w in words])
+        return [array("I", ids).tobytes() if len(w) > 1 else lone for w, ids in zip(words, found)]
 
     def search(self, text: str, n: int | None = None) -> list[Path]:
         """The ``n`` best segmentations of one segment, best first: A-star from
@@ -162,60 +211,81 @@ class PieceLattice:
                 mark = ""
         return words + ([mark] if mark else [])
 
-    def _learn(self, word: str) -> tuple[bytes, float, float]:
+    def _lattice_of(self, word: str) -> tuple[bytes, float, float]:
         """``best_and_loss`` of a word, from those of its parts between
         characters that no piece holds side by side."""
-        known, near, start, parts = self.segments, self.neighbours, 0, []
+        near, start, found = self.neighbours, 0, []
         for k in range(1, len(word)):
             if word[k - 1 : k + 1] not in near:
-                parts.append(word[start:k])
+                found.append(self._part(word[start:k]))
                 start = k
-        parts.append(word[start:])
-        ids, total, loss = b"", 0.0, float("inf")
-        for part in parts:
-            entry = known.get(part)
-            if entry is None:
-                entry = self._keep(part, self.best_and_loss(part))
-            ids, total, loss = ids + entry[0], total + entry[1], min(loss, entry[2])
-        return self._keep(word, (ids, total, loss))
-
-    def _keep(self, part: str, entry: tuple[bytes, float, float]) -> tuple[bytes, float, float]:
-        if len(part) <= LONGEST_KEPT and part not in self.segments:
-            self.segments[part] = entry
-            self.held += ENTRY_BYTES + 2 * len(part) + len(entry[0])
+        if not start:
+            return self.best_and_loss(word)
+        found.append(self._part(word[start:]))
+        ids, scores, losses = zip(*found)
+        return b"".join(ids), sum(scores), min(losses)
+
+    def _part(self, part: str) -> tuple[bytes, float, float]:
+        entry = self.parts.get(part)
+        if entry is None:
+            entry = self.best_and_loss(part)
+            if len(part) <= LONGEST_KEPT:
+                self.parts[part] = entry
+                self.held += ENTRY_BYTES + 2 * len(part) + len(entry[0])
         return entry
 
+    def _learn(self, words: list[str]) -> dict[str, Word]:
+        """The entries of words, remembered unless they are long."""
+        out = {}
+        for word, encoded in zip(words, self.encode_words(words) if self.library else [None] * len(words)):
+            if self.held > CACHE_BYTES:
+                self.segments.clear()
+                self.parts.clear()
+                self.held = 0
+            ids, score, loss = self._lattice_of(word)
+            own = ids if encoded is None or encoded == ids else encoded
+            out[word] = entry = (ids, score, loss, own)
+            if len(word) <= LONGEST_KEPT:
+                self.segments[word] = entry
+                self.held += ENTRY_BYTES + 2 * len(word) + len(ids) + (0 if own is ids else len(own) + 40)
+        return out
+
+    def _words(self, text: str) -> tuple[list[str], list[Word]]:
+        """The segments of a text and their entries."""
+        segments = self.split(text)
+        found = list(map(self.segments.get, segments))
+        if None in found:
+            fresh = self._learn(list(dict.fromkeys([w for w, entry in zip(segments, found) if entry is None])))
+            found = [entry or fresh[w] for w, entry in zip(segments, found)]
+        return segments, found
+
+    def encode(self, text: str | None) -> bytes:
+        """The library's ids of a whole text."""
+        return b"".join([e[3] for e in self._words(text)[1]]) if text else b""
+
     def nbest(self, text: str | None) -> list[Path]:
         """The best segmentations of a whole text, best first."""
+        return self.encode_and_nbest(text)[1]
+
+    def encode_and_nbest(self, text: str | None) -> tuple[bytes, list[Path]]:
+        """The library's ids of a whole text, and its best segmentations."""
         if not text:
-            return [(0.0, b"")]
-        known, segments, found = self.segments, self.split(text), []
-        for segment in segments:
-            entry = known.get(segment)
-            if entry is None:
-                if self.held > CACHE_BYTES:
-                    known.clear()
-                    self.held = 0
-                entry = self._learn(segment)
-            found.append(entry)
-        first = [e[0] for e in found]
-        total = sum([e[1] for e in found])
-        losses, least = [e[2] for e in found], []
-        for _ in range(min(self.n - 1, len(losses))):
-            least.append(losses.index(min(losses)))
-            losses[least[-1]] = float("inf")
+            return b"", [(0.0, b"")]
+        segments, found = self._words(text)
+        first, scores, losses, encoded = zip(*found)
+        least = heapq.nsmallest(self.n - 1, range(len(losses)), key=losses.__getitem__)
         merged: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]  # loss, (segment, its path)
-        paths_of = {i: self.search(segments[i]) for i in dict.fromkeys(least)}
+        paths_of = {i: self.search(segments[i]) for i in least}
         for i, paths in paths_of.items():
             choices = [(loss + paths[0][0] - paths[k][0], (*taken, (i, k)) if k else taken) for loss, taken in merged for k in range(len(paths))]
             merged = heapq.nsmallest(self.n, choices, key=lambda c: c[0])
-        out = []
+        total, out = sum(scores), []
         for loss, taken in merged:
             ids = list(first)
             for i, k in taken:
                 ids[i] = paths_of[i][k][1]
             out.append((total - loss, b"".join(ids)))
-        return out
+        return b"".join(encoded), out
 
     def decode(self, ids: bytes) -> str:
         """The text of a sequence of ids."""
@@ -225,19 +295,22 @@ class PieceLattice:
 
 
 @functools.lru_cache(maxsize=2)
-def lattice(path: str, n: int) -> PieceLattice:
-    return PieceLattice.load(path, n)
+def lattice(path: str, n: int, scores: str = "auto") -> PieceLattice:
+    return PieceLattice.load(path, n, scores)
 
 
-def segmentations(text: Column, path: str, n: int = 3) -> Column:
-    """Array of ``(score, ids)`` of the ``n`` best segmentations."""
+def segmentations(text: Column, path: str, n: int = 3, scores: str = "auto") -> Column:
+    """Struct of the library's ``ids`` of a text and ``paths``, an array of
+    ``(score, ids)`` of the ``n`` best segmentations."""
 
-    @F.arrow_udf("array<struct<score:double,ids:array<int>>>")
+    @F.arrow_udf("struct<ids:array<int>,paths:array<struct<score:double,ids:array<int>>>>")
     def segment(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = lattice(path, n)
-        kind = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))]))
+        model = lattice(path, n, scores)
+        ids = pa.list_(pa.int32())
+        kind = pa.struct([("ids", ids), ("paths", pa.list_(pa.struct([("score", pa.float64()), ("ids", ids)])))])
         for texts in batches:
-            yield pa.array([[{"score": s, "ids": np.frombuffer(ids, "<i4")} for s, ids in model.nbest(t.as_py())] for t in texts], kind)
+            found = [model.encode_and_nbest(t.as_py()) for t in texts]
+            yield pa.array([{"ids": np.frombuffer(own, "<i4"), "paths": [{"score": s, "ids": np.frombuffer(p, "<i4")} for s, p in paths]} for own, paths in found], kind)
 
     return segment(text)
 
@@ -254,29 +327,34 @@ def decoded(ids: Column, path: str) -> Column:
     return decode(ids)
 
 
-def encode_nbest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, n: int = 3) -> DataFrame:
-    """``(id, paths)`` with the ``n`` best segmentations of every row's text."""
+def encode_nbest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, n: int = 3, scores: str = "auto") -> DataFrame:
+    """``(id, ids, paths)``: the library's ids of every row's text, and its ``n``
+    best segmentations."""
     path = model or tokenizer_path("piece_bpe_32k.model")
-    return docs.select(F.col(id_col), segmentations(F.col(text_col).cast("string"), path, n).alias("paths"))
+    return docs.select(F.col(id_col), segmentations(F.col(text_col).cast("string"), path, n, scores).alias("s")).select(id_col, "s.*")
 
 
-def summarise_nbest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, n: int = 3) -> DataFrame:
-    """Per row the number of pieces of the best segmentation, scores and
-    checksums of the ``n`` best, and whether decoding the best gives the text
-    back; the ids themselves stay in the workers."""
+def summarise_nbest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, n: int = 3, scores: str = "auto") -> DataFrame:
+    """Per row the number and checksum of the library's ids, the number of
+    pieces of the best segmentation, scores and checksums of the ``n`` best, and
+    whether decoding the encoding (``decodes``) and the best segmentation
+    (``round_trip``) gives the text back; the ids themselves stay in the workers."""
     path = model or tokenizer_path("piece_bpe_32k.model")
-    kind = pa.struct([("n_pieces", pa.int64()), ("scores", pa.list_(pa.float64())), ("ids_crc32", pa.list_(pa.int64())), ("round_trip", pa.bool_())])
+    kind = pa.struct([("n_tokens", pa.int64()), ("encoded_crc32", pa.int64()), ("n_pieces", pa.int64()), ("scores", pa.list_(pa.float64())),
+                      ("ids_crc32", pa.list_(pa.int64())), ("decodes", pa.bool_()), ("round_trip", pa.bool_())])
 
-    @F.arrow_udf("struct<n_pieces:bigint,scores:array<double>,ids_crc32:array<bigint>,round_trip:boolean>")
+    @F.arrow_udf("struct<n_tokens:bigint,encoded_crc32:bigint,n_pieces:bigint,scores:array<double>,ids_crc32:array<bigint>,decodes:boolean,round_trip:boolean>")
     def summary(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lat = lattice(path, n)
+        lat = lattice(path, n, scores)
         for texts in batches:
             rows = []
             for t in texts:
                 text = t.as_py() or ""
-                paths = lat.nbest(text)
-                rows.append({"n_pieces": len(paths[0][1]) // 4, "scores": [s for s, _ in paths], "ids_crc32": [zlib.crc32(i) for _, i in paths],
-                             "round_trip": lat.decode(paths[0][1]) == text.replace(SPACE_MARK, " ")})
+                own, paths = lat.encode_and_nbest(text)
+                plain = text.replace(SPACE_MARK, " ")
+                rows.append({"n_tokens": len(own) // 4, "encoded_crc32": zlib.crc32(own), "n_pieces": len(paths[0][1]) // 4,
+                             "scores": [s for s, _ in paths], "ids_crc32": [zlib.crc32(i) for _, i in paths],
+                             "decodes": lat.decode(own) == plain, "round_trip": lat.decode(paths[0][1]) == plain})
             yield pa.array(rows, kind)
 
     return docs.select(F.col(id_col), summary(F.col(text_col).cast("string")).alias("s")).select(id_col, "s.*")

@@ -46,11 +46,12 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three best segmentations of every text: scores, checksums, round trip."""
+    """The library's encoding and the three best segmentations of every text:
+    sizes, scores, checksums, round trips."""
     found = piece_lattice.summarise_nbest(read_table(spark, sf_dir, "documents"), n=3)
-    return found.select("doc_id", "n_pieces", F.element_at("scores", 1).alias("best_score"),
+    return found.select("doc_id", "n_tokens", "encoded_crc32", "n_pieces", F.element_at("scores", 1).alias("best_score"),
                         *[F.get("scores", i).alias(f"score_{i + 1}") for i in (1, 2)],
-                        *[F.get("ids_crc32", i).alias(f"ids_crc32_{i + 1}") for i in range(3)], "round_trip")
+                        *[F.get("ids_crc32", i).alias(f"ids_crc32_{i + 1}") for i in range(3)], "decodes", "round_trip")
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -263,16 +263,19 @@ def test_a_text_far_from_all_centroids_is_rejected():
 
 # lattice
 
-def test_nbest_equals_trying_all_segmentations():
-    model = piece_lattice.PieceLattice.load(PIECES, 3)
+@pytest.mark.parametrize("scores", ["model", "zipf"])
+def test_nbest_equals_trying_all_segmentations(scores):
+    model = piece_lattice.PieceLattice.load(PIECES, 3, scores)
     rng = random.Random(7)
     parts = ["a", "b", "the ", "ing", " ", "é", ".", "漢", "😀", "T", ",", "x\n", "1"]
 
     import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    table = {library.id_to_piece(i): (library.get_score(i), np.array([i], "<u4").tobytes())
-             for i in range(library.get_piece_size()) if not (library.is_control(i) or library.is_unknown(i) or library.is_byte(i))}
+    normal = [i for i in range(library.get_piece_size()) if not (library.is_control(i) or library.is_unknown(i) or library.is_byte(i))]
+    mass = sum(1 / (100 - library.get_score(i)) for i in normal)
+    score_of = {"model": library.get_score, "zipf": lambda i: round(np.log(1 / (100 - library.get_score(i)) / mass) * 2**24) / 2**24}[scores]
+    table = {library.id_to_piece(i): (score_of(i), np.array([i], "<u4").tobytes()) for i in normal}
 
     def every(s, i=0):
         if i == len(s):
@@ -295,16 +298,46 @@ def test_nbest_equals_trying_all_segmentations():
         assert model.decode(paths[0][1]) == text
 
 
+def test_encoding_equals_the_library():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    model = piece_lattice.PieceLattice.load(PIECES, 3)
+    rng = random.Random(23)
+    parts = ["the", " ", "  ", "ing", "é", "e\u0301", "日本", "한", "▁", "\n", "\t", ".", "1", "😀", "A", "x" * 80, "<s>", "<0x41>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    texts += ["".join(chr(rng.choice([rng.randrange(1, 0xD800), rng.randrange(0xE000, 0x110000), 32, rng.randrange(32, 127)])) for _ in range(12)) for _ in range(2000)]
+    for text in texts + ["the house of " * 5000, "a" * 20_000, " " * 3000]:
+        ids = model.encode(text)
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text), text
+        assert model.decode(ids) == text.replace("▁", " ")
+    assert model.encode(None) == b"" and model.encode("") == b""
+    best = model.nbest("the house of")[0][1]
+    assert [library.id_to_piece(i) for i in np.frombuffer(best, "<u4").tolist()] == ["▁the", "▁house", "▁of"]
+
+
+def test_log_probabilities_add_up_to_one():
+    pieces = piece_lattice.log_probabilities([("<unk>", 0.0, 2), ("a", 0.0, 1), ("b", -1.0, 1), ("ab", -7.0, 1)])
+    assert pieces[0] == ("<unk>", 0.0, 2)
+    assert sum(np.exp(s) for _, s, kind in pieces if kind == 1) == pytest.approx(1)
+    assert [s for _, s, kind in pieces if kind == 1] == sorted((s for _, s, kind in pieces if kind == 1), reverse=True)
+
+
+def test_unknown_scores_are_refused():
+    with pytest.raises(ValueError, match="no such scores"):
+        piece_lattice.PieceLattice.load(PIECES, 3, "rank")
+
+
 def test_lattice_forgets_by_bytes_with_equal_results(monkeypatch):
     rng = random.Random(17)
     texts = ["".join(rng.choice(["the ", "ing", "é", "x" * 90, "日本", "a", " "]) for _ in range(rng.randint(0, 12))) for _ in range(150)]
     whole = piece_lattice.PieceLattice.load(PIECES, 3)
-    want = [whole.nbest(t) for t in texts]
+    want = [whole.encode_and_nbest(t) for t in texts]
     monkeypatch.setattr(piece_lattice, "CACHE_BYTES", 2000)
     monkeypatch.setattr(piece_lattice, "LONGEST_KEPT", 6)
     small = piece_lattice.PieceLattice.load(PIECES, 3)
-    assert [small.nbest(t) for t in texts] == want
-    assert small.held <= 2000 + 20_000 and max(map(len, small.segments), default=0) <= 6
+    assert [small.encode_and_nbest(t) for t in texts] == want
+    assert small.held <= 2000 + 20_000 and max(map(len, [*small.segments, *small.parts]), default=0) <= 6
 
 
 def test_lattice_rows_round_trip(spark):
@@ -313,7 +346,9 @@ def test_lattice_rows_round_trip(spark):
     back = got.select("doc_id", piece_lattice.decoded(got.paths[0].ids, PIECES).alias("text")).collect()
     want = sorted(((i, t or "") for i, t in awkward()), key=str)
     assert sorted(map(tuple, back), key=str) == want
-    assert all(r.round_trip for r in piece_lattice.summarise_nbest(docs).collect())
+    own = got.select("doc_id", piece_lattice.decoded(got.ids, PIECES).alias("text")).collect()
+    assert sorted(map(tuple, own), key=str) == want
+    assert all(r.round_trip and r.decodes for r in piece_lattice.summarise_nbest(docs).collect())
     assert piece_lattice.encode_nbest(frame(spark, [])).count() == 0
 
 
