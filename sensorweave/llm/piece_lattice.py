@@ -41,6 +41,7 @@ import math
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -148,19 +149,22 @@ class PieceLattice:
         best, second = [0.0] + [none] * size, [none] * (size + 1)
         back: list = [None] * (size + 1)
         for last, edge in found:
+            length, score, _ = edge
             j = last + 1
-            i = j - edge[0]
-            value = best[i] + edge[1]
-            if value > best[j]:
-                other = second[i] + edge[1]
-                second[j] = best[j] if best[j] > other else other
-                best[j], back[j] = value, edge
+            i = j - length
+            value, top = best[i] + score, best[j]
+            if value > top:
+                other = second[i] + score
+                second[j] = top if top > other else other
+                best[j] = value
+                back[j] = edge
             elif value > second[j]:
                 second[j] = value
         ids, at = [], size
         while at:
-            ids.append(back[at][2])
-            at -= back[at][0]
+            length, _, piece = back[at]
+            ids.append(piece)
+            at -= length
         ids.reverse()
         return b"".join(ids), best[size], best[size] - second[size]
 
@@ -214,15 +218,11 @@ class PieceLattice:
     def _lattice_of(self, word: str) -> tuple[bytes, float, float]:
         """``best_and_loss`` of a word, from those of its parts between
         characters that no piece holds side by side."""
-        near, start, found = self.neighbours, 0, []
-        for k in range(1, len(word)):
-            if word[k - 1 : k + 1] not in near:
-                found.append(self._part(word[start:k]))
-                start = k
-        if not start:
+        near = self.neighbours
+        if near.issuperset(map(add, word, word[1:])):
             return self.best_and_loss(word)
-        found.append(self._part(word[start:]))
-        ids, scores, losses = zip(*found)
+        cuts = [k for k, pair in enumerate(map(add, word, word[1:]), 1) if pair not in near]
+        ids, scores, losses = zip(*[self._part(word[a:b]) for a, b in zip([0, *cuts], [*cuts, None])])
         return b"".join(ids), sum(scores), min(losses)
 
     def _part(self, part: str) -> tuple[bytes, float, float]:
@@ -337,13 +337,13 @@ def encode_nbest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def summarise_nbest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, n: int = 3, scores: str = "auto") -> DataFrame:
     """Per row the number and checksum of the library's ids, the number of
     pieces of the best segmentation, scores and checksums of the ``n`` best, and
-    whether decoding the encoding (``decodes``) and the best segmentation
-    (``round_trip``) gives the text back; the ids themselves stay in the workers."""
+    whether decoding the best gives the text back; the ids themselves stay in the
+    workers."""
     path = model or tokenizer_path("piece_bpe_32k.model")
     kind = pa.struct([("n_tokens", pa.int64()), ("encoded_crc32", pa.int64()), ("n_pieces", pa.int64()), ("scores", pa.list_(pa.float64())),
-                      ("ids_crc32", pa.list_(pa.int64())), ("decodes", pa.bool_()), ("round_trip", pa.bool_())])
+                      ("ids_crc32", pa.list_(pa.int64())), ("round_trip", pa.bool_())])
 
-    @F.arrow_udf("struct<n_tokens:bigint,encoded_crc32:bigint,n_pieces:bigint,scores:array<double>,ids_crc32:array<bigint>,decodes:boolean,round_trip:boolean>")
+    @F.arrow_udf("struct<n_tokens:bigint,encoded_crc32:bigint,n_pieces:bigint,scores:array<double>,ids_crc32:array<bigint>,round_trip:boolean>")
     def summary(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lat = lattice(path, n, scores)
         for texts in batches:
@@ -351,10 +351,9 @@ def summarise_nbest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for t in texts:
                 text = t.as_py() or ""
                 own, paths = lat.encode_and_nbest(text)
-                plain = text.replace(SPACE_MARK, " ")
                 rows.append({"n_tokens": len(own) // 4, "encoded_crc32": zlib.crc32(own), "n_pieces": len(paths[0][1]) // 4,
                              "scores": [s for s, _ in paths], "ids_crc32": [zlib.crc32(i) for _, i in paths],
-                             "decodes": lat.decode(own) == plain, "round_trip": lat.decode(paths[0][1]) == plain})
+                             "round_trip": lat.decode(paths[0][1]) == text.replace(SPACE_MARK, " ")})
             yield pa.array(rows, kind)
 
     return docs.select(F.col(id_col), summary(F.col(text_col).cast("string")).alias("s")).select(id_col, "s.*")
