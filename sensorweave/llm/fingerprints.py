@@ -157,8 +157,9 @@ def _probed(index: DataFrame, queries: DataFrame, radius: int, blocks: int) -> D
     blocks that keeps to its allowance, so none comes twice."""
     n = shuffle_partitions(index.sparkSession)
     half = lambda i: F.conv(F.substring("fingerprint", 16 * i + 1, 16), 16, -10).cast("long")
-    # a given number of partitions: few queries become many probes
-    halves = lambda df, h, l: df.select("fingerprint").where("fingerprint is not null").repartition(n, "fingerprint").distinct().select(half(0).alias(h), half(1).alias(l))
+    # distinct first, so copies of one text meet as partial results; then a given
+    # number of partitions: few queries become many probes
+    halves = lambda df, h, l: df.select("fingerprint").where("fingerprint is not null").distinct().repartition(n).select(half(0).alias(h), half(1).alias(l))
     asked = halves(queries, "qh", "ql").select("qh", "ql", F.explode(probes(F.col("qh"), F.col("ql"), radius, blocks)).alias("probe"))
     held = halves(index, "fh", "fl").select("fh", "fl", F.explode(F.array(*block_values(F.col("fh"), F.col("fl"), blocks))).alias("key"))
     high, low = F.col("qh").bitwiseXOR(F.col("fh")), F.col("ql").bitwiseXOR(F.col("fl"))
