@@ -50,3 +50,9 @@ def test_queries_match_duckdb_at_small_scale(spark):
         if sorted(cols) != sorted(df.columns) or got != want:
             bad.append(name)
     assert bad == []
+
+
+def test_a_subject_with_any_order_is_not_missing(spark, tmpdir_path):
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "c_custkey long, c_name string").write.parquet(f"{tmpdir_path}/customer.parquet")
+    spark.createDataFrame([(1, "1-URGENT"), (2, "5-LOW")], "o_custkey long, o_orderpriority string").write.parquet(f"{tmpdir_path}/orders.parquet")
+    assert [tuple(r) for r in entry.queries()["missing_subjects"](spark, tmpdir_path).collect()] == [(3, "c")]
