@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -138,17 +138,22 @@ def _examples(rows: DataFrame, keys: list[str], data_cols: list[str], order: str
     else:
         rows = seq.seq_index(rows, keys, [order], "_pos", width=width)
     flagged = rows.filter(F.col("null_columns") != "").select(*keys, "_pos")
-    # positions are dense row numbers: segments of TARGET_ROWS positions
-    flagged = seq.seq_index(flagged, keys, ["_pos"], "_rank", width=float(seq.TARGET_ROWS))
     totals = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nflag"))
-    anchors = (flagged.filter(F.col("_rank") < max_examples)
-               .join(totals, on=keys, how="left")
+    # positions are dense row numbers: segments of TARGET_ROWS positions; the first
+    # of a recording are among the first of its segments
+    first = seq.with_segments(flagged, keys, "_pos", width=float(seq.TARGET_ROWS))
+    for part in ([*keys, seq.SEG], keys):
+        first = (first.withColumn("_rank", F.row_number().over(Window.partitionBy(*part).orderBy("_pos")))
+                 .filter(F.col("_rank") <= max_examples))
+    anchors = (first.join(totals, on=keys, how="left")
                .withColumn("ctx_offset", F.explode(F.sequence(F.lit(-context), F.lit(context))))
-               .select(*keys, (F.col("_rank") + 1).alias("example_no"), "ctx_offset",
+               .select(*keys, F.col("_rank").cast("long").alias("example_no"), "ctx_offset",
                        (F.col("_pos") + F.col("ctx_offset")).alias("_pos"),
                        F.greatest(F.col("_nflag") - F.lit(max_examples), F.lit(0))
                        .cast("long").alias("more_flagged")))
-    out = anchors.join(rows, on=[*keys, "_pos"], how="inner")
+    # a stored table of empty cells is tiny on disk and large in memory: never
+    # broadcast the rows for their size; the few contexts are hashed in each task
+    out = anchors.hint("shuffle_hash").join(rows, on=[*keys, "_pos"], how="inner")
     return out.select(*keys, "example_no", "ctx_offset", *data_cols, "null_columns", "more_flagged")
 
 

@@ -53,6 +53,16 @@ def test_null_examples_match_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_example_rows_are_never_broadcast_whole(spark, tmpdir_path):
+    path = f"{tmpdir_path}/h"  # empty cells: a few bytes on disk, however many rows
+    spark.range(5000).selectExpr("concat('s', id % 5) sid", "id DIV 5 * 10 time_ms", "CAST(NULL AS DOUBLE) x").write.parquet(path)
+    ex = quality.null_examples(spark.read.parquet(path), ["sid"], "time_ms", grid_step=10)
+    plan = ex._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "_pos" in line and "Join [" in line)
+    assert "ShuffledHashJoin" in join and "BuildLeft" in join
+    assert ex.count() == 5 * (3 + 4 + 5) and {r.more_flagged for r in ex.collect()} == {997}
+
+
 def test_schema_reports(spark):
     df = spark.createDataFrame([], "time_ms long, sid string, surface string, left_thigh_acc_x double, "
                                    "trunk_oriinc_q0 double, chest_ecg_1 double")
