@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 def decoded_path(uri: Column) -> Column:
     """Percent-decode a file URI; a literal '+' stays a '+'."""
-    return F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    decoded = F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(uri, F.lit("%")), decoded).otherwise(uri)  # most have nothing to decode
 
 
 # These run once per scanned line, so they use linear string functions

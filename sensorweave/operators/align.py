@@ -78,12 +78,13 @@ def widen_or_set_aside(df: DataFrame, keys: Sequence[str], t: str, sensor: str,
     """The wide table of the recordings in which no sensor has two samples at
     one ``t``, and the keys of the others. Samples are counted in the same
     aggregation that aligns them; its result is written once, as both outputs
-    read it."""
+    read it. A kept cell has one sample, so its values are taken one by one:
+    that aggregation is hashed, one of structs would sort all samples."""
     keys = list(keys)
     df = df.filter(F.col(sensor).isin(list(sensors)))
-    aggs = [_one_sample(sensor, s, values, None).alias(f"_w_{s}") for s in sensors]
+    aggs = [F.max(F.when(F.col(sensor) == F.lit(s), F.col(v))).alias(name(s, v)) for s in sensors for v in values]
     repeated = [F.count_if(F.col(sensor) == F.lit(s)) > 1 for s in sensors]
     wide = materialize(df.groupBy(*keys, t).agg(*aggs, reduce(or_, repeated).alias("_repeated")), "aligned")
     bad = wide.filter("_repeated").select(*keys).distinct()
     good = null_safe_join(wide, bad, keys, "left_anti")
-    return good.select(*keys, t, *_spread(sensors, values, name)), bad
+    return good.select(*keys, t, *[name(s, v) for s in sensors for v in values]), bad

@@ -9,8 +9,9 @@ with each other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,15 @@ from sensorweave.sources import files, sinks, text
 
 @dataclass
 class Harmonised:
+    """``rejects`` is put together when it is first asked for, as it lists the files."""
     data: DataFrame
-    rejects: DataFrame
+    set_aside: Callable[[], DataFrame]
     missing: DataFrame | None = None
 
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return self.set_aside()
+
 
 def _rejects(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "path string, line_no long, reason string")
@@ -76,8 +82,7 @@ def harmonise_mhealth(spark: SparkSession, root: str, glob: str = "mHealth_subje
 
     look = {"glob": glob, "recursive": not enumerated}
     scan = text.read_delimited(spark, root, names, sep="\t", where=lambda p: reason(p).isNull(), **look)
-    listed = text.list_files(spark, root, **look)
-    rejects = scan.rejects.unionByName(_whole_files(listed, reason(F.col("path"))))
+    listed = cache(lambda: text.list_files(spark, root, **look))
     rows = scan.rows.withColumn("sid", subject(F.col("path")))
     data_cols = [c for c in names if c != "surface"]
     rows = text.as_double(rows, data_cols)
@@ -89,8 +94,9 @@ def harmonise_mhealth(spark: SparkSession, root: str, glob: str = "mHealth_subje
     gyr = names_containing(rows.select(*data_cols), "gyr")
     rows = rows.withColumns({c: units.deg_to_rad(F.col(c)) for c in gyr})
     missing = (files.missing_inputs(files.expected_range(spark, "sid", lo, hi),
-                                    listed.select(subject(F.col("path")).alias("sid")), "sid") if enumerated else None)
-    return Harmonised(rows.select("time_ms", "sid", "surface", *data_cols), rejects, missing)
+                                    listed().select(subject(F.col("path")).alias("sid")), "sid") if enumerated else None)
+    return Harmonised(rows.select("time_ms", "sid", "surface", *data_cols),
+                      lambda: scan.rejects.unionByName(_whole_files(listed(), reason(F.col("path")))), missing)
 
 
 # ---------------------------------------------------------------- E5 hugadb
@@ -120,7 +126,6 @@ def harmonise_hugadb(spark: SparkSession, root: str, sid_pattern: str | None = N
     look = {"glob": "*.txt", "recursive": by_path, "skip_names": ["readme.txt", "readme.md"]}
     scan = text.read_commented(spark, root, names, where=lambda p: reason(p).isNull(), **look)
     sid, trial = ids(F.col("path"))
-    rejects = scan.rejects.unionByName(_whole_files(text.list_files(spark, root, **look), reason(F.col("path"))))
     sensor_cols = [c for c in names if c != "activityid"]
     rows = text.as_double(scan.rows, sensor_cols)
     rows = rows.select(
@@ -131,7 +136,8 @@ def harmonise_hugadb(spark: SparkSession, root: str, sid_pattern: str | None = N
         *[F.col(c) for c in sensor_cols])
     rows = rows.withColumns({c: units.int16_acc_to_ms2(F.col(c)) for c in sensor_cols if "acc" in c})
     rows = rows.withColumns({c: units.int16_gyr_to_rads(F.col(c)) for c in sensor_cols if "gyr" in c})
-    return Harmonised(rows, rejects)
+    return Harmonised(rows, lambda: scan.rejects.unionByName(
+        _whole_files(text.list_files(spark, root, **look), reason(F.col("path")))))
 
 
 # ---------------------------------------------------------------- E4 bruno
@@ -157,7 +163,6 @@ def harmonise_bruno(spark: SparkSession, root: str, activity_pattern: str | None
     _, activity, volunteer = parts(F.col("path"))
     files_t = materialize(scan.files.select("path", activity.alias("_activity"), volunteer.alias("_volunteer")), "bruno-files")
     unnamed = F.when(~parts(F.col("path"))[0], F.lit("file name has fewer than 9 parts"))
-    bad_names = _whole_files(text.list_files(spark, root, **look), unnamed)
     trials = seq.global_index(files_t.select("path"), ["path"], "trial_no")
     vols = files_t.groupBy("_volunteer").agg(F.min("path").alias("_first"))
     vols = seq.global_index(vols, ["_first", "_volunteer"], "sid")
@@ -170,7 +175,7 @@ def harmonise_bruno(spark: SparkSession, root: str, activity_pattern: str | None
         labels.map_label(F.col("_activity"), catalog.BRUNO_SURFACES, labels.IDENTITY).alias("surface"),
         (F.col("trial_no") + 1).cast("int").alias("trial_no"),
         *[units.six_bit_to_ms2(F.col(f"f{i}")).alias(n) for i, n in enumerate(catalog.BRUNO_COLUMNS)])
-    return Harmonised(out, scan.rejects.unionByName(bad_names))
+    return Harmonised(out, lambda: scan.rejects.unionByName(_whole_files(text.list_files(spark, root, **look), unnamed)))
 
 
 # ---------------------------------------------------------------- E3 karas
@@ -194,7 +199,7 @@ def harmonise_karas(spark: SparkSession, root: str, subject_pattern: str | None
          else F.regexp_extract(F.col("path"), subject_pattern, 1)).alias("sid"),
         labels.map_label(F.col("activity"), catalog.KARAS_SURFACES, labels.NULL).alias("surface"),
         *[units.g_to_ms2(F.col(c)).alias(c) for c in accel])
-    return Harmonised(out, scan.rejects)
+    return Harmonised(out, lambda: scan.rejects)
 
 
 # ---------------------------------------------------------------- E2 beach
@@ -208,7 +213,7 @@ def harmonise_beach(long: DataFrame, sensors: Sequence[str] = catalog.BEACH_SENS
     data = harmonise_long(long, sid="sid", sensor="sensor", ts="datetime",
                           sensors=list(sensors), values=list(values),
                           step_us=step_us, metric="acc", surface="flat")
-    return Harmonised(data, _rejects(long.sparkSession))
+    return Harmonised(data, lambda: _rejects(long.sparkSession))
 
 
 def harmonise_beach_folders(spark: SparkSession, root: str, subjects: Sequence[str] | DataFrame | None = None,
@@ -220,7 +225,7 @@ def harmonise_beach_folders(spark: SparkSession, root: str, subjects: Sequence[s
     long, absent = text.read_sensor_folders(spark, root, sensors, subjects, values)
     folder = F.concat(F.lit(root.rstrip("/") + "/sid="), F.col("sid"), F.lit("/sensor="), F.col("sensor"))
     rejects = absent.select(folder.alias("path"), F.lit(None).cast("long").alias("line_no"), F.lit("absent sensor").alias("reason"))
-    return Harmonised(harmonise_beach(long, sensors, values, step_us).data, rejects)
+    return Harmonised(harmonise_beach(long, sensors, values, step_us).data, lambda: rejects)
 
 
 # ---------------------------------------------------------------- E1 luo
@@ -269,7 +274,6 @@ def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,
     look = {"glob": "*.csv", "recursive": True}
     scan = text.read_headed(spark, root, columns=columns, strip=True, skip_initial_space=True,
                             where=lambda p: reason(p).isNull() & asked(p), **look)
-    listed = text.list_files(spark, root, **look).where(asked(F.col("path")) | subject(F.col("path")).isNull())
     at = F.col("path")
     rows = scan.rows.withColumns({"sid": subject(at), "trial_no": trial(at), "loc": location(at)})
     metrics = [c for c in rows.columns
@@ -284,9 +288,14 @@ def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,
     locations = list(dict.fromkeys(catalog.LUO_SENSOR_CODES.values()))
     wide, dups = align.widen_or_set_aside(rows, keys, "packetcounter", "loc", locations, metrics,
                                           name=lambda s, v: f"{s}_{v}")
-    repeats = (listed.where(reason(at).isNull()).select("path", subject(at).alias("sid"), trial(at).alias("trial_no"))
-               .join(dups, keys).select("path", F.lit(None).cast("long").alias("line_no"),
-                                        F.lit("sensor repeats a packet in its trial").alias("reason")))
+
+    def rejects():
+        listed = text.list_files(spark, root, **look).where(asked(at) | subject(at).isNull())
+        repeats = (listed.where(reason(at).isNull()).select("path", subject(at).alias("sid"), trial(at).alias("trial_no"))
+                   .join(dups, keys).select("path", F.lit(None).cast("long").alias("line_no"),
+                                            F.lit("sensor repeats a packet in its trial").alias("reason")))
+        return scan.rejects.unionByName(unread).unionByName(_whole_files(listed, reason(at))).unionByName(repeats)
+
     filled = timeline.fill_grid(wide, keys, "packetcounter", 1, anchor="epoch",
                                 start_out="_p0")
     surface = labels.map_label(F.col("trial_no"), labels.expand_lists(catalog.LUO_TRIAL_SURFACES),
@@ -297,7 +306,6 @@ def harmonise_luo(spark: SparkSession, root: str, sids: list[int] | None = None,
     }).drop("_p0")
     sensor_cols = [f"{s}_{v}" for s in locations for v in metrics]
     out = out.select("time_ms", "sid", "surface", "trial_no", "packetcounter", *sensor_cols)
-    rejects = scan.rejects.unionByName(unread).unionByName(_whole_files(listed, reason(at))).unionByName(repeats)
     return Harmonised(out, rejects)
 
 

@@ -23,6 +23,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -50,11 +51,16 @@ OPEN_QUOTE, LONG_RECORD = "quote not closed", "record of too many lines"
 @dataclass
 class Scan:
     """Parsed lines, what was set aside with a reason, and the files that rows
-    can come from (``path``)."""
+    can come from (``path``). The files are listed for ``rejects`` only when it
+    is asked for: with many files each listing takes its time."""
     rows: DataFrame
-    rejects: DataFrame
+    set_aside: Callable[[], DataFrame]
     files: DataFrame | None = None
 
+    @cached_property
+    def rejects(self) -> DataFrame:
+        return self.set_aside()
+
 
 def _reader(spark: SparkSession, glob: str | None, recursive: bool, tolerant: bool = False):
     reader = spark.read.option("ignoreCorruptFiles", tolerant).option("ignoreMissingFiles", tolerant)
@@ -204,25 +210,35 @@ def _splits(lines: _Lines, good: str, header: bool, extra: Sequence[Column] = ()
     earlier splits (``_off``), whether all its row ids are good lines (``_clean``), and
     why the whole file is set aside, if it is (``_why``). With ``header`` also
     the file's first line (``_head``) and its row id (``_head_id``)."""
-    aggs = [F.first("path").alias("path"), F.min("_id").alias("_at"), F.max("_id").alias("_to"), F.count_if(good).alias("_n"), F.count("*").alias("_all"),
+    # the path is grouped by, and the header's text is looked up afterwards: aggregates
+    # of numbers alone are hashed, those of texts would sort every line
+    aggs = [F.min("_id").alias("_at"), F.max("_id").alias("_to"), F.count_if(good).alias("_n"), F.count("*").alias("_all"),
             F.bool_and("_utf8").alias("_utf8"), *extra]
     if header:
-        aggs += [F.min_by("line", "_id").alias("_head"), F.min_by(good, "_id").alias("_head_good")]
-    splits = lines.table.groupBy(*KEY).agg(*aggs)
+        aggs += [F.min_by(good, "_id").alias("_head_good")]
+    splits = lines.table.groupBy("path", *KEY).agg(*aggs)
     earlier = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     splits = splits.withColumns({"_off": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_clean": (F.col("_n") == F.col("_all")) & (F.col("_to") - F.col("_at") + 1 == F.col("_all")),
                                  "_data": F.sum("_n").over(whole), "_whole_utf8": F.bool_and("_utf8").over(whole)})
     if header:  # it takes no place among the data lines
         taken = F.first("_head_good").over(whole).cast("long")
-        splits = splits.withColumns({"_off": F.col("_off") - taken, "_data": F.col("_data") - taken,
-                                     "_head_id": F.first("_at").over(whole), "_head": F.first("_head").over(whole)})
+        splits = splits.withColumns({"_off": F.col("_off") - taken, "_data": F.col("_data") - taken, "_head_id": F.first("_at").over(whole)})
     splits = splits.withColumns({n: c.over(whole) for n, c in (by_file or {}).items()})
     splits = splits.join(lines.broken.withColumn("_broken", F.lit(True)), "path", "left")
     why = F.when(F.col("_broken"), UNREADABLE).when(~F.col("_whole_utf8"), NOT_UTF8)
     if by_file and "_head_open" in by_file:
         why = why.when(F.col("_head_open") > 0, LONG_HEADER)
-    return materialize(splits.withColumn("_why", why), "splits")
+    splits = materialize(splits.withColumn("_why", why), "splits")
+    return _with_headers(splits, lines) if header else splits
+
+
+def _with_headers(splits: DataFrame, lines: _Lines) -> DataFrame:
+    """The summary with the first line of each split's file (``_head``)."""
+    first = splits.where(F.col("_at") == F.col("_head_id"))
+    heads = lines.table.select(*KEY, "_id", F.col("line").alias("_head")).join(_beside(first, ["_head_id"]), KEY)
+    heads = heads.where(F.col("_id") == F.col("_head_id")).select("_head_id", "_head")
+    return materialize(splits.join(heads, "_head_id"), "headed-splits")
 
 
 def _beside(splits: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -307,8 +323,11 @@ def _fixed(spark: SparkSession, root: str | Sequence[str], tokens: Callable[[Col
     # the header is counted in its split like any line, and left out afterwards
     good = _place(kept.where("_good"), splits)
     good = good.where(F.col("_id") != F.col("_head_id")) if header else good
-    rejects = _set_aside(data.where("NOT _good"), f"more than {len(names)} fields")
-    rejects = rejects.unionByName(_file_rejects(spark, root, splits, lines, header, **scan))
+
+    def rejects() -> DataFrame:
+        surplus = _set_aside(data.where("NOT _good"), f"more than {len(names)} fields")
+        return surplus.unionByName(_file_rejects(spark, root, splits, lines, header, **scan))
+
     rows = _with_name(good.withColumn("_tok", tokens(F.col("line"))))
     return Scan(rows.select("path", "name", "line_no", *_fields(F.col("_tok"), names)), rejects, splits.where("_why IS NULL").select("path").distinct())
 
@@ -449,15 +468,18 @@ def read_headed(spark: SparkSession, root: str | Sequence[str], columns: Sequenc
     heads = heads.withColumn("_at_field", places).withColumn("_width", F.size("_hdr"))
     beside = ["_at", "_off", "_clean", "_why", "_head_id", "_at_field", "_width"]
     if spread:
-        data, rejects = _joined_records(lines, heads, beside, max_record_lines)
+        data, records = _joined_records(lines, heads, beside, max_record_lines)
     else:
         data = _place(lines.table.join(_beside(heads, beside), KEY).where("_why IS NULL"), splits)
-        data, rejects = data.where(F.col("_id") != F.col("_head_id")), None
+        data, records = data.where(F.col("_id") != F.col("_head_id")), None
     data = _with_name(data.withColumn("_tok", split_csv(F.col("line"), sep, skip_initial_space)).drop("line"))
     good = F.size("_tok") <= F.col("_width")
     fields = [F.get("_tok", F.col("_at_field")[i] - 1).alias(n) for i, n in enumerate(columns)]
-    surplus = _set_aside(data.where(~good), "more fields than header").unionByName(_file_rejects(spark, root, splits, lines, True, **scan))
-    rejects = surplus.unionByName(rejects) if rejects is not None else surplus
+
+    def rejects() -> DataFrame:
+        surplus = _set_aside(data.where(~good), "more fields than header").unionByName(_file_rejects(spark, root, splits, lines, True, **scan))
+        return surplus.unionByName(records) if records is not None else surplus
+
     return Scan(data.where(good).select("path", "name", "line_no", *fields), rejects, splits.where("_why IS NULL").select("path").distinct())
 
 
@@ -484,9 +506,18 @@ def _joined_records(lines: _Lines, splits: DataFrame, beside: list[str], max_lin
     return rows.where(whole).select(*wanted).unionByName(joined.select(*wanted)), rejects
 
 
+#: Columns that are coerced by one expression each; the code that Spark makes of
+#: more is too long for the JVM to compile, so they go through one array.
+COERCED_ALONE = 8
+
+
 def as_double(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Coerce text fields to double (non-numbers become null)."""
-    return df.withColumns({n: units.coerce_numeric(F.col(n)) for n in names})
+    names = list(names)
+    if len(names) <= COERCED_ALONE:
+        return df.withColumns({n: units.coerce_numeric(F.col(n)) for n in names})
+    df = df.withColumn("_numbers", F.transform(F.array(*[F.col(n).cast("string") for n in names]), units.coerce_numeric))
+    return df.withColumns({n: F.get("_numbers", F.lit(i)) for i, n in enumerate(names)}).drop("_numbers")
 
 
 # ------------------------------------------------------------------ S6

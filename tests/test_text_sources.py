@@ -9,6 +9,7 @@ import random
 
 import pytest
 
+from sensorweave.operators import align
 from sensorweave.sources import text
 
 
@@ -147,3 +148,54 @@ def test_long_quoted_fields_need_no_deep_recursion(spark, tmpdir_path):
     _write(f"{root}/a.csv", f'a,b\n"{field}",1\n"{field}\n",2\n')
     rows = sorted(text.read_headed(spark, root, skip_initial_space=False).rows.collect(), key=lambda r: r.line_no)
     assert [r.a.rstrip("\n") for r in rows] == [field.replace('""', '"')] * 2 and [r.b for r in rows] == ["1", "2"]
+
+
+def _written_plans(monkeypatch, module):
+    plans, write = {}, module.materialize
+
+    def seen(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name, *rest)
+
+    monkeypatch.setattr(module, "materialize", seen)
+    return plans
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_summaries_of_splits_sort_no_lines(spark, tmpdir_path, monkeypatch, header):
+    for i in range(3):
+        with open(os.path.join(tmpdir_path, f"f{i}.csv"), "w") as f:
+            f.write("".join(f"{c}\n" for c in ["a,b"] * header + [f"{i},{n}" for n in range(20)]))
+    plans = _written_plans(monkeypatch, text)
+    scan = text.read_headed(spark, tmpdir_path) if header else text.read_headerless(spark, tmpdir_path, 2)
+    assert "HashAggregate" in plans["splits"] and "SortAggregate" not in plans["splits"]
+    assert sorted(tuple(r)[3:] for r in scan.rows.collect()) == sorted((str(i), str(n)) for i in range(3) for n in range(20))
+
+
+def test_files_are_listed_for_rejects_only_when_asked(spark, tmpdir_path, monkeypatch):
+    with open(os.path.join(tmpdir_path, "f.csv"), "w") as f:
+        f.write("1,2\n3,4,5\n")
+    listed, find = [], text.list_files
+    monkeypatch.setattr(text, "list_files", lambda *a, **k: listed.append(a) or find(*a, **k))
+    scan = text.read_headerless(spark, tmpdir_path, 2)
+    assert scan.rows.count() == 1 and not listed
+    assert scan.rejects.count() == 1 and len(listed) == 1
+
+
+def test_many_columns_are_coerced_like_few(spark):
+    cells = ["1", " 2.5 ", "1d", "0x1p3", "nan", "inf", "-1e3", "", None, "x", "7", "8"]
+    names = [f"c{i}" for i in range(len(cells))]
+    df = spark.createDataFrame([cells], ", ".join(f"{n} string" for n in names))
+    many = text.as_double(df, names)
+    assert [many.schema[n].dataType.simpleString() for n in names] == ["double"] * len(cells)
+    assert list(many.first()) == [text.as_double(df, [n]).first()[n] for n in names] == [1.0, 2.5, None, None, None, float("inf"), -1000.0, None, None, None, 7.0, 8.0]
+    assert "transform(" in many._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_alignment_sorts_no_samples(spark, monkeypatch):
+    plans = _written_plans(monkeypatch, align)
+    df = spark.createDataFrame([(1, 1, "a", 1.0, None), (1, 1, "b", 2.0, 5.0), (1, 2, "a", 3.0, 4.0), (2, 1, "a", 1.0, 1.0), (2, 1, "a", None, None)],
+                               "sid int, t int, s string, x double, y double")
+    wide, bad = align.widen_or_set_aside(df, ["sid"], "t", "s", ["a", "b"], ["x", "y"])
+    assert "SortAggregate" not in plans["aligned"] and [r.sid for r in bad.collect()] == [2]
+    assert sorted(tuple(r) for r in wide.select("t", "a_x", "a_y", "b_x", "b_y").collect()) == [(1, 1.0, None, 2.0, 5.0), (2, 3.0, 4.0, None, None)]
