@@ -189,6 +189,10 @@ def test_many_columns_are_coerced_like_few(spark):
     many = text.as_double(df, names)
     assert [many.schema[n].dataType.simpleString() for n in names] == ["double"] * len(cells)
     assert list(many.first()) == [text.as_double(df, [n]).first()[n] for n in names] == [1.0, 2.5, None, None, None, float("inf"), -1000.0, None, None, None, 7.0, 8.0]
+    digits = ["1", " 2.5\t", "1-2", "", None, "+7", "-.5", "3.", "1,5", "é", "--1", "9" * 400]
+    plain = spark.createDataFrame([digits], df.schema)
+    got = list(text.as_double(plain, names).first())
+    assert got == [text.as_double(plain, [n]).first()[n] for n in names] and got[:8] == [1.0, 2.5, None, None, None, 7.0, -0.5, 3.0]
     assert "transform(" in many._jdf.queryExecution().optimizedPlan().toString()
 
 
