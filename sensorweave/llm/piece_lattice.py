@@ -100,6 +100,7 @@ class PieceLattice:
         self.unk_id = next((i for i, (_, _, kind) in enumerate(pieces) if kind == 2), 0)
         self.segments: dict[str, Word] = {}
         self.parts: dict[str, tuple[bytes, float, float]] = {}
+        self.searched: dict[str, list[Path]] = {}
         self.held = 0
 
     @classmethod
@@ -218,12 +219,22 @@ class PieceLattice:
     def _lattice_of(self, word: str) -> tuple[bytes, float, float]:
         """``best_and_loss`` of a word, from those of its parts between
         characters that no piece holds side by side."""
-        near = self.neighbours
-        if near.issuperset(map(add, word, word[1:])):
+        near, pairs = self.neighbours, list(map(add, word, word[1:]))
+        if near.issuperset(pairs):
             return self.best_and_loss(word)
-        cuts = [k for k, pair in enumerate(map(add, word, word[1:]), 1) if pair not in near]
-        ids, scores, losses = zip(*[self._part(word[a:b]) for a, b in zip([0, *cuts], [*cuts, None])])
-        return b"".join(ids), sum(scores), min(losses)
+        out, scores, least, start = [], [], math.inf, 0
+        ends = [k for k, pair in enumerate(pairs, 1) if pair not in near]
+        ends.append(len(word))
+        known = self.parts.get
+        for end in ends:
+            part = word[start:end]
+            ids, score, loss = known(part) or self._part(part)
+            out.append(ids)
+            scores.append(score)
+            if loss < least:
+                least = loss
+            start = end
+        return b"".join(out), sum(scores), least
 
     def _part(self, part: str) -> tuple[bytes, float, float]:
         entry = self.parts.get(part)
@@ -241,6 +252,7 @@ class PieceLattice:
             if self.held > CACHE_BYTES:
                 self.segments.clear()
                 self.parts.clear()
+                self.searched.clear()
                 self.held = 0
             ids, score, loss = self._lattice_of(word)
             own = ids if encoded is None or encoded == ids else encoded
@@ -250,6 +262,17 @@ class PieceLattice:
                 self.held += ENTRY_BYTES + 2 * len(word) + len(ids) + (0 if own is ids else len(own) + 40)
         return out
 
+    def _paths(self, word: str) -> list[Path]:
+        """``search`` of a word, remembered as the words are: those with the
+        smallest losses are often the same."""
+        paths = self.searched.get(word)
+        if paths is None:
+            paths = self.search(word)
+            if len(word) <= LONGEST_KEPT:
+                self.searched[word] = paths
+                self.held += ENTRY_BYTES + 2 * len(word) + sum(120 + len(ids) for _, ids in paths)
+        return paths
+
     def _words(self, text: str) -> tuple[list[str], list[Word]]:
         """The segments of a text and their entries."""
         segments = self.split(text)
@@ -275,7 +298,7 @@ class PieceLattice:
         first, scores, losses, encoded = zip(*found)
         least = heapq.nsmallest(self.n - 1, range(len(losses)), key=losses.__getitem__)
         merged: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]  # loss, (segment, its path)
-        paths_of = {i: self.search(segments[i]) for i in least}
+        paths_of = {i: self._paths(segments[i]) for i in least}
         for i, paths in paths_of.items():
             choices = [(loss + paths[0][0] - paths[k][0], (*taken, (i, k)) if k else taken) for loss, taken in merged for k in range(len(paths))]
             merged = heapq.nsmallest(self.n, choices, key=lambda c: c[0])

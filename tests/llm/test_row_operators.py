@@ -398,3 +398,20 @@ def test_every_row_gets_the_shard_of_its_slot(spark):
         slot = int(hashlib.md5(key.encode()).hexdigest()[:15], 16) % 1009
         assert (r.slot, r.shard) == (slot, shards[table[slot]])
     assert sharding.assign_shards(frame(spark, []), sharding.table_frame(spark, shards, 101), size=101).count() == 0
+
+
+def test_searches_of_words_are_remembered(monkeypatch):
+    lat = piece_lattice.PieceLattice.load(public_tokenizers.path("piece_bpe_32k.model"))
+    fresh = piece_lattice.PieceLattice.load(public_tokenizers.path("piece_bpe_32k.model"))
+    searched, search = [], lat.search
+    monkeypatch.setattr(lat, "search", lambda word: searched.append(word) or search(word))
+    long = "x" * (piece_lattice.LONGEST_KEPT + 1)  # searched anew, and not kept
+    for text in ("the house of the house", "the house of the house", f"{long} and", f"{long} and", "日本語x日本"):
+        assert lat.encode_and_nbest(text) == fresh.encode_and_nbest(text)
+        assert [lat.nbest(text)[0]] == [fresh.nbest(text)[0]]
+    short = [w for w in searched if len(w) <= piece_lattice.LONGEST_KEPT]
+    assert len(short) == len(set(short)) and not any(len(w) > piece_lattice.LONGEST_KEPT for w in lat.searched)
+    held = lat.held
+    monkeypatch.setattr(piece_lattice, "CACHE_BYTES", 0)
+    lat.nbest("quite another sentence")
+    assert lat.held < held and "▁house" not in lat.searched
