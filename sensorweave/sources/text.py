@@ -28,7 +28,6 @@ from functools import cached_property
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sensorweave.functions import paths, units
 from sensorweave.session import materialize
@@ -540,9 +539,14 @@ def read_sensor_folders(spark: SparkSession, root: str, sensors: Sequence[str],
     lower-cased, and a value that no file has is null. ``subjects`` restricts
     the read before a file is opened: a list to the folders named in it, a table
     (with ``sid``) through a join by which Spark prunes folders at run time."""
-    named = spark.read.option("mergeSchema", "true").parquet(root).schema
-    fields = [T.StructField(f.name, T.StringType()) if f.name in ("sid", "sensor") else f for f in named.fields]
-    rows = spark.read.schema(T.StructType(fields)).parquet(root)
+    # one listing gives the schema and the rows: folder names stay text unless Spark guesses types from them
+    guess = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(guess)
+    spark.conf.set(guess, "false")
+    try:
+        rows = spark.read.option("mergeSchema", "true").parquet(root)
+    finally:
+        spark.conf.set(guess, before)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     path = paths.decoded_path(F.col("_metadata.file_path"))
     found = listed.select(*[F.regexp_extract(path, f"/{k}=([^/]*)/", 1).alias(k) for k in ("sid", "sensor")]).distinct()
