@@ -90,7 +90,7 @@ def list_files(spark: SparkSession, root: str | Sequence[str], glob: str | None
 def scan_lines(spark: SparkSession, root: str | Sequence[str], glob: str | None = None, recursive: bool = True,
                skip_parent_suffix: str | None = None, skip_names: Sequence[str] = (),
                require_suffix: str | None = None, where: Callable[[Column], Column] | None = None,
-               blank: bool = False, tolerant: bool = False) -> DataFrame:
+               blank: bool = False, tolerant: bool = False, look_first: bool = False) -> DataFrame:
     """Lines of the matching files, ``blank`` ones only when asked for:
     ``(path, _block, line)``.
 
@@ -101,16 +101,32 @@ def scan_lines(spark: SparkSession, root: str | Sequence[str], glob: str | None
     on the path. All are rules on the file path alone, which the scan applies
     to its file list before it opens a file. ``root`` may also be a list of
     files (the changed ones). A file that can't be read ends the
-    scan unless ``tolerant``, which leaves out the rest of that file.
+    scan unless ``tolerant``, which leaves out the rest of that file. Spark asks
+    the rules again for every line; with ``look_first`` they are left away where
+    no file breaks them.
     """
     df = _reader(spark, glob, recursive, tolerant).text(root)
     path = paths.decoded_path(F.col("_metadata.file_path"))
     rule = _path_rule(path, skip_parent_suffix, skip_names, require_suffix)
-    df = df.where(rule & where(path) if where else rule)
+    rule = rule & where(path) if where else rule
+    asked = bool(skip_parent_suffix or skip_names or require_suffix or where)
+    if asked and not (look_first and _keeps_all(df, rule)):
+        df = df.where(rule)
     lines = df.select(path.alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("line"))
     return lines if blank else lines.where(F.trim("line") != "")
 
 
+def _keeps_all(df: DataFrame, rule: Column) -> bool:
+    """Whether a rule on the path keeps every line of a scan. The scan applies the
+    opposite rule to its file list: without a file that breaks it, none is opened."""
+    try:
+        return df.where(~F.coalesce(rule, F.lit(False))).isEmpty()
+    except Exception as failed:  # a file that breaks the rule, and can't be read either
+        if "FAILED_READ_FILE" not in str(failed):
+            raise
+        return False
+
+
 def _with_name(df: DataFrame) -> DataFrame:
     return df.withColumn("name", paths.file_name(F.col("path")))
 
@@ -136,17 +152,19 @@ def _write_scan(spark: SparkSession, root: str | Sequence[str], prepare: Callabl
     Where a file can't be read, the scan is done once more without the rest of
     such files, and they are looked for."""
     def lines(tolerant: bool) -> DataFrame:
-        found = scan_lines(spark, root, blank=blank, tolerant=tolerant, **scan).withColumn("_utf8", F.is_valid_utf8("line"))
-        found = prepare(found).withColumn("_id", F.monotonically_increasing_id())
-        return found.withColumns({"_task": F.shiftright("_id", 33), "_file": F.xxhash64("path")})
+        found = scan_lines(spark, root, blank=blank, tolerant=tolerant, look_first=True, **scan).withColumn("_utf8", F.is_valid_utf8("line"))
+        return prepare(found).withColumn("_id", F.monotonically_increasing_id())
+
+    def written(tolerant: bool) -> DataFrame:  # what follows from other columns is not stored
+        return materialize(lines(tolerant), "lines").withColumns({"_task": F.shiftright("_id", 33), "_file": F.xxhash64("path")})
 
     none = spark.createDataFrame([], "path string")
     try:
-        return _Lines(materialize(lines(False), "lines"), none)
+        return _Lines(written(False), none)
     except Exception as failed:  # the error that Spark gives a file's name to, whatever the cause
         if "FAILED_READ_FILE" not in str(failed):
             raise
-    return _Lines(materialize(lines(True), "lines"), materialize(_broken_files(spark, root, **scan), "broken"))
+    return _Lines(written(True), materialize(_broken_files(spark, root, **scan), "broken"))
 
 
 def _broken_files(spark: SparkSession, root: str | Sequence[str], glob: str | None = None, recursive: bool = True,
@@ -292,6 +310,18 @@ def split_fields(line: Column, pattern: str) -> Column:
     return F.split(F.trim(line), pattern)
 
 
+#: Separators that can be counted without making the fields: the pattern of one, and of what is not part of one.
+COUNTED = {r"\s+": (r"\s++", r"\S"), r"\s+|,": (r"(?:\s++|,)", r"[^\s,]")}
+
+
+def _fits(line: Column, pattern: str, n: int) -> Column:
+    """Whether a line splits into at most ``n`` fields."""
+    if pattern not in COUNTED:
+        return F.size(F.split(line, pattern, -1)) <= n
+    end, inside = COUNTED[pattern]
+    return ~line.rlike(rf"\A{inside}*+(?:{end}{inside}*+){{{n}}}")
+
+
 def split_csv(line: Column, sep: str = ",", skip_initial_space: bool = False) -> Column:
     """Fields of a delimited line; a quoted field may hold the separator and
     doubled quotes. Lines without a quote take the plain split."""
@@ -310,11 +340,11 @@ def _fields(tok: Column, names: Sequence[str]) -> list[Column]:
     return [F.get(tok, F.lit(i)).alias(n) for i, n in enumerate(names)]
 
 
-def _fixed(spark: SparkSession, root: str | Sequence[str], tokens: Callable[[Column], Column], names: Sequence[str], header: bool,
-           prepare: Callable[[DataFrame], DataFrame] = lambda lines: lines, **scan) -> Scan:
+def _fixed(spark: SparkSession, root: str | Sequence[str], tokens: Callable[[Column], Column], fits: Callable[[Column], Column],
+           names: Sequence[str], header: bool, prepare: Callable[[DataFrame], DataFrame] = lambda lines: lines, **scan) -> Scan:
     """Lines whose ``tokens`` are bound by position to ``names``. A line with
     more fields is set aside and takes no place; a shorter one is padded."""
-    lines = _write_scan(spark, root, lambda df: prepare(df).withColumn("_good", F.size(tokens(F.col("line"))) <= len(names)), **scan)
+    lines = _write_scan(spark, root, lambda df: prepare(df).withColumn("_good", fits(F.col("line"))), **scan)
     splits = _splits(lines, "_good", header)
     columns = ["_at", "_off", "_clean", "_why", *(["_head_id"] if header else [])]
     kept = lines.table.join(_beside(splits, columns), KEY).where("_why IS NULL")
@@ -340,7 +370,8 @@ def read_headerless(spark: SparkSession, root: str | Sequence[str], width: int,
     Blank lines are skipped. A line with more than ``width`` fields is a bad
     line: skipped and reported. A shorter line is padded with nulls.
     """
-    return _fixed(spark, root, lambda line: split_fields(line, pattern), [f"f{i}" for i in range(width)], False, **scan)
+    return _fixed(spark, root, lambda line: split_fields(line, pattern), lambda line: _fits(F.trim(line), pattern, width),
+                  [f"f{i}" for i in range(width)], False, **scan)
 
 
 # ------------------------------------------------------------------ S4
@@ -355,9 +386,11 @@ def read_commented(spark: SparkSession, root: str | Sequence[str], names: Sequen
     reported and take no place; the others are numbered from 0.
     """
     def uncommented(lines: DataFrame) -> DataFrame:
-        return lines.withColumn("line", F.regexp_replace("line", re.escape(comment) + ".*$", "")).where(F.trim("line") != "")
+        bare = F.regexp_replace("line", re.escape(comment) + ".*$", "")
+        return lines.withColumn("line", F.when(F.contains("line", F.lit(comment)), bare).otherwise(F.col("line"))).where(F.trim("line") != "")
 
-    return _fixed(spark, root, lambda line: split_fields(line, pattern), list(names), True, uncommented, **scan)
+    return _fixed(spark, root, lambda line: split_fields(line, pattern), lambda line: _fits(F.trim(line), pattern, len(names)),
+                  list(names), True, uncommented, **scan)
 
 
 # ------------------------------------------------------------------ S5
@@ -365,7 +398,8 @@ def read_commented(spark: SparkSession, root: str | Sequence[str], names: Sequen
 def read_delimited(spark: SparkSession, root: str | Sequence[str], names: Sequence[str], sep: str = "\t",
                    **scan) -> Scan:
     """Headerless delimited lines with fixed ``names`` (text fields)."""
-    return _fixed(spark, root, lambda line: F.split(line, re.escape(sep), -1), list(names), False, **scan)
+    return _fixed(spark, root, lambda line: F.split(line, re.escape(sep), -1), lambda line: _fits(line, re.escape(sep), len(names)),
+                  list(names), False, **scan)
 
 
 # ------------------------------------------------------------------ S1 / S2
@@ -515,7 +549,10 @@ def as_double(df: DataFrame, names: Sequence[str]) -> DataFrame:
     names = list(names)
     if len(names) <= COERCED_ALONE:
         return df.withColumns({n: units.coerce_numeric(F.col(n)) for n in names})
-    df = df.withColumn("_numbers", F.transform(F.array(*[F.col(n).cast("string") for n in names]), units.coerce_numeric))
+    cells = F.array(*[F.col(n).cast("string") for n in names])
+    # cells without letters need no look at suffixes, digits or NaN: the array is cast as one
+    lettered = F.concat_ws("", cells).rlike("[DdFfNnXx]")
+    df = df.withColumn("_numbers", F.when(lettered, F.transform(cells, units.coerce_numeric)).otherwise(cells.try_cast("array<double>")))
     return df.withColumns({n: F.get("_numbers", F.lit(i)) for i, n in enumerate(names)}).drop("_numbers")
 
 

@@ -8,6 +8,8 @@ import os
 import random
 
 import pytest
+from pyspark.sql import DataFrameReader
+from pyspark.sql import functions as F
 
 from sensorweave.operators import align
 from sensorweave.sources import text
@@ -203,3 +205,55 @@ def test_alignment_sorts_no_samples(spark, monkeypatch):
     wide, bad = align.widen_or_set_aside(df, ["sid"], "t", "s", ["a", "b"], ["x", "y"])
     assert "SortAggregate" not in plans["aligned"] and [r.sid for r in bad.collect()] == [2]
     assert sorted(tuple(r) for r in wide.select("t", "a_x", "a_y", "b_x", "b_y").collect()) == [(1, 1.0, None, 2.0, 5.0), (2, 3.0, 4.0, None, None)]
+
+
+def test_rules_on_paths_are_not_asked_of_every_line_without_need(spark, tmpdir_path, monkeypatch):
+    root = os.path.join(tmpdir_path, "keep")
+    _write(f"{root}/x=1/a.txt", "1,2\n3,4\n")
+    _write(f"{root}/x=2/a.txt", "5,6\n")
+    rule = lambda p: F.regexp_extract(p, r"x=(\d)/", 1).try_cast("int").isNotNull()
+    plans = _written_plans(monkeypatch, text)
+    kept = text.read_headerless(spark, root, 2, where=rule, skip_names=["readme.txt"])
+    assert "regexp_extract" not in plans["lines"] and "readme" not in plans["lines"] and kept.rows.count() == 3
+    # files that break the rules, one of them unreadable, are left out as before and are no rejects of lines
+    _write(f"{root}/x=y/a.txt", "7,8\n9,9,9\n")
+    os.makedirs(f"{root}/z")
+    with open(f"{root}/z/a.txt.gz", "wb") as f:
+        f.write(b"no packed file")
+    some = text.read_headerless(spark, root, 2, where=rule, skip_names=["readme.txt"])
+    assert "regexp_extract" in plans["lines"] and some.rows.count() == 3 and some.rejects.count() == 0
+
+
+@pytest.mark.parametrize("pattern", [r"\s+", r"\s+|,", "\t", r"(?=;)"])
+def test_separators_are_counted_as_fields_are_split(spark, pattern):
+    lines = ["", "a", "a b", "a  b", "a , b", "a,,b", ",", "a b c d", "a\tb \t c", "\t\t\t", "a\r b c d", "a,b c,d", ";a;b;c", "  é x y"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    for n in (1, 2, 3):
+        found = df.select(F.trim("line").alias("line")).select("line", text._fits(F.col("line"), pattern, n).alias("fits"), (F.size(F.split("line", pattern, -1)) <= n).alias("split"))
+        assert [r for r in found.collect() if r.fits != r.split] == []
+    plan = df.select(text._fits(F.col("line"), r"\s+", 3))._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan
+
+
+def test_cells_without_letters_are_cast_as_one_array(spark):
+    names = [f"c{i}" for i in range(10)]
+    rows = [["1", " 2", "-0", "1e5", "", None, "7,", "0.1", "+3", "٣"], ["1", "2", "nan", "INF", "1d", "0X1", "x", "5F", "-infinity", "1E2"]]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    many = text.as_double(df, names)
+    assert "array<double>" in many._jdf.queryExecution().optimizedPlan().toString()
+    one = [text.as_double(df, [n]).select(n).collect() for n in names]
+    assert [[str(v) for v in r] for r in many.collect()] == [[str(c[i][0]) for c in one] for i in range(2)]
+
+
+def test_sensor_folders_are_listed_once_for_schema_and_rows(spark, tmpdir_path, monkeypatch):
+    root = os.path.join(tmpdir_path, "folders")
+    for sid, column in (("001", "x"), ("2", " X")):
+        spark.range(2).select(F.lit(sid).alias("sid"), F.lit("a").alias("sensor"), F.col("id").cast("double").alias(column)).write.mode("append").partitionBy("sid", "sensor").parquet(root)
+    read, parquet = [], DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *a, **k: read.append(a) or parquet(self, *a, **k))
+    guess = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(guess)
+    long, absent = text.read_sensor_folders(spark, root, ["a", "b"], values=["x"])
+    assert len(read) == 1 and spark.conf.get(guess) == before
+    assert sorted((r.sid, r.sensor, r.x) for r in long.collect()) == [("001", "a", 0.0), ("001", "a", 1.0), ("2", "a", 0.0), ("2", "a", 1.0)]
+    assert sorted(tuple(r) for r in absent.collect()) == [("001", "b"), ("2", "b")]
