@@ -41,8 +41,9 @@ def _cols(names: Sequence[str]) -> list[Column]:
 
 def with_segments(df: DataFrame, keys: Sequence[str], order: str,
                   width: float | None = None, segment: str | None = None,
-                  target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Add the segment column ``SEG`` (kept if already present)."""
+                  target_rows: int = TARGET_ROWS, stats: DataFrame | None = None) -> DataFrame:
+    """Add the segment column ``SEG`` (kept if already present). ``stats``: the
+    :func:`recording_stats` of ``df``, if they are at hand."""
     if SEG in df.columns:
         return df
     if segment is not None:
@@ -50,22 +51,24 @@ def with_segments(df: DataFrame, keys: Sequence[str], order: str,
     if width is not None:
         return df.withColumn(SEG, F.floor(F.col(order) / F.lit(float(width))).cast("long"))
     keys = list(keys)
-    stats = df.groupBy(*keys).agg(
-        F.min(order).alias("_sw_lo"), F.max(order).alias("_sw_hi"),
-        F.count(F.lit(1)).alias("_sw_n"))
+    stats = stats if stats is not None else recording_stats(df, keys, order)
     stats = stats.withColumn(
         "_sw_w",
-        F.greatest(F.lit(1.0), (F.col("_sw_hi") - F.col("_sw_lo") + F.lit(1)).cast("double")
-                   * F.lit(float(target_rows)) / F.col("_sw_n")))
-    if keys:
-        # one row per recording: AQE broadcasts it when its measured size is
-        # small, otherwise sort-merge with skew-join splitting of hot keys
-        joined = null_safe_join(df, stats.select(*keys, "_sw_lo", "_sw_w"), keys)
-    else:
+        F.greatest(F.lit(1.0), (F.col("_rec_max") - F.col("_rec_min") + F.lit(1)).cast("double")
+                   * F.lit(float(target_rows)) / F.col("_rec_rows"))).withColumnRenamed("_rec_min", "_sw_lo")
+    if not keys:
         lo, w = stats.select("_sw_lo", "_sw_w").first() or (0, 1.0)
         joined = df.withColumn("_sw_lo", F.lit(lo)).withColumn("_sw_w", F.lit(w))
+        return (joined
+                .withColumn(SEG, F.floor((F.col(order) - F.col("_sw_lo")) / F.col("_sw_w")).cast("long"))
+                .drop("_sw_lo", "_sw_w"))
+    # a recording of up to target_rows rows is one segment; only the longer ones, at most
+    # one for every target_rows rows, are joined, so the rows themselves stay where they are
+    longer = stats.filter(F.col("_rec_rows") > F.lit(target_rows)).select(*keys, "_sw_lo", "_sw_w")
+    joined = null_safe_join(df, F.broadcast(longer), keys)
+    seg = F.floor((F.col(order) - F.col("_sw_lo")) / F.col("_sw_w")).cast("long")
     return (joined
-            .withColumn(SEG, F.floor((F.col(order) - F.col("_sw_lo")) / F.col("_sw_w")).cast("long"))
+            .withColumn(SEG, F.when(F.col("_sw_w").isNull(), F.lit(0).cast("long")).otherwise(seg))
             .drop("_sw_lo", "_sw_w"))
 
 

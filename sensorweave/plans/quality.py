@@ -22,8 +22,12 @@ from pyspark.sql.types import DoubleType, FloatType
 from sensorweave.catalog import METADATA_COLUMNS, SAMPLING_RATE_HZ
 from sensorweave.functions.names import location_of_name, metric_of_name
 from sensorweave.operators import sequence as seq
+from sensorweave.session import materialize
 from sensorweave.sources.sinks import read_output
 
+#: Rows that a task of the joint report sorts, about.
+TASK_ROWS = 2 * seq.TARGET_ROWS
+
 
 def _missing(df: DataFrame, c: str) -> Column:
     col = F.col(c)
@@ -234,22 +238,59 @@ def quality_report_all(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], fs
                                  null_columns(df, [c for c in df.columns if c not in keys]).alias("null_columns")))
         counts.append(null_profile(df).select(F.lit(dataset).alias("dataset"), "column_name", "null_count", "total_rows"))
     stream = reduce(DataFrame.unionByName, streams)
-    of = ["dataset", "recording"]
     report = first.sparkSession.createDataFrame(names, "dataset string, check string, key string, detail string")
     report = report.select("dataset", "check", "key", F.lit("info").alias("status"), "detail")
-    steps = linearity(stream, of, t, F.col("fs"), tolerance)
+    steps, found = _steps_and_examples(stream, ["dataset", "recording"], t, tolerance, max_examples, context)
     report = report.union(steps.select(
         "dataset", F.lit("linearity"), "recording", F.when(F.col("linear"), F.lit("pass")).otherwise(F.lit("fail")),
         F.concat(F.lit("points="), F.col("n_points").cast("string"), F.lit(" negative="), F.col("has_negative").cast("string"),
                  F.lit(" out_of_tolerance="), F.col("out_of_tolerance").cast("string"))))
     report = report.union(reduce(DataFrame.unionByName, counts).select(
         "dataset", F.lit("nulls"), "column_name", F.lit("warn"), F.concat_ws("/", F.col("null_count").cast("string"), F.col("total_rows").cast("string"))))
-    found = _examples(stream.select(*of, t, "null_columns"), of, [t], t, max_examples, context)
     return report.union(found.select(
         "dataset", F.lit("null_example"), F.concat_ws("/", "recording", F.col("example_no").cast("string"), F.col("ctx_offset").cast("string")),
         F.when(F.col("null_columns") != "", F.lit("warn")).otherwise(F.lit("info")), F.concat(F.col(t).cast("string"), F.lit(": "), F.col("null_columns"))))
 
 
+def _steps_and_examples(stream: DataFrame, keys: list[str], t: str, tolerance: float, max_examples: int, context: int) -> tuple[DataFrame, DataFrame]:
+    """:func:`linearity` and the rows of :func:`null_examples` of a stream with
+    a whole-numbered ``t``, ``fs`` and ``null_columns``, by one sort of its
+    segments. Each segment keeps the rows around its first incomplete ones, its
+    first and last ones, and in its last row what its steps are like; the rest
+    is worked out on those few. Rows are dealt to as many tasks as their number
+    asks for: empty cells pack so well that the bytes of a shuffle say little
+    about the memory its rows take."""
+    stats = materialize(seq.recording_stats(stream, keys, t), "recordings")
+    rows = stats.agg(F.sum("_rec_rows")).first()[0] or 0
+    seg = seq.with_segments(stream, keys, t, stats=stats).repartition(max(1, -(-rows // TASK_ROWS)), *keys, seq.SEG)
+    w = Window.partitionBy(*keys, seq.SEG).orderBy(t)
+    so_far, edge = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), max(context, 1)
+    flag = F.when(F.col("null_columns") != "", 1).otherwise(0)
+    before = F.sum(flag).over(w.rowsBetween(Window.unboundedPreceding, -context - 1))
+    step = (F.col(t) - F.col("_prev")).cast("double")
+    off = F.abs(step - F.lit(1.0) / F.col("fs") * F.lit(1000.0))
+    seg = seg.withColumns({
+        "_local": F.row_number().over(w), "_prev": F.lag(t).over(w), "_last": F.lead(F.lit(1)).over(w).isNull(),
+        "_near": (F.sum(flag).over(w.rowsBetween(-context, context)) > 0) & (F.coalesce(before, F.lit(0)) < max_examples),
+        "_edge": (F.row_number().over(w) <= edge) | F.lead(F.lit(1), edge).over(w).isNull()})
+    seg = seg.withColumns({"_n": F.count(t).over(so_far), "_least": F.min(step).over(so_far), "_off": F.max(off).over(so_far)})
+    kept = materialize(seg.where(F.col("_near") | F.col("_edge")).drop("_prev", "_near", "_edge"), "examples")
+
+    along = Window.partitionBy(*keys).orderBy(seq.SEG, "_local")
+    kept = kept.withColumns({"_prev": F.lag(t).over(along), "example_no": F.sum(flag).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    first, last = F.col("_local") == 1, F.col("_last")
+    steps = kept.groupBy(*keys).agg(
+        F.sum(F.when(last, F.col("_n"))).alias("n_points"),
+        F.coalesce(F.least(F.min(F.when(last, F.col("_least"))), F.min(F.when(first, step))) < 0, F.lit(False)).alias("has_negative"),
+        F.coalesce(F.greatest(F.max(F.when(last, F.col("_off"))), F.max(F.when(first, off))) > F.lit(float(tolerance)), F.lit(False)).alias("out_of_tolerance"))
+    steps = steps.where(F.col("n_points") > 0).withColumn("linear", ~F.col("has_negative") & ~F.col("out_of_tolerance"))
+    row = F.struct(t, "null_columns")
+    around = F.array(*[F.struct(F.lit(k).alias("ctx_offset"), (F.lead(row, k) if k >= 0 else F.lag(row, -k)).over(along).alias("row")) for k in range(-context, context + 1)])
+    found = kept.withColumn("_around", around).where((flag == 1) & (F.col("example_no") <= max_examples))
+    found = found.select(*keys, "example_no", F.inline("_around")).where(F.col("row").isNotNull())
+    return steps, found.select(*keys, "example_no", "ctx_offset", "row.*")
+
+
 def stored_datasets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The outputs below ``root`` by the name of their folder."""
     jvm = spark.sparkContext._jvm

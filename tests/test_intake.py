@@ -88,6 +88,35 @@ def test_the_joint_report_says_what_single_reports_say(spark, tmpdir_path):
         quality.quality_report_all({"nope": (a, ["sid"])})
 
 
+def test_the_joint_report_sorts_bounded_tasks_and_crosses_segments(spark, monkeypatch):
+    gone = {2, 3, 4, 17, 18, 40}
+    a = spark.createDataFrame([("s", t * 20 + (900 if t > 30 else 0), 1.0 if t not in gone else None) for t in range(45)]
+                              + [("u", None, 1.0), ("u", 5, None), ("v", None, None), ("w", 0, 1.0), (None, 1, None)], "sid string, time_ms long, chest_acc_x double")
+    b = spark.createDataFrame([(1, t * 20, None if t == 7 else 2.0) for t in range(9)], "sid int, time_ms long, left_wrist_gyr_y double")
+    # what single reports say, but that a recording without a key is one here too
+    want = [row for name, df in (("mhealth", a.where("sid IS NOT NULL")), ("luo", b)) for row in _rows(quality.quality_report(df, name, ["sid"], 50)) if "'nulls'" not in row]
+    dealt, plain, write = {}, quality.seq.with_segments, quality.materialize
+    monkeypatch.setattr(quality, "TASK_ROWS", 10)
+    monkeypatch.setattr(quality.seq, "with_segments", lambda *x, **y: plain(*x, **y, target_rows=3))
+    monkeypatch.setattr(quality, "materialize", lambda df, name: dealt.update({name: df.rdd.getNumPartitions()}) or write(df, name))
+    got = quality.quality_report_all({"mhealth": (a, ["sid"]), "luo": (b, ["sid"])}, {"mhealth": 50, "luo": 50})
+    assert _rows(got.where("check <> 'nulls' AND NOT (check IN ('linearity', 'null_example') AND (key = '' OR key LIKE '/%'))")) == sorted(want)
+    assert dealt["examples"] == 6  # 59 rows, 10 a task
+
+
+def test_segments_leave_the_rows_where_they_are(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).selectExpr("id % 3 AS sid", "id AS t")
+        seg = quality.seq.with_segments(df, ["sid"], "t", target_rows=20)
+        assert "SortMergeJoin" not in seg._jdf.queryExecution().executedPlan().toString()
+        sizes = [r["count"] for r in seg.groupBy("sid", quality.seq.SEG).count().collect()]
+        assert sum(sizes) == 100 and max(sizes) <= 21
+        assert {r[0] for r in quality.seq.with_segments(df, ["sid"], "t", target_rows=40).select(quality.seq.SEG).distinct().collect()} == {0}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_datasets_are_found_by_folder(spark, tmpdir_path):
     for name in ("beach", "luo"):
         sinks.write_parquet(_table(spark, ["1"]), os.path.join(tmpdir_path, "all", name))
