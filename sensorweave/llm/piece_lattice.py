@@ -37,10 +37,11 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import math
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from operator import add
 
 import numpy as np
@@ -62,6 +63,10 @@ SCORE_GRAIN = 2.0**-24
 CACHE_BYTES = 300 << 20
 ENTRY_BYTES = 280
 LONGEST_KEPT = 64
+#: Characters of texts whose new words are learnt together.
+BLOCK_CHARS = 1 << 18
+#: Most characters whose pairs are looked up in a table.
+MOST_NUMBERED = 1 << 12
 _NORMAL, _BYTE = 1, 6
 
 Path = tuple[float, bytes]  # score, ids as little-endian unsigned 32-bit numbers
@@ -93,6 +98,14 @@ class PieceLattice:
         self.machine.make_automaton()
         self.single = {p for p, _, _ in normal if len(p) == 1}
         self.neighbours = {p[k : k + 2] for p, _, _ in normal for k in range(len(p) - 1)}
+        self.near = None  # neighbours by the numbers of their characters, blanks having none (too many characters: absent)
+        if 0 < len(self.single) < MOST_NUMBERED and not any(" " in p for p, _, _ in normal):
+            number = {c: k for k, c in enumerate(sorted(self.single), 1)}
+            self.char_no = np.zeros(ord(max(self.single | {" "})) + 1, np.int32)
+            self.char_no[[ord(c) for c in number]] = list(number.values())
+            self.near = np.zeros((len(number) + 1, len(number) + 1), bool)
+            for a, b in (pair for pair in self.neighbours if self.single.issuperset(pair)):
+                self.near[number[a], number[b]] = True
         self.bridged = any(p[1] == SPACE_MARK and p[0] != SPACE_MARK for p in self.neighbours)
         self.unknown = min((s for _, s, _ in normal if s > -1e8), default=0.0) - UNKNOWN_LOSS
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == _BYTE}
@@ -169,6 +182,40 @@ class PieceLattice:
         ids.reverse()
         return b"".join(ids), best[size], best[size] - second[size]
 
+    def best_and_losses(self, words: list[str]) -> list[tuple[bytes, float, float]]:
+        """:meth:`best_and_loss` of words whose characters have pieces, by one
+        pass over all of them; no piece reaches over the blanks between them."""
+        text, none = " ".join(words), float("-inf")
+        # up to and with each character; a word's start is at the blank before it, the first one's at the list's end
+        best, second, back = [none] * (len(text) + 1), [none] * (len(text) + 1), [None] * len(text)
+        at = -1
+        for word in words:
+            best[at] = 0.0
+            at += len(word) + 1
+        for last, edge in self.machine.iter(text):
+            length, score, _ = edge
+            before = last - length
+            value, top = best[before] + score, best[last]
+            if value > top:
+                other = second[before] + score
+                second[last] = top if top > other else other
+                best[last] = value
+                back[last] = edge
+            elif value > second[last]:
+                second[last] = value
+        out, begin = [], 0
+        for word in words:
+            last = begin + len(word) - 1
+            length, _, ids = back[last]
+            at = last - length
+            while at >= begin:
+                length, _, piece = back[at]
+                ids = piece + ids
+                at -= length
+            out.append((ids, best[last], best[last] - second[last]))
+            begin = last + 2
+        return out
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The library's ids of segments of ``split``: it sets a mark before a
         text itself, so theirs is left out."""
@@ -245,21 +292,63 @@ class PieceLattice:
                 self.held += ENTRY_BYTES + 2 * len(part) + len(entry[0])
         return entry
 
+    def _lattices_of(self, words: list[str]) -> list[tuple[bytes, float, float]]:
+        """``_lattice_of`` of each word: short ones with known characters are
+        cut into parts together, and their new parts are searched in one pass."""
+        known = self.single.issuperset
+        short = [] if self.near is None else [w for w in words if len(w) <= LONGEST_KEPT]
+        if not known("".join(short)):
+            short = [w for w in short if known(w)]
+        if not short:
+            return [self._lattice_of(w) for w in words]
+        text = " ".join(short)
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        chars = self.char_no[codes]
+        ends = np.flatnonzero(~self.near[chars[:-1], chars[1:]]) + 1  # a blank is a part of its own
+        words_end = np.searchsorted(ends, np.flatnonzero(codes == ord(" "))).tolist()
+        ends = ends.tolist()
+        parts = [text[i:j] for i, j in zip([0, *ends], [*ends, len(text)])]
+        kept = self.parts
+        new = [p for p in dict.fromkeys(parts) if p not in kept and p != " "]
+        fresh = dict(zip(new, self.best_and_losses(new)))
+        found, shared, begin = {}, set(), 0
+        for word, end in zip(short, [*(k + 1 for k in words_end), len(parts)]):
+            if end - begin == 1:
+                found[word] = fresh.get(word) or kept[word]
+            else:
+                own = parts[begin:end]
+                shared.update(own)
+                ids, scores, losses = zip(*[fresh.get(p) or kept[p] for p in own])
+                found[word] = b"".join(ids), sum(scores), min(losses)
+            begin = end + 1
+        for part in shared.difference(kept):
+            kept[part] = entry = fresh[part]
+            self.held += ENTRY_BYTES + 2 * len(part) + len(entry[0])
+        return [found.get(w) or self._lattice_of(w) for w in words]
+
     def _learn(self, words: list[str]) -> dict[str, Word]:
         """The entries of words, remembered unless they are long."""
-        out = {}
-        for word, encoded in zip(words, self.encode_words(words) if self.library else [None] * len(words)):
-            if self.held > CACHE_BYTES:
-                self.segments.clear()
+        out, kept, held = {}, self.segments, self.held
+        for start in range(0, len(words), 1 << 12):
+            some = words[start : start + (1 << 12)]
+            if held > CACHE_BYTES:
+                kept.clear()
                 self.parts.clear()
                 self.searched.clear()
-                self.held = 0
-            ids, score, loss = self._lattice_of(word)
-            own = ids if encoded is None or encoded == ids else encoded
-            out[word] = entry = (ids, score, loss, own)
-            if len(word) <= LONGEST_KEPT:
-                self.segments[word] = entry
-                self.held += ENTRY_BYTES + 2 * len(word) + len(ids) + (0 if own is ids else len(own) + 40)
+                self.held = held = 0
+            lattices = self._lattices_of(some)
+            held = self.held
+            for word, (ids, score, loss), own in zip(some, lattices, self.encode_words(some) if self.library else [None] * len(some)):
+                size = ENTRY_BYTES + 2 * len(word) + len(ids)
+                if own is None or own == ids:
+                    own = ids
+                else:
+                    size += len(own) + 40
+                out[word] = entry = (ids, score, loss, own)
+                if len(word) <= LONGEST_KEPT:
+                    kept[word] = entry
+                    held += size
+            self.held = held
         return out
 
     def _paths(self, word: str) -> list[Path]:
@@ -273,18 +362,18 @@ class PieceLattice:
                 self.held += ENTRY_BYTES + 2 * len(word) + sum(120 + len(ids) for _, ids in paths)
         return paths
 
-    def _words(self, text: str) -> tuple[list[str], list[Word]]:
-        """The segments of a text and their entries."""
-        segments = self.split(text)
-        found = list(map(self.segments.get, segments))
-        if None in found:
-            fresh = self._learn(list(dict.fromkeys([w for w, entry in zip(segments, found) if entry is None])))
-            found = [entry or fresh[w] for w, entry in zip(segments, found)]
-        return segments, found
+    def _words(self, texts: list[str | None]) -> Iterator[tuple[list[str], list[Word]]]:
+        """The segments of texts and their entries; new words are learnt together."""
+        split = [self.split(text) if text else [] for text in texts]
+        found = [list(map(self.segments.get, segments)) for segments in split]
+        fresh = self._learn(list(dict.fromkeys([w for segments, entries in zip(split, found) if None in entries
+                                                for w, entry in zip(segments, entries) if entry is None])))
+        for segments, entries in zip(split, found):
+            yield segments, [entry or fresh[w] for w, entry in zip(segments, entries)] if None in entries else entries
 
     def encode(self, text: str | None) -> bytes:
         """The library's ids of a whole text."""
-        return b"".join([e[3] for e in self._words(text)[1]]) if text else b""
+        return b"".join([e[3] for e in next(self._words([text]))[1]])
 
     def nbest(self, text: str | None) -> list[Path]:
         """The best segmentations of a whole text, best first."""
@@ -292,11 +381,28 @@ class PieceLattice:
 
     def encode_and_nbest(self, text: str | None) -> tuple[bytes, list[Path]]:
         """The library's ids of a whole text, and its best segmentations."""
-        if not text:
+        return next(self.encode_and_nbest_all([text]))
+
+    def encode_and_nbest_all(self, texts: Iterable[str | None]) -> Iterator[tuple[bytes, list[Path]]]:
+        """``encode_and_nbest`` of each text."""
+        block, size = [], 0
+        for text in texts:
+            block.append(text)
+            size += len(text or "")
+            if size >= BLOCK_CHARS:
+                yield from itertools.starmap(self._merged, self._words(block))
+                block, size = [], 0
+        yield from itertools.starmap(self._merged, self._words(block))
+
+    def _merged(self, segments: list[str], found: list[Word]) -> tuple[bytes, list[Path]]:
+        """The ids and the best segmentations of a text from those of its words."""
+        if not found:
             return b"", [(0.0, b"")]
-        segments, found = self._words(text)
         first, scores, losses, encoded = zip(*found)
-        least = heapq.nsmallest(self.n - 1, range(len(losses)), key=losses.__getitem__)
+        least, rest = [], list(losses)
+        while len(least) < self.n - 1 and (loss := min(rest)) < math.inf:  # those without a second best have nothing to add
+            least.append(rest.index(loss))
+            rest[least[-1]] = math.inf
         merged: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]  # loss, (segment, its path)
         paths_of = {i: self._paths(segments[i]) for i in least}
         for i, paths in paths_of.items():
@@ -313,7 +419,7 @@ class PieceLattice:
     def decode(self, ids: bytes) -> str:
         """The text of a sequence of ids."""
         raw = self.raw
-        text = b"".join([raw[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace").replace(SPACE_MARK, " ")
+        text = b"".join(map(raw.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace").replace(SPACE_MARK, " ")
         return text[1:] if text[:1] == " " else text
 
 
@@ -332,7 +438,7 @@ def segmentations(text: Column, path: str, n: int = 3, scores: str = "auto") ->
         ids = pa.list_(pa.int32())
         kind = pa.struct([("ids", ids), ("paths", pa.list_(pa.struct([("score", pa.float64()), ("ids", ids)])))])
         for texts in batches:
-            found = [model.encode_and_nbest(t.as_py()) for t in texts]
+            found = model.encode_and_nbest_all(t.as_py() for t in texts)
             yield pa.array([{"ids": np.frombuffer(own, "<i4"), "paths": [{"score": s, "ids": np.frombuffer(p, "<i4")} for s, p in paths]} for own, paths in found], kind)
 
     return segment(text)
@@ -371,9 +477,8 @@ def summarise_nbest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lat = lattice(path, n, scores)
         for texts in batches:
             rows = []
-            for t in texts:
-                text = t.as_py() or ""
-                own, paths = lat.encode_and_nbest(text)
+            whole, again = itertools.tee(t.as_py() or "" for t in texts)
+            for text, (own, paths) in zip(whole, lat.encode_and_nbest_all(again)):
                 rows.append({"n_tokens": len(own) // 4, "encoded_crc32": zlib.crc32(own), "n_pieces": len(paths[0][1]) // 4,
                              "scores": [s for s, _ in paths], "ids_crc32": [zlib.crc32(i) for _, i in paths],
                              "round_trip": lat.decode(paths[0][1]) == text.replace(SPACE_MARK, " ")})
