@@ -15,10 +15,10 @@ of their scores.
 A text falls apart between two neighbouring characters that no piece holds side
 by side: neither an edge of the lattice nor a merge reaches over such a place.
 Words with their encoding and the best two scores of their lattice (one forward
-pass) are remembered by each worker; a text's encoding is that of its words, and
-its best segmentations are merged from those of its words, of which only the
-few with the smallest losses can take part. So whole texts are segmented exactly,
-however long they are.
+pass, over thousands of new words at a time) are remembered by each worker; a
+text's encoding is that of its words, and its best segmentations are merged from
+those of its words, of which only the few with the smallest losses can take part.
+So whole texts are segmented exactly, however long they are.
 
 The text gets one space in front and spaces become the space mark, as the model
 does it. A character without a piece of its own is spelled in byte pieces, at
@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import math
 import zlib
 from array import array
@@ -45,10 +46,11 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorweave.llm.common import tokenizer_path
+from sensorweave.llm.common import by_bytes, tokenizer_path
 
 SPACE_MARK = "▁"
 UNKNOWN_LOSS = 10.0
@@ -57,16 +59,106 @@ RANK_SHIFT = 100.0
 #: Sums of such parts are exact, so that equal segmentations tie whatever their order
 #: and the search does not wander among them.
 SCORE_GRAIN = 2.0**-24
-#: About the bytes of the table in which a worker remembers segments (emptied when full),
+#: About the bytes of the table in which a worker remembers segments (emptied before a block when full),
 #: what an entry takes besides its characters, and the longest segment it keeps.
 CACHE_BYTES = 300 << 20
 ENTRY_BYTES = 280
 LONGEST_KEPT = 64
+#: About the characters of texts segmented together, of new words searched in one
+#: pass, and the runs copied at a time.
+BLOCK_CHARS = 1 << 19
+PASS_CHARS = 1 << 17
+RUNS = 1 << 14
 _NORMAL, _BYTE = 1, 6
 
 Path = tuple[float, bytes]  # score, ids as little-endian unsigned 32-bit numbers
 Piece = tuple[str, float, int]  # text, score, kind
-Word = tuple[bytes, float, float, bytes]  # best ids, their score, by how much the second best is lower, encoding
+
+
+def gathered(values: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``at`` of ``values`` (run i lies from ``ends[i]`` to ``ends[i + 1]``)
+    one after the other, and their ends there, 0 in front."""
+    start = ends[at]
+    size = ends[at + 1] - start
+    out = np.concatenate([[0], np.cumsum(size)])
+    copied = np.empty(out[-1], values.dtype)
+    for a in range(0, len(at), RUNS):
+        b = min(a + RUNS, len(at))
+        copied[out[a] : out[b]] = values[np.repeat(start[a:b] - out[a:b], size[a:b]) + np.arange(out[a], out[b])]
+    return copied, out
+
+
+class Trie:
+    """Texts with numbers, found at every place of many strings at once: nodes are
+    told apart by a hash table of (node, character) with open addressing."""
+
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, texts: list[str]):
+        nodes = {"": 0}
+        for text in texts:
+            for k in range(1, len(text) + 1):
+                nodes.setdefault(text[:k], len(nodes))
+        chars = sorted({c for text in texts for c in text})
+        self.char_no = np.zeros(ord(chars[-1]) + 2 if chars else 1, np.int64)  # 0: in no text
+        self.char_no[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.width = len(chars) + 1
+        inner = [nodes[text[:-1]] for text in nodes if text]
+        self.inner = np.zeros(len(nodes), bool)
+        self.inner[inner] = True
+        self.length = np.array([len(text) for text in nodes], np.int64)
+        self.number = np.full(len(nodes), -1, np.int64)
+        self.number[[nodes[text] for text in texts]] = np.arange(len(texts))
+        keys = np.array(inner, np.int64) * self.width + self.char_no[[ord(text[-1]) for text in nodes if text]]
+        bits = max(4, (4 * len(nodes)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.next = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[slot[left]] < 0]
+            self.keys[slot[free]] = keys[free]
+            left = left[self.keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & self.mask
+        self.next[slot] = np.arange(1, len(nodes))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * self.FACTOR) >> self.shift).astype(np.int64)
+
+    def _step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The nodes behind ``node`` (0: none)."""
+        keys = node * self.width + char
+        slot = self._slot(keys)
+        seen = self.keys[slot]
+        out = np.where(seen == keys, self.next[slot], 0)
+        left = np.flatnonzero((seen != keys) & (seen >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.mask
+            seen = self.keys[slot[left]]
+            hit = seen == keys[left]
+            out[left[hit]] = self.next[slot[left[hit]]]
+            left = left[~hit & (seen >= 0)]
+        return out
+
+    def chars(self, text: str) -> np.ndarray:
+        """The numbers of a string's characters (0: in no text)."""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        return self.char_no[np.minimum(codes, len(self.char_no) - 1)]
+
+    def found(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and nodes of all texts within ``chars``; none reaches over a
+        number below 1, and one stands at the end."""
+        at = np.flatnonzero(chars > 0)
+        node = np.zeros(len(at), np.int64)
+        starts, nodes, depth = [at[:0]], [node[:0]], 0
+        while len(at):
+            node = self._step(node, np.maximum(chars[at + depth], 0))
+            depth += 1
+            whole = self.number[node] >= 0
+            starts.append(at[whole])
+            nodes.append(node[whole])
+            on = self.inner[node] & (node > 0)
+            at, node = at[on], node[on]
+        return np.concatenate(starts), np.concatenate(nodes)
 
 
 def log_probabilities(pieces: list[Piece]) -> list[Piece]:
@@ -98,7 +190,20 @@ class PieceLattice:
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == _BYTE}
         self.raw = [bytes([int(p[3:5], 16)]) if kind == _BYTE else p.encode() if kind == _NORMAL else b"" for p, _, kind in pieces]
         self.unk_id = next((i for i, (_, _, kind) in enumerate(pieces) if kind == 2), 0)
-        self.segments: dict[str, Word] = {}
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.raw_ends = np.concatenate([[0], np.cumsum([len(r) for r in self.raw])]).astype(np.int64)
+        self.trie = Trie([p for p, _, _ in normal])
+        self.odd = len(self.trie.length)  # stands for a character without a piece, behind the trie's nodes
+        self.node_length = np.append(self.trie.length, 1)
+        self.node_score = np.append(np.array([s for _, s, _ in normal] + [0.0])[self.trie.number], self.unknown)
+        self.node_id = np.array([i for _, _, i in normal] + [0], "<u4")[self.trie.number]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.segments: dict[str, int] = {}  # words' numbers in the arrays below
+        self.scores, self.losses = array("d"), array("d")  # of the best ids; by how much the second best is lower
+        self.best_ids, self.best_ends = array("I"), array("q", [0])
+        self.own_ids, self.own_ends = array("I"), array("q", [0])  # the encoding
         self.parts: dict[str, tuple[bytes, float, float]] = {}
         self.searched: dict[str, list[Path]] = {}
         self.held = 0
@@ -169,12 +274,69 @@ class PieceLattice:
         ids.reverse()
         return b"".join(ids), best[size], best[size] - second[size]
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
+    def best_and_losses(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """:meth:`best_and_loss` of many words by one pass over all of them: ids
+        one after the other, their numbers, scores, losses."""
+        size = np.array([len(w) for w in words])
+        ends = np.cumsum(size + 1) - 1  # a word's last place, where the blank behind it stands
+        begin = ends - size
+        text = " ".join(words) + " "
+        chars = self.trie.chars(text)
+        chars[ends] = -1
+        odd = np.flatnonzero(chars == 0)
+        start, node = self.trie.found(chars)
+        start, node = np.append(start, odd), np.append(node, np.full(len(odd), self.odd))
+        length = self.node_length[node]
+        # by the place in the word where they end, there the longest first: as in the single pass
+        reach = start + length - np.repeat(begin, size + 1)[start]
+        longest = int(length.max(initial=0))
+        rank = reach * (longest + 1) + (longest - length)
+        order = np.argsort(rank.astype(np.uint16) if rank.max(initial=0) < 1 << 16 else rank, kind="stable")
+        start, node, length, rank = start[order], node[order], length[order], rank[order]
+        end, score = start + length, self.node_score[node]
+        best, second = np.full(len(chars), -np.inf), np.full(len(chars), -np.inf)
+        back = np.zeros(len(chars), np.int64)
+        best[begin] = 0.0
+        cuts = [0, *(np.flatnonzero(np.diff(rank)) + 1).tolist(), len(rank)]
+        for a, b in itertools.pairwise(cuts):  # one edge of a word at a time
+            i, j, add_on = start[a:b], end[a:b], score[a:b]
+            value, top = best[i] + add_on, best[j]
+            second[j] = np.where(value > top, np.maximum(top, second[i] + add_on), np.maximum(second[j], value))
+            best[j] = np.maximum(value, top)
+            back[j] = np.where(value > top, node[a:b], back[j])
+        taken, who, at = [], np.arange(len(words)), ends
+        count = np.zeros(len(words), np.int64)
+        while len(who):
+            last = back[at]
+            at = at - self.node_length[last]
+            taken.append((who, last, at))
+            count[who] += 1
+            on = at > begin[who]
+            who, at = who[on], at[on]
+        behind, node = np.cumsum(count), np.empty(count.sum(), np.int64)
+        for k, (who, last, at) in enumerate(taken, 1):
+            last = last.copy()
+            spelled = last == self.odd
+            last[spelled] += at[spelled]
+            node[behind[who] - k] = last
+        if len(odd):  # such a character has several ids
+            runs, place = [self._spelled(text[k]) for k in odd.tolist()], np.full(len(chars), 0)
+            place[odd] = np.arange(len(odd))
+            spelled = node >= self.odd
+            node[spelled] = self.odd + place[node[spelled] - self.odd]
+            size = np.concatenate([[0], np.ones(self.odd, np.int64), [len(r) // 4 for r in runs]]).astype(np.int64)
+            ids, place = gathered(np.concatenate([self.node_id, np.frombuffer(b"".join(runs), "<u4")]), np.cumsum(size), node)
+            count = np.diff(place[np.concatenate([[0], behind])])
+        else:
+            ids = self.node_id[node]
+        return ids, count, best[ends], best[ends] - second[ends]
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
         """The library's ids of segments of ``split``: it sets a mark before a
         text itself, so theirs is left out."""
-        lone = np.array([self.unk_id if self.mark_id is None else self.mark_id], "<u4").tobytes()
+        lone = [self.unk_id if self.mark_id is None else self.mark_id]
         found = self.library([w[1:].replace(SPACE_MARK, " ") for w in words])
-        return [array("I", ids).tobytes() if len(w) > 1 else lone for w, ids in zip(words, found)]
+        return [ids if len(w) > 1 else lone for w, ids in zip(words, found)]
 
     def search(self, text: str, n: int | None = None) -> list[Path]:
         """The ``n`` best segmentations of one segment, best first: A-star from
@@ -245,22 +407,28 @@ class PieceLattice:
                 self.held += ENTRY_BYTES + 2 * len(part) + len(entry[0])
         return entry
 
-    def _learn(self, words: list[str]) -> dict[str, Word]:
-        """The entries of words, remembered unless they are long."""
-        out = {}
-        for word, encoded in zip(words, self.encode_words(words) if self.library else [None] * len(words)):
-            if self.held > CACHE_BYTES:
-                self.segments.clear()
-                self.parts.clear()
-                self.searched.clear()
-                self.held = 0
-            ids, score, loss = self._lattice_of(word)
-            own = ids if encoded is None or encoded == ids else encoded
-            out[word] = entry = (ids, score, loss, own)
-            if len(word) <= LONGEST_KEPT:
-                self.segments[word] = entry
-                self.held += ENTRY_BYTES + 2 * len(word) + len(ids) + (0 if own is ids else len(own) + 40)
-        return out
+    def _learn(self, words: list[str]) -> None:
+        """Gives words numbers and writes down their entries: those too long to be
+        kept, which come last, are searched one by one."""
+        for a, b in by_bytes(map(len, words), PASS_CHARS):
+            some = words[a:b]
+            short = [w for w in some if len(w) <= LONGEST_KEPT]
+            found = [self.best_and_losses(short)] if short else []
+            for word in some[len(short) :]:
+                ids, score, loss = self._lattice_of(word)
+                found.append((np.frombuffer(ids, "<u4"), np.array([len(ids) // 4]), np.array([score]), np.array([loss])))
+            self._note(some, *map(np.concatenate, zip(*found)))
+
+    def _note(self, words: list[str], ids: np.ndarray, count: np.ndarray, scores: np.ndarray, losses: np.ndarray) -> None:
+        own, own_count = ids, count
+        if self.library:
+            found = self.encode_words(words)
+            own, own_count = np.array(list(itertools.chain.from_iterable(found)), "<u4"), np.array([len(i) for i in found])
+        self.segments.update(zip(words, itertools.count(len(self.scores))))
+        for held, new in ((self.scores, scores), (self.losses, losses), (self.best_ids, ids), (self.own_ids, own),
+                          (self.best_ends, self.best_ends[-1] + np.cumsum(count)), (self.own_ends, self.own_ends[-1] + np.cumsum(own_count))):
+            held.frombytes(new.tobytes())
+        self.held += ENTRY_BYTES * len(words) + 2 * sum(map(len, words)) + 4 * (len(ids) + len(own))
 
     def _paths(self, word: str) -> list[Path]:
         """``search`` of a word, remembered as the words are: those with the
@@ -273,18 +441,44 @@ class PieceLattice:
                 self.held += ENTRY_BYTES + 2 * len(word) + sum(120 + len(ids) for _, ids in paths)
         return paths
 
-    def _words(self, text: str) -> tuple[list[str], list[Word]]:
-        """The segments of a text and their entries."""
-        segments = self.split(text)
+    def _words(self, texts: list[str]) -> tuple[list[str], list[int], np.ndarray]:
+        """The segments of texts, the ends of the texts in them, 0 in front, and the
+        segments' numbers."""
+        if self.held > CACHE_BYTES:
+            self._forget()
+        segments, ends = [], [0]
+        for text in texts:
+            segments += self.split(text) if text else []
+            ends.append(len(segments))
         found = list(map(self.segments.get, segments))
         if None in found:
-            fresh = self._learn(list(dict.fromkeys([w for w, entry in zip(segments, found) if entry is None])))
-            found = [entry or fresh[w] for w, entry in zip(segments, found)]
-        return segments, found
+            new = dict.fromkeys([w for w, at in zip(segments, found) if at is None])
+            try:
+                self._learn(sorted(new, key=lambda w: len(w) > LONGEST_KEPT))
+            except BaseException:  # nothing half noted stays
+                self._forget()
+                raise
+            found = [self.segments[w] if at is None else at for w, at in zip(segments, found)]
+        return segments, ends, np.array(found, np.int64)
+
+    def _drop(self, segments: list[str]) -> None:
+        """Forgets segments that are too long to be kept; they were noted last."""
+        words = [w for w in dict.fromkeys(segments) if len(w) > LONGEST_KEPT]
+        if not words:
+            return
+        start = min(self.segments[w] for w in words)
+        self.held -= ENTRY_BYTES * len(words) + 2 * sum(map(len, words)) + 4 * (len(self.best_ids) - self.best_ends[start] + len(self.own_ids) - self.own_ends[start])
+        del self.best_ids[self.best_ends[start] :], self.own_ids[self.own_ends[start] :]
+        del self.best_ends[start + 1 :], self.own_ends[start + 1 :], self.scores[start:], self.losses[start:]
+        for word in words:
+            del self.segments[word]
 
     def encode(self, text: str | None) -> bytes:
         """The library's ids of a whole text."""
-        return b"".join([e[3] for e in self._words(text)[1]]) if text else b""
+        segments, _, at = self._words([text or ""])
+        own, _ = gathered(np.frombuffer(self.own_ids, "<u4"), np.frombuffer(self.own_ends, np.int64), at)
+        self._drop(segments)
+        return own.tobytes()
 
     def nbest(self, text: str | None) -> list[Path]:
         """The best segmentations of a whole text, best first."""
@@ -292,31 +486,61 @@ class PieceLattice:
 
     def encode_and_nbest(self, text: str | None) -> tuple[bytes, list[Path]]:
         """The library's ids of a whole text, and its best segmentations."""
-        if not text:
-            return b"", [(0.0, b"")]
-        segments, found = self._words(text)
-        first, scores, losses, encoded = zip(*found)
-        least = heapq.nsmallest(self.n - 1, range(len(losses)), key=losses.__getitem__)
+        return next(self.encode_and_nbest_all([text]))
+
+    def encode_and_nbest_all(self, texts: list[str | None]) -> Iterator[tuple[bytes, list[Path]]]:
+        """:meth:`encode_and_nbest` of each text, their new words learnt together."""
+        segments, ends, at = self._words([t or "" for t in texts])
+        best, best_ends = gathered(np.frombuffer(self.best_ids, "<u4"), np.frombuffer(self.best_ends, np.int64), at)
+        own, own_ends = gathered(np.frombuffer(self.own_ids, "<u4"), np.frombuffer(self.own_ends, np.int64), at)
+        scores, losses = np.frombuffer(self.scores)[at], np.frombuffer(self.losses)[at]
+        self._drop(segments)
+        for a, b in itertools.pairwise(ends):
+            if a == b:
+                yield b"", [(0.0, b"")]
+            else:
+                encoded = own[own_ends[a] : own_ends[b]].tobytes()
+                yield encoded, self._merged(segments[a:b], scores[a:b], losses[a:b], best[best_ends[a] : best_ends[b]].tobytes(), 4 * (best_ends[a : b + 1] - best_ends[a]))
+
+    def _merged(self, segments: list[str], scores: np.ndarray, losses: np.ndarray, first: bytes, ends: np.ndarray) -> list[Path]:
+        """The best segmentations of a text from its segments' ids ``first``, of
+        which segment i has the bytes from ``ends[i]`` to ``ends[i + 1]``, scores and losses."""
+        left, paths_of = losses.copy(), {}
+        for _ in range(min(self.n - 1, len(left))):
+            i = int(left.argmin())
+            if left[i] == math.inf:
+                break
+            left[i] = math.inf
+            paths_of[i] = self._paths(segments[i])
         merged: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]  # loss, (segment, its path)
-        paths_of = {i: self._paths(segments[i]) for i in least}
         for i, paths in paths_of.items():
             choices = [(loss + paths[0][0] - paths[k][0], (*taken, (i, k)) if k else taken) for loss, taken in merged for k in range(len(paths))]
             merged = heapq.nsmallest(self.n, choices, key=lambda c: c[0])
-        total, out = sum(scores), []
+        total, out = sum(scores.tolist()), []
         for loss, taken in merged:
-            ids = list(first)
-            for i, k in taken:
-                ids[i] = paths_of[i][k][1]
-            out.append((total - loss, b"".join(ids)))
-        return b"".join(encoded), out
+            ids, done = [], 0
+            for i, k in sorted(taken):
+                ids += [first[done : ends[i]], paths_of[i][k][1]]
+                done = ends[i + 1]
+            out.append((total - loss, b"".join([*ids, first[done:]])))
+        return out
 
     def decode(self, ids: bytes) -> str:
         """The text of a sequence of ids."""
-        raw = self.raw
-        text = b"".join([raw[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace").replace(SPACE_MARK, " ")
+        raw, _ = gathered(self.raw_bytes, self.raw_ends, np.frombuffer(ids, "<u4").astype(np.int64))
+        text = raw.tobytes().decode("utf-8", "replace").replace(SPACE_MARK, " ")
         return text[1:] if text[:1] == " " else text
 
 
+def segmented(model: PieceLattice, texts: pa.Array) -> Iterator[tuple[str, bytes, list[Path]]]:
+    """Texts (null: empty), the library's ids and the best segmentations, by blocks of
+    about ``BLOCK_CHARS``."""
+    for a, b in by_bytes(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), BLOCK_CHARS):
+        some = [t or "" for t in texts.slice(a, b - a).to_pylist()]
+        for text, (own, paths) in zip(some, model.encode_and_nbest_all(some)):
+            yield text, own, paths
+
+
 @functools.lru_cache(maxsize=2)
 def lattice(path: str, n: int, scores: str = "auto") -> PieceLattice:
     return PieceLattice.load(path, n, scores)
@@ -332,8 +556,8 @@ def segmentations(text: Column, path: str, n: int = 3, scores: str = "auto") ->
         ids = pa.list_(pa.int32())
         kind = pa.struct([("ids", ids), ("paths", pa.list_(pa.struct([("score", pa.float64()), ("ids", ids)])))])
         for texts in batches:
-            found = [model.encode_and_nbest(t.as_py()) for t in texts]
-            yield pa.array([{"ids": np.frombuffer(own, "<i4"), "paths": [{"score": s, "ids": np.frombuffer(p, "<i4")} for s, p in paths]} for own, paths in found], kind)
+            yield pa.array([{"ids": np.frombuffer(own, "<i4"), "paths": [{"score": s, "ids": np.frombuffer(p, "<i4")} for s, p in paths]}
+                            for _, own, paths in segmented(model, texts)], kind)
 
     return segment(text)
 
@@ -371,9 +595,7 @@ def summarise_nbest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         lat = lattice(path, n, scores)
         for texts in batches:
             rows = []
-            for t in texts:
-                text = t.as_py() or ""
-                own, paths = lat.encode_and_nbest(text)
+            for text, own, paths in segmented(lat, texts):
                 rows.append({"n_tokens": len(own) // 4, "encoded_crc32": zlib.crc32(own), "n_pieces": len(paths[0][1]) // 4,
                              "scores": [s for s, _ in paths], "ids_crc32": [zlib.crc32(i) for _, i in paths],
                              "round_trip": lat.decode(paths[0][1]) == text.replace(SPACE_MARK, " ")})

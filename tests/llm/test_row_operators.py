@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import public_tokenizers
@@ -415,3 +416,48 @@ def test_searches_of_words_are_remembered(monkeypatch):
     monkeypatch.setattr(piece_lattice, "CACHE_BYTES", 0)
     lat.nbest("quite another sentence")
     assert lat.held < held and "▁house" not in lat.searched
+
+
+def awkward_words(seed, size):
+    rng = random.Random(seed)
+    parts = ["the", "ing", "é", "e\u0301", "日本", "한", "\U0010fffd", "\ue000", "ſ", "😀", "x" * 30, "1", "A", "\n", "."]
+    return ["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(size)]
+
+
+def test_new_words_of_several_texts_are_learnt_together(monkeypatch):
+    lat, single = piece_lattice.PieceLattice.load(PIECES), piece_lattice.PieceLattice.load(PIECES)
+    words = awkward_words(41, 600)
+    texts = [" ".join(words[k : k + 7]) for k in range(0, 600, 7)] + [None, "", " ", "   a", words[0]]
+    calls, library = [], lat.library
+    monkeypatch.setattr(lat, "library", lambda some: calls.append(len(some)) or library(some))
+    lists = pa.array(texts, pa.string())
+    got = list(piece_lattice.segmented(lat, lists))
+    assert [(own, paths) for _, own, paths in got] == [single.encode_and_nbest(t) for t in texts]
+    assert [t for t, _, _ in got] == [t or "" for t in texts]
+    assert len(calls) == 1  # not one for each text
+    monkeypatch.setattr(piece_lattice, "BLOCK_CHARS", 100)
+    monkeypatch.setattr(piece_lattice, "PASS_CHARS", 50)
+    monkeypatch.setattr(piece_lattice, "RUNS", 3)
+    monkeypatch.setattr(piece_lattice, "LONGEST_KEPT", 20)
+    blocks = piece_lattice.PieceLattice.load(PIECES)
+    assert list(piece_lattice.segmented(blocks, lists)) == got and max(map(len, blocks.segments)) <= 20
+
+
+@pytest.mark.parametrize("scores", ["model", "zipf"])
+def test_search_of_many_words_equals_that_of_each(scores):
+    lat = piece_lattice.PieceLattice.load(PIECES, 3, scores)
+    words = [*dict.fromkeys(["▁", "▁▁▁", *("▁" + w for w in awkward_words(43, 500)), *awkward_words(47, 200)])]
+    ids, count, best, loss = lat.best_and_losses(words)
+    ends = np.cumsum(count)
+    got = [(ids[b - n : b].tobytes(), s, d) for b, n, s, d in zip(ends, count, best, loss)]
+    assert got == [lat.best_and_loss(w) for w in words]
+
+
+def test_words_are_forgotten_when_learning_fails(monkeypatch):
+    lat = piece_lattice.PieceLattice.load(PIECES)
+    want, library = lat.encode_and_nbest("the house"), lat.library
+    monkeypatch.setattr(lat, "library", lambda words: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        lat.encode("another " + "house" * 40)
+    monkeypatch.setattr(lat, "library", library)
+    assert lat.encode_and_nbest("the house") == want and set(lat.segments) == {"▁the", "▁house"}
