@@ -102,14 +102,14 @@ def harmonise_mhealth(spark: SparkSession, root: str, glob: str = "mHealth_subje
 # ---------------------------------------------------------------- E5 hugadb
 
 def harmonise_hugadb(spark: SparkSession, root: str, sid_pattern: str | None = None,
-                     trial_pattern: str | None = None) -> Harmonised:
+                     trial_pattern: str | None = None, glob: str = "*.txt") -> Harmonised:
     """``HGD_vX_ACT_PR_CNT.txt``: '#' comments, a header line, then 39
     whitespace-separated int16 fields at 17 ms per row. Activity ids map to
     surfaces (unknown -> 'other'); acc/gyr counts -> m/s^2 and rad/s.
 
     ``sid_pattern``/``trial_pattern`` (regex, first group, on the path) take
     the ids from elsewhere than the file name; files are then searched
-    recursively.
+    recursively. ``glob`` describes their names.
     """
     names = catalog.HUGADB_COLUMNS
     by_path = sid_pattern is not None
@@ -123,7 +123,7 @@ def harmonise_hugadb(spark: SparkSession, root: str, sid_pattern: str | None = N
         sid, trial = ids(path)
         return F.when(sid.isNull() | trial.isNull(), F.lit("no subject and trial number in the file name"))
 
-    look = {"glob": "*.txt", "recursive": by_path, "skip_names": ["readme.txt", "readme.md"]}
+    look = {"glob": glob, "recursive": by_path, "skip_names": ["readme.txt", "readme.md"]}
     scan = text.read_commented(spark, root, names, where=lambda p: reason(p).isNull(), **look)
     sid, trial = ids(F.col("path"))
     sensor_cols = [c for c in names if c != "activityid"]

@@ -19,8 +19,9 @@ from sensorweave import catalog
 from sensorweave.functions.labels import expand_lists
 from sensorweave.functions.units import coerce_numeric
 from sensorweave.operators import sequence as seq
+from sensorweave.operators.joins import null_safe_join
 from sensorweave.plans import recordings
-from sensorweave.session import scratch_path, shuffle_partitions
+from sensorweave.session import materialize, scratch_path, shuffle_partitions, shuffles_removed
 from sensorweave.sources import text
 from sensorweave.sources.sinks import append_aligned
 
@@ -43,6 +44,37 @@ def _write_lines(df: DataFrame, path: str, line) -> None:
     df.select(line.alias("value")).repartition(_files(df.sparkSession)).write.mode("overwrite").text(path)
 
 
+#: Lines of a recording up to which its file is packed. A scan can't split a
+#: packed file, so the files of longer recordings stay plain.
+PACKED_LINES = 1 << 20
+#: The names of files written so.
+RECORDING_FILES = "*.{txt,txt.gz}"
+
+
+def _recordings(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The recordings of the rows, with their number of lines (``_lines``)."""
+    return materialize(rows.groupBy(*keys).agg(F.count("*").alias("_lines")), "recordings")
+
+
+def _write_recordings(rows: DataFrame, found: DataFrame, keys: list[str], order: list[str], line, root: str) -> None:
+    """Write one text file for each recording (``found``), its lines in order.
+    Rows are dealt and sorted before they are made text by ``line``, as the text
+    is many times larger than the columns it is made of."""
+    longer = found.where(F.col("_lines") > PACKED_LINES).select(*keys)  # few: one for so many rows at most
+    parts = {"gzip": rows}
+    if not longer.isEmpty():
+        parts = {codec: null_safe_join(rows, F.broadcast(longer), keys, how) for codec, how in (("gzip", "left_anti"), ("none", "left_semi"))}
+    with shuffles_removed(rows.sparkSession):
+        for codec, part in parts.items():
+            (_recording_lines(part, keys, order, line).write.mode("append")
+             .options(**{"compression": codec, "zlib.compress.level": "BEST_SPEED"}).partitionBy(*keys).text(root))
+
+
+def _recording_lines(rows: DataFrame, keys: list[str], order: list[str], line) -> DataFrame:
+    return (rows.repartition(_files(rows.sparkSession), *keys).sortWithinPartitions(*keys, *order)
+            .select(line.alias("value"), *keys))
+
+
 def headed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` as headed CSV files whose headers differ in column
     order, case and padding; fields bound by each file's own header."""
@@ -271,16 +303,15 @@ def hugadb_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat(F.concat_ws(" ", *fields, act),
                     F.when(F.col("l_linenumber") == 1, F.lit("  # checked")).otherwise(F.lit("")))
     body = li.select(_subject().alias("sid"), _hugadb_trial().alias("trial"),
-                     F.lit(1).alias("_k"), *HUGADB_ORDER, line.alias("value"))
-    heads = body.select("sid", "trial").distinct().select(
+                     F.lit(1).alias("_k"), *HUGADB_ORDER)
+    found = _recordings(body, ["sid", "trial"])
+    heads = found.select(
         "sid", "trial", F.lit(0).alias("_k"),
-        *[F.lit(None).cast(li.schema[c].dataType).alias(c) for c in HUGADB_ORDER],
-        F.lit("# HGD v2 export\nfield names").alias("value"))
-    (body.unionByName(heads).repartition(_files(spark), "sid", "trial")
-     .sortWithinPartitions("sid", "trial", "_k", *HUGADB_ORDER)
-     .select("value", "sid", "trial").write.mode("overwrite").partitionBy("sid", "trial").text(root))
+        *[F.lit(None).cast(li.schema[c].dataType).alias(c) for c in HUGADB_ORDER])
+    line = F.when(F.col("_k") == 0, F.lit("# HGD v2 export\nfield names")).otherwise(line)
+    _write_recordings(body.unionByName(heads), found, ["sid", "trial"], ["_k", *HUGADB_ORDER], line, root)
     return recordings.harmonise_hugadb(spark, root, sid_pattern=r"sid=(\d+)/",
-                                       trial_pattern=r"trial=(\d+)/").data
+                                       trial_pattern=r"trial=(\d+)/", glob=RECORDING_FILES).data
 
 
 def _hugadb_oracle() -> str:

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,15 +97,28 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, name: str, sort_by: list[str] | None = None) -> DataFrame:
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes made inside are removed as each write ends;
+    else they take disk until the driver's JVM happens to collect garbage."""
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(cleanup, before)
+
+
+def materialize(df: DataFrame, name: str, sort_by: list[str] | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet into the shared scratch folder and read it
     back: later branches scan the written table (with column pruning and
     statistics) instead of recomputing the lineage, and a lost executor only
-    costs re-reading files."""
+    costs re-reading files. ``codec``: another one than the session's."""
     path = scratch_path(df.sparkSession, name)
     out = df
     if sort_by:
         n = shuffle_partitions(df.sparkSession)
         out = df.repartitionByRange(n, *sort_by).sortWithinPartitions(*sort_by)
-    out.write.mode("overwrite").parquet(path)
+    out.write.mode("overwrite").options(**({"compression": codec} if codec else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -42,6 +42,9 @@ MAX_RECORD_LINES = 100_000
 UNPACKERS: dict[str, Callable] = {".gz": lambda: zlib.decompressobj(31), ".deflate": zlib.decompressobj, ".bz2": bz2.BZ2Decompressor}
 UNPACKED_BYTES = 4 << 20
 
+#: How written lines are packed: they are the largest intermediate table.
+LINES_CODEC = "zstd"
+
 EMPTY, NO_LINES, NO_DATA = "empty file", "no lines in the file", "header without data"
 UNREADABLE, NOT_UTF8, LONG_HEADER = "unreadable file", "not valid UTF-8", "header over several lines"
 OPEN_QUOTE, LONG_RECORD = "quote not closed", "record of too many lines"
@@ -156,7 +159,7 @@ def _write_scan(spark: SparkSession, root: str | Sequence[str], prepare: Callabl
         return prepare(found).withColumn("_id", F.monotonically_increasing_id())
 
     def written(tolerant: bool) -> DataFrame:  # what follows from other columns is not stored
-        return materialize(lines(tolerant), "lines").withColumns({"_task": F.shiftright("_id", 33), "_file": F.xxhash64("path")})
+        return materialize(lines(tolerant), "lines", None, LINES_CODEC).withColumns({"_task": F.shiftright("_id", 33), "_file": F.xxhash64("path")})
 
     none = spark.createDataFrame([], "path string")
     try:
