@@ -161,22 +161,24 @@ def seq_ffill(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
               segment: str | None = None, target_rows: int = TARGET_ROWS,
               keep_segment: bool = False) -> DataFrame:
     """Forward fill: each null takes the last non-null earlier value of the
-    recording (leading nulls stay null)."""
+    recording (leading nulls stay null).
+
+    The value that a segment begins with is put before its rows as one more
+    row, so that the rows are dealt out once, and not again to be joined."""
     keys, order = list(keys), list(order)
     out = out or value
     seg = with_segments(df, keys, order[0], width, segment, target_rows)
-    w = _local_window(keys, _cols(order))
-    seg = (seg.withColumn("_sw_local", F.last(value, ignorenulls=True).over(
-                w.rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("_sw_last", F.lead(F.lit(1)).over(w).isNull()))
-    # at the last row of a segment the running fill is the segment's last non-null
-    edges = _summary(seg, keys, F.col("_sw_last"), {"_sw_edge": F.col("_sw_local")})
+    # the last non-null value of each segment, from few columns and reduced before it is dealt out
+    edges = (seg.groupBy(*keys, SEG).agg(F.max_by(
+        F.col(value), F.when(F.col(value).isNotNull(), F.struct(*_cols(order)))).alias("_sw_edge")))
     carry = F.last("_sw_edge", ignorenulls=True).over(
         _seg_window(keys).rowsBetween(Window.unboundedPreceding, -1))
-    edges = edges.select(*keys, SEG, carry.alias("_sw_carry"))
-    res = (null_safe_join(seg, edges, [*keys, SEG])
-           .withColumn(out, F.coalesce(F.col("_sw_local"), F.col("_sw_carry")))
-           .drop("_sw_local", "_sw_carry", "_sw_last"))
+    before = edges.select(*keys, SEG, carry.alias("_sw_carry")).where(F.col("_sw_carry").isNotNull())
+    filled = F.last(F.coalesce("_sw_carry", value), ignorenulls=True).over(
+        _local_window(keys, _cols(["_sw_row", *order])).rowsBetween(Window.unboundedPreceding, 0))
+    res = (seg.withColumn("_sw_row", F.lit(True))
+           .unionByName(before.withColumn("_sw_row", F.lit(False)), allowMissingColumns=True)
+           .withColumn(out, filled).where("_sw_row").drop("_sw_row", "_sw_carry"))
     return res if keep_segment else res.drop(SEG)
 
 

@@ -83,14 +83,15 @@ def harmonise_mhealth(spark: SparkSession, root: str, glob: str = "mHealth_subje
     look = {"glob": glob, "recursive": not enumerated}
     scan = text.read_delimited(spark, root, names, sep="\t", where=lambda p: reason(p).isNull(), **look)
     listed = cache(lambda: text.list_files(spark, root, **look))
-    rows = scan.rows.withColumn("sid", subject(F.col("path")))
     data_cols = [c for c in names if c != "surface"]
-    rows = text.as_double(rows, data_cols)
+    rows = text.as_double(scan.rows, data_cols)
     rows = rows.withColumn("surface", labels.map_label(F.col("surface"), catalog.MHEALTH_SURFACES,
                                                        labels.NULL))
-    # the axis is the row position, so the 20 ms grid has no holes to fill
-    rows = rows.withColumn("time_ms", timegrid.ms_from_step(F.col("line_no"), catalog.GRID_STEP_MS["mhealth"]))
     rows = seq.seq_ffill(rows, ["path"], ["line_no"], "surface", width=float(seq.TARGET_ROWS))
+    # what follows from the path and position is added after the fill has dealt out the rows;
+    # the axis is the row position, so the 20 ms grid has no holes to fill
+    rows = rows.withColumns({"sid": subject(F.col("path")),
+                             "time_ms": timegrid.ms_from_step(F.col("line_no"), catalog.GRID_STEP_MS["mhealth"])})
     gyr = names_containing(rows.select(*data_cols), "gyr")
     rows = rows.withColumns({c: units.deg_to_rad(F.col(c)) for c in gyr})
     missing = (files.missing_inputs(files.expected_range(spark, "sid", lo, hi),

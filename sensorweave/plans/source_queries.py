@@ -181,11 +181,10 @@ def mhealth_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a missing value is an empty field, never a dropped one
     fields = [F.coalesce(F.col(src).cast("string"), F.lit("")) for _, src in _mhealth_fields()]
     label = F.coalesce(F.col("l_quantity").cast("int").cast("string"), F.lit(""))
-    lines = li.select((_subject() + 1).alias("subject"), *MHEALTH_ORDER,
-                      F.concat_ws("\t", *fields, label).alias("value"))
-    (lines.repartition(_files(spark), "subject").sortWithinPartitions("subject", *MHEALTH_ORDER)
-     .select("value", "subject").write.mode("overwrite").partitionBy("subject").text(root))
-    h = recordings.harmonise_mhealth(spark, root, glob="*.txt", subject_pattern=r"subject=(\d+)/",
+    rows = li.select((_subject() + 1).alias("subject"), *MHEALTH_ORDER)
+    _write_recordings(rows, _recordings(rows, ["subject"]), ["subject"], MHEALTH_ORDER,
+                      F.concat_ws("\t", *fields, label), root)
+    h = recordings.harmonise_mhealth(spark, root, glob=RECORDING_FILES, subject_pattern=r"subject=(\d+)/",
                                      subject_in="path", enumerated=False)
     return h.data
 

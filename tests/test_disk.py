@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorweave import session
+from sensorweave.operators import sequence as seq
 from sensorweave.plans import source_queries
 from sensorweave.sources import text
 
@@ -44,7 +45,7 @@ def _same(df, sql, folder):
         assert sorted(map(key, df.collect())) == sorted(map(key, want.fetchall()))
 
 
-@pytest.mark.parametrize("query", ["hugadb_layout"])
+@pytest.mark.parametrize("query", ["hugadb_layout", "mhealth_layout"])
 @pytest.mark.parametrize("lines", [1 << 20, 10])
 def test_raw_files_are_packed_up_to_a_size(spark, tmpdir_path, monkeypatch, query, lines):
     folder, roots, scratch = _lineitem(spark, tmpdir_path), [], source_queries._scratch
@@ -91,3 +92,29 @@ def test_written_lines_are_packed(spark, tmpdir_path):
         fh.write("1\t2\n")
     rows = text.read_delimited(spark, tmpdir_path, ["a", "b"]).rows
     assert any("/lines-" in f and ".zstd." in f for f in rows.inputFiles()) and rows.first().b == "2"
+
+
+def test_a_fill_deals_the_rows_once(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("rec"), F.col("id").alias("t"), F.when(F.col("id") % 4 == 0, F.col("id")).alias("v"),
+                                 F.col("id").cast("string").alias("payload"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        out = seq.seq_ffill(df, ["rec"], ["t"], "v", width=10.0)
+        assert sum("payload" in columns for columns in _dealt(out)) == 1 and out.columns == df.columns
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("kwargs", [{"width": 4.0}, {"segment": "part"}, {}, {"width": 4.0, "out": "filled"}])
+def test_a_fill_keeps_rows_and_recordings_apart(spark, kwargs):
+    # null and equal keys are recordings, a whole segment or recording may be without values, a row may be without place
+    data = [(rec, t, t // 5, None if t % 9 or rec == "c" else f"{rec}{t}", [t]) for rec in (None, "a", "c") for t in range(40) if t % 13 > 1]
+    data += [("a", None, None, None, [-1]), ("d", 3, 0, None, [3]), ("d", 4, 0, "d4", [4]), ("d", 900, 180, None, [900])]
+    df = spark.createDataFrame(data, "rec string, t long, part long, v string, beside array<int>")
+    got = seq.seq_ffill(df, ["rec"], ["t"], "v", **kwargs)
+    assert got.columns == [*df.columns, *(["filled"] if "out" in kwargs else [])]
+    want, last = [], {}
+    for rec, t, part, v, beside in sorted(data, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0)):
+        last[rec] = v or last.get(rec)
+        want.append((rec, t, part, *((v, beside, last[rec]) if "out" in kwargs else (last[rec], beside))))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
