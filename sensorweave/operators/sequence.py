@@ -7,7 +7,7 @@ the data. Every ordered operation here instead runs inside *segments*
 order key holding a bounded number of rows. The few values that cross a
 segment border (rows before it, the next or previous value, the last non-null
 value) are computed on a per-segment summary with one row per segment and
-joined back. A recording of N rows then costs N/segment_rows summary rows, not
+joined back (by a forward fill: put before the segment's rows). A recording of N rows then costs N/segment_rows summary rows, not
 one N-row task.
 
 Segments come from one of:
